@@ -1,8 +1,10 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame`` and their SQL oracles.
 
-Every query reads the driver tables (or files Spark writes from them) in full.
+Every query reads the driver tables in full, or files Spark writes from them
+(text, parquet) into a fresh folder under the session's checkpoint directory.
 Oracle SQL runs in DuckDB over the same parquet tables; column names and types
-are aligned on both sides.
+are aligned on both sides.  Double-valued means are rounded to 6 places on both
+sides (summation order differs between engines).
 """
 
 from __future__ import annotations
@@ -12,15 +14,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyho.functions.stats import state_aggs
+from tallyho.functions.text import triple_text, with_awk_mean_text
+from tallyho.operators import chunks as C
+from tallyho.operators import encoding as E
+from tallyho.operators import generate as G
 from tallyho.operators import summary as S
-from tallyho.schema import MEAN_COL
+from tallyho.plans import etl
+from tallyho.schema import (CHUNK_ID, LINE_INDEX, MAX_COL, MEAN_COL, MEASURE,
+                            MIN_COL, ROW_ID, STATION)
+from tallyho.session import fresh_dir, table_path
+from tallyho.sinks.files import write_lines, write_measurement_text, write_parquet
+from tallyho.sources import lines as L
+from tallyho.sources import text as T
 from tallyho.sources.measurements import (M_SQL, ML_SQL, events_measurements,
                                           lineitem_measurements)
+from tallyho.sources.parquet import read_parquet, serve_summary, summary_sql_view
+from tallyho.streaming.incremental import incremental_summary
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
+CHUNK_ROWS = 1_000          # rows per chunk in the chunked queries
+ROWS_PER_TEXT_FILE = 2_500  # part-file size of the incremental run's input
+
 
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
@@ -35,8 +53,10 @@ def with_m(body: str) -> str:
     return f"WITH M AS ({M_SQL}) {body}"
 
 
-def with_ml(body: str) -> str:
-    return f"WITH ML AS ({ML_SQL}) {body}"
+def with_mo(body: str) -> str:
+    """M plus its line order (0-based position by rid)."""
+    return (f"WITH M AS ({M_SQL}), MO AS (SELECT *, row_number() OVER (ORDER BY rid) - 1 AS pos "
+            f"FROM M) {body}")
 
 
 SUMMARY_SQL = (
@@ -44,14 +64,440 @@ SUMMARY_SQL = (
     "CAST(AVG(measure) AS DECIMAL(3,1)) AS mean_temperature, "
     "MAX(measure) AS max_temperature FROM {src} GROUP BY station ORDER BY station NULLS LAST"
 )
+M_SUMMARY = with_m(SUMMARY_SQL.format(src="M"))
+
+
+def _m(spark, sf_dir):
+    return events_measurements(spark, sf_dir)
+
 
+def _m_text(spark, sf_dir, label, ordered=False, files=None) -> str:
+    """Write M as ``station;measure`` text (in rid order when ``ordered``)."""
+    path = fresh_dir(spark, label)
+    write_measurement_text(_m(spark, sf_dir), path, order_by=ROW_ID if ordered else None,
+                           files=files)
+    return path
 
-# --------------------------------------------------------------------------- A1
-@register("summary_decimal", with_m(SUMMARY_SQL.format(src="M")))
+
+def _round_mean(df: DataFrame, col: str = MEAN_COL) -> DataFrame:
+    return df.withColumn(col, F.round(col, 6))
+
+
+# ------------------------------------------------------------------ A1 family
+@register("summary_decimal", M_SUMMARY)
 def q_summary_decimal(spark, sf_dir):
-    return S.summary_decimal(events_measurements(spark, sf_dir))
+    return S.summary_decimal(_m(spark, sf_dir))
 
 
-@register("summary_lineitem", with_ml(SUMMARY_SQL.format(src="ML")))
+@register("summary_lineitem", f"WITH ML AS ({ML_SQL}) " + SUMMARY_SQL.format(src="ML"))
 def q_summary_lineitem(spark, sf_dir):
     return S.summary_decimal(lineitem_measurements(spark, sf_dir))
+
+
+@register("summary_double", with_m(
+    "SELECT station, CAST(MIN(measure) AS DOUBLE) AS min_temperature, "
+    "round(AVG(CAST(measure AS DOUBLE)), 6) AS mean_temperature, "
+    "CAST(MAX(measure) AS DOUBLE) AS max_temperature FROM M GROUP BY station"))
+def q_summary_double(spark, sf_dir):
+    return _round_mean(S.summary_double(_m(spark, sf_dir)))
+
+
+@register("summary_float", with_m(
+    "SELECT station, MIN(CAST(measure AS FLOAT)) AS min_temperature, "
+    "round(AVG(CAST(measure AS FLOAT)), 6) AS mean_temperature, "
+    "MAX(CAST(measure AS FLOAT)) AS max_temperature FROM M GROUP BY station"))
+def q_summary_float(spark, sf_dir):
+    return _round_mean(S.summary_float(_m(spark, sf_dir)))
+
+
+@register("sum_count_mean", with_m(
+    "SELECT station, CAST(SUM(measure) AS DECIMAL(18,1)) AS sum_measure, "
+    "COUNT(measure) AS n_measure, "
+    "round(CAST(SUM(CAST(measure * 10 AS BIGINT)) AS DOUBLE) / COUNT(measure) / 10.0, 9) AS mean_measure "
+    "FROM M GROUP BY station"))
+def q_sum_count_mean(spark, sf_dir):
+    return S.sum_count_mean(_m(spark, sf_dir)).withColumn("mean_measure", F.round("mean_measure", 9))
+
+
+@register("summary_arrays", M_SUMMARY)
+def q_summary_arrays(spark, sf_dir):
+    return S.summary_arrays(_m(spark, sf_dir))
+
+
+@register("row_count", with_m("SELECT count(*) AS n_rows, count(measure) AS n_measures FROM M"))
+def q_row_count(spark, sf_dir):
+    return S.row_count(_m(spark, sf_dir))
+
+
+@register("station_count", with_m(
+    "SELECT count(*) AS n_stations FROM (SELECT station FROM M GROUP BY station) g"))
+def q_station_count(spark, sf_dir):
+    return S.station_count(_m(spark, sf_dir))
+
+
+@register("summary_head", M_SUMMARY + " LIMIT 5")
+def q_summary_head(spark, sf_dir):
+    return S.summary_head(S.summary_decimal(_m(spark, sf_dir)), 5)
+
+
+@register("summary_formatted", with_m(
+    "SELECT station, CAST(MIN(measure) AS VARCHAR) || '/' || "
+    "CAST(CAST(AVG(measure) AS DECIMAL(3,1)) AS VARCHAR) || '/' || "
+    "CAST(MAX(measure) AS VARCHAR) AS stats FROM M GROUP BY station"))
+def q_summary_formatted(spark, sf_dir):
+    return S.summary_formatted(S.summary_decimal(_m(spark, sf_dir)))
+
+
+# Null stations: signups carry no station in this variant.
+_NULLABLE_M = ("SELECT rid, CASE WHEN station LIKE 'signup-%' THEN NULL ELSE station END AS station, "
+               "measure FROM M")
+
+
+def _nullable_m(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return m.withColumn(STATION, F.when(~F.col(STATION).startswith("signup-"), F.col(STATION)))
+
+
+def with_mn(body: str) -> str:
+    return f"WITH M AS ({M_SQL}), MN AS ({_NULLABLE_M}) {body}"
+
+
+@register("summary_null_keys", with_mn(SUMMARY_SQL.format(src="MN")))
+def q_summary_null_keys(spark, sf_dir):
+    return S.summary_decimal(_nullable_m(spark, sf_dir))
+
+
+@register("summary_drop_null_keys", with_mn(
+    SUMMARY_SQL.format(src="(SELECT * FROM MN WHERE station IS NOT NULL) d")))
+def q_summary_drop_null_keys(spark, sf_dir):
+    return S.summary_decimal(_nullable_m(spark, sf_dir), drop_nulls=True)
+
+
+@register("summary_sql_view", M_SUMMARY)
+def q_summary_sql_view(spark, sf_dir):
+    return summary_sql_view(spark, _m(spark, sf_dir), "measurements")
+
+
+# ------------------------------------------------------------------ text scans
+@register("scan_text_decimal", with_m("SELECT station, measure FROM M"))
+def q_scan_text_decimal(spark, sf_dir):
+    return T.scan_text_decimal(spark, _m_text(spark, sf_dir, "text-dec"))
+
+
+@register("scan_text_double", with_m("SELECT station, CAST(measure AS DOUBLE) AS measure FROM M"))
+def q_scan_text_double(spark, sf_dir):
+    return T.scan_text_double(spark, _m_text(spark, sf_dir, "text-dbl"))
+
+
+@register("scan_text_inferred", with_m("SELECT station, CAST(measure AS DOUBLE) AS measure FROM M"))
+def q_scan_text_inferred(spark, sf_dir):
+    return T.scan_text_inferred(spark, _m_text(spark, sf_dir, "text-inf"))
+
+
+@register("scan_lines_split", with_m("SELECT station, CAST(measure AS DOUBLE) AS measure FROM M"))
+def q_scan_lines_split(spark, sf_dir):
+    return T.scan_lines_split(spark, _m_text(spark, sf_dir, "text-split"))
+
+
+@register("summary_from_text", M_SUMMARY)
+def q_summary_from_text(spark, sf_dir):
+    """The reference's flagship as written: strict decimal text scan + summary."""
+    return S.summary_decimal(T.scan_text_decimal(spark, _m_text(spark, sf_dir, "text-sum")))
+
+
+@register("summary_double_from_text", with_m(
+    "SELECT station, CAST(MIN(measure) AS DOUBLE) AS min_temperature, "
+    "round(AVG(CAST(measure AS DOUBLE)), 6) AS mean_temperature, "
+    "CAST(MAX(measure) AS DOUBLE) AS max_temperature FROM M GROUP BY station"))
+def q_summary_double_from_text(spark, sf_dir):
+    return _round_mean(S.summary_double(T.scan_text_double(spark, _m_text(spark, sf_dir, "text-sd"))))
+
+
+# ------------------------------------------------------------------ ordered text
+@register("line_index", with_mo(f"SELECT pos AS {LINE_INDEX}, station, measure FROM MO"))
+def q_line_index(spark, sf_dir):
+    path = _m_text(spark, sf_dir, "text-idx", ordered=True, files=4)
+    return L.with_line_index(T.scan_text_decimal(spark, path))
+
+
+@register("scan_chunks", with_mo(
+    f"SELECT pos // {CHUNK_ROWS} AS chunk_id, station, measure FROM MO"))
+def q_scan_chunks(spark, sf_dir):
+    path = _m_text(spark, sf_dir, "text-chunks", ordered=True, files=4)
+    ix = L.with_line_index(T.scan_text_decimal(spark, path))
+    return L.with_chunk_id(ix, CHUNK_ROWS).select(CHUNK_ID, STATION, MEASURE)
+
+
+@register("prefix_summary", with_mo(SUMMARY_SQL.format(
+    src="(SELECT * FROM MO WHERE pos < (SELECT count(*) // 2 FROM MO)) p")))
+def q_prefix_summary(spark, sf_dir):
+    """First half of the file's lines (``head -n N`` with N = lines // 2)."""
+    path = _m_text(spark, sf_dir, "text-prefix", ordered=True, files=4)
+    scan = T.scan_text_decimal(spark, path)
+    n = S.row_count(scan).first()["n_rows"] // 2
+    return S.summary_decimal(L.first_lines(L.with_line_index(scan), n))
+
+
+# ------------------------------------------------------------------ chunk algebra
+def _chunked_m(spark, sf_dir):
+    return _m(spark, sf_dir).withColumn(CHUNK_ID, F.call_function("div", F.col(ROW_ID), F.lit(CHUNK_ROWS)))
+
+
+PARTIALS_SQL = with_m(
+    f"SELECT rid // {CHUNK_ROWS} AS chunk_id, station, MIN(measure) AS min, MAX(measure) AS max, "
+    "CAST(SUM(measure) AS DECIMAL(18,1)) AS sum, COUNT(measure) AS count "
+    "FROM M GROUP BY 1, 2")
+
+
+@register("chunk_partials", PARTIALS_SQL)
+def q_chunk_partials(spark, sf_dir):
+    return C.chunk_partials(_chunked_m(spark, sf_dir))
+
+
+@register("summary_merge", M_SUMMARY)
+def q_summary_merge(spark, sf_dir):
+    return C.merge_partials(C.chunk_partials(_chunked_m(spark, sf_dir)))
+
+
+@register("mean_of_chunk_means", with_m(
+    "SELECT station, CAST(MIN(mn) AS DOUBLE) AS min, CAST(MAX(mx) AS DOUBLE) AS max, "
+    "round(AVG(me), 6) AS mean FROM ("
+    f"SELECT rid // {CHUNK_ROWS} AS c, station, MIN(measure) AS mn, MAX(measure) AS mx, "
+    "AVG(CAST(measure AS DOUBLE)) AS me FROM M GROUP BY 1, 2) p GROUP BY station"))
+def q_mean_of_chunk_means(spark, sf_dir):
+    return _round_mean(C.mean_of_chunk_means(_chunked_m(spark, sf_dir)), "mean")
+
+
+@register("union_partials", f"WITH M AS ({M_SQL}), ML AS ({ML_SQL}) " + SUMMARY_SQL.format(
+    src="(SELECT station, measure FROM M UNION ALL SELECT station, measure FROM ML) u"))
+def q_union_partials(spark, sf_dir):
+    """Partials of two sources (events, lineitem) unioned by name, then merged."""
+    ev = C.chunk_partials(_m(spark, sf_dir).withColumn(CHUNK_ID, F.lit(0).cast("bigint")))
+    li = C.chunk_partials(lineitem_measurements(spark, sf_dir).withColumn(CHUNK_ID, F.lit(1).cast("bigint")))
+    return C.merge_partials(C.union_partials(ev, li))
+
+
+@register("batch_partials_udf", M_SUMMARY)
+def q_batch_partials_udf(spark, sf_dir):
+    return C.batch_partials_udf(_m(spark, sf_dir))
+
+
+@register("chunk_apply_udf", M_SUMMARY)
+def q_chunk_apply_udf(spark, sf_dir):
+    return C.chunk_apply_udf(_chunked_m(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ sinks
+@register("parquet_roundtrip", M_SUMMARY)
+def q_parquet_roundtrip(spark, sf_dir):
+    path = write_parquet(S.summary_decimal(_m(spark, sf_dir)), fresh_dir(spark, "summary-pq"),
+                         single_file=True)
+    return read_parquet(spark, path)
+
+
+@register("serve_summary", M_SUMMARY)
+def q_serve_summary(spark, sf_dir):
+    path = write_parquet(S.summary_decimal(_m(spark, sf_dir)), fresh_dir(spark, "summary-serve"),
+                         single_file=True)
+    return serve_summary(spark, path)
+
+
+@register("sink_text_lines", with_m(
+    "SELECT station || ': ' || CAST(MIN(measure) AS VARCHAR) || '/' || "
+    "CAST(CAST(AVG(measure) AS DECIMAL(3,1)) AS VARCHAR) || '/' || "
+    "CAST(MAX(measure) AS VARCHAR) AS value FROM M GROUP BY station"))
+def q_sink_text_lines(spark, sf_dir):
+    summ = S.summary_decimal(_m(spark, sf_dir))
+    lines = summ.select(F.concat(F.col(STATION), F.lit(": "),
+                                 triple_text(MIN_COL, MEAN_COL, MAX_COL)).alias("value"))
+    path = write_lines(lines, "value", fresh_dir(spark, "lines"))
+    return spark.read.text(path)
+
+
+def delimited_lines(df: DataFrame) -> DataFrame:
+    """P9/K5 rows: ``station;max;min;mean`` (mean at 6 significant digits)."""
+    st = with_awk_mean_text(df.groupBy(STATION).agg(*state_aggs(MEASURE)),
+                            "sum_tenths", "count", "mean_text")
+    return S.sort_stations(st.select(
+        STATION,
+        F.concat_ws(";", F.coalesce(F.col(STATION), F.lit("")), F.col("max").cast("string"),
+                    F.col("min").cast("string"), F.col("mean_text")).alias("value")))
+
+
+def _duck_mean_text(s: str, n: str) -> str:
+    """DuckDB text of s/(10n) at 6 significant digits, exact rational rounded half away
+    from zero (HUGEINT arithmetic), trailing zeros dropped, exponent form below 1e-4."""
+    a, den = f"CAST(abs({s}) AS HUGEINT)", f"(CAST({n} AS HUGEINT) * 10)"
+    branches = []
+    for x in range(1, -18, -1):
+        cond = f"{a} * {10 ** max(0, -x)} >= {den} * {10 ** max(0, x)}"
+        m = f"(({a} * 2 * {10 ** (5 - x)} + {den}) // (2 * {den}))"
+        branches.append((cond, m, x))
+
+    def render(m: str, x: int) -> str:
+        if x >= -4:
+            d = 5 - x
+            return (f"rtrim(rtrim(printf('%d.%0{d}d', CAST({m} // {10 ** d} AS BIGINT), "
+                    f"CAST({m} % {10 ** d} AS BIGINT)), '0'), '.')")
+        return (f"rtrim(rtrim(printf('%d.%05d', CAST({m} // 100000 AS BIGINT), "
+                f"CAST({m} % 100000 AS BIGINT)), '0'), '.') || 'e-' || printf('%02d', {-x})")
+
+    cases = " ".join(
+        f"WHEN {c} THEN (CASE WHEN {m} >= 1000000 THEN {render('100000', x + 1)} ELSE {render(m, x)} END)"
+        for c, m, x in branches)
+    return (f"CASE WHEN {s} = 0 THEN '0' ELSE (CASE WHEN {s} < 0 THEN '-' ELSE '' END) || "
+            f"(CASE {cases} END) END")
+
+
+@register("summary_delimited", with_m(
+    "SELECT station || ';' || CAST(mx AS VARCHAR) || ';' || CAST(mn AS VARCHAR) || ';' || "
+    + _duck_mean_text("st", "n") + " AS value FROM (SELECT station, MAX(measure) AS mx, "
+    "MIN(measure) AS mn, SUM(CAST(measure * 10 AS BIGINT)) AS st, COUNT(measure) AS n "
+    "FROM M GROUP BY station) g"))
+def q_summary_delimited(spark, sf_dir):
+    path = write_lines(delimited_lines(_m(spark, sf_dir)), "value", fresh_dir(spark, "delimited"))
+    return spark.read.text(path)
+
+
+# ------------------------------------------------------------------ staged jobs
+@register("staged_etl", M_SUMMARY)
+def q_staged_etl(spark, sf_dir):
+    text = _m_text(spark, sf_dir, "etl-in")
+    return read_parquet(spark, etl.staged_etl(spark, text, fresh_dir(spark, "etl")))
+
+
+@register("chained_etl", M_SUMMARY)
+def q_chained_etl(spark, sf_dir):
+    text = _m_text(spark, sf_dir, "chain-in")
+    return read_parquet(spark, etl.chained_etl(spark, text, fresh_dir(spark, "chain-out")))
+
+
+@register("partial_files_merge", M_SUMMARY)
+def q_partial_files_merge(spark, sf_dir):
+    text = _m_text(spark, sf_dir, "fan-in", ordered=True, files=4)
+    return etl.partial_files_merge(spark, text, CHUNK_ROWS, fresh_dir(spark, "fan"))
+
+
+@register("incremental_summary", M_SUMMARY)
+def q_incremental_summary(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    n = S.row_count(m).first()["n_rows"]
+    files = max(1, L.chunk_count(n, ROWS_PER_TEXT_FILE))
+    text = _m_text(spark, sf_dir, "stream-in", ordered=True, files=files)
+    work = fresh_dir(spark, "stream")
+    out = incremental_summary(spark, text, f"{work}/summary", f"{work}/checkpoint")
+    return read_parquet(spark, out)
+
+
+# ------------------------------------------------------------------ generation
+_PART_LINES_SQL = ("SELECT p_name || ';' || CAST(p_size AS VARCHAR) AS value FROM part "
+                   "UNION ALL SELECT '# nation ' || n_name AS value FROM nation")
+
+
+def _station_list_text(spark, sf_dir) -> str:
+    """Station list stand-in: ``p_name;p_size`` lines plus ``#`` comment lines."""
+    part = spark.read.parquet(table_path(sf_dir, "part"))
+    nation = spark.read.parquet(table_path(sf_dir, "nation"))
+    lines = part.select(F.concat_ws(";", "p_name", F.col("p_size").cast("string")).alias("value")).unionByName(
+        nation.select(F.concat(F.lit("# nation "), F.col("n_name")).alias("value")))
+    return write_lines(lines, "value", fresh_dir(spark, "stations"))
+
+
+@register("station_names", f"WITH L AS ({_PART_LINES_SQL}) "
+          "SELECT DISTINCT split_part(value, ';', 1) AS station FROM L WHERE value NOT LIKE '%#%'")
+def q_station_names(spark, sf_dir):
+    return T.station_names(spark, _station_list_text(spark, sf_dir))
+
+
+_NAMES_SQL = ("names AS (SELECT station, row_number() OVER (ORDER BY station) - 1 AS name_idx "
+              "FROM (SELECT DISTINCT p_name AS station FROM part) d)")
+
+
+@register("generate_measurements", (
+    f"WITH {_NAMES_SQL}, k AS (SELECT count(*) AS k FROM names), "
+    f"pool AS (SELECT s.range AS slot, names.station FROM range({G.POOL_SIZE}) s, k, names "
+    f"WHERE names.name_idx = (s.range * {G.NAME_MUL} + {G.NAME_ADD}) % k.k) "
+    f"SELECT r.range AS rid, pool.station, "
+    f"CAST(((r.range * {G.TENTHS_MUL} + {G.TENTHS_ADD}) % 1999 - 999) / 10.0 AS DECIMAL(3,1)) AS measure "
+    f"FROM range((SELECT count(*) FROM lineitem)) r JOIN pool "
+    f"ON pool.slot = (r.range * {G.SLOT_MUL} + {G.SLOT_ADD}) % {G.POOL_SIZE}"))
+def q_generate_measurements(spark, sf_dir):
+    names = spark.read.parquet(table_path(sf_dir, "part")).select(F.col("p_name").alias(STATION))
+    n = spark.read.parquet(table_path(sf_dir, "lineitem")).count()
+    return G.generate_measurements(spark, names, n)
+
+
+@register("generate_cyclic", (
+    "WITH c AS (SELECT n_name AS city, row_number() OVER (ORDER BY n_name) - 1 AS idx FROM "
+    "(SELECT DISTINCT n_name FROM nation) d), "
+    "k AS (SELECT count(*) AS k FROM c), t AS (SELECT count(*) AS n FROM lineitem) "
+    "SELECT city, CAST(CASE WHEN idx < n THEN (n - 1 - idx) // k + 1 ELSE 0 END AS BIGINT) AS n_rows, "
+    "CAST(CASE WHEN idx < n THEN (n - 1 - idx) // k + 1 ELSE 0 END AS BIGINT) AS n_in_range "
+    "FROM c, k, t WHERE idx < n"))
+def q_generate_cyclic(spark, sf_dir):
+    cities = spark.read.parquet(table_path(sf_dir, "nation")).select(F.col("n_name").alias(STATION))
+    n = spark.read.parquet(table_path(sf_dir, "lineitem")).count()
+    rows = G.generate_cyclic(spark, cities, n, seed=7)
+    return rows.groupBy("city").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(F.col("value").between(G.CYCLIC_LOW, G.CYCLIC_HIGH), 1)).alias("n_in_range"))
+
+
+@register("generate_choice")
+def q_generate_choice(spark, sf_dir):
+    n = spark.read.parquet(table_path(sf_dir, "events")).count()
+    return G.generate_choice(spark, n, n_labels=20, seed=0)
+
+
+@register("size_estimate", (
+    "WITH names AS (SELECT DISTINCT p_name AS station FROM part), "
+    "l AS (SELECT max(length(station)) AS max_len, min(length(station)) AS min_len FROM names), "
+    "t AS (SELECT count(*) AS n FROM lineitem), "
+    "r AS (SELECT max_len, min_len, (max_len + min_len * 2 + 7) / 2.0 AS record_bytes, "
+    "CAST(n AS DOUBLE) * ((max_len + min_len * 2 + 7) / 2.0) AS total_bytes FROM l, t) "
+    "SELECT max_len, min_len, CAST(record_bytes AS DOUBLE) AS record_bytes, total_bytes, "
+    "CASE WHEN total_bytes < 1024.0 THEN printf('%3.1f', round_even(total_bytes, 1)) || ' bytes' "
+    "WHEN total_bytes / 1024.0 < 1024.0 THEN printf('%3.1f', round_even(total_bytes / 1024.0, 1)) || ' KiB' "
+    "WHEN total_bytes / 1048576.0 < 1024.0 THEN printf('%3.1f', round_even(total_bytes / 1048576.0, 1)) || ' MiB' "
+    "WHEN total_bytes / 1073741824.0 < 1024.0 THEN printf('%3.1f', round_even(total_bytes / 1073741824.0, 1)) || ' GiB' "
+    "END AS size_text FROM r"))
+def q_size_estimate(spark, sf_dir):
+    names = spark.read.parquet(table_path(sf_dir, "part")).select(F.col("p_name").alias(STATION)).distinct()
+    n = spark.read.parquet(table_path(sf_dir, "lineitem")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return G.size_estimate(names, n)
+
+
+# ------------------------------------------------------------------ encoding
+@register("dictionary_encode", with_m(
+    "SELECT CAST(dense_rank() OVER (ORDER BY station) - 1 AS SMALLINT) AS station_code, rid, measure FROM M"))
+def q_dictionary_encode(spark, sf_dir):
+    encoded, _ = E.dictionary_encode(_m(spark, sf_dir), STATION)
+    return encoded
+
+
+@register("dictionary_roundtrip", with_m("SELECT station, rid, measure FROM M"))
+def q_dictionary_roundtrip(spark, sf_dir):
+    encoded, dictionary = E.dictionary_encode(_m(spark, sf_dir), STATION)
+    return E.dictionary_decode(encoded, dictionary, STATION)
+
+
+@register("footprint_profile", with_m(
+    "SELECT * FROM (SELECT c AS \"column\", bb AS bytes_before, ba AS bytes_after, "
+    "CASE WHEN bb > 0 THEN 1.0 - CAST(ba AS DOUBLE) / CAST(bb AS DOUBLE) END AS reduction FROM ("
+    "SELECT 'station' AS c, s AS bb, d + w * n AS ba FROM g UNION ALL "
+    "SELECT 'measure', 8 * n, 4 * n FROM g UNION ALL "
+    "SELECT 'total', s + 8 * n, d + w * n + 4 * n FROM g) x) y").replace(
+    " SELECT * FROM (",
+    ", k AS (SELECT station, count(*) AS cnt FROM M GROUP BY station), "
+    "g AS (SELECT CAST(sum(cnt) AS BIGINT) AS n, "
+    "CAST(coalesce(sum(strlen(station) * cnt), 0) AS BIGINT) AS s, "
+    "CAST(coalesce(sum(strlen(station)), 0) AS BIGINT) AS d, "
+    "CASE WHEN count(station) < 127 THEN 1 WHEN count(station) < 32767 THEN 2 "
+    "WHEN count(station) < 2147483647 THEN 4 ELSE 8 END AS w FROM k) SELECT * FROM (", 1))
+def q_footprint_profile(spark, sf_dir):
+    return E.footprint_profile(_m(spark, sf_dir))
+
+
+@register("downcast_measure", with_m("SELECT rid, station, CAST(measure AS FLOAT) AS measure FROM M"))
+def q_downcast_measure(spark, sf_dir):
+    return E.downcast_measure(_m(spark, sf_dir))
