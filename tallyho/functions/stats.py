@@ -1,9 +1,10 @@
 """Exact aggregate state for decimal(3,1) measures.
 
-The state per group is (min, max, sum of tenths as BIGINT, count).  Summing the
-unscaled tenths keeps the sum exact, order-free and a plain long add inside
-whole-stage codegen; ANSI mode raises instead of wrapping on overflow (past
-9.2e18 tenths, i.e. roughly 9e16 rows of one station).
+The state per group is (min, max, sum DECIMAL(18,1), count).  The sum input is
+widened to DECIMAL(8,1), so Catalyst evaluates it as a long sum of unscaled
+tenths: exact, order-free and a primitive add inside whole-stage codegen; ANSI
+mode raises instead of wrapping on overflow (past 1e17, i.e. about 1e15 rows
+of one station).
 
 The mean is rounded once, from the exact quotient, half away from zero:
     mean_tenths = sign(s) * ((2*|s| + n) div (2*n))
@@ -24,8 +25,12 @@ def _c(x) -> Column:
 
 
 def tenths(measure) -> Column:
-    """Unscaled value of a DECIMAL(3,1) measure as BIGINT (12.3 -> 123)."""
-    return (_c(measure).cast(MEASURE_DECIMAL) * F.lit(10)).cast("bigint")
+    """Unscaled value of a one-decimal measure as BIGINT (12.3 -> 123).
+
+    Through a double (|x| < 1e15 is exact after ``rint``), which stays a
+    primitive op instead of a BigDecimal multiply.
+    """
+    return F.rint(_c(measure).cast("double") * F.lit(10.0)).cast("bigint")
 
 
 def from_tenths(t, dtype=MEASURE_DECIMAL) -> Column:
@@ -45,17 +50,20 @@ def rounded_mean_tenths(sum_tenths, count) -> Column:
     return F.when(n > 0, F.when(s < 0, -q).otherwise(q))
 
 
-def exact_mean(sum_tenths, count, dtype=MEASURE_DECIMAL) -> Column:
-    return from_tenths(rounded_mean_tenths(sum_tenths, count), dtype)
+def sum_input(measure) -> Column:
+    """Measure widened to DECIMAL(8,1) for summing: Catalyst turns ``sum`` over a
+    decimal of precision <= 8 into a plain long sum of unscaled values, typed
+    DECIMAL(18,1) (exact up to 1e17, i.e. ~1e15 rows of one station)."""
+    return _c(measure).cast("decimal(8,1)")
 
 
 def state_aggs(measure="measure") -> list[Column]:
-    """Partial state over raw measures: min, max, sum (tenths), count."""
+    """Partial state over raw measures: min, max, sum DECIMAL(18,1), count."""
     m = _c(measure)
     return [
         F.min(m).alias("min"),
         F.max(m).alias("max"),
-        F.sum(tenths(m)).alias("sum_tenths"),
+        F.sum(sum_input(m)).alias("sum"),
         F.count(m).alias("count"),
     ]
 
@@ -65,10 +73,16 @@ def merge_aggs() -> list[Column]:
     return [
         F.min("min").alias("min"),
         F.max("max").alias("max"),
-        F.sum("sum_tenths").alias("sum_tenths"),
+        F.sum("sum").cast(SUM_DECIMAL).alias("sum"),
         F.sum("count").alias("count"),
     ]
 
 
-def sum_decimal(sum_tenths) -> Column:
-    return from_tenths(sum_tenths, SUM_DECIMAL)
+def sum_tenths(sum_col) -> Column:
+    """Unscaled tenths of a one-decimal sum (exact, BIGINT); per group, not per row."""
+    return (_c(sum_col).cast(SUM_DECIMAL) * F.lit(10)).cast("bigint")
+
+
+def exact_mean(sum_col, count, dtype=MEASURE_DECIMAL) -> Column:
+    """Mean of a group from its DECIMAL sum and count, rounded once."""
+    return from_tenths(rounded_mean_tenths(sum_tenths(sum_col), count), dtype)

@@ -62,8 +62,10 @@ def with_awk_mean_text(df: DataFrame, sum_tenths: str, count: str, out: str) ->
                    den * _dec(2))
     step2 = step1.withColumn("_m", mant)
     bump = F.col("_m") >= F.lit(10 ** SIG_DIGITS)
-    step3 = (step2.withColumn("_m", F.when(bump, int_div(F.col("_m"), F.lit(10))).otherwise(F.col("_m")))
-             .withColumn("_x", F.when(bump, F.col("_x") + 1).otherwise(F.col("_x"))))
+    step3 = step2.withColumns({
+        "_m": F.when(bump, int_div(F.col("_m"), F.lit(10))).otherwise(F.col("_m")),
+        "_x": F.when(bump, F.col("_x") + 1).otherwise(F.col("_x")),
+    })
     m, xc = F.col("_m"), F.col("_x")
     d = F.greatest(F.lit(p) - xc, F.lit(0))
     unit = _pow10(d, "bigint")

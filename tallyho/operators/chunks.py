@@ -15,10 +15,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyho.functions.stats import exact_mean, from_tenths, tenths
+from tallyho.functions.stats import (exact_mean, from_tenths, merge_aggs,
+                                     sum_input)
 from tallyho.operators.summary import finish_state, sort_stations
-from tallyho.schema import (CHUNK_ID, MEASURE, MEASURE_DECIMAL, STATION,
-                            SUM_DECIMAL)
+from tallyho.schema import CHUNK_ID, MEASURE, STATION, SUM_DECIMAL
 
 
 def chunk_partials(chunked: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def chunk_partials(chunked: DataFrame) -> DataFrame:
     return chunked.groupBy(CHUNK_ID, STATION).agg(
         F.min(MEASURE).alias("min"),
         F.max(MEASURE).alias("max"),
-        from_tenths(F.sum(tenths(MEASURE)), SUM_DECIMAL).alias("sum"),
+        F.sum(sum_input(MEASURE)).alias("sum"),
         F.count(MEASURE).alias("count"),
     )
 
@@ -41,18 +41,7 @@ def union_partials(*partials: DataFrame) -> DataFrame:
 
 def merge_partials(partials: DataFrame) -> DataFrame:
     """Merge partials into the canonical summary (equals A1)."""
-    state = partials.groupBy(STATION).agg(
-        F.min("min").alias("min"),
-        F.max("max").alias("max"),
-        F.sum(tenths_of_sum("sum")).alias("sum_tenths"),
-        F.sum("count").alias("count"),
-    )
-    return sort_stations(finish_state(state))
-
-
-def tenths_of_sum(col: str):
-    """Unscaled tenths of a one-decimal sum column (exact)."""
-    return (F.col(col).cast(SUM_DECIMAL) * F.lit(10)).cast("bigint")
+    return sort_stations(finish_state(partials.groupBy(STATION).agg(*merge_aggs())))
 
 
 def mean_of_chunk_means(chunked: DataFrame) -> DataFrame:
@@ -108,10 +97,7 @@ def batch_partials_udf(df: DataFrame, fn=None) -> DataFrame:
                 yield fn(pdf)
 
     state = df.select(STATION, MEASURE).mapInPandas(per_batch, BATCH_STATE_SCHEMA)
-    merged = state.groupBy(STATION).agg(
-        F.min("min").alias("min"), F.max("max").alias("max"),
-        F.sum("sum_tenths").alias("sum_tenths"), F.sum("count").alias("count"))
-    return sort_stations(finish_state(merged))
+    return sort_stations(finish_state(_tenths_state_to_decimal(state).groupBy(STATION).agg(*merge_aggs())))
 
 
 CHUNK_STATE_SCHEMA = ("chunk_id bigint, station string, min decimal(3,1), max decimal(3,1), "
@@ -133,17 +119,13 @@ def chunk_apply_udf(chunked: DataFrame, fn=None) -> DataFrame:
 
     state = chunked.select(CHUNK_ID, STATION, MEASURE).groupBy(CHUNK_ID).applyInPandas(
         per_chunk, CHUNK_STATE_SCHEMA)
-    merged = state.groupBy(STATION).agg(
-        F.min("min").alias("min"), F.max("max").alias("max"),
-        F.sum("sum_tenths").alias("sum_tenths"), F.sum("count").alias("count"))
-    return sort_stations(finish_state(merged))
+    return sort_stations(finish_state(_tenths_state_to_decimal(state).groupBy(STATION).agg(*merge_aggs())))
 
 
-def partials_as_state(partials: DataFrame) -> DataFrame:
-    """Partial rows -> (station, min, max, sum_tenths, count) state rows."""
-    return partials.select(STATION, F.col("min").cast(MEASURE_DECIMAL).alias("min"),
-                           F.col("max").cast(MEASURE_DECIMAL).alias("max"),
-                           tenths_of_sum("sum").alias("sum_tenths"), "count")
+def _tenths_state_to_decimal(state: DataFrame) -> DataFrame:
+    """(…, sum_tenths BIGINT, …) from a pandas function -> DECIMAL(18,1) ``sum``."""
+    return state.select(STATION, "min", "max",
+                        from_tenths("sum_tenths", SUM_DECIMAL).alias("sum"), "count")
 
 
 __all__ = ["chunk_partials", "union_partials", "merge_partials", "mean_of_chunk_means",

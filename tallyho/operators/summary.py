@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyho.functions.stats import (exact_mean, from_tenths, int_div,
-                                     merge_aggs, state_aggs, sum_decimal,
+                                     merge_aggs, state_aggs, sum_tenths,
                                      tenths)
 from tallyho.schema import (MAX_COL, MEAN_COL, MEASURE, MEASURE_DECIMAL,
                             MIN_COL, STATION, SUM_DECIMAL)
@@ -30,7 +30,7 @@ def drop_null_keys(df: DataFrame, key: str = STATION) -> DataFrame:
 
 
 def station_state(df: DataFrame, keys=(STATION,), measure: str = MEASURE) -> DataFrame:
-    """Mergeable state ``keys..., min, max, sum_tenths, count``."""
+    """Mergeable state ``keys..., min, max, sum DECIMAL(18,1), count``."""
     return df.groupBy(*keys).agg(*state_aggs(measure))
 
 
@@ -43,7 +43,7 @@ def finish_state(state: DataFrame, key: str = STATION) -> DataFrame:
     return state.select(
         F.col(key).alias(STATION),
         F.col("min").cast(MEASURE_DECIMAL).alias(MIN_COL),
-        exact_mean("sum_tenths", "count").alias(MEAN_COL),
+        exact_mean("sum", "count").alias(MEAN_COL),
         F.col("max").cast(MEASURE_DECIMAL).alias(MAX_COL),
     )
 
@@ -80,9 +80,9 @@ def sum_count_mean(df: DataFrame) -> DataFrame:
     st = station_state(df)
     return sort_stations(st.select(
         STATION,
-        sum_decimal("sum_tenths").alias("sum_measure"),
+        F.col("sum").alias("sum_measure"),
         F.col("count").alias("n_measure"),
-        (F.col("sum_tenths") / F.col("count") / F.lit(10.0)).alias("mean_measure"),
+        (sum_tenths("sum") / F.col("count") / F.lit(10.0)).alias("mean_measure"),
     ))
 
 
@@ -101,8 +101,8 @@ def summary_arrays(df: DataFrame, list_rows: int = 100_000) -> DataFrame:
         STATION,
         F.array_min("values").alias("min"),
         F.array_max("values").alias("max"),
-        F.aggregate("values", F.lit(0).cast("bigint"),
-                    lambda acc, x: acc + tenths(x)).alias("sum_tenths"),
+        from_tenths(F.aggregate("values", F.lit(0).cast("bigint"),
+                                lambda acc, x: acc + tenths(x)), SUM_DECIMAL).alias("sum"),
         F.size("values").cast("bigint").alias("count"),
     )
     return sort_stations(finish_state(merge_state(per_list)))
@@ -132,8 +132,3 @@ def summary_formatted(summary: DataFrame) -> DataFrame:
         F.concat_ws("/", *[F.col(c).cast("string") for c in (MIN_COL, MEAN_COL, MAX_COL)]
                     ).alias("stats"),
     )
-
-
-def with_sum_decimal(state: DataFrame) -> DataFrame:
-    """State with the tenths sum shown as DECIMAL(18,1)."""
-    return state.withColumn("sum", from_tenths("sum_tenths", SUM_DECIMAL))

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.functions.stats import state_aggs
+from tallyho.functions.stats import state_aggs, sum_tenths
 from tallyho.functions.text import triple_text, with_awk_mean_text
 from tallyho.operators import chunks as C
 from tallyho.operators import encoding as E
@@ -36,8 +36,11 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-CHUNK_ROWS = 1_000          # rows per chunk in the chunked queries
-ROWS_PER_TEXT_FILE = 2_500  # part-file size of the incremental run's input
+CHUNK_ROWS = 1_000            # rows per chunk in the chunked queries
+FILE_CHUNK_ROWS = 2_500       # rows per stored partial file (fan-out / fan-in)
+ROWS_PER_STREAM_FILE = 25_000  # input file size of the incremental run
+MAX_STREAM_FILES = 64         # input files of the incremental run (rows are never dropped)
+STREAM_BATCHES = 4            # micro-batches the incremental run aims for
 
 
 def register(name: str, sql: str | None = None):
@@ -316,8 +319,8 @@ def q_sink_text_lines(spark, sf_dir):
 
 def delimited_lines(df: DataFrame) -> DataFrame:
     """P9/K5 rows: ``station;max;min;mean`` (mean at 6 significant digits)."""
-    st = with_awk_mean_text(df.groupBy(STATION).agg(*state_aggs(MEASURE)),
-                            "sum_tenths", "count", "mean_text")
+    st = df.groupBy(STATION).agg(*state_aggs(MEASURE)).withColumn("_st", sum_tenths("sum"))
+    st = with_awk_mean_text(st, "_st", "count", "mean_text")
     return S.sort_stations(st.select(
         STATION,
         F.concat_ws(";", F.coalesce(F.col(STATION), F.lit("")), F.col("max").cast("string"),
@@ -375,17 +378,18 @@ def q_chained_etl(spark, sf_dir):
 @register("partial_files_merge", M_SUMMARY)
 def q_partial_files_merge(spark, sf_dir):
     text = _m_text(spark, sf_dir, "fan-in", ordered=True, files=4)
-    return etl.partial_files_merge(spark, text, CHUNK_ROWS, fresh_dir(spark, "fan"))
+    return etl.partial_files_merge(spark, text, FILE_CHUNK_ROWS, fresh_dir(spark, "fan"))
 
 
 @register("incremental_summary", M_SUMMARY)
 def q_incremental_summary(spark, sf_dir):
     m = _m(spark, sf_dir)
     n = S.row_count(m).first()["n_rows"]
-    files = max(1, L.chunk_count(n, ROWS_PER_TEXT_FILE))
+    files = min(MAX_STREAM_FILES, max(2, L.chunk_count(n, ROWS_PER_STREAM_FILE)))
     text = _m_text(spark, sf_dir, "stream-in", ordered=True, files=files)
     work = fresh_dir(spark, "stream")
-    out = incremental_summary(spark, text, f"{work}/summary", f"{work}/checkpoint")
+    out = incremental_summary(spark, text, f"{work}/summary", f"{work}/checkpoint",
+                              files_per_trigger=max(1, files // STREAM_BATCHES))
     return read_parquet(spark, out)
 
 

@@ -9,6 +9,8 @@ the parquet scan down to the referenced columns.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +21,12 @@ from tallyho.session import table_path
 def _measure_from(value: Column) -> Column:
     # Fixed mapping shared with the SQL oracle: a deterministic spread of tenths
     # over -99.9 .. 99.9 taken from a double column.
-    t = (F.round(value * 100).cast("bigint") % 1999) - 999
-    return (t.cast("decimal(20,0)") / F.lit(10)).cast(MEASURE_DECIMAL)
+    # round(x) half away from zero with primitive double ops, then tenths ->
+    # DECIMAL(3,1) by one small decimal multiply.
+    scaled = value * 100
+    r = (F.signum(scaled) * F.floor(F.abs(scaled) + F.lit(0.5))).cast("bigint")
+    t = (r % 1999) - 999
+    return (t.cast("decimal(4,0)") * F.lit(Decimal("0.1"))).cast(MEASURE_DECIMAL)
 
 
 def events_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
