@@ -62,16 +62,18 @@ def test_na_text_is_a_station(spark, tmp_text):
     assert [r.station for r in rows] == ["NA", "null"]
 
 
-@pytest.mark.parametrize("line", ["A;100.0", "A;abc", "A", "A;1.0;zz"])
-def test_bad_lines_fail(spark, tmp_text, line):
-    df = T.scan_text_decimal(spark, tmp_text(["B;1.0", line]))
+@pytest.mark.parametrize("parser", ["lines", "csv"])
+@pytest.mark.parametrize("line", ["A;100.0", "A;abc", "A", "A;1.0;zz", "A;1.0;2.0", '"abc;2.0'])
+def test_bad_lines_fail(spark, tmp_text, line, parser):
+    df = T.scan_text_decimal(spark, tmp_text(["B;1.0", line]), parser=parser)
     with pytest.raises(Exception):
         S.summary_decimal(df).collect()
 
 
-def test_edge_values(spark, tmp_text):
-    lines = ["A;12.35", '"A;x";1.0', '"Q ""x""";2.0', "C;-0.0", " S ; 1.0", "", "E;"]
-    df = T.scan_text_decimal(spark, tmp_text(lines))
+@pytest.mark.parametrize("parser", ["lines", "csv"])
+def test_edge_values(spark, tmp_text, parser):
+    lines = ["A;12.35", '"A;x";1.0', '"Q ""x""";2.0', "C;-0.0", " S ; 1.0", "", "E;", "F;1e1"]
+    df = T.scan_text_decimal(spark, tmp_text(lines), parser=parser)
     got = {r.station: r.measure for r in df.collect()}
     assert got["A"] == D("12.4")
     assert got["A;x"] == D("1.0")
@@ -79,7 +81,16 @@ def test_edge_values(spark, tmp_text):
     assert got["C"] == D("0.0")
     assert got[" S "] == D("1.0")
     assert got["E"] is None
-    assert len(got) == 6
+    assert got["F"] == D("10.0")
+    assert len(got) == 7
+
+
+def test_parsers_agree_with_crlf(spark, tmp_path):
+    p = tmp_path / "crlf.txt"
+    p.write_bytes(b"A;1.0\r\nB;2.5\r\nA;3.0\r\n")
+    a = S.summary_decimal(T.scan_text_decimal(spark, str(p))).collect()
+    b = S.summary_decimal(T.scan_text_decimal(spark, str(p), parser="csv")).collect()
+    assert a == b and [r.station for r in a] == ["A", "B"]
 
 
 def test_row_count_parses_measure(spark, tmp_text):
