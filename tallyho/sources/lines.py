@@ -8,7 +8,8 @@ The index is therefore built per split ("block"):
    (contiguous inside one task, and one block is read by one task);
 2. aggregate per block: row count and first id -> a table with one row per
    file split, checkpointed to the shared checkpoint folder;
-3. running sum of counts over that block table gives each block's offset;
+3. a distributed exclusive running sum of counts over that block table gives
+   each block's offset;
 4. join back on (file hash, block start): broadcast when the block count is
    under ``MAX_BROADCAST_BLOCKS`` (checked on the materialised table), else a
    shuffle join.
@@ -19,12 +20,12 @@ No UDF, no single-partition ``row_number`` over the data.  The scan runs twice
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyho.functions.stats import int_div
+from tallyho.operators.indexing import exclusive_prefix_sum
 from tallyho.schema import CHUNK_ID, LINE_INDEX
-from tallyho.session import scratch_root
 
 # One row of the block table is ~32 bytes once broadcast; 2M blocks is
 # 256 TB of input at 128 MB splits.
@@ -47,14 +48,9 @@ def block_offsets(scan: DataFrame) -> DataFrame:
     tagged = _tag(scan)
     blocks = tagged.groupBy("_fp", "_fh", "_fb").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    # The block table has one row per input split: small and bounded by the
-    # input size divided by the split size.
-    w = Window.orderBy("_fp", "_fb").rowsBetween(Window.unboundedPreceding, 0)
-    offsets = blocks.select(
-        "_fh", "_fb", "_first",
-        (F.sum("_n").over(w) - F.col("_n")).alias("_offset"))
-    scratch_root(scan.sparkSession)  # ensure a checkpoint folder exists
-    return offsets.checkpoint(eager=True)
+    # One row per input split; the running sum over it is itself distributed.
+    offsets = exclusive_prefix_sum(blocks, ["_fp", "_fb"], "_n", "_offset")
+    return offsets.select("_fh", "_fb", "_first", "_offset").checkpoint(eager=True)
 
 
 def with_line_index(scan: DataFrame) -> DataFrame:

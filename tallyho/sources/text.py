@@ -86,15 +86,19 @@ def scan_text_decimal(spark: SparkSession, path, parser: str = "lines") -> DataF
     return raw.select(STATION, F.trim(MEASURE).cast(MEASURE_DECIMAL).alias(MEASURE))
 
 
-def scan_text_double(spark: SparkSession, path) -> DataFrame:
+def scan_text_double(spark: SparkSession, path, parser: str = "lines") -> DataFrame:
     """``station STRING, measure DOUBLE``."""
+    if parser == "lines":
+        return parse_measure_lines(spark.read.text(path), "double")
     schema = T.StructType([T.StructField(STATION, T.StringType(), True),
                            T.StructField(MEASURE, T.DoubleType(), True)])
     return _reader(spark).schema(schema).csv(path)
 
 
-def scan_text_float(spark: SparkSession, path) -> DataFrame:
+def scan_text_float(spark: SparkSession, path, parser: str = "lines") -> DataFrame:
     """32-bit float variant (measure FLOAT)."""
+    if parser == "lines":
+        return parse_measure_lines(spark.read.text(path), "float")
     schema = T.StructType([T.StructField(STATION, T.StringType(), True),
                            T.StructField(MEASURE, T.FloatType(), True)])
     return _reader(spark).schema(schema).csv(path)

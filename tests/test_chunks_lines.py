@@ -93,3 +93,22 @@ def test_row_order_and_split_count_do_not_matter(spark):
     m = events_measurements(spark, SF_SMALL)
     a = _sorted(S.summary_decimal(m).collect())
     assert _sorted(S.summary_decimal(m.repartition(13).orderBy(F.rand(3))).collect()) == a
+
+
+def test_exclusive_prefix_sum_matches_cumsum(spark):
+    import random
+
+    from tallyho.operators.indexing import dense_index, exclusive_prefix_sum
+
+    rnd = random.Random(3)
+    rows = [(f"k{i:05d}", rnd.randint(0, 50)) for i in range(3000)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, w long").repartition(7)
+    got = {r.k: r.offset for r in exclusive_prefix_sum(df, ["k"], "w").collect()}
+    acc, want = 0, {}
+    for k, w in sorted(rows):
+        want[k] = acc
+        acc += w
+    assert got == want
+    idx = {r.k: r.idx for r in dense_index(df, "k").collect()}
+    assert idx == {k: i for i, (k, _) in enumerate(sorted(rows))}
