@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyho.functions.stats import (exact_mean, from_tenths, merge_aggs,
-                                     sum_input)
+                                     sum_input, tenths)
 from tallyho.operators.summary import finish_state, sort_stations
 from tallyho.schema import CHUNK_ID, MEASURE, STATION, SUM_DECIMAL
 
@@ -61,47 +61,57 @@ def mean_of_chunk_means(chunked: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- U1 / U2
-BATCH_STATE_SCHEMA = "station string, min decimal(3,1), max decimal(3,1), sum_tenths bigint, count bigint"
-
-
-def _pandas_state(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per-station (min, max, sum of tenths, count) of one pandas frame."""
-    m = pdf[MEASURE]
-    t = (m.astype("float64") * 10).round()
-    work = pd.DataFrame({STATION: pdf[STATION].astype(object),
-                         "min": m, "max": m,
-                         "t": t, "ok": m.notna()})
-    g = work.groupby(STATION, dropna=False, sort=False)
+# The pandas functions see the measure as integer tenths (``measure_tenths``,
+# int64), an Arrow-native type: no Python Decimal objects per row, and sums stay
+# exact.  They return state in tenths; Spark turns it back into decimals.
+TENTHS_COL = "measure_tenths"
+BATCH_STATE_SCHEMA = "station string, min_t bigint, max_t bigint, sum_t bigint, count bigint"
+CHUNK_STATE_SCHEMA = "chunk_id bigint, " + BATCH_STATE_SCHEMA
+
+
+def pandas_state(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Per-station (min, max, sum, count) in tenths of one pandas frame."""
+    t = pdf[TENTHS_COL]
+    g = pd.DataFrame({STATION: pdf[STATION], "t": t}).groupby(STATION, dropna=False, sort=False)["t"]
     out = pd.DataFrame({
-        "min": g["min"].min(),
-        "max": g["max"].max(),
-        "sum_tenths": g["t"].sum(min_count=0).astype(np.int64),
-        "count": g["ok"].sum().astype(np.int64),
+        "min_t": g.min(), "max_t": g.max(),
+        "sum_t": g.sum(min_count=0), "count": g.count(),
     }).reset_index()
     out[STATION] = out[STATION].astype(object).where(out[STATION].notna(), None)
+    for c in ("min_t", "max_t"):
+        out[c] = out[c].astype("Int64")
+    out["sum_t"] = out["sum_t"].astype(np.int64)
+    out["count"] = out["count"].astype(np.int64)
     return out
 
 
+def _with_tenths(df: DataFrame, *keys: str) -> DataFrame:
+    return df.select(*keys, STATION, tenths(MEASURE).alias(TENTHS_COL))
+
+
+def _state_from_tenths(state: DataFrame) -> DataFrame:
+    """Tenths state -> (station, min, max, sum DECIMAL(18,1), count), merged natively."""
+    dec = state.select(STATION,
+                       from_tenths("min_t").alias("min"), from_tenths("max_t").alias("max"),
+                       from_tenths("sum_t", SUM_DECIMAL).alias("sum"), "count")
+    return sort_stations(finish_state(dec.groupBy(STATION).agg(*merge_aggs())))
+
+
 def batch_partials_udf(df: DataFrame, fn=None) -> DataFrame:
     """A pandas function over each Arrow batch, run in parallel by Spark.
 
     Batches are not chunks, so ``fn`` must return mergeable state
-    (``station, min, max, sum_tenths, count``); the default computes it with
-    integer tenths so the merge stays exact.  The merge is a native aggregate.
+    (``station, min_t, max_t, sum_t, count`` in tenths, see :func:`pandas_state`);
+    the merge of the per-batch states is a native aggregate.
     """
-    fn = fn or _pandas_state
+    fn = fn or pandas_state
 
     def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
                 yield fn(pdf)
 
-    state = df.select(STATION, MEASURE).mapInPandas(per_batch, BATCH_STATE_SCHEMA)
-    return sort_stations(finish_state(_tenths_state_to_decimal(state).groupBy(STATION).agg(*merge_aggs())))
-
-
-CHUNK_STATE_SCHEMA = ("chunk_id bigint, station string, min decimal(3,1), max decimal(3,1), "
-                      "sum_tenths bigint, count bigint")
+    return _state_from_tenths(_with_tenths(df).mapInPandas(per_batch, BATCH_STATE_SCHEMA))
 
 
 def chunk_apply_udf(chunked: DataFrame, fn=None) -> DataFrame:
@@ -110,22 +120,15 @@ def chunk_apply_udf(chunked: DataFrame, fn=None) -> DataFrame:
     A chunk has at most ``chunk_rows`` rows by construction, which bounds the
     memory one worker needs; the per-chunk results are merged natively.
     """
-    fn = fn or _pandas_state
+    fn = fn or pandas_state
 
     def per_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
         out = fn(pdf)
         out.insert(0, CHUNK_ID, int(pdf[CHUNK_ID].iloc[0]))
         return out
 
-    state = chunked.select(CHUNK_ID, STATION, MEASURE).groupBy(CHUNK_ID).applyInPandas(
-        per_chunk, CHUNK_STATE_SCHEMA)
-    return sort_stations(finish_state(_tenths_state_to_decimal(state).groupBy(STATION).agg(*merge_aggs())))
-
-
-def _tenths_state_to_decimal(state: DataFrame) -> DataFrame:
-    """(…, sum_tenths BIGINT, …) from a pandas function -> DECIMAL(18,1) ``sum``."""
-    return state.select(STATION, "min", "max",
-                        from_tenths("sum_tenths", SUM_DECIMAL).alias("sum"), "count")
+    state = _with_tenths(chunked, CHUNK_ID).groupBy(CHUNK_ID).applyInPandas(per_chunk, CHUNK_STATE_SCHEMA)
+    return _state_from_tenths(state.drop(CHUNK_ID))
 
 
 __all__ = ["chunk_partials", "union_partials", "merge_partials", "mean_of_chunk_means",

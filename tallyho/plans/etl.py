@@ -20,14 +20,14 @@ from tallyho.sources.parquet import read_parquet, summary_sql_view
 from tallyho.sources.text import scan_text_decimal
 
 
-def _require(spark: SparkSession, path: str) -> None:
-    """Stop with ``FileNotFoundError`` when a stage's input is missing.
+def _missing_to_fnf(path: str, read):
+    """Run a stage's read; a missing input stops it with ``FileNotFoundError``.
 
-    Creating a text reader lists the path (no data is read) and raises
-    ``PATH_NOT_FOUND`` when it is absent; that works on any file system.
+    Spark raises ``PATH_NOT_FOUND`` while resolving the read (file listing, no
+    data), on any file system; the listing is the one the stage needs anyway.
     """
     try:
-        spark.read.text(path)
+        return read()
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             raise FileNotFoundError(f"input not found: {path}") from e
@@ -37,22 +37,22 @@ def _require(spark: SparkSession, path: str) -> None:
 # ------------------------------------------------------------------ K6
 def extract(spark: SparkSession, text_path: str, out_path: str) -> str:
     """Text measurements -> raw rows as a parquet folder (K2)."""
-    _require(spark, text_path)
-    write_parquet(scan_text_decimal(spark, text_path), out_path)
+    raw = _missing_to_fnf(text_path, lambda: scan_text_decimal(spark, text_path))
+    write_parquet(raw, out_path)
     return out_path
 
 
 def transform(spark: SparkSession, in_path: str, out_path: str) -> str:
     """Raw parquet rows -> sorted summary parquet."""
-    _require(spark, in_path)
-    write_parquet(summary_decimal(read_parquet(spark, in_path)), out_path, single_file=True)
+    raw = _missing_to_fnf(in_path, lambda: read_parquet(spark, in_path))
+    write_parquet(summary_decimal(raw), out_path, single_file=True)
     return out_path
 
 
 def load(spark: SparkSession, in_path: str, out_path: str) -> str:
     """Publish the summary to its final location."""
-    _require(spark, in_path)
-    write_parquet(read_parquet(spark, in_path), out_path, single_file=True)
+    summ = _missing_to_fnf(in_path, lambda: read_parquet(spark, in_path))
+    write_parquet(summ, out_path, single_file=True)
     return out_path
 
 
@@ -70,10 +70,8 @@ def chained_etl(spark: SparkSession, text_path: str, out_path: str) -> str:
     Extract is a scan, transform is SQL over a registered view, load is the
     write; nothing is materialised between them.
     """
-    _require(spark, text_path)
-
     def extract_df(_: DataFrame | None = None) -> DataFrame:
-        return scan_text_decimal(spark, text_path)
+        return _missing_to_fnf(text_path, lambda: scan_text_decimal(spark, text_path))
 
     def transform_df(df: DataFrame) -> DataFrame:
         return summary_sql_view(spark, df, "extracted_measurements")
@@ -87,8 +85,8 @@ def write_chunk_partials(spark: SparkSession, text_path: str, chunk_rows: int,
                          partials_dir: str) -> str:
     """Fan-out: chunk the text by row ranges, aggregate each chunk, store one
     parquet folder per chunk (``chunk_id=<k>``)."""
-    _require(spark, text_path)
-    chunked = with_chunk_id(with_line_index(scan_text_decimal(spark, text_path)), chunk_rows)
+    scan = _missing_to_fnf(text_path, lambda: scan_text_decimal(spark, text_path))
+    chunked = with_chunk_id(with_line_index(scan), chunk_rows)
     partials = chunk_partials(chunked)
     (partials.repartition(CHUNK_ID).write.mode("overwrite")
         .partitionBy(CHUNK_ID).parquet(partials_dir))
@@ -97,8 +95,7 @@ def write_chunk_partials(spark: SparkSession, text_path: str, chunk_rows: int,
 
 def list_partial_files(spark: SparkSession, partials_dir: str) -> list[str]:
     """Names of the stored partial files (file listing only, no data read)."""
-    _require(spark, partials_dir)
-    return sorted(read_parquet(spark, partials_dir).inputFiles())
+    return sorted(_missing_to_fnf(partials_dir, lambda: read_parquet(spark, partials_dir)).inputFiles())
 
 
 def merge_partial_files(spark: SparkSession, paths: list[str], base_path: str) -> DataFrame:
