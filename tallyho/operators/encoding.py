@@ -41,29 +41,45 @@ def describe_types(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "column string, type string")
 
 
-def dictionary_encode(df: DataFrame, key: str = STATION, code_col: str | None = None):
+# Largest dictionary shipped to every task (UTF-8 bytes plus ~16 bytes per entry).
+DICT_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def _dictionary_side(dictionary: DataFrame, key: str, max_bytes: int) -> DataFrame:
+    """Broadcast the dictionary only when its measured size is under ``max_bytes``;
+    otherwise a shuffle join (AQE splits hot keys of the big side)."""
+    size = dictionary.agg(
+        (F.coalesce(F.sum(F.octet_length(key)), F.lit(0)) + F.count(F.lit(1)) * 16).alias("b")).first()["b"]
+    return F.broadcast(dictionary) if size <= max_bytes else dictionary
+
+
+def dictionary_encode(df: DataFrame, key: str = STATION, code_col: str | None = None,
+                      max_broadcast_bytes: int = DICT_BROADCAST_BYTES):
     """replace ``key`` by its code (0-based, sorted category order).
 
-    Returns ``(encoded, dictionary)``.  NULL keys get a NULL code.  The join
-    back is left to the planner: AQE broadcasts the dictionary when its
-    measured size is under the broadcast threshold, otherwise it is a shuffle
-    join whose hot keys AQE's skew handling splits.
+    Returns ``(encoded, dictionary)``.  NULL keys get a NULL code.  The
+    dictionary (one row per distinct key) is checkpointed, measured, and
+    broadcast only under ``max_broadcast_bytes``; beyond that the join is a
+    shuffle join.
     """
     code_col = code_col or f"{key}_code"
     dictionary = dense_index(df, key, code_col).checkpoint(eager=True)
     k = dictionary.count()
     dictionary = dictionary.select(key, F.col(code_col).cast(code_type(k)).alias(code_col))
     others = [c for c in df.columns if c != key]
-    encoded = df.join(dictionary, key, "left").select(code_col, *others)
+    side = _dictionary_side(dictionary, key, max_broadcast_bytes)
+    encoded = df.join(side, key, "left").select(code_col, *others)
     return encoded, dictionary
 
 
 def dictionary_decode(encoded: DataFrame, dictionary: DataFrame, key: str = STATION,
-                      code_col: str | None = None) -> DataFrame:
-    """Inverse of :func:`dictionary_encode`."""
+                      code_col: str | None = None,
+                      max_broadcast_bytes: int = DICT_BROADCAST_BYTES) -> DataFrame:
+    """Inverse of :func:`dictionary_encode` (same broadcast rule)."""
     code_col = code_col or f"{key}_code"
     others = [c for c in encoded.columns if c != code_col]
-    return encoded.join(dictionary, code_col, "left").select(key, *others)
+    side = _dictionary_side(dictionary, key, max_broadcast_bytes)
+    return encoded.join(side, code_col, "left").select(key, *others)
 
 
 def downcast_measure(df: DataFrame, col: str = MEASURE) -> DataFrame:

@@ -98,3 +98,12 @@ def test_footprint_and_types(spark):
     assert 0 < prof["total"].reduction < 1
     types = {r.column: r.type for r in E.describe_types(spark, E.downcast_measure(m)).collect()}
     assert types == {"station": "string", "measure": "float"}
+
+
+def test_dictionary_shuffle_fallback(spark):
+    m = events_measurements(spark, SF_SMALL)
+    enc_b, d = E.dictionary_encode(m, "station")
+    enc_s, _ = E.dictionary_encode(m, "station", max_broadcast_bytes=0)
+    plan = enc_s._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan or "AdaptiveSparkPlan" in plan
+    assert sorted(map(tuple, enc_b.collect())) == sorted(map(tuple, enc_s.collect()))
