@@ -66,21 +66,34 @@ def generate_measurements(spark: SparkSession, names: DataFrame, n_rows: int,
     return rows.join(F.broadcast(pool), "slot").select(ROW_ID, STATION, MEASURE)
 
 
-def generate_cyclic(spark: SparkSession, cities: DataFrame, n_rows: int, seed: int = 0,
+def generate_cyclic(spark: SparkSession, cities: DataFrame, n_rows: int, seed: int | None = 0,
                     broadcast_limit: int = 1_000_000) -> DataFrame:
     """Row ``i`` gets city ``i % k`` (cities in code-point order) and a
-    uniform FLOAT in -99 .. 99."""
+    FLOAT in -99 .. 99: uniform ``rand(seed)``, or with ``seed=None`` an integer
+    hash of the row id in hundredths (same rows in any engine)."""
     idx = dense_index(cities, STATION, "city_idx")
     k = idx.count()
     if k == 0:
         raise ValueError("city list is empty")
     side = F.broadcast(idx) if k <= broadcast_limit else idx
-    rows = spark.range(n_rows).select(
-        (F.col("id") % F.lit(k)).alias("city_idx"),
-        (F.rand(seed) * (CYCLIC_HIGH - CYCLIC_LOW) + CYCLIC_LOW).cast("float").alias("value"))
+    rid = F.col("id")
+    if seed is None:
+        hundredths = (rid * TENTHS_MUL + TENTHS_ADD) % F.lit(19801) - F.lit(9900)
+        value = hundredths.cast("double") / F.lit(100.0)
+    else:
+        value = F.rand(seed) * (CYCLIC_HIGH - CYCLIC_LOW) + CYCLIC_LOW
+    rows = spark.range(n_rows).select((rid % F.lit(k)).alias("city_idx"),
+                                      value.cast("float").alias("value"))
     return rows.join(side, "city_idx").select(F.col(STATION).alias("city"), "value")
 
 
+def city_summary(rows: DataFrame) -> DataFrame:
+    """Per-city ``min_value, max_value`` (FLOAT) and ``avg_value`` (DOUBLE)."""
+    return rows.groupBy("city").agg(F.min("value").alias("min_value"),
+                                    F.max("value").alias("max_value"),
+                                    F.avg("value").alias("avg_value"))
+
+
 def generate_choice(spark: SparkSession, n_rows: int, n_labels: int = 20, seed: int = 0) -> DataFrame:
     """``estacao`` uniformly from ``Cidade_0..Cidade_{k-1}``, ``medida``
     uniform -20 .. 50 rounded half-even to 4 decimals; deterministic per seed."""

@@ -447,6 +447,22 @@ def q_generate_cyclic(spark, sf_dir):
         F.count(F.when(F.col("value").between(G.CYCLIC_LOW, G.CYCLIC_HIGH), 1)).alias("n_in_range"))
 
 
+@register("cyclic_summary", (
+    "WITH c AS (SELECT n_name AS city, row_number() OVER (ORDER BY n_name) - 1 AS idx FROM "
+    "(SELECT DISTINCT n_name FROM nation) d), k AS (SELECT count(*) AS k FROM c), "
+    f"r AS (SELECT range % (SELECT k FROM k) AS idx, CAST(CAST((range * {G.TENTHS_MUL} + {G.TENTHS_ADD}) "
+    "% 19801 - 9900 AS DOUBLE) / 100.0 AS FLOAT) AS value "
+    "FROM range((SELECT count(*) FROM lineitem))) "
+    "SELECT city, MIN(value) AS min_value, MAX(value) AS max_value, round(AVG(value), 6) AS avg_value "
+    "FROM r JOIN c USING (idx) GROUP BY city"))
+def q_cyclic_summary(spark, sf_dir):
+    """Generate cyclic city rows (deterministic values), then min / max / avg per city."""
+    cities = spark.read.parquet(table_path(sf_dir, "nation")).select(F.col("n_name").alias(STATION))
+    n = spark.read.parquet(table_path(sf_dir, "lineitem")).count()
+    out = G.city_summary(G.generate_cyclic(spark, cities, n, seed=None))
+    return out.withColumn("avg_value", F.round("avg_value", 6))
+
+
 @register("generate_choice")
 def q_generate_choice(spark, sf_dir):
     n = spark.read.parquet(table_path(sf_dir, "events")).count()
