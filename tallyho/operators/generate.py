@@ -113,8 +113,8 @@ def size_estimate(names: DataFrame, n_rows) -> DataFrame:
     total = n_rows * record, shown with 1024-based units (NULL past 1023.9 GiB).
     ``n_rows`` is an int or a one-row DataFrame with column ``n_rows``.
     """
-    lens = names.agg(F.max(F.length(STATION)).alias("max_len"),
-                     F.min(F.length(STATION)).alias("min_len"))
+    lens = names.agg(F.max(F.length(STATION)).cast("bigint").alias("max_len"),
+                     F.min(F.length(STATION)).cast("bigint").alias("min_len"))
     record = (F.col("max_len") + F.col("min_len") * 2 + F.lit(len(",-123.4"))) / F.lit(2.0)
     if isinstance(n_rows, DataFrame):
         base = _attach(lens, n_rows)

@@ -87,7 +87,7 @@ def test_all_queries_match_oracle(spark):
     import duckdb
 
     from __spark_entry__ import entry, oracle_sql, queries
-    from tools.check_oracle import TABLES, rows_of
+    from tools.check_oracle import TABLES, rows_of, spark_type_as_duck
 
     assert entry(spark).count() > 0
     con = duckdb.connect()
@@ -103,4 +103,6 @@ def test_all_queries_match_oracle(spark):
         res = con.execute(sqls[name])
         dcols = [d[0] for d in res.description]
         assert sorted(df.columns) == sorted(dcols), name
+        dtypes = {d[0]: str(d[1]).replace(" ", "") for d in res.description}
+        assert {c: spark_type_as_duck(t) for c, t in df.dtypes} == dtypes, name
         assert rows_of(df.columns, srows) == rows_of(dcols, res.fetchall()), name
