@@ -35,7 +35,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.conf.get("spark.master", "") or ""
+    return master.startswith("local")
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -44,16 +45,23 @@ def scratch_root(spark: SparkSession) -> str:
     Taken from the session's checkpoint directory (``spark.checkpoint.dir``).
     When it is unset, a private folder is created, but only in local mode.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (sessions without a local SparkContext handle)
+        sc = None
+    root = (sc.getCheckpointDir() if sc is not None else None) or \
+        spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not _is_local(spark):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a folder that every "
                 "executor can reach (for example an object-store prefix)")
         root = tempfile.mkdtemp(prefix="tallyho-")
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
+    elif sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
     return root
 
 

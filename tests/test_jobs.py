@@ -106,3 +106,16 @@ def test_all_queries_match_oracle(spark):
         dtypes = {d[0]: str(d[1]).replace(" ", "") for d in res.description}
         assert {c: spark_type_as_duck(t) for c, t in df.dtypes} == dtypes, name
         assert rows_of(df.columns, srows) == rows_of(dcols, res.fetchall()), name
+
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                "PythonUDF", "MapInArrow")
+
+
+def test_native_queries_have_no_python_nodes(spark):
+    from __spark_entry__ import queries
+
+    for name, fn in queries().items():
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        has_python = any(n in plan for n in PYTHON_NODES)
+        assert has_python == name.endswith("_udf"), name
