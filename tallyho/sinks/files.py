@@ -27,8 +27,10 @@ def write_measurement_text(df: DataFrame, path: str, order_by: str | None = None
             out = sort_df.orderBy(order_by).select(STATION, MEASURE)
     elif files:
         out = out.repartition(files)
+    # Spark's CSV writer trims blanks around values unless told not to.
     (out.write.mode("overwrite")
-        .options(sep=CSV_OPTIONS["sep"], quote='"', escape='"', header="false")
+        .options(sep=CSV_OPTIONS["sep"], quote='"', escape='"', header="false",
+                 ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
         .csv(path))
     return path
 

@@ -145,3 +145,15 @@ def test_plan_is_native_and_partial(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and "Python" not in plan and "BatchEval" not in plan
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double>" in plan
+
+
+@pytest.mark.parametrize("parser", ["lines", "csv"])
+def test_text_writer_roundtrip_awkward_names(spark, parser):
+    from tallyho.session import fresh_dir
+    from tallyho.sinks.files import write_measurement_text
+
+    names = [" S ", "a;b", 'q"x', '"lead', "Zürich", "İzmir", None, "tab\there", "x "]
+    df = spark.createDataFrame([(n, D("1.5")) for n in names], "station string, measure decimal(3,1)")
+    path = write_measurement_text(df, fresh_dir(spark, "rt"))
+    got = sorted((r.station is None, r.station or "") for r in T.scan_text_decimal(spark, path, parser=parser).collect())
+    assert got == sorted((n is None, n or "") for n in names)
