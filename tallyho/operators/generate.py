@@ -22,6 +22,7 @@ COLDEST, HOTTEST = -99.9, 99.9
 CYCLIC_LOW, CYCLIC_HIGH = -99.0, 99.0
 CHOICE_PREFIX = "Cidade_"
 CHOICE_LOW, CHOICE_HIGH = -20.0, 50.0
+CHOICE_MOD = 1_000_003  # prime modulus of the integer-hash mode
 
 # Integer mixing used by the deterministic (oracle-checkable) mode.
 SLOT_MUL, SLOT_ADD = 7919, 13
@@ -94,16 +95,38 @@ def city_summary(rows: DataFrame) -> DataFrame:
                                     F.avg("value").alias("avg_value"))
 
 
-def generate_choice(spark: SparkSession, n_rows: int, n_labels: int = 20, seed: int = 0) -> DataFrame:
+def generate_choice(spark: SparkSession, n_rows: int, n_labels: int = 20,
+                    seed: int | None = 0) -> DataFrame:
     """``estacao`` uniformly from ``Cidade_0..Cidade_{k-1}``, ``medida``
-    uniform -20 .. 50 rounded half-even to 4 decimals; deterministic per seed."""
+    uniform -20 .. 50 rounded to 4 decimals; deterministic per seed.
+
+    With a seed both draws come from ``xxhash64`` of the row id (rounding half
+    to even, as the reference's array rounding does).  With ``seed=None`` they
+    are integer hashes modulo the prime ``CHOICE_MOD`` and the value is rounded
+    with integer arithmetic (the odd divisor leaves no ties), so any SQL engine
+    produces the same rows.
+    """
     rid = F.col("id")
-    label = F.pmod(F.xxhash64(rid, F.lit(seed)), F.lit(n_labels))
-    bits = F.pmod(F.xxhash64(rid, F.lit(seed + 1)), F.lit(1 << 53))
-    u = bits.cast("double") / F.lit(float(1 << 53))
+    span = CHOICE_HIGH - CHOICE_LOW
+    if seed is None:
+        label = ((rid * NAME_MUL + NAME_ADD) % F.lit(CHOICE_MOD)) % F.lit(n_labels)
+        m = (rid * TENTHS_MUL + TENTHS_ADD) % F.lit(CHOICE_MOD)
+        # value = CHOICE_LOW + span * m / CHOICE_MOD in 1e-4 units, rounded half up:
+        # floor((2*num + d) / (2*d)); ``shift`` whole units keep the dividend
+        # positive so integral division is a floor.
+        num = m * F.lit(int(span) * 10_000) + F.lit(int(CHOICE_LOW) * 10_000 * CHOICE_MOD)
+        shift = 1_000_000
+        q = F.call_function("div", num * 2 + F.lit(CHOICE_MOD * (1 + 2 * shift)),
+                            F.lit(2 * CHOICE_MOD)) - F.lit(shift)
+        value = q.cast("double") / F.lit(10_000.0)
+    else:
+        label = F.pmod(F.xxhash64(rid, F.lit(seed)), F.lit(n_labels))
+        bits = F.pmod(F.xxhash64(rid, F.lit(seed + 1)), F.lit(1 << 53))
+        u = bits.cast("double") / F.lit(float(1 << 53))
+        value = F.bround(u * span + CHOICE_LOW, 4)
     return spark.range(n_rows).select(
         F.concat(F.lit(CHOICE_PREFIX), label.cast("string")).alias("estacao"),
-        F.bround(u * (CHOICE_HIGH - CHOICE_LOW) + CHOICE_LOW, 4).alias("medida"))
+        value.alias("medida"))
 
 
 def size_estimate(names: DataFrame, n_rows) -> DataFrame:

@@ -463,10 +463,18 @@ def q_cyclic_summary(spark, sf_dir):
     return out.withColumn("avg_value", F.round("avg_value", 6))
 
 
-@register("generate_choice")
+@register("generate_choice", (
+    "SELECT 'Cidade_' || CAST(((range * {nm} + {na}) % {mod}) % 20 AS VARCHAR) AS estacao, "
+    "CAST((((range * {tm} + {ta}) % {mod}) * {span2} + {offset}) "
+    "// {mod2} - 1000000 AS DOUBLE) / 10000.0 AS medida "
+    "FROM range((SELECT count(*) FROM events))").format(
+        nm=G.NAME_MUL, na=G.NAME_ADD, tm=G.TENTHS_MUL, ta=G.TENTHS_ADD, mod=G.CHOICE_MOD,
+        span2=2 * int(G.CHOICE_HIGH - G.CHOICE_LOW) * 10_000,
+        offset=2 * int(G.CHOICE_LOW) * 10_000 * G.CHOICE_MOD + G.CHOICE_MOD * (1 + 2 * 1_000_000),
+        mod2=2 * G.CHOICE_MOD))
 def q_generate_choice(spark, sf_dir):
     n = spark.read.parquet(table_path(sf_dir, "events")).count()
-    return G.generate_choice(spark, n, n_labels=20, seed=0)
+    return G.generate_choice(spark, n, n_labels=20, seed=None)
 
 
 @register("size_estimate", (

@@ -67,6 +67,9 @@ def test_generate_cyclic_and_choice(spark):
     assert ch.select("estacao").distinct().count() == 20
     assert ch.where((F.col("medida") < -20) | (F.col("medida") > 50)).count() == 0
     assert ch.collect() == G.generate_choice(spark, 1000, n_labels=20, seed=0).collect()
+    det = G.generate_choice(spark, 5000, n_labels=20, seed=None)
+    r = det.agg(F.min("medida"), F.max("medida"), F.countDistinct("estacao")).first()
+    assert r[0] >= -20 and r[1] <= 50 and r[2] == 20
 
 
 def test_size_estimate(spark):
