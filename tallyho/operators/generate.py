@@ -129,28 +129,16 @@ def generate_choice(spark: SparkSession, n_rows: int, n_labels: int = 20,
         value.alias("medida"))
 
 
-def size_estimate(names: DataFrame, n_rows) -> DataFrame:
+def size_estimate(names: DataFrame, n_rows: int) -> DataFrame:
     """Estimated text size for ``n_rows`` lines over these names.
 
     record = (longest + 2 * shortest + len(",-123.4")) / 2 bytes;
     total = n_rows * record, shown with 1024-based units (NULL past 1023.9 GiB).
-    ``n_rows`` is an int or a one-row DataFrame with column ``n_rows``.
+    One global aggregate over the names; ``n_rows`` is a scalar (a count).
     """
     lens = names.agg(F.max(F.length(STATION)).cast("bigint").alias("max_len"),
                      F.min(F.length(STATION)).cast("bigint").alias("min_len"))
     record = (F.col("max_len") + F.col("min_len") * 2 + F.lit(len(",-123.4"))) / F.lit(2.0)
-    if isinstance(n_rows, DataFrame):
-        base = _attach(lens, n_rows)
-        total = F.col("n_rows").cast("double") * record
-    else:
-        base = lens
-        total = F.lit(float(n_rows)) * record
-    return base.select("max_len", "min_len", record.alias("record_bytes"),
+    total = F.lit(float(n_rows)) * record
+    return lens.select("max_len", "min_len", record.alias("record_bytes"),
                        total.alias("total_bytes"), human_bytes(total).alias("size_text"))
-
-
-def _attach(one_row: DataFrame, other_one_row: DataFrame) -> DataFrame:
-    """Put two single-row aggregates side by side (keyed on a constant)."""
-    a = one_row.withColumn("_k", F.lit(1))
-    b = other_one_row.withColumn("_k", F.lit(1))
-    return a.join(b, "_k").drop("_k")
