@@ -1,7 +1,8 @@
 """Incremental summary over a folder of measurement files.
 
 The reference's "streaming" is a bounded-memory pass over a finite file.  Here
-it is a Structured Streaming query over a directory: files are consumed a few
+it is a Structured Streaming query over a directory of text files, parsed with
+the same strict line rules as the batch scan: files are consumed a few
 per micro-batch (``maxFilesPerTrigger``), the per-station state
 (min, max, sum, count) lives in the state store (one row per station, however
 many rows arrive), and every batch rewrites the summary (``complete`` output
@@ -12,20 +13,18 @@ restarting with the same checkpoint continues with new files only.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyho.functions.stats import state_aggs
 from tallyho.operators.summary import finish_state, sort_stations
 from tallyho.schema import MEASURE, MEASURE_DECIMAL, STATION
-from tallyho.sources.text import _RAW_SCHEMA, CSV_OPTIONS
+from tallyho.sources.text import parse_measure_lines
 
 
 def incremental_summary(spark: SparkSession, text_dir: str, out_path: str,
                         checkpoint_path: str, files_per_trigger: int = 1) -> str:
-    stream = (spark.readStream.options(**CSV_OPTIONS)
-              .option("maxFilesPerTrigger", files_per_trigger)
-              .schema(_RAW_SCHEMA).csv(text_dir))
-    rows = stream.select(STATION, F.trim(MEASURE).cast(MEASURE_DECIMAL).alias(MEASURE))
+    lines = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+             .text(text_dir))
+    rows = parse_measure_lines(lines, MEASURE_DECIMAL.simpleString())
     state = rows.groupBy(STATION).agg(*state_aggs(MEASURE))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
