@@ -119,3 +119,20 @@ def test_native_queries_have_no_python_nodes(spark):
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         has_python = any(n in plan for n in PYTHON_NODES)
         assert has_python == name.endswith("_udf"), name
+
+
+def test_incremental_restart_picks_up_new_files(spark, tmp_path):
+    from decimal import Decimal as D
+
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "a.txt").write_text("A;1.0\nB;2.0\n")
+    work = fresh_dir(spark, "test-restart")
+    out = incremental_summary(spark, str(d), f"{work}/summary", f"{work}/ck")
+    first = {r.station: r.mean_temperature for r in read_parquet(spark, out).collect()}
+    assert first == {"A": D("1.0"), "B": D("2.0")}
+    (d / "b.txt").write_text("A;3.0\nC;-4.0\n")
+    out = incremental_summary(spark, str(d), f"{work}/summary", f"{work}/ck")
+    rows = {r.station: (r.min_temperature, r.mean_temperature, r.max_temperature)
+            for r in read_parquet(spark, out).collect()}
+    assert rows == {"A": (D("1.0"), D("2.0"), D("3.0")), "B": (D("2.0"),) * 3, "C": (D("-4.0"),) * 3}
