@@ -313,7 +313,7 @@ def q_sink_text_lines(spark, sf_dir):
     summ = S.summary_decimal(_m(spark, sf_dir))
     lines = summ.select(F.concat(F.col(STATION), F.lit(": "),
                                  triple_text(MIN_COL, MEAN_COL, MAX_COL)).alias("value"))
-    path = write_lines(lines, "value", fresh_dir(spark, "lines"))
+    path = write_lines(lines, "value", fresh_dir(spark, "lines"), single_file=True)
     return spark.read.text(path)
 
 
@@ -358,7 +358,8 @@ def _duck_mean_text(s: str, n: str) -> str:
     "MIN(measure) AS mn, SUM(CAST(measure * 10 AS BIGINT)) AS st, COUNT(measure) AS n "
     "FROM M GROUP BY station) g"))
 def q_summary_delimited(spark, sf_dir):
-    path = write_lines(delimited_lines(_m(spark, sf_dir)), "value", fresh_dir(spark, "delimited"))
+    path = write_lines(delimited_lines(_m(spark, sf_dir)), "value", fresh_dir(spark, "delimited"),
+                       single_file=True)
     return spark.read.text(path)
 
 

@@ -44,7 +44,14 @@ def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> str:
     return path
 
 
-def write_lines(df: DataFrame, column: str, path: str) -> str:
-    """K4/K5: one text line per row from a string column."""
-    df.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
+def write_lines(df: DataFrame, column: str, path: str, single_file: bool = False) -> str:
+    """K4/K5: one text line per row from a string column.
+
+    ``single_file`` keeps one file in row order (for small, sorted results such
+    as a summary: ``coalesce(1)`` after a sort concatenates the sorted ranges).
+    """
+    out = df.select(F.col(column).alias("value"))
+    if single_file:
+        out = out.coalesce(1)
+    out.write.mode("overwrite").text(path)
     return path

@@ -44,13 +44,15 @@ def _tag(scan: DataFrame) -> DataFrame:
 
 
 def block_offsets(scan: DataFrame) -> DataFrame:
-    """One row per file split: ``_fh, _fb, _first, _offset`` (checkpointed)."""
+    """One row per file split: ``_fh, _fb, _first, _offset``."""
     tagged = _tag(scan)
     blocks = tagged.groupBy("_fp", "_fh", "_fb").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     # One row per input split; the running sum over it is itself distributed.
+    # The prefix sum checkpoints the sorted block table itself, so its result is
+    # a cheap, stable function of stored data (no second checkpoint needed).
     offsets = exclusive_prefix_sum(blocks, ["_fp", "_fb"], "_n", "_offset")
-    return offsets.select("_fh", "_fb", "_first", "_offset").checkpoint(eager=True)
+    return offsets.select("_fh", "_fb", "_first", "_offset")
 
 
 def with_line_index(scan: DataFrame) -> DataFrame:

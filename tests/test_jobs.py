@@ -136,3 +136,12 @@ def test_incremental_restart_picks_up_new_files(spark, tmp_path):
     rows = {r.station: (r.min_temperature, r.mean_temperature, r.max_temperature)
             for r in read_parquet(spark, out).collect()}
     assert rows == {"A": (D("1.0"), D("2.0"), D("3.0")), "B": (D("2.0"),) * 3, "C": (D("-4.0"),) * 3}
+
+
+def test_text_sink_single_sorted_file(spark):
+    from tallyho.queries import QUERIES
+
+    df = QUERIES["summary_delimited"](spark, SF_SMALL)
+    assert len(df.inputFiles()) == 1
+    lines = [r.value for r in df.collect()]
+    assert lines == sorted(lines, key=lambda v: v.split(";")[0].encode("utf-8"))
