@@ -21,7 +21,15 @@ from tallyho.sources.text import parse_measure_lines
 
 
 def incremental_summary(spark: SparkSession, text_dir: str, out_path: str,
-                        checkpoint_path: str, files_per_trigger: int = 1) -> str:
+                        checkpoint_path: str, files_per_trigger: int = 1,
+                        state_partitions: int | None = None) -> str:
+    """Run (or continue) the incremental summary; returns ``out_path``.
+
+    ``state_partitions`` sizes the state store (one row per station) apart from
+    the batch shuffle width; it is fixed by the first run of a checkpoint.  The
+    stream copies the session's settings when it starts, so the value is set
+    only around ``start()``.
+    """
     lines = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
              .text(text_dir))
     rows = parse_measure_lines(lines, MEASURE_DECIMAL.simpleString())
@@ -31,11 +39,20 @@ def incremental_summary(spark: SparkSession, text_dir: str, out_path: str,
         (sort_stations(finish_state(batch)).coalesce(1)
             .write.mode("overwrite").parquet(out_path))
 
-    query = (state.writeStream.outputMode("complete")
-             .option("checkpointLocation", checkpoint_path)
-             .trigger(availableNow=True)
-             .foreachBatch(publish)
-             .start())
+    writer = (state.writeStream.outputMode("complete")
+              .option("checkpointLocation", checkpoint_path)
+              .trigger(availableNow=True)
+              .foreachBatch(publish))
+    if state_partitions is None:
+        query = writer.start()
+    else:
+        key = "spark.sql.shuffle.partitions"
+        before = spark.conf.get(key)
+        spark.conf.set(key, str(state_partitions))
+        try:
+            query = writer.start()
+        finally:
+            spark.conf.set(key, before)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))

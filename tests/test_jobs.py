@@ -73,7 +73,9 @@ def test_serve_and_view(spark, expected):
 
 def test_incremental_equals_batch(spark, m_text, expected):
     work = fresh_dir(spark, "test-stream")
-    out = incremental_summary(spark, m_text, f"{work}/summary", f"{work}/ck", files_per_trigger=1)
+    out = incremental_summary(spark, m_text, f"{work}/summary", f"{work}/ck", files_per_trigger=1,
+                              state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     assert _rows(read_parquet(spark, out)) == expected
 
 
