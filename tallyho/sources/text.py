@@ -40,8 +40,9 @@ def parse_measure_lines(lines: DataFrame, dtype: str = "decimal(3,1)") -> DataFr
     ``substring_index`` (no CSV tokenizer).  Lines starting with a quote go
     through ``from_csv`` (FAILFAST, doubled-quote escape).  An unquoted line
     with no ``;`` or more than one raises; empty fields are NULL; empty lines
-    are skipped.  The measure is trimmed and cast under ANSI rules, so
-    ``12.35`` rounds to 12.4 (for DECIMAL(3,1)) and ``100.0`` or ``abc`` raise.
+    are skipped.  The measure is trimmed and parsed strictly (whatever the
+    session's ANSI setting), so ``12.35`` rounds to 12.4 (for DECIMAL(3,1)) and
+    ``100.0``, ``abc`` or ``NaN`` raise.
     """
     v = F.col("value")
     # Stage 1: split once; each piece is referenced several times below, so it
@@ -65,8 +66,22 @@ def parse_measure_lines(lines: DataFrame, dtype: str = "decimal(3,1)") -> DataFr
     st, ms = F.col("_f").getField(STATION), F.col("_f").getField(MEASURE)
     staged = fields.select(st.alias("_s"), F.trim(ms).alias("_m"))
     s_, m_ = F.col("_s"), F.col("_m")
-    return staged.select(F.when(s_ != "", s_).alias(STATION),
-                         F.when(m_ != "", m_).cast(dtype).alias(MEASURE))
+    parsed = staged.select(F.when(s_ != "", s_).alias("_s"), F.when(m_ != "", m_).alias("_m"),
+                           F.when(m_ != "", m_).try_cast(dtype).alias("_p"))
+    return parsed.select(F.col("_s").alias(STATION),
+                         _strict(F.col("_m"), F.col("_p"), dtype).alias(MEASURE))
+
+
+def _strict(text, parsed, dtype: str):
+    bad = F.raise_error(F.concat(F.lit(f"bad {dtype} measurement: "), text))
+    return F.when(text.isNotNull() & parsed.isNull(), bad.cast(dtype)).otherwise(parsed)
+
+
+def strict_number(text, dtype: str):
+    """Parse ``text`` as ``dtype``; a non-NULL text that does not parse (or does
+    not fit, e.g. ``100.0`` as DECIMAL(3,1)) raises, whatever the session's ANSI
+    setting."""
+    return _strict(text, text.try_cast(dtype), dtype)
 
 
 def scan_text_decimal(spark: SparkSession, path, parser: str = "lines") -> DataFrame:
@@ -83,7 +98,7 @@ def scan_text_decimal(spark: SparkSession, path, parser: str = "lines") -> DataF
     if parser != "csv":
         raise ValueError(f"unknown parser {parser!r}")
     raw = _reader(spark).schema(_RAW_SCHEMA).csv(path)
-    return raw.select(STATION, F.trim(MEASURE).cast(MEASURE_DECIMAL).alias(MEASURE))
+    return raw.select(STATION, strict_number(F.trim(MEASURE), MEASURE_DECIMAL.simpleString()).alias(MEASURE))
 
 
 def scan_text_double(spark: SparkSession, path, parser: str = "lines") -> DataFrame:
@@ -112,14 +127,16 @@ def scan_text_inferred(spark: SparkSession, path) -> DataFrame:
 def scan_lines_split(spark: SparkSession, path, dtype: str = "double") -> DataFrame:
     """Raw lines split on every ``;`` (no quoting), field 1 parsed as ``dtype``.
 
-    A line without a second field raises (ANSI ``element_at``), as does a bad
-    number; extra fields are ignored.  Empty lines are skipped.
+    A line without a second field raises, as does a bad number (whatever the
+    ANSI setting); extra fields are ignored.  Empty lines are skipped.
     """
     lines = spark.read.text(path).where(F.length("value") > 0)
     parts = F.split(F.col("value"), ";")
+    second = F.when(F.size(parts) >= 2, F.element_at(parts, 2)).otherwise(
+        F.raise_error(F.concat(F.lit("line without a second field: "), F.col("value"))))
     return lines.select(
         F.element_at(parts, 1).alias(STATION),
-        F.trim(F.element_at(parts, 2)).cast(dtype).alias(MEASURE),
+        strict_number(F.trim(second), dtype).alias(MEASURE),
     )
 
 

@@ -157,3 +157,18 @@ def test_text_writer_roundtrip_awkward_names(spark, parser):
     path = write_measurement_text(df, fresh_dir(spark, "rt"))
     got = sorted((r.station is None, r.station or "") for r in T.scan_text_decimal(spark, path, parser=parser).collect())
     assert got == sorted((n is None, n or "") for n in names)
+
+
+@pytest.mark.parametrize("parser", ["lines", "csv"])
+def test_strict_without_ansi(spark, tmp_text, parser):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for line in ["A;100.0", "A;abc", "A;NaN"]:
+            df = T.scan_text_decimal(spark, tmp_text(["B;1.0", line]), parser=parser)
+            with pytest.raises(Exception):
+                S.summary_decimal(df).collect()
+        df = T.scan_lines_split(spark, tmp_text(["B;1.0", "A"]))
+        with pytest.raises(Exception):
+            df.collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
