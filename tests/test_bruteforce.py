@@ -86,3 +86,17 @@ def test_six_digit_text_matches_exact_fractions(spark):
 def test_sum_tenths_roundtrip(spark):
     df = spark.createDataFrame([(Decimal("12345678901234.5"),)], "x decimal(18,1)")
     assert df.select(sum_tenths("x").alias("t")).first().t == 123456789012345
+
+
+def test_dictionary_encode_hot_key_shuffle_path(spark):
+    from tallyho.operators import encoding as E
+
+    data = _data(seed=5, rows=9_000)
+    df = spark.createDataFrame(data, "rid long, station string, t long")
+    enc, dictionary = E.dictionary_encode(df, "station", max_broadcast_bytes=0)
+    names = sorted({st for _, st, _ in data})
+    code = {n: i for i, n in enumerate(names)}
+    got = {r.rid: r.station_code for r in enc.collect()}
+    assert got == {rid: code[st] for rid, st, _ in data}
+    back = E.dictionary_decode(enc, dictionary, "station", max_broadcast_bytes=0)
+    assert sorted(map(tuple, back.select("rid", "station", "t").collect())) == sorted(data)
