@@ -91,7 +91,9 @@ def summary_arrays(df: DataFrame, list_rows: int = 100_000) -> DataFrame:
 
     Lists are built per (station, block of ``list_rows`` consecutive scan rows),
     so no list ever grows past ``list_rows`` however hot a station is; the
-    per-list results are then merged like chunk partials.
+    per-list results are then merged like chunk partials.  The merge is
+    associative, so the answer does not depend on how rows fall into blocks
+    (a recomputed task may number its rows differently and still be exact).
     """
     block = int_div(F.monotonically_increasing_id(), F.lit(list_rows)).alias("_block")
     lists = (df.select(STATION, MEASURE, block)
