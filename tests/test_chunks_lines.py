@@ -112,3 +112,26 @@ def test_exclusive_prefix_sum_matches_cumsum(spark):
     assert got == want
     idx = {r.k: r.idx for r in dense_index(df, "k").collect()}
     assert idx == {k: i for i, (k, _) in enumerate(sorted(rows))}
+
+
+def test_line_index_skips_empty_lines_and_handles_crlf(spark, tmp_path):
+    d = tmp_path / "crlf"
+    d.mkdir()
+    expected = []
+    k = 0
+    for f in range(4):
+        lines = []
+        for i in range(300):
+            if i % 50 == 7:
+                lines.append("")
+            lines.append(f"r{k};{k % 100}.0")
+            expected.append(f"r{k}")
+            k += 1
+        (d / f"part-{f:05d}.txt").write_bytes(("\r\n".join(lines) + "\r\n").encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        rows = L.with_line_index(T.scan_text_decimal(spark, str(d))).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.station for r in sorted(rows, key=lambda r: r.line_idx)] == expected
+    assert sorted(r.line_idx for r in rows) == list(range(len(expected)))
