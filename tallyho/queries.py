@@ -208,6 +208,13 @@ def q_summary_from_text(spark, sf_dir):
     return S.summary_decimal(T.scan_text_decimal(spark, _m_text(spark, sf_dir, "text-sum")))
 
 
+@register("summary_from_text_csv", M_SUMMARY)
+def q_summary_from_text_csv(spark, sf_dir):
+    """Same, with Spark's CSV reader as the parser (``parser="csv"``)."""
+    path = _m_text(spark, sf_dir, "text-sum-csv")
+    return S.summary_decimal(T.scan_text_decimal(spark, path, parser="csv"))
+
+
 @register("summary_double_from_text", with_m(
     "SELECT station, CAST(MIN(measure) AS DOUBLE) AS min_temperature, "
     "round(AVG(CAST(measure AS DOUBLE)), 6) AS mean_temperature, "
