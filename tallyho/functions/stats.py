@@ -58,8 +58,12 @@ def sum_input(measure) -> Column:
 
 
 def state_aggs(measure="measure") -> list[Column]:
-    """Partial state over raw measures: min, max, sum DECIMAL(18,1), count."""
-    m = _c(measure)
+    """Partial state over raw measures: min, max, sum DECIMAL(18,1), count.
+
+    The measure is taken as DECIMAL(3,1) (a no-op for such columns; other numeric
+    input is rounded to one decimal first, as a decimal read of the text would).
+    """
+    m = _c(measure).cast(MEASURE_DECIMAL)
     return [
         F.min(m).alias("min"),
         F.max(m).alias("max"),

@@ -172,3 +172,10 @@ def test_strict_without_ansi(spark, tmp_text, parser):
             df.collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_double_input_is_taken_at_one_decimal(spark, tmp_text):
+    path = tmp_text(["A;12.35", "A;1.0", "B;-0.05"])
+    a = S.summary_decimal(T.scan_text_double(spark, path)).collect()
+    b = S.summary_decimal(T.scan_text_decimal(spark, path)).collect()
+    assert a == b
