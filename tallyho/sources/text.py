@@ -98,7 +98,9 @@ def scan_text_decimal(spark: SparkSession, path, parser: str = "lines") -> DataF
     if parser != "csv":
         raise ValueError(f"unknown parser {parser!r}")
     raw = _reader(spark).schema(_RAW_SCHEMA).csv(path)
-    return raw.select(STATION, strict_number(F.trim(MEASURE), MEASURE_DECIMAL.simpleString()).alias(MEASURE))
+    m = F.trim(MEASURE)
+    return raw.select(STATION, strict_number(F.when(m != "", m), MEASURE_DECIMAL.simpleString())
+                      .alias(MEASURE))
 
 
 def scan_text_double(spark: SparkSession, path, parser: str = "lines") -> DataFrame:
