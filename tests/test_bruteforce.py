@@ -100,3 +100,22 @@ def test_dictionary_encode_hot_key_shuffle_path(spark):
     assert got == {rid: code[st] for rid, st, _ in data}
     back = E.dictionary_decode(enc, dictionary, "station", max_broadcast_bytes=0)
     assert sorted(map(tuple, back.select("rid", "station", "t").collect())) == sorted(data)
+
+
+def test_parsers_roundtrip_random_names(spark):
+    from tallyho.session import fresh_dir
+    from tallyho.sinks.files import write_measurement_text
+    from tallyho.sources import text as T
+
+    rnd = random.Random(23)
+    alphabet = ['a', 'Z', ' ', ';', '"', 'é', 'İ', '-', '.', '#', '\t', '0']
+    rows = []
+    for i in range(2000):
+        name = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 8)))
+        rows.append((f"{i}:{name}", Decimal(rnd.randint(-999, 999)) / 10))
+    df = spark.createDataFrame(rows, "station string, measure decimal(3,1)")
+    path = write_measurement_text(df, fresh_dir(spark, "rt-random"), files=3)
+    want = sorted(rows)
+    for parser in ("lines", "csv"):
+        got = sorted(tuple(r) for r in T.scan_text_decimal(spark, path, parser=parser).collect())
+        assert got == want, parser
