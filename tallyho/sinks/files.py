@@ -6,32 +6,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyho.schema import MEASURE, STATION
-from tallyho.sources.text import CSV_OPTIONS
+
+
+def measurement_line(station, measure):
+    """``station;measure`` text; a station containing ``;`` or ``"`` is quoted with
+    inner quotes doubled (what the scans read back); NULL station -> empty field."""
+    st = F.col(station) if isinstance(station, str) else station
+    needs_quotes = st.contains(";") | st.contains('"')
+    quoted = F.concat(F.lit('"'), F.replace(st, F.lit('"'), F.lit('""')), F.lit('"'))
+    name = F.coalesce(F.when(needs_quotes, quoted).otherwise(st), F.lit(""))
+    m = F.col(measure) if isinstance(measure, str) else measure
+    return F.concat(name, F.lit(";"), F.coalesce(m.cast("string"), F.lit("")))
 
 
 def write_measurement_text(df: DataFrame, path: str, order_by: str | None = None,
                            files: int | None = None) -> str:
-    """Write ``station;measure`` lines.
+    """Write ``station;measure`` lines with the plain text writer.
 
     ``order_by`` range-partitions and sorts first, so part files (in name order)
-    hold the lines in that order; ``files`` sets how many part files.
-    Quoting uses doubled quotes, matching the scans.
+    hold the lines in that order; ``files`` sets how many part files (a
+    shuffle; leave it unset to write one file per task).
     """
-    out = df.select(F.col(STATION), F.col(MEASURE).cast("string").alias(MEASURE))
+    line = measurement_line(STATION, MEASURE).alias("value")
     if order_by is not None:
-        sort_df = df.select(STATION, F.col(MEASURE).cast("string").alias(MEASURE), order_by)
+        src = df.select(line, F.col(order_by).alias("_o"))
         if files:
-            sort_df = sort_df.repartitionByRange(files, order_by)
-            out = sort_df.sortWithinPartitions(order_by).select(STATION, MEASURE)
+            src = src.repartitionByRange(files, "_o").sortWithinPartitions("_o")
         else:
-            out = sort_df.orderBy(order_by).select(STATION, MEASURE)
-    elif files:
-        out = out.repartition(files)
-    # Spark's CSV writer trims blanks around values unless told not to.
-    (out.write.mode("overwrite")
-        .options(sep=CSV_OPTIONS["sep"], quote='"', escape='"', header="false",
-                 ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
-        .csv(path))
+            src = src.orderBy("_o")
+        out = src.select("value")
+    else:
+        out = df.select(line)
+        if files:
+            out = out.repartition(files)
+    out.write.mode("overwrite").text(path)
     return path
 
 
