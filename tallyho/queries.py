@@ -243,9 +243,8 @@ def q_scan_chunks(spark, sf_dir):
 def q_prefix_summary(spark, sf_dir):
     """First half of the file's lines (``head -n N`` with N = lines // 2)."""
     path = _m_text(spark, sf_dir, "text-prefix", ordered=True, files=4)
-    scan = T.scan_text_decimal(spark, path)
-    n = S.row_count(scan).first()["n_rows"] // 2
-    return S.summary_decimal(L.first_lines(L.with_line_index(scan), n))
+    indexed, total = L.line_index_with_total(T.scan_text_decimal(spark, path))
+    return S.summary_decimal(L.first_lines(indexed, total // 2))
 
 
 # ------------------------------------------------------------------ chunk algebra

@@ -44,7 +44,7 @@ def _tag(scan: DataFrame) -> DataFrame:
 
 
 def block_offsets(scan: DataFrame) -> DataFrame:
-    """One row per file split: ``_fh, _fb, _first, _offset``."""
+    """One row per file split: ``_fh, _fb, _first, _offset, _n``."""
     tagged = _tag(scan)
     blocks = tagged.groupBy("_fp", "_fh", "_fb").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
@@ -52,7 +52,21 @@ def block_offsets(scan: DataFrame) -> DataFrame:
     # The prefix sum checkpoints the sorted block table itself, so its result is
     # a cheap, stable function of stored data (no second checkpoint needed).
     offsets = exclusive_prefix_sum(blocks, ["_fp", "_fb"], "_n", "_offset")
-    return offsets.select("_fh", "_fb", "_first", "_offset")
+    return offsets.select("_fh", "_fb", "_first", "_offset", "_n")
+
+
+def line_index_with_total(scan: DataFrame) -> tuple[DataFrame, int]:
+    """X1 plus the total row count, read from the per-split table (no extra pass)."""
+    offsets = block_offsets(scan)
+    stats = offsets.agg(F.count(F.lit(1)).alias("blocks"),
+                        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).first()
+    side = F.broadcast(offsets) if stats["blocks"] <= MAX_BROADCAST_BLOCKS else offsets
+    tagged = _tag(scan)
+    joined = tagged.join(side.drop("_n"), ["_fh", "_fb"], "inner")
+    indexed = joined.select(
+        *scan.columns,
+        (F.col("_offset") + F.col("_mid") - F.col("_first")).alias(LINE_INDEX))
+    return indexed, int(stats["rows"])
 
 
 def with_line_index(scan: DataFrame) -> DataFrame:
@@ -61,14 +75,7 @@ def with_line_index(scan: DataFrame) -> DataFrame:
     ``scan`` must be a file scan straight from ``spark.read`` (it needs the
     hidden ``_metadata`` column).
     """
-    offsets = block_offsets(scan)
-    n_blocks = offsets.count()
-    side = F.broadcast(offsets) if n_blocks <= MAX_BROADCAST_BLOCKS else offsets
-    tagged = _tag(scan)
-    joined = tagged.join(side, ["_fh", "_fb"], "inner")
-    return joined.select(
-        *scan.columns,
-        (F.col("_offset") + F.col("_mid") - F.col("_first")).alias(LINE_INDEX))
+    return line_index_with_total(scan)[0]
 
 
 def with_chunk_id(indexed: DataFrame, chunk_rows: int) -> DataFrame:
