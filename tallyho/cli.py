@@ -31,6 +31,10 @@ def cmd_summary(spark: SparkSession, a) -> None:
         write_parquet(out, a.output, single_file=True)
         return
     rows = scan_text_decimal(spark, a.input, parser=a.parser)
+    if a.first_lines is not None:
+        from tallyho.sources.lines import first_lines, with_line_index
+
+        rows = first_lines(with_line_index(rows), a.first_lines).select("station", "measure")
     if a.format == "parquet":
         write_parquet(summary_decimal(rows, drop_nulls=a.drop_null_keys), a.output, single_file=True)
     elif a.format == "text":
@@ -91,6 +95,8 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--parser", choices=["lines", "csv"], default="lines")
     s.add_argument("--double", action="store_true", help="64-bit float input, raw mean")
     s.add_argument("--drop-null-keys", action="store_true")
+    s.add_argument("--first-lines", type=lambda v: int(v.replace("_", "")), default=None,
+                   help="only the first N lines of the input (in file order)")
     s.set_defaults(fn=cmd_summary)
 
     g = sub.add_parser("generate", help="measurement text from a station list")

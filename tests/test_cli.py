@@ -33,3 +33,10 @@ def test_cli_generate_and_estimate(spark, tmp_text, tmp_path, capsys):
     r = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert r["max_len"] == 4 and r["size_text"] == "9.3 KiB"
     assert main(["generate", stations, "0", out], spark) == 2
+
+
+def test_cli_first_lines_delimited(spark, tmp_text, tmp_path):
+    src = tmp_text(["A;1.0", "B;2.0", "A;3.0", "C;9.9"])
+    out = str(tmp_path / "head")
+    assert main(["summary", src, out, "--format", "delimited", "--first-lines", "3"], spark) == 0
+    assert [r.value for r in spark.read.text(out).collect()] == ["A;3.0;1.0;2", "B;2.0;2.0;2"]
