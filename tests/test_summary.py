@@ -72,7 +72,7 @@ def test_bad_lines_fail(spark, tmp_text, line, parser):
 
 @pytest.mark.parametrize("parser", ["lines", "csv"])
 def test_edge_values(spark, tmp_text, parser):
-    lines = ["A;12.35", '"A;x";1.0', '"Q ""x""";2.0', "C;-0.0", " S ; 1.0", "", "E;", "F;1e1", "G; "]
+    lines = ["A;12.35", '"A;x";1.0', '"Q ""x""";2.0', "C;-0.0", " S ; 1.0", "", "E;", "F;1e1", "G; ", "#c;1.0"]
     df = T.scan_text_decimal(spark, tmp_text(lines), parser=parser)
     got = {r.station: r.measure for r in df.collect()}
     assert got["A"] == D("12.4")
@@ -83,7 +83,8 @@ def test_edge_values(spark, tmp_text, parser):
     assert got["E"] is None
     assert got["F"] == D("10.0")
     assert got["G"] is None
-    assert len(got) == 8
+    assert got["#c"] == D("1.0")
+    assert len(got) == 9
 
 
 def test_parsers_agree_with_crlf(spark, tmp_path):
