@@ -15,7 +15,7 @@ from tallyho.operators.chunks import chunk_partials, merge_partials
 from tallyho.operators.summary import summary_decimal
 from tallyho.schema import CHUNK_ID
 from tallyho.sinks.files import write_parquet
-from tallyho.sources.lines import with_chunk_id, with_line_index
+from tallyho.sources.lines import chunk_count, line_index_with_total, with_chunk_id
 from tallyho.sources.parquet import read_parquet, summary_sql_view
 from tallyho.sources.text import scan_text_decimal
 
@@ -86,9 +86,12 @@ def write_chunk_partials(spark: SparkSession, text_path: str, chunk_rows: int,
     """Fan-out: chunk the text by row ranges, aggregate each chunk, store one
     parquet folder per chunk (``chunk_id=<k>``)."""
     scan = _missing_to_fnf(text_path, lambda: scan_text_decimal(spark, text_path))
-    chunked = with_chunk_id(with_line_index(scan), chunk_rows)
-    partials = chunk_partials(chunked)
-    (partials.repartition(CHUNK_ID).write.mode("overwrite")
+    indexed, total = line_index_with_total(scan)
+    partials = chunk_partials(with_chunk_id(indexed, chunk_rows))
+    # One file per chunk, written by min(chunks, shuffle width) parallel tasks.
+    writers = max(1, min(chunk_count(total, chunk_rows),
+                         int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    (partials.repartition(writers, CHUNK_ID).write.mode("overwrite")
         .partitionBy(CHUNK_ID).parquet(partials_dir))
     return partials_dir
 
