@@ -119,3 +119,35 @@ def test_parsers_roundtrip_random_names(spark):
     for parser in ("lines", "csv"):
         got = sorted(tuple(r) for r in T.scan_text_decimal(spark, path, parser=parser).collect())
         assert got == want, parser
+
+
+def test_dictionary_shuffle_path_splits_hot_key(spark):
+    from tallyho.operators import encoding as E
+
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(90_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot"))
+             .otherwise(F.concat(F.lit("s"), (F.col("id") % 500).cast("string"))).alias("station"),
+            F.col("id").alias("rid"))
+        enc, _ = E.dictionary_encode(df, "station", max_broadcast_bytes=0)
+        rows = enc.collect()
+        plan = enc._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert len(rows) == 90_000
+    assert "SortMergeJoin(skew=true)" in plan
