@@ -59,7 +59,12 @@ def line_index_with_total(scan: DataFrame) -> tuple[DataFrame, int]:
     """X1 plus the total row count, read from the per-split table (no extra pass)."""
     offsets = block_offsets(scan)
     stats = offsets.agg(F.count(F.lit(1)).alias("blocks"),
+                        F.count_distinct("_fh", "_fb").alias("keys"),
                         F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).first()
+    if stats["keys"] != stats["blocks"]:
+        # Two file paths with the same 64-bit hash and block start: refuse
+        # rather than mix their rows.
+        raise RuntimeError("file path hash collision in the line index")
     side = F.broadcast(offsets) if stats["blocks"] <= MAX_BROADCAST_BLOCKS else offsets
     tagged = _tag(scan)
     joined = tagged.join(side.drop("_n"), ["_fh", "_fb"], "inner")
