@@ -39,7 +39,7 @@ def cmd_summary(spark: SparkSession, a) -> None:
         write_parquet(summary_decimal(rows, drop_nulls=a.drop_null_keys), a.output, single_file=True)
     elif a.format == "text":
         s = summary_decimal(rows, drop_nulls=a.drop_null_keys)
-        lines = s.select(F.concat(F.col("station"), F.lit(": "),
+        lines = s.select(F.concat(F.coalesce(F.col("station"), F.lit("")), F.lit(": "),
                                   triple_text("min_temperature", "mean_temperature",
                                               "max_temperature")).alias("value"))
         write_lines(lines, "value", a.output, single_file=True)

@@ -317,7 +317,7 @@ def q_serve_summary(spark, sf_dir):
     "CAST(MAX(measure) AS VARCHAR) AS value FROM M GROUP BY station"))
 def q_sink_text_lines(spark, sf_dir):
     summ = S.summary_decimal(_m(spark, sf_dir))
-    lines = summ.select(F.concat(F.col(STATION), F.lit(": "),
+    lines = summ.select(F.concat(F.coalesce(F.col(STATION), F.lit("")), F.lit(": "),
                                  triple_text(MIN_COL, MEAN_COL, MAX_COL)).alias("value"))
     path = write_lines(lines, "value", fresh_dir(spark, "lines"), single_file=True)
     return spark.read.text(path)

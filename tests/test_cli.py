@@ -40,3 +40,10 @@ def test_cli_first_lines_delimited(spark, tmp_text, tmp_path):
     out = str(tmp_path / "head")
     assert main(["summary", src, out, "--format", "delimited", "--first-lines", "3"], spark) == 0
     assert [r.value for r in spark.read.text(out).collect()] == ["A;3.0;1.0;2", "B;2.0;2.0;2"]
+
+
+def test_cli_text_keeps_null_station_line(spark, tmp_text, tmp_path):
+    src = tmp_text([";5.0", "A;1.0"])
+    out = str(tmp_path / "nulls.txt")
+    main(["summary", src, out, "--format", "text"], spark)
+    assert [r.value for r in spark.read.text(out).collect()] == ["A: 1.0/1.0/1.0", ": 5.0/5.0/5.0"]
