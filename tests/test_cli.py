@@ -47,3 +47,19 @@ def test_cli_text_keeps_null_station_line(spark, tmp_text, tmp_path):
     out = str(tmp_path / "nulls.txt")
     main(["summary", src, out, "--format", "text"], spark)
     assert [r.value for r in spark.read.text(out).collect()] == ["A: 1.0/1.0/1.0", ": 5.0/5.0/5.0"]
+
+
+def test_cli_etl_and_incremental(spark, tmp_path, capsys):
+    from tallyho.session import fresh_dir
+
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "a.txt").write_text("\n".join(README_LINES) + "\n")
+    work = fresh_dir(spark, "cli-etl")
+    assert main(["etl", str(d), work], spark) == 0
+    final = capsys.readouterr().out.strip().splitlines()[-1]
+    ist = [r for r in spark.read.parquet(final).collect() if r.station == "Istanbul"][0]
+    assert ist.mean_temperature == D("14.6")
+    out, ck = str(tmp_path / "inc"), fresh_dir(spark, "cli-ck")
+    assert main(["incremental", str(d), out, ck, "--state-partitions", "2"], spark) == 0
+    assert spark.read.parquet(out).count() == 9
