@@ -45,36 +45,41 @@ def parse_measure_lines(lines: DataFrame, dtype: str = "decimal(3,1)") -> DataFr
     ``100.0``, ``abc`` or ``NaN`` raise.
     """
     v = F.col("value")
-    # Stage 1: split once; each piece is referenced several times below, so it
-    # is computed in its own projection rather than re-evaluated per use.
-    split = lines.where(F.length(v) > 0).select(
+    # Stage 1: split once; the pieces are referenced several times below, so they
+    # are computed in their own projection rather than re-evaluated per use.
+    split = lines.where(F.octet_length(v) > 0).select(
         v.alias("_v"),
         F.substring_index(v, ";", 1).alias("_head"),
         F.substring_index(v, ";", -1).alias("_tail"),
-        F.instr(v, ";").alias("_first"),
     )
     v, head, tail = F.col("_v"), F.col("_head"), F.col("_tail")
+    # Exactly one ";" iff head + ";" + tail is the whole line (byte lengths are
+    # O(1) on Spark strings; no character counting, no extra scan).
+    single_sep = (F.octet_length(head) + F.octet_length(tail) + 1) == F.octet_length(v)
     quoted = v.startswith('"')
     csv = F.from_csv(v, "station STRING, measure STRING",
                      {k: CSV_OPTIONS[k] for k in ("sep", "quote", "escape", "mode")})
     bad = F.raise_error(F.concat(F.lit("malformed measurement line: "), v))
-    single_sep = (F.col("_first") > 0) & (F.col("_first") == F.length(v) - F.length(tail))
     # Stage 2: quoted lines (rare) through the CSV parser, the rest as split.
-    fields = split.select(F.when(quoted, csv).otherwise(
-        F.struct(F.when(single_sep, head).otherwise(bad.cast("string")).alias(STATION),
-                 tail.alias(MEASURE))).alias("_f"))
-    st, ms = F.col("_f").getField(STATION), F.col("_f").getField(MEASURE)
-    staged = fields.select(st.alias("_s"), F.trim(ms).alias("_m"))
+    fields = split.select(
+        F.when(quoted, csv.getField(STATION)).when(single_sep, head)
+         .otherwise(bad.cast("string")).alias("_s"),
+        F.when(quoted, csv.getField(MEASURE)).otherwise(tail).alias("_m"))
     s_, m_ = F.col("_s"), F.col("_m")
-    parsed = staged.select(F.when(s_ != "", s_).alias("_s"), F.when(m_ != "", m_).alias("_m"),
-                           F.when(m_ != "", m_).try_cast(dtype).alias("_p"))
+    # Stage 3: parse once (the cast ignores surrounding blanks), check on the
+    # parsed value; blank text is a NULL measure.
+    parsed = fields.select(F.when(s_ != "", s_).alias("_s"), m_.alias("_m"),
+                           m_.try_cast(dtype).alias("_p"))
     return parsed.select(F.col("_s").alias(STATION),
                          _strict(F.col("_m"), F.col("_p"), dtype).alias(MEASURE))
 
 
 def _strict(text, parsed, dtype: str):
+    """``parsed``, or an error when non-blank ``text`` did not parse (the trim runs
+    only on that rare path)."""
     bad = F.raise_error(F.concat(F.lit(f"bad {dtype} measurement: "), text))
-    return F.when(text.isNotNull() & parsed.isNull(), bad.cast(dtype)).otherwise(parsed)
+    failed = text.isNotNull() & parsed.isNull() & (F.trim(text) != "")
+    return F.when(failed, bad.cast(dtype)).otherwise(parsed)
 
 
 def strict_number(text, dtype: str):
