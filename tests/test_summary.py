@@ -181,3 +181,11 @@ def test_double_input_is_taken_at_one_decimal(spark, tmp_text):
     a = S.summary_decimal(T.scan_text_double(spark, path)).collect()
     b = S.summary_decimal(T.scan_text_decimal(spark, path)).collect()
     assert a == b
+
+
+def test_text_flagship_plan(spark, tmp_text):
+    df = S.summary_decimal(T.scan_text_decimal(spark, tmp_text(README_LINES)))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" in plan and "FileScan csv" not in plan
+    assert "partial_sum(UnscaledValue(" in plan
+    assert "Python" not in plan
