@@ -189,3 +189,18 @@ def test_text_flagship_plan(spark, tmp_text):
     assert "FileScan text" in plan and "FileScan csv" not in plan
     assert "partial_sum(UnscaledValue(" in plan
     assert "Python" not in plan
+
+
+@pytest.mark.parametrize("line,expected", [
+    ('"A";1.0;2.0', "error"), ('"A"', "error"), ('"A;1.0', "error"),
+    ('"A";', ("A", None)), ('"A"x;1.0', ('"A"x', D("1.0"))), ('"A";"2.0"', ("A", D("2.0"))),
+])
+def test_quoted_edge_lines_agree(spark, tmp_text, line, expected):
+    path = tmp_text(["B;1.0", line])
+    for parser in ("lines", "csv"):
+        df = T.scan_text_decimal(spark, path, parser=parser)
+        if expected == "error":
+            with pytest.raises(Exception):
+                df.collect()
+        else:
+            assert tuple(df.collect()[-1]) == expected, parser
