@@ -30,6 +30,14 @@ def cmd_summary(spark: SparkSession, a) -> None:
         out = summary_double(scan_text_double(spark, a.input, parser=a.parser))
         write_parquet(out, a.output, single_file=True)
         return
+    if a.chunk_means is not None:
+        from tallyho.operators.chunks import mean_of_chunk_means
+        from tallyho.sources.lines import with_chunk_id, with_line_index
+
+        rows = scan_text_decimal(spark, a.input, parser=a.parser)
+        chunked = with_chunk_id(with_line_index(rows), a.chunk_means)
+        write_parquet(mean_of_chunk_means(chunked), a.output, single_file=True)
+        return
     rows = scan_text_decimal(spark, a.input, parser=a.parser)
     if a.first_lines is not None:
         from tallyho.sources.lines import first_lines, with_line_index
@@ -70,6 +78,20 @@ def cmd_estimate(spark: SparkSession, a) -> None:
     print(json.dumps(r.asDict()))
 
 
+def cmd_profile(spark: SparkSession, a) -> None:
+    from tallyho.operators.encoding import (describe_types, downcast_measure,
+                                            footprint_profile)
+    from tallyho.sources.text import scan_text_double
+
+    rows = scan_text_double(spark, a.input, parser="lines")
+    for stage, df in (("before", rows), ("after", downcast_measure(rows))):
+        for r in describe_types(spark, df).collect():
+            print(json.dumps({"stage": stage, "column": r.column, "type": r.type}))
+    print(json.dumps({"stage": "after", "column": "station", "type": "dictionary codes"}))
+    for r in footprint_profile(rows).collect():
+        print(json.dumps(r.asDict()))
+
+
 def cmd_etl(spark: SparkSession, a) -> None:
     from tallyho.plans.etl import staged_etl
 
@@ -97,6 +119,8 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--drop-null-keys", action="store_true")
     s.add_argument("--first-lines", type=lambda v: int(v.replace("_", "")), default=None,
                    help="only the first N lines of the input (in file order)")
+    s.add_argument("--chunk-means", type=lambda v: int(v.replace("_", "")), default=None,
+                   help="unweighted mean of per-chunk means over chunks of N lines")
     s.set_defaults(fn=cmd_summary)
 
     g = sub.add_parser("generate", help="measurement text from a station list")
@@ -113,6 +137,10 @@ def build_parser() -> argparse.ArgumentParser:
     e.add_argument("rows", type=lambda v: int(v.replace("_", "")))
     e.set_defaults(fn=cmd_estimate)
 
+    f = sub.add_parser("profile", help="column types and logical footprint, before/after encoding")
+    f.add_argument("input")
+    f.set_defaults(fn=cmd_profile)
+
     t = sub.add_parser("etl", help="extract -> transform -> load with stored hand-over")
     t.add_argument("input")
     t.add_argument("workdir")

@@ -63,3 +63,18 @@ def test_cli_etl_and_incremental(spark, tmp_path, capsys):
     out, ck = str(tmp_path / "inc"), fresh_dir(spark, "cli-ck")
     assert main(["incremental", str(d), out, ck, "--state-partitions", "2"], spark) == 0
     assert spark.read.parquet(out).count() == 9
+
+
+def test_cli_chunk_means_and_profile(spark, tmp_text, tmp_path, capsys):
+    src = tmp_text(["A;1.0", "A;2.0", "A;6.0", "B;5.0"])
+    out = str(tmp_path / "mom")
+    assert main(["summary", src, out, "--chunk-means", "2"], spark) == 0
+    got = {r.station: r.mean for r in spark.read.parquet(out).collect()}
+    assert got == {"A": 3.75, "B": 5.0}
+    capsys.readouterr()
+    assert main(["profile", src], spark) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    kinds = {(x.get("stage"), x.get("column"), x.get("type")) for x in lines if "type" in x}
+    assert ("before", "measure", "double") in kinds and ("after", "measure", "float") in kinds
+    total = [x for x in lines if x.get("column") == "total" and "bytes_before" in x][0]
+    assert total["bytes_before"] == 4 + 32 and 0 < total["reduction"] < 1
