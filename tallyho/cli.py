@@ -92,6 +92,12 @@ def cmd_profile(spark: SparkSession, a) -> None:
         print(json.dumps(r.asDict()))
 
 
+def cmd_show(spark: SparkSession, a) -> None:
+    from tallyho.sources.parquet import serve_summary
+
+    serve_summary(spark, a.summary).show(a.rows, truncate=False)
+
+
 def cmd_etl(spark: SparkSession, a) -> None:
     from tallyho.plans.etl import staged_etl
 
@@ -141,6 +147,11 @@ def build_parser() -> argparse.ArgumentParser:
     f.add_argument("input")
     f.set_defaults(fn=cmd_profile)
 
+    w = sub.add_parser("show", help="print rows of a stored summary")
+    w.add_argument("summary")
+    w.add_argument("--rows", type=int, default=20)
+    w.set_defaults(fn=cmd_show)
+
     t = sub.add_parser("etl", help="extract -> transform -> load with stored hand-over")
     t.add_argument("input")
     t.add_argument("workdir")

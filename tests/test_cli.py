@@ -78,3 +78,13 @@ def test_cli_chunk_means_and_profile(spark, tmp_text, tmp_path, capsys):
     assert ("before", "measure", "double") in kinds and ("after", "measure", "float") in kinds
     total = [x for x in lines if x.get("column") == "total" and "bytes_before" in x][0]
     assert total["bytes_before"] == 4 + 32 and 0 < total["reduction"] < 1
+
+
+def test_cli_show(spark, tmp_text, tmp_path, capsys):
+    src = tmp_text(README_LINES)
+    out = str(tmp_path / "s.parquet")
+    main(["summary", src, out], spark)
+    capsys.readouterr()
+    assert main(["show", out, "--rows", "3"], spark) == 0
+    printed = capsys.readouterr().out
+    assert "Bridgetown" in printed and "only showing top 3 rows" in printed
