@@ -109,7 +109,8 @@ def cmd_incremental(spark: SparkSession, a) -> None:
 
     print(incremental_summary(spark, a.input, a.output, a.checkpoint,
                               files_per_trigger=a.files_per_trigger,
-                              state_partitions=a.state_partitions))
+                              state_partitions=a.state_partitions,
+                              state_store="rocksdb" if a.rocksdb else None))
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -163,6 +164,7 @@ def build_parser() -> argparse.ArgumentParser:
     i.add_argument("checkpoint")
     i.add_argument("--files-per-trigger", type=int, default=1)
     i.add_argument("--state-partitions", type=int, default=None)
+    i.add_argument("--rocksdb", action="store_true", help="keep the state in RocksDB")
     i.set_defaults(fn=cmd_incremental)
     return p
 

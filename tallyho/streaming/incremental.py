@@ -20,15 +20,22 @@ from tallyho.schema import MEASURE, MEASURE_DECIMAL, STATION
 from tallyho.sources.text import parse_measure_lines
 
 
+# Fixed value: Spark's RocksDB state store provider class (off-heap state, the
+# usual choice when the state is large).
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def incremental_summary(spark: SparkSession, text_dir: str, out_path: str,
                         checkpoint_path: str, files_per_trigger: int = 1,
-                        state_partitions: int | None = None) -> str:
+                        state_partitions: int | None = None,
+                        state_store: str | None = None) -> str:
     """Run (or continue) the incremental summary; returns ``out_path``.
 
     ``state_partitions`` sizes the state store (one row per station) apart from
-    the batch shuffle width; it is fixed by the first run of a checkpoint.  The
-    stream copies the session's settings when it starts, so the value is set
-    only around ``start()``.
+    the batch shuffle width; ``state_store="rocksdb"`` keeps the state in
+    RocksDB.  Both are fixed by the first run of a checkpoint.  The stream copies
+    the session's settings when it starts, so they are set only around
+    ``start()``.
     """
     lines = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
              .text(text_dir))
@@ -43,16 +50,24 @@ def incremental_summary(spark: SparkSession, text_dir: str, out_path: str,
               .option("checkpointLocation", checkpoint_path)
               .trigger(availableNow=True)
               .foreachBatch(publish))
-    if state_partitions is None:
+    overrides = {}
+    if state_partitions is not None:
+        overrides["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if state_store == "rocksdb":
+        overrides["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+    elif state_store not in (None, "default"):
+        raise ValueError(f"unknown state store {state_store!r}")
+    before = {k: spark.conf.get(k, None) for k in overrides}
+    for k, v in overrides.items():
+        spark.conf.set(k, v)
+    try:
         query = writer.start()
-    else:
-        key = "spark.sql.shuffle.partitions"
-        before = spark.conf.get(key)
-        spark.conf.set(key, str(state_partitions))
-        try:
-            query = writer.start()
-        finally:
-            spark.conf.set(key, before)
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))

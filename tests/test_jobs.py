@@ -147,3 +147,13 @@ def test_text_sink_single_sorted_file(spark):
     assert len(df.inputFiles()) == 1
     lines = [r.value for r in df.collect()]
     assert lines == sorted(lines, key=lambda v: v.split(";")[0].encode("utf-8"))
+
+
+def test_incremental_rocksdb_state(spark, m_text, expected):
+    work = fresh_dir(spark, "test-rocks")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    out = incremental_summary(spark, m_text, f"{work}/summary", f"{work}/ck",
+                              files_per_trigger=2, state_store="rocksdb")
+    assert _rows(read_parquet(spark, out)) == expected
+    assert spark.conf.get(key, None) == before
