@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import fingerprint, language, mixing
+from tallyho.llm import decontaminate, fingerprint, language, mixing
 from tallyho.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,15 @@ def op1_language_id(spark, sf_dir):
     return language.predict(docs.drop("lang"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op2_decontamination(spark, sf_dir):
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+
+
 @query
 def op3_fingerprints(spark, sf_dir):
     return fingerprint.successor_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
