@@ -8,11 +8,14 @@ longest document, not by the batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyho.session import fresh_dir, table_path
 
@@ -64,6 +67,25 @@ def batches(rows: Iterable[pa.RecordBatch], text: str) -> Iterator[tuple[pa.Reco
             yield batch.slice(a, b - a), texts[a:b]
 
 
+def with_text_column(df: DataFrame, text: str, out: str, kind: T.DataType,
+                     compute: Callable[[list[bytes]], list | np.ndarray]) -> DataFrame:
+    """``df`` with ``out`` (replaced if there) computed from whole texts; other columns are
+    carried along whatever their names.  No shuffle."""
+    kept = [c for c in df.columns if c != out]
+    rows = df.select(*[F.col(f"`{c}`") for c in kept])
+    inner = [f"c{i}" for i in range(len(kept))]
+    schema = T.StructType([*rows.toDF(*inner).schema.fields, T.StructField("out", kind)])
+    at = kept.index(text)
+
+    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(schema)
+        for batch, texts in batches(parts, inner[at]):
+            values = pa.array(compute(texts), arrow.field("out").type)
+            yield pa.RecordBatch.from_arrays([*batch.columns, values], names=[*inner, "out"])
+
+    return rows.toDF(*inner).mapInArrow(work, schema).toDF(*kept, out)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values so that every output bit depends on every input bit."""
     h = h ^ (h >> U64(31))
@@ -88,30 +110,25 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def byte_class(chars: bytes) -> np.ndarray:
-    """Boolean table over the 256 byte values: True for the given ones."""
-    out = np.zeros(256, bool)
-    out[list(chars)] = True
-    return out
-
-
-#: The white space of `[^\x20\x09-\x0D]+`.
-SPACE = byte_class(b"\x20\x09\x0a\x0b\x0c\x0d")
+#: Byte classes of the words `[^\x20\x09-\x0D]+` (fixed values): 0 is white space.
+PLAIN = np.ones(256, np.uint8)
+PLAIN[list(b"\x20\x09\x0a\x0b\x0c\x0d")] = 0
 
 
 class Words:
-    """The words of a chunk: ``start``/``end`` byte offsets, a 64-bit ``hash`` each,
-    ``first[d]:first[d + 1]`` the words of document d.  ``separators`` is a byte
-    table; the byte 0x20 must be one of them (it joins the documents)."""
+    """The words of a chunk: longest runs of bytes of one class other than 0.
+
+    ``start``/``end`` are byte offsets, ``hash`` is 64 bits each, and document d has the
+    words ``first[d]:first[d + 1]``.  The byte 0x20, which joins the documents, must be of
+    class 0."""
 
-    def __init__(self, texts: list[bytes], separators: np.ndarray = SPACE):
+    def __init__(self, texts: list[bytes], classes: np.ndarray = PLAIN):
         raw = b" ".join(texts) + b" "
         buf = np.frombuffer(raw, np.uint8)
-        inside = ~separators[buf]
-        edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-        if inside[0]:
-            edge = np.concatenate(([0], edge))
-        self.raw, self.start, self.end = raw, edge[0::2], edge[1::2]
+        kind = classes[buf]
+        edge = np.concatenate(([0], np.flatnonzero(kind[1:] != kind[:-1]) + 1))
+        run = np.flatnonzero(kind[edge])
+        self.raw, self.start, self.end = raw, edge[run], edge[np.minimum(run + 1, len(edge) - 1)]
         lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         self.text_end = np.cumsum(lengths)
         self.first = np.concatenate(([0], np.searchsorted(self.start, self.text_end)))

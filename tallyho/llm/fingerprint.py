@@ -21,9 +21,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tallyho.llm.common import U64, batches, chunks, materialize, mix, shuffle_width, utf8
+from tallyho.llm.common import U64, batches, chunks, materialize, mix, shuffle_width, utf8, with_text_column
 
 BUCKETS = 256
 SHAPES = ((0, 2, 5), (0, 3, 7))
@@ -74,15 +75,7 @@ def likeness(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def with_fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """``df`` with its text's digest as column ``out`` (replaced if there); no shuffle."""
-    kept = [c for c in df.columns if c != out]
-
-    def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in batches(rows, text):
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(encode(digests(texts)), pa.string())],
-                                             names=[*kept, out])
-
-    rows = df.select(*[F.col(f"`{c}`") for c in kept])
-    return rows.mapInArrow(work, rows.schema.add(out, "string"))
+    return with_text_column(df, text, out, T.StringType(), lambda texts: encode(digests(texts)))
 
 
 #: Bytes of text per range partition that ``successor_report`` aims for.

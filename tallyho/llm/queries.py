@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import decontaminate, fingerprint, language, mixing
+from tallyho.llm import decontaminate, fingerprint, language, mixing, quality
 from tallyho.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+QUALITY_THRESHOLD = 0.3
+
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[fn.__name__] = fn
@@ -49,3 +51,12 @@ def op3_fingerprints(spark, sf_dir):
 def op4_mixing(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query
+def op6_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(id_crc() % 5 == 0, F.lit(False))
+    model = quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return quality.with_score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
