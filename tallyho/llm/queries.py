@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import decontaminate, fingerprint, language, mixing, quality
+from tallyho.llm import decontaminate, fingerprint, language, mixing, quality, sharding
 from tallyho.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 QUALITY_THRESHOLD = 0.3
+SHARDS = 40
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -60,3 +61,10 @@ def op6_quality(spark, sf_dir):
     model = quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
     return quality.with_score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op9_sharding(spark, sf_dir):
+    placed = sharding.shard(table(spark, sf_dir, "documents"), shards=SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
