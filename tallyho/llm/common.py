@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -42,6 +42,11 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def text_key(text: Column) -> Column:
+    """The md5 of a text, as 16 bytes."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Whole texts as UTF-8 bytes; null gives empty bytes."""
     return [v or b"" for v in column.cast(pa.binary()).to_pylist()]

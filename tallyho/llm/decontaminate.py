@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyho.llm.common import materialize
+from tallyho.llm.common import materialize, text_key
 
 WINDOW = 13
 TERMS = 3                    # rarest terms intersected per phrase
@@ -40,10 +40,6 @@ def words(text: Column) -> Column:
     return F.array_remove(parts, "")
 
 
-def text_key(text: Column) -> Column:
-    return F.unhex(F.md5(text.cast("binary")))
-
-
 def small(df: DataFrame) -> DataFrame:
     """``df`` (stored) with a broadcast hint if its counted size allows one."""
     width = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() in ("string", "binary")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import decontaminate, fingerprint, language, mixing, quality, sharding
+from tallyho.llm import decontaminate, fingerprint, language, mixing, neardup, quality, sharding
 from tallyho.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op9_sharding(spark, sf_dir):
     placed = sharding.shard(table(spark, sf_dir, "documents"), shards=SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op10_minhash(spark, sf_dir):
+    return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
