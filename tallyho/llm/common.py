@@ -38,6 +38,24 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``docs`` with generic column names, and ``key_id``/``key_text`` to meet decisions by."""
+    inner = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    id_at, text_at = docs.columns.index(id_col), docs.columns.index(text)
+    return inner.withColumns({"key_id": F.col(f"c{id_at}"), "key_text": text_key(F.coalesce(F.col(f"c{text_at}"), F.lit("")))})
+
+
+def decided(docs: DataFrame, decisions: DataFrame, id_col: str, text: str, *carry: str) -> DataFrame:
+    """All columns of the rows of ``docs`` named by ``decisions`` (``id, node, n`` and ``carry``), once
+    per decision: where ``n`` equal rows share one, a single row stands for them."""
+    rows = keyed(docs, id_col, text)
+    inner = rows.columns[:-2]
+    met = rows.join(decisions, F.col("key_id").eqNullSafe(F.col("id")) & (F.col("key_text") == F.col("node")))
+    if not decisions.where("n > 1").isEmpty():  # equal rows are rare: only they are shuffled again
+        met = met.where("n = 1").unionByName(met.where("n > 1").dropDuplicates(["id", "node"]))
+    return met.select(*inner, *carry).toDF(*docs.columns, *carry)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

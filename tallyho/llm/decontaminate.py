@@ -94,9 +94,17 @@ def intersect(index: DataFrame, wanted: DataFrame, slop: int = 0) -> DataFrame:
     return found.select("item", "text_key", "diagonal").distinct()
 
 
+def test_items(benchmark: DataFrame, item_col: str = "item_id", text: str = "text") -> DataFrame:
+    """``item_id, words, item`` (stored): the items that have words, keyed by their words."""
+    tests = benchmark.select(F.col(item_col).cast("string").alias("item_id"), words(F.col(text)).alias("words"))
+    return materialize(tests.where(F.size("words") > 0)
+                       .withColumn("item", F.md5(F.array_join("words", " ").cast("binary"))), "decon-items")
+
+
 def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` (id, text) with ``n_words`` and ``matches``: one (item key, hit positions) per
-    matching distinct item text, null where there is none.  ``items``: item, words."""
+    """``docs`` (any columns with ``text``) with ``n_words`` and ``matches``: one (item key, hit
+    positions) per matching distinct item text, null where there is none.  ``items``:
+    item, words (distinct)."""
     texts = docs.select("text").where("text IS NOT NULL")
     vocabulary = materialize(items.select(F.explode("words").alias("term")).distinct(), "decon-terms")
     frequency = materialize(term_frequency(texts, vocabulary), "decon-frequency")
@@ -127,19 +135,38 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFra
     return placed.select(*docs.columns, F.size("document").cast("bigint").alias("n_words"), matches.alias("matches"))
 
 
+def n_hit(matches: Column) -> Column:
+    """Words of a text inside any of its matches (null: 0)."""
+    return F.coalesce(F.size(F.array_distinct(F.flatten(matches["hit"]))), F.lit(0)).cast("bigint")
+
+
+def is_contaminated(hit: Column, n_words: Column, share: float = 0.05) -> Column:
+    """At least one word hit, and at least ``share`` of all words."""
+    return (hit > 0) & (round(1 / share) * hit >= n_words)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_col: str = "item_id",
+                         item_text: str = "text", window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs``, all columns, that aren't contaminated."""
+    items = test_items(benchmark, item_col, item_text).groupBy("item").agg(F.first("words").alias("words"))
+    inner = ["text" if c == text else f"c{i}" for i, c in enumerate(docs.columns)]
+    found = overlaps(docs.toDF(*inner), items, window)
+    matches = F.when(F.size("matches") > 0, F.col("matches"))
+    kept = found.where(~is_contaminated(n_hit(matches), F.col("n_words"), 0.05))
+    return kept.select(*inner).toDF(*docs.columns)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
                   item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """``id_col, n_words, n_hit, item_ids`` for every row: the words inside any occurrence of
     a window, and the items (ids as strings, sorted) with an occurring window."""
-    tests = benchmark.select(F.col(item_col).cast("string").alias("item_id"), words(F.col(item_text)).alias("words"))
-    tests = materialize(tests.where(F.size("words") > 0)
-                        .withColumn("item", F.md5(F.array_join("words", " ").cast("binary"))), "decon-items")
+    tests = test_items(benchmark, item_col, item_text)
     items = tests.groupBy("item").agg(F.first("words").alias("words"))
     names = tests.groupBy("item").agg(F.collect_set("item_id").alias("ids"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     matched = F.when(F.size("matches") > 0, F.col("matches"))
     rows = materialize(overlaps(rows, items, window).withColumn("matches", matched).select(
-        "id", "n_words", F.coalesce(F.size(F.array_distinct(F.flatten("matches.hit"))), F.lit(0)).cast("bigint").alias("n_hit"),
+        "id", "n_words", n_hit(F.col("matches")).alias("n_hit"),
         F.array_sort(F.array_distinct("matches.item")).alias("set")), "decon-hits")
     # Rows without a match have no set; the others meet the id lists of their items by the
     # set of items, which many copies share.

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyho.llm.common import materialize
+from tallyho.llm.common import decided, materialize, text_key
 from tallyho.operators.indexing import dense_index, exclusive_prefix_sum
 
 WEIGHTS = (5, 2, 1)
@@ -68,10 +68,12 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share
 
 def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MAX_COPIES,
-        seed: int = SEED) -> DataFrame:
-    """``id_col, source, size, source_size, target, copies`` for every document."""
+        seed: int = SEED, text_keys: bool = False) -> DataFrame:
+    """``id_col, source, size, source_size, target, copies`` for every document, and with
+    ``text_keys`` the md5 of its text as ``node``."""
+    node = [text_key(F.coalesce(F.col(text), F.lit(""))).alias("node")] if text_keys else []
     docs = materialize(df.select(F.col(id_col).alias("id"), F.col(source).alias("source"),
-                                 word_count(F.col(text)).alias("size")), "mix-sizes")
+                                 word_count(F.col(text)).alias("size"), *node), "mix-sizes")
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, most)
     # The expected copies are the same for all documents of a source, so its prefix sum
@@ -88,4 +90,15 @@ def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str =
     copies = F.floor(offset + expected * (rank + 1)) - F.floor(offset + expected * rank)
     return (ordered.join(per_source, F.col("source").eqNullSafe(F.col("of")))
             .select(F.col("id").alias(id_col), "source", "size", "source_size", "target",
-                    copies.cast("bigint").alias("copies")))
+                    copies.cast("bigint").alias("copies"), *(["node"] if text_keys else [])))
+
+
+def mixture(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The mix itself: all columns of ``df``, every row as often as ``mix`` takes it."""
+    taken = mix(df, id_col, text, source, text_keys=True, **options).where("copies > 0")
+    taken = (taken.groupBy(F.col(id_col).alias("id"), "node")
+             .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n")))
+    rows = decided(df, materialize(taken, "mix-taken"), id_col, text, "copies")
+    inner = [f"c{i}" for i in range(len(df.columns))]
+    again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    return rows.toDF(*inner, "copies").select(*inner, again.alias("copy")).drop("copy").toDF(*df.columns)

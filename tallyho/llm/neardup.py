@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyho.llm.common import U64, Words, batches, gram_hashes, materialize, mix, text_key, utf8
+from tallyho.llm.common import U64, Words, batches, decided, gram_hashes, materialize, mix, text_key, utf8
 
 K = 5
 SIMILARITY = 0.8
@@ -263,13 +263,25 @@ def components(edges: DataFrame) -> DataFrame:
                             .join(root.select("node"), "node", "left_anti"))
 
 
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """All columns of one row of every class: the row with the smallest id (then md5)."""
+    found = materialize(classes(df, id_col, text, least).withColumnRenamed(id_col, "id"), "near-classes")
+    first = (found.where(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("root").agg(F.min("node").alias("node"))
+             .withColumnRenamed("root", "of"))
+    # Any row of the class with that id and text; several equal rows count as one.
+    keep = (found.join(first, (F.col("root") == F.col("of")) & F.col("id").eqNullSafe(F.col("class_id")) &
+                       (found["node"] == first["node"]))
+            .groupBy("id", found["node"]).agg(F.count(F.lit(1)).alias("n")))
+    return decided(df, materialize(keep, "near-kept"), id_col, text)
+
+
 def classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """``id_col, class_id, class_size, node`` for every row: the smallest id of its class and the
-    number of rows in it (``node`` is the md5 of the text)."""
+    """``id_col, class_id, class_size, node, root`` for every row: the smallest id of its class and
+    the number of rows in it; the md5 of its text and the smallest one in its class."""
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     prints = materialize(fingerprinted(docs), "near-sketches")
     root = components(links(docs, prints, least))
     rows = materialize(prints.select("id", "node").join(root, "node", "left")
                        .select("id", "node", F.coalesce("root", "node").alias("root")), "near-rows")
     names = rows.groupBy("root").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return rows.join(names, "root").select(F.col("id").alias(id_col), "class_id", "class_size", "node")
+    return rows.join(names, "root").select(F.col("id").alias(id_col), "class_id", "class_size", "node", "root")

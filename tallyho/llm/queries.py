@@ -40,7 +40,7 @@ def op2_decontamination(spark, sf_dir):
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+        decontaminate.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
 @query

@@ -29,6 +29,7 @@ from tallyho.llm.common import materialize
 from tallyho.operators.indexing import exclusive_prefix_sum
 
 ROW_BYTES = 16
+TARGET_BYTES = 256 << 20
 BIN_BITS = 10                # 1,024 bins
 GRID_BITS, HASH_BITS = 22, 40
 FINE = 0.001                 # of a shard: a bin this light isn't searched further
@@ -57,24 +58,25 @@ class Node:
         return [self] if self.left is None else self.left.leaves() + self.right.leaves()
 
 
-def measured(df: DataFrame, id_col: str, text: str) -> tuple[DataFrame, list[str]]:
-    """Rows with size, crc and coordinates, and the names of the dimensions."""
+DIMENSIONS = ["by_bytes", "by_lines", "by_script"]
+
+
+def measures(id_col: str, text: str) -> list[Column]:
+    """Size, crc, hash of the id and coordinates of a row."""
     t = F.coalesce(F.col(text), F.lit(""))
     size, chars = F.octet_length(t), F.length(t)
     lines = size - F.octet_length(F.translate(t, "\n", ""))
-    scale = {"by_bytes": F.log2(size + 1.0) / 40, "by_lines": F.log2(lines + 1.0) / 40,
-             "by_script": F.when(size > 0, (size - chars) / size).otherwise(F.lit(0.0))}
+    scale = [F.log2(size + 1.0) / 40, F.log2(lines + 1.0) / 40,
+             F.when(size > 0, (size - chars) / size).otherwise(F.lit(0.0))]
     tail = F.xxhash64(t).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
     grid = (1 << GRID_BITS) - 1
     coordinates = [(F.shiftleft(F.floor(F.least(v, F.lit(1.0)) * grid).cast("bigint"), HASH_BITS) + tail).alias(k)
-                   for k, v in scale.items()]
-    rows = df.select(F.col(id_col).alias("id"), (size + ROW_BYTES).cast("bigint").alias("size"),
-                     F.crc32(t.cast("binary")).alias("text_crc32"),
-                     F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string")), 2).alias("id_hash"), *coordinates)
-    return materialize(rows, "shard-rows"), list(scale)
+                   for k, v in zip(DIMENSIONS, scale)]
+    return [(size + ROW_BYTES).cast("bigint").alias("size"), F.crc32(t.cast("binary")).alias("text_crc32"),
+            F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string")), 2).alias("id_hash"), *coordinates]
 
 
-def _cuts(rows: DataFrame, dims: list[str], root: Node, nodes: list[Node], leaf_bytes: float) -> None:
+def _cuts(rows: DataFrame, root: Node, nodes: list[Node], leaf_bytes: float) -> None:
     """Set ``cut`` of all ``nodes`` (leaves so far, their ``dim`` chosen)."""
     whole = GRID_BITS + HASH_BITS
     # by node: axis (0 the coordinate, 1 the id hash), the range [low, low + 2**bits), bytes before it
@@ -84,10 +86,10 @@ def _cuts(rows: DataFrame, dims: list[str], root: Node, nodes: list[Node], leaf_
     spark = rows.sparkSession
     leaf_of = root.column(lambda leaf: leaf.first)
     while todo:
-        search = spark.createDataFrame([(n.first, dims.index(n.dim), *state[n.first][:3], state[n.first][4])
+        search = spark.createDataFrame([(n.first, DIMENSIONS.index(n.dim), *state[n.first][:3], state[n.first][4])
                                         for n in todo.values()],
                                        "node int, dim int, axis int, low bigint, bits int, fixed bigint")
-        coordinate = F.get(F.array(*dims), F.col("dim"))
+        coordinate = F.get(F.array(*DIMENSIONS), F.col("dim"))
         place = F.when(F.col("axis") == 0, coordinate).when(coordinate == F.col("fixed"), F.col("id_hash")) - F.col("low")
         found = (rows.withColumn("node", leaf_of).join(F.broadcast(search), "node")  # at most a row per shard
                  .select("node", place.alias("place"), "bits", "size")
@@ -121,8 +123,8 @@ def _cuts(rows: DataFrame, dims: list[str], root: Node, nodes: list[Node], leaf_
                 del todo[first]
 
 
-def build(rows: DataFrame, dims: list[str], shards: int) -> Node:
-    """The tree over stored rows (``measured``)."""
+def build(rows: DataFrame, shards: int) -> Node:
+    """The tree over stored rows with ``measures``."""
     total = rows.agg(F.sum("size")).first()[0] or 0
     root = Node(shards, 0, total)
     while True:
@@ -131,26 +133,41 @@ def build(rows: DataFrame, dims: list[str], shards: int) -> Node:
             return root
         node = root.column(lambda leaf: leaf.first)
         spread = {r["node"]: r for r in rows.groupBy(node.alias("node")).agg(
-            F.sum("size").alias("size"), *[(F.max(d) - F.min(d)).alias(d) for d in dims]).collect()}
+            F.sum("size").alias("size"), *[(F.max(d) - F.min(d)).alias(d) for d in DIMENSIONS]).collect()}
         for n in level:
             r = spread.get(n.first)
             n.bytes = r["size"] if r else 0
-            n.dim = max(dims, key=lambda d: r[d]) if r else dims[0]
-        _cuts(rows, dims, root, level, total / shards)
+            n.dim = max(DIMENSIONS, key=lambda d: r[d]) if r else DIMENSIONS[0]
+        _cuts(rows, root, level, total / shards)
         for n in level:
             k = n.shards // 2
             n.left, n.right = Node(k, n.first, 0), Node(n.shards - k, n.first + k, 0)
 
 
-def shard(df: DataFrame, id_col: str = "doc_id", text: str = "text", shards: int | None = None,
-          target_bytes: int = 256 << 20) -> DataFrame:
-    """``id_col, size, text_crc32, shard, slot`` for every row.  Without ``shards`` there are as
-    many as ``target_bytes`` asks for.  The tree is an expression over all rows: meant
-    for up to some thousand shards."""
-    rows, dims = measured(df, id_col, text)
+def planned(df: DataFrame, id_col: str, text: str, shards: int | None, target_bytes: int) -> tuple[DataFrame, Node]:
+    """Stored rows (``id`` and ``measures``) and their tree.  Without ``shards`` there are as
+    many as ``target_bytes`` asks for.  The tree becomes one expression over all rows:
+    meant for up to some thousand shards."""
+    rows = materialize(df.select(F.col(id_col).alias("id"), *measures(id_col, text)), "shard-rows")
     if shards is None:
         shards = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // target_bytes))
-    tree = build(rows, dims, shards)
+    return rows, build(rows, shards)
+
+
+def with_shard(df: DataFrame, id_col: str = "doc_id", text: str = "text", shards: int | None = None,
+               target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """All columns of ``df`` and ``shard`` (last): no row is shuffled."""
+    _, tree = planned(df, id_col, text, shards, target_bytes)
+    inner = [f"c{i}" for i in range(len(df.columns))]
+    id_at, text_at = df.columns.index(id_col), df.columns.index(text)
+    rows = df.toDF(*inner).select(*inner, *measures(f"c{id_at}", f"c{text_at}"))
+    return rows.select(*inner, tree.column(lambda leaf: leaf.first).alias("shard")).toDF(*df.columns, "shard")
+
+
+def shard(df: DataFrame, id_col: str = "doc_id", text: str = "text", shards: int | None = None,
+          target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """``id_col, size, text_crc32, shard, slot`` for every row."""
+    rows, tree = planned(df, id_col, text, shards, target_bytes)
     placed = rows.select("id", "size", "text_crc32", "id_hash", tree.column(lambda leaf: leaf.first).alias("shard"))
     order = exclusive_prefix_sum(placed.withColumn("one", F.lit(1)), ["shard", "text_crc32", "id_hash", "id"], "one",
                                  "position")
