@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import decontaminate, fingerprint, language, mixing, neardup, quality, sharding
+from tallyho.llm import decontaminate, fingerprint, html, language, mixing, neardup, quality, sharding
 from tallyho.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,13 @@ def op4_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+@query
+def op5_html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html.main_text(pages, html.fit(pages), "html", "page_id", "url")
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query
 def op6_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
