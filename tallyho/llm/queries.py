@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import decontaminate, fingerprint, html, language, mixing, neardup, quality, sharding
+from tallyho.llm import decontaminate, fingerprint, html, language, mixing, neardup, quality, sharding, substrings
 from tallyho.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,11 @@ def op6_quality(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+@query
+def op7_substring_dedup(spark, sf_dir):
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op9_sharding(spark, sf_dir):
     placed = sharding.shard(table(spark, sf_dir, "documents"), shards=SHARDS)
