@@ -116,8 +116,9 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFra
     candidates = materialize(intersect(index, wanted).join(spans, "item").groupBy("text_key")
                              .agg(F.collect_list(F.struct("item", "diagonal", "words", "span")).alias("candidates")),
                              "decon-candidates")
+    # Candidates grow with the texts, so this is a sort-merge join at every size.
     placed = (docs.withColumn("key", text_key(F.col("text")))
-              .join(candidates.withColumnRenamed("text_key", "key"), "key", "left")
+              .join(candidates.withColumnRenamed("text_key", "key").hint("merge"), "key", "left")
               .withColumn("document", words(F.col("text"))))
 
     def compared(c: Column) -> Column:
