@@ -114,7 +114,7 @@ def successor_report(df: DataFrame, id_col: str = "doc_id", text: str = "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     runs = max(shuffle_width(spark), math.ceil(total / RANGE_BYTES))
     kind = rows.schema["id"].dataType.simpleString()
-    ordered = (rows.repartitionByRange(runs, F.col("id").desc(), F.col("text"))
+    ordered = (rows.repartitionByRange(runs, F.col("id").desc())
                .sortWithinPartitions(F.col("id").desc(), F.col("text")))
     full = f"id {kind}, {_REPORT}, run int, first boolean, text string"
     schema = spark.createDataFrame([], full).schema
