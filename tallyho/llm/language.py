@@ -75,7 +75,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str
     rows = rows.where("text IS NOT NULL AND label IS NOT NULL")
     sizes = rows.groupBy(F.col("label").alias("of")).agg(F.count(F.lit(1)).alias("n"))
     draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("train")), F.lit(1 << 30)) / (1 << 30)
-    sample = (rows.join(sizes, F.col("label") == F.col("of"))
+    sample = (rows.join(F.broadcast(sizes), F.col("label") == F.col("of"))  # a row per label
               .where(draw * F.col("n") < max_texts_per_label)
               .select("label", "text").repartition(TRAIN_TASKS))
 
