@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import decontaminate, fingerprint, html, language, mixing, neardup, quality, sharding, substrings
+from tallyho.llm import decontaminate, fingerprint, html, language, licenses, mixing, neardup, quality, sharding, substrings
 from tallyho.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,6 +15,7 @@ ORACLE: dict[str, str] = {}
 
 QUALITY_THRESHOLD = 0.3
 SHARDS = 40
+FOLDER_ROWS = 1024  # document ids per lowest directory in the license scan
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -75,6 +76,18 @@ def op7_substring_dedup(spark, sf_dir):
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+@query
+def op8_license_scan(spark, sf_dir):
+    """Documents as files ``source/lang/folder/name``, the folder by id; a document that opens
+    with a licence line is its folder's licence file."""
+    docs = table(spark, sf_dir, "documents")
+    opens = F.coalesce(F.substring_index("text", "\n", 1).rlike(licenses.CUE), F.lit(False))
+    name = F.when(opens, F.concat(F.lit("LICENSE-"), F.col("doc_id"))).otherwise(F.col("doc_id").cast("string"))
+    folder = F.floor(F.col("doc_id") / FOLDER_ROWS).cast("string")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), folder, name)
+    return licenses.scan(docs.withColumn("path", path), "path", "text", licenses.TEMPLATES, licenses.COSINE, "doc_id")
+
+
 @query
 def op9_sharding(spark, sf_dir):
     placed = sharding.shard(table(spark, sf_dir, "documents"), shards=SHARDS)
