@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import decontaminate, fingerprint, html, language, licenses, mixing, neardup, quality, sharding, substrings
+from tallyho.llm import decontaminate, fingerprint, html, language, licenses, mixing, neardup, quality, sharding, sql, substrings
 from tallyho.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {}  # filled at the end of the module
 
 QUALITY_THRESHOLD = 0.3
 SHARDS = 40
@@ -98,3 +98,11 @@ def op9_sharding(spark, sf_dir):
 @query
 def op10_minhash(spark, sf_dir):
     return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
+ORACLE.update({
+    "op2_decontamination": sql.DECONTAMINATION,
+    "op4_mixing": sql.MIXING,
+    "op7_substring_dedup": sql.SUBSTRINGS,
+    "op8_license_scan": sql.license_sql(FOLDER_ROWS),
+})
