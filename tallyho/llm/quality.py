@@ -34,6 +34,7 @@ VOCABULARY = 1 << 14
 WIDTH = 32
 NONZERO = 4
 REACH = 2
+LEAST_COUNT = 5          # rarer tokens have no vector, in training as in scoring
 HIDDEN = 24
 EPOCHS = 60
 MAX_TEXTS = 20_000
@@ -71,8 +72,8 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (w.hash >> U64(40)).astype(np.int64) % VOCABULARY, w.counts
 
 
-def context_sums(texts: list[bytes], index: np.ndarray) -> np.ndarray:
-    """For each bucket, the sum of the index vectors near its tokens."""
+def context_sums(texts: list[bytes], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each bucket, the sum of the index vectors near its tokens, and its count."""
     ids, counts = tokens(texts)
     text = np.repeat(np.arange(len(counts)), counts)
     near = np.zeros((len(ids), WIDTH), np.float32)
@@ -81,18 +82,20 @@ def context_sums(texts: list[bytes], index: np.ndarray) -> np.ndarray:
             same = (text[step:] == text[:-step])[:, None]
             near[step:] += index[ids[:-step]] * same
             near[:-step] += index[ids[step:]] * same
-    return np.stack([np.bincount(ids, weights=near[:, d], minlength=VOCABULARY) for d in range(WIDTH)], axis=1)
+    sums = np.stack([np.bincount(ids, weights=near[:, d], minlength=VOCABULARY) for d in range(WIDTH)], axis=1)
+    return sums, np.bincount(ids, minlength=VOCABULARY)
 
 
 def pooled(texts: list[bytes], vectors: np.ndarray) -> np.ndarray:
-    """Mean and spread of each text's word vectors, and its log length."""
+    """Mean and spread of the vectors of each text's known tokens, and its log length."""
     ids, counts = tokens(texts)
     out = np.zeros((len(counts), 2 * WIDTH + 1), np.float32)
+    known = (vectors != 0).any(axis=1).astype(np.int64)
     full = np.flatnonzero(counts)
     if len(full):
         starts = np.concatenate(([0], np.cumsum(counts[full])[:-1]))
         rows = vectors[ids]
-        n = counts[full][:, None].astype(np.float32)
+        n = np.maximum(1, np.add.reduceat(known[ids], starts))[:, None].astype(np.float32)
         mean = np.add.reduceat(rows, starts, axis=0) / n
         out[full, :WIDTH] = mean
         out[full, WIDTH:2 * WIDTH] = np.sqrt(np.maximum(0, np.add.reduceat(rows * rows, starts, axis=0) / n - mean ** 2))
@@ -140,14 +143,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
               .select("id", "text", "label").repartition(FIT_TASKS))
 
     def contexts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, total = index_vectors(), np.zeros((VOCABULARY, WIDTH))
+        index, total, seen = index_vectors(), np.zeros((VOCABULARY, WIDTH)), np.zeros(VOCABULARY, np.int64)
         for _, texts in batches(rows, "text"):
-            total += context_sums(texts, index)
-        yield pa.RecordBatch.from_pydict({"sums": [total.astype(np.float32).tobytes()]})
+            sums, counts = context_sums(texts, index)
+            total, seen = total + sums, seen + counts
+        yield pa.RecordBatch.from_pydict({"sums": [total.astype(np.float32).tobytes()], "seen": [seen.tobytes()]})
 
-    total = np.zeros((VOCABULARY, WIDTH))
-    for r in sample.mapInArrow(contexts, "sums binary").collect():
+    total, seen = np.zeros((VOCABULARY, WIDTH)), np.zeros(VOCABULARY, np.int64)
+    for r in sample.mapInArrow(contexts, "sums binary, seen binary").collect():
         total += np.frombuffer(r["sums"], np.float32).reshape(total.shape)
+        seen += np.frombuffer(r["seen"], np.int64)
+    total[seen < LEAST_COUNT] = 0
     vectors = total / np.maximum(1e-9, np.linalg.norm(total, axis=1, keepdims=True))
     vectors = vectors.astype(np.float32)
     shared = spark.sparkContext.broadcast(vectors)
