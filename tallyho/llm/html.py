@@ -8,8 +8,8 @@ region, and its blocks in places of positive score are the text.
 A word's *place* is its nearest container other than the article itself (a
 navigation list, a footer, a division with its classes) and its block element.
 Labelled pages are those that mark their article up (``article`` or ``main``): words
-inside it and in no boilerplate container are content.  Places never seen get +1 or,
-inside boilerplate containers, -1 per word.
+inside it are content.  Places never seen get +1 per word.  A boilerplate container (by
+its element or its class names) costs one negative score and is left out of the text.
 
 ``fit`` reads at most about ``MAX_PAGES`` pages, drawn by a hash of the id.  Extraction reads
 whole pages, one at a time, without a shuffle.
@@ -36,6 +36,7 @@ from tallyho.llm.common import batches
 
 MAX_PAGES = 5_000
 TAG_SCORE = -0.1           # of tags never seen, and the least negative score of any tag
+BOILERPLATE_SCORE = -1.0   # of a whole boilerplate container
 
 # Element names of HTML and words by which sites name boilerplate.
 BLOCKS = frozenset(("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption "
@@ -69,8 +70,8 @@ def place_of(tag: str, attributes: str) -> tuple[str, bool]:
 
 
 def segments(html: str) -> Iterator[tuple[str, str, str, bool, bool]]:
-    """The page in order: ``("tag", name, "", False, False)`` and ``("text", place, raw text, in
-    boilerplate, in the article)``."""
+    """The page in order: ``("tag", name, "", in boilerplate, in the article)`` and ``("text",
+    place, raw text, in boilerplate, in the article)``."""
     stack: list[tuple[str, str, bool, bool, str]] = [("", "", False, False, "")]  # tag, container, boiler, article, block
     count: Counter = Counter()
     last = 0
@@ -82,8 +83,8 @@ def segments(html: str) -> Iterator[tuple[str, str, str, bool, bool]]:
         tag = (m["tag"] or "").lower()
         if not tag:
             continue
-        yield "tag", tag, "", False, False
         if m["end"]:
+            yield "tag", tag, "", *stack[-1][2:4]
             if count[tag]:
                 while True:
                     gone = stack.pop()[0]
@@ -95,12 +96,16 @@ def segments(html: str) -> Iterator[tuple[str, str, str, bool, bool]]:
                 count[stack.pop()[0]] -= 1
             _, container, boiler, article, block = stack[-1]
             if tag in CONTAINERS:
-                container, own = place_of(tag, m["attributes"])
+                place, own = place_of(tag, m["attributes"])
+                container = place if place not in ("div", "section") else container  # a nameless one says nothing
                 boiler = boiler or own
             elif tag in BLOCKS and m["attributes"] and place_of(tag, m["attributes"])[1]:
                 container, boiler = place_of(tag, m["attributes"])
             stack.append((tag, container, boiler, article or tag in ARTICLE, tag if tag in BLOCKS else block))
             count[tag] += 1
+            yield "tag", tag, "", *stack[-1][2:4]
+        else:
+            yield "tag", tag, "", *stack[-1][2:4]
     if last < len(html):
         _, container, boiler, article, block = stack[-1]
         yield "text", f"{container}>{block}", html[last:], boiler, article
@@ -112,13 +117,9 @@ def counted(pages: list[str]) -> Counter:
     for html in pages:
         found = list(segments(html))
         if any(s[4] for s in found):
-            inside = False
             for kind, name, text, boiler, article in found:
-                if kind == "text":
-                    inside = article and not boiler
-                    out["word", name, inside] += len(text.split())
-                else:
-                    out["tag", name, inside] += 1
+                if not boiler:
+                    out["word" if kind == "text" else "tag", name, article] += len(text.split()) if kind == "text" else 1
     return out
 
 
@@ -152,21 +153,24 @@ def extract(html: str, learned: dict[tuple[str, str], float]) -> str:
     """The main text: blocks in page order, one per line."""
     found = list(segments(html))
     scores = []
+    before = False
     for kind, name, text, boiler, _ in found:
-        if kind == "tag":
+        if boiler:  # skipped as a whole, so its length says nothing about what follows
+            scores.append(0.0 if before else BOILERPLATE_SCORE)
+        elif kind == "tag":
             scores.append(learned.get(("tag", name), TAG_SCORE))
         else:
-            word = learned.get(("word", name), -1.0 if boiler else 1.0)
-            scores.append((min(word, -1.0) if boiler else word) * len(text.split()))
+            scores.append(learned.get(("word", name), 1.0) * len(text.split()))
+        before = boiler
     first, end = best_run(scores)
     blocks: list[list[str]] = [[]]
-    for (kind, name, text, _, _), score in zip(found[first:end], scores[first:end]):
+    for (kind, name, text, boiler, _), score in zip(found[first:end], scores[first:end]):
         if kind == "tag":
             if name in BLOCKS:
                 blocks.append([])
             elif name == "br":
                 blocks[-1].append(" ")
-        elif score >= 0:
+        elif score >= 0 and not boiler:
             blocks[-1].append(text)
     lines = (" ".join(unescape("".join(b)).split()) for b in blocks)
     return "\n".join(line for line in lines if line)
