@@ -9,7 +9,7 @@ most a fifth of the longer text: similarity 0.8 or more.
 
 Groups of copies stay cheap: equal texts are one node (their md5), a bucket's texts are
 compared with the bucket's smallest node only, and those that aren't similar to it
-(the rest) go to further rounds with 4, 16, 64 ... representatives until no bucket has a
+(the rest) go to further rounds with 8, 64, ... representatives until no bucket has a
 rest: nothing is capped, and pairs grow with the number of different groups in a
 bucket, not with their sizes.  Classes are the connected components of the links,
 found by star contraction on written tables; nothing of them reaches the driver.
@@ -34,9 +34,9 @@ from tallyho.llm.common import U64, Words, batches, decided, gram_hashes, materi
 
 K = 5
 SIMILARITY = 0.8
-SKETCHES = 32
-PICKED = 2
-MORE = 4                    # representatives per bucket grow by this factor each round
+SKETCHES = 48
+PICKED = 3
+MORE = 8                    # representatives per bucket grow by this factor each round
 _TOP = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -212,11 +212,11 @@ def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> Data
             order = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
             chosen = (members.withColumn("place", order).where(F.col("place") <= width)
                       .select("bucket", F.struct("node", "n_words").alias("r")))
-        met = (members.join(chosen, "bucket").where("node > r.node")
-               .select("bucket", F.col("node").alias("a"), F.col("r.node").alias("b"),
-                       (F.least("n_words", "r.n_words") >= least * F.greatest("n_words", "r.n_words") - 1e-9).alias("near")))
-        met = materialize(met, "near-met")
-        fresh = met.where("near").select("a", "b").distinct()
+        # Lengths that differ by more than the similarity allows need no comparison.
+        alike = F.least("n_words", "r.n_words") >= least * F.greatest("n_words", "r.n_words") - 1e-9
+        met = materialize(members.join(chosen, "bucket").where((F.col("node") > F.col("r.node")) & alike)
+                          .select("bucket", F.col("node").alias("a"), F.col("r.node").alias("b")), "near-met")
+        fresh = met.select("a", "b").distinct()
         if done is not None:
             fresh = fresh.join(done, ["a", "b"], "left_anti")
         checked = materialize(_verified(fresh, texts, least), "near-checked")
