@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,24 +71,25 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [v or b"" for v in column.cast(pa.binary()).to_pylist()]
 
 
-def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """``(first, end)`` index ranges whose bytes stay within ``limit`` (one text at least)."""
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > first and size + len(t) > limit:
+def chunks(lengths: Iterable[int], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """``(first, end)`` index ranges whose lengths stay within ``limit`` (one text at least)."""
+    first, size, i = 0, 0, -1
+    for i, n in enumerate(lengths):
+        if i > first and size + n > limit:
             yield first, i
             first, size = i, 0
-        size += len(t) + 1
-    if first < len(texts):
-        yield first, len(texts)
+        size += n + 1
+    if first <= i:
+        yield first, i + 1
 
 
-def batches(rows: Iterable[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def batches(rows: Iterable[pa.RecordBatch], text: str,
+            limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the Arrow batches, each with its texts, within the chunk limit."""
     for batch in rows:
-        texts = utf8(batch.column(text))
-        for a, b in chunks(texts):
-            yield batch.slice(a, b - a), texts[a:b]
+        for a, b in chunks(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist(), limit):
+            part = batch.slice(a, b - a)
+            yield part, utf8(part.column(text))
 
 
 def with_text_column(df: DataFrame, text: str, out: str, kind: T.DataType,
@@ -155,10 +157,17 @@ class Words:
         lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         self.text_end = np.cumsum(lengths)
         self.first = np.concatenate(([0], np.searchsorted(self.start, self.text_end)))
-        up, down = _powers(len(raw))
-        total = np.cumsum((buf.astype(U64) + U64(1)) * up)
-        total = np.concatenate((np.zeros(1, U64), total))
-        self.hash = mix((total[self.end] - total[self.start]) * down[self.start])
+        self.hash = np.empty(len(self.start), U64)
+        i = 0
+        while i < len(self.start):  # some bytes at a time: prefix sums take eight times as much
+            base = self.start[i]
+            j = max(i + 1, int(np.searchsorted(self.end, base + CHUNK_BYTES // 2, "right")))
+            first, last = self.start[i:j] - base, self.end[i:j] - base
+            up, down = _powers(int(last[-1]))
+            total = np.zeros(int(last[-1]) + 1, U64)
+            np.cumsum((buf[base:base + last[-1]].astype(U64) + U64(1)) * up, out=total[1:])
+            self.hash[i:j] = mix((total[last] - total[first]) * down[first])
+            i = j
 
     def __len__(self) -> int:
         return len(self.start)

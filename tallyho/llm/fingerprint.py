@@ -36,7 +36,7 @@ LENGTH_STEPS = 64        # length codes per text; four of them per doubling
 def digests(texts: list[bytes]) -> np.ndarray:
     """One digest per text: ``BUCKETS`` codes and the length code (uint8)."""
     out = np.zeros((len(texts), BUCKETS + 1), np.uint8)
-    for a, b in chunks(texts):
+    for a, b in chunks(map(len, texts)):
         part = texts[a:b]
         lengths = np.array([len(t) for t in part])
         buf = np.frombuffer((b"\0" * SPAN).join(part) + b"\0" * SPAN, np.uint8).astype(U64)

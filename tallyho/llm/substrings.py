@@ -36,17 +36,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyho.llm.common import U64, Words, _powers, batches, chunks, gram_hashes, materialize, mix, shuffle_width, utf8
+from tallyho.llm.common import U64, Words, _powers, batches, gram_hashes, materialize, mix, shuffle_width
 from tallyho.llm.fmindex import FMIndex
 
 WINDOW = 13
 GRAM = 5
 GROUP_BYTES = 4 << 20        # documents whose anchors and runs are combined before the shuffle
 BUCKET_BYTES = 64 << 20      # text per bucket of anchors
-SHARD_WORDS = 2 << 20        # words per index shard
+SHARD_WORDS = 1 << 20        # words per index shard
 RUN_WORDS = 18               # about the mean length of a run
 NO_ID = (1 << 63) - 1        # stands for a null id
 _WORD = 6                    # bytes kept of a word's hash
@@ -103,13 +104,6 @@ def unpacked(blobs: list[bytes], *kinds) -> list[np.ndarray]:
     return [np.concatenate(a) if a else np.zeros(0, k) for a, k in zip(out, kinds)]
 
 
-def _groups(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    for batch in rows:
-        texts = utf8(batch.column("text"))
-        for a, b in chunks(texts, GROUP_BYTES):
-            yield batch.slice(a, b - a), texts[a:b]
-
-
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -122,6 +116,16 @@ def _by(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(key[part[0]]), part
 
 
+_SHORT = np.dtype((np.void, _WORD))
+
+
+def _wide(raw: np.ndarray) -> np.ndarray:
+    """Six-byte rows as integers."""
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :_WORD] = raw
+    return out.view(U64)[:, 0]
+
+
 _ROW = pa.schema([("part", pa.int32()), ("id", pa.int64()), ("row", pa.int64()), ("blob", pa.binary())])
 _ROW_SQL = "part int, id bigint, row bigint, blob binary"
 
@@ -130,11 +134,18 @@ def _rows(cells: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([c[i] for c in cells], f.type) for i, f in enumerate(_ROW)], schema=_ROW)
 
 
+def _received(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], pa.RecordBatch]]:
+    """Of each batch the blobs to work on, and the rows (with an id) that only pass through."""
+    for batch in rows:
+        known = batch.column("id").is_valid()
+        yield batch.filter(pc.invert(known)).column("blob").to_pylist(), batch.filter(known)
+
+
 def anchors(docs: DataFrame, buckets: int) -> DataFrame:
-    """Per group and bucket one row (``part``, blob of hash, id, ordinal), and one row (``part``
-    null, id, blob of ordinals) per document with anchors that repeat within its group."""
+    """Per group and bucket one row (``part``, blob of hash, id, ordinal), and one row (with
+    ``id``, blob of ordinals) per document with anchors that repeat within its group."""
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in _groups(rows):
+        for batch, texts in batches(rows, "text", GROUP_BYTES):
             runs = Runs(Words(texts))
             if not len(runs):
                 continue
@@ -145,19 +156,28 @@ def anchors(docs: DataFrame, buckets: int) -> DataFrame:
             group = np.cumsum(new) - 1
             first = np.flatnonzero(new)
             repeats = (np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first))[group]
-            cells = [(None, int(ids[p[0]]), None, packed(runs.ordinal[p].astype(np.int32)))
+            cells = [(int(ids[p[0]]) % buckets, int(ids[p[0]]), None, packed(runs.ordinal[p].astype(np.int32)))
                      for _, p in _by_document(order[repeats], runs)]
             # one occurrence of each anchor stands for the group, others of one document too
             sent = order[new | ~repeats]
             known = repeats[new | ~repeats]
             ordinal = np.where(known, -1, runs.ordinal[sent]).astype(np.int32)
-            for bucket, p in _by((runs.hash[sent] >> U64(20)).astype(np.int64) % buckets):
-                cells.append((bucket, None, None, packed(runs.hash[sent][p], ids[sent][p], ordinal[p])))
+            for bucket, p in _by(_part(runs.hash[sent], buckets)):
+                cells.append((bucket, None, None, packed(_cut(runs.hash[sent][p]), ids[sent][p], ordinal[p])))
             yield _rows(cells)
 
     return docs.mapInArrow(work, _ROW_SQL)
 
 
+def _part(h: np.ndarray, parts: int) -> np.ndarray:
+    return (h & U64(0xFFFFFFFF)).astype(np.int64) % parts
+
+
+def _cut(h: np.ndarray) -> np.ndarray:
+    """The upper six bytes of hashes, one row each (the lower ones choose the part)."""
+    return h.view(np.uint8).reshape(-1, 8)[:, 8 - _WORD:]
+
+
 def _by_document(picked: np.ndarray, runs: Runs) -> Iterator[tuple[int, np.ndarray]]:
     for d, p in _by(runs.document[picked]):
         yield d, picked[p]
@@ -166,10 +186,14 @@ def _by_document(picked: np.ndarray, runs: Runs) -> Iterator[tuple[int, np.ndarr
 def marked(sent: DataFrame, buckets: int) -> DataFrame:
     """``id, blob`` of ordinals: the runs whose anchor occurs in several documents."""
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [b for batch in rows for b in batch.column("blob").to_pylist()]
-        h, ids, ordinal = unpacked(blobs, U64, np.int64, np.int32)
-        if not len(h):
+        blobs: list[bytes] = []
+        for own, through in _received(rows):
+            blobs += own
+            yield through
+        cut, ids, ordinal = unpacked(blobs, _SHORT, np.int64, np.int32)
+        if not len(cut):
             return
+        h = _wide(cut.view(np.uint8).reshape(-1, _WORD))
         order = np.argsort(h, kind="stable")
         h, ids, ordinal = h[order], ids[order], ordinal[order]
         first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
@@ -186,15 +210,14 @@ def marked(sent: DataFrame, buckets: int) -> DataFrame:
                 cells = []
         yield _rows(cells)
 
-    found = sent.where("part IS NOT NULL").repartition(buckets, "part").mapInArrow(work, _ROW_SQL)
-    return found.select("id", "blob").unionByName(sent.where("part IS NULL").select("id", "blob"))
+    return sent.repartition(buckets, "part").mapInArrow(work, _ROW_SQL).select("id", "blob")
 
 
 def runs_to_shards(docs: DataFrame, shards: int) -> DataFrame:
     """``docs`` (id, row, text, marks) to one row (``part``, blob) per group and shard, and spans
-    (``part`` null, id, row, blob) of the runs that repeat one of their group."""
+    (with ``id, row``) of the runs that repeat one of their group."""
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in _groups(rows):
+        for batch, texts in batches(rows, "text", GROUP_BYTES):
             runs = Runs(Words(texts))
             marks = batch.column("marks").to_pylist()
             known = np.zeros(len(runs), bool)
@@ -213,17 +236,17 @@ def runs_to_shards(docs: DataFrame, shards: int) -> DataFrame:
             new = np.concatenate(([True], key[order][1:] != key[order][:-1]))
             own = ids[runs.document[order]]
             repeats = own > own[np.flatnonzero(new)][np.cumsum(new) - 1]
-            cells = [(None, int(ids[d]), int(row[d]), packed(runs.offset(p).astype(np.int32),
+            cells = [(int(ids[d]) % shards, int(ids[d]), int(row[d]), packed(runs.offset(p).astype(np.int32),
                                                              (runs.offset(p) + runs.end[p] - runs.start[p]).astype(np.int32)))
                      for d, p in _by_document(order[repeats], runs)]
             sent = order[~repeats]
-            for shard, p in _by((runs.hash[sent] >> U64(20)).astype(np.int64) % shards):
+            for shard, p in _by(_part(runs.hash[sent], shards)):
                 p = sent[p]
                 length = runs.end[p] - runs.start[p]
                 at = np.repeat(runs.start[p] - (np.cumsum(length) - length), length) + np.arange(length.sum())
                 d = runs.document[p]
                 head = packed(ids[d], row[d], runs.offset(p).astype(np.int32), length.astype(np.int32))
-                body = runs.words.hash[at].view(np.uint8).reshape(-1, 8)[:, :_WORD].tobytes()
+                body = _cut(runs.words.hash[at]).tobytes()
                 cells.append((shard, None, None, len(head).to_bytes(8, "little") + head + body))
             yield _rows(cells)
 
@@ -237,9 +260,8 @@ def shard_spans(blobs: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
     if not len(ids):
         return
     raw = np.frombuffer(b"".join(b[c:] for b, c in zip(blobs, cut)), np.uint8).reshape(-1, _WORD)
-    wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :_WORD] = raw
-    _, symbol = np.unique(wide.view(U64)[:, 0], return_inverse=True)
+    _, symbol = np.unique(_wide(raw), return_inverse=True)
+    del raw
     symbol += 1
     start = np.cumsum(length, dtype=np.int64) - length
     # Equal runs are indexed once, with their smallest id.
@@ -297,15 +319,18 @@ def repeated_spans(sent: DataFrame, shards: int) -> DataFrame:
     """``id, row, blob`` of word spans (starts, ends) to remove."""
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells: list[tuple] = []
-        for doc, row, blob in shard_spans([b for batch in rows for b in batch.column("blob").to_pylist()]):
+        blobs: list[bytes] = []
+        for own, through in _received(rows):
+            blobs += own
+            yield through
+        for doc, row, blob in shard_spans(blobs):
             cells.append((None, doc, row, blob))
             if len(cells) == 20_000:
                 yield _rows(cells)
                 cells = []
         yield _rows(cells)
 
-    found = sent.where("part IS NOT NULL").repartition(shards, "part").mapInArrow(work, _ROW_SQL)
-    return found.unionByName(sent.where("part IS NULL")).select("id", "row", "blob")
+    return sent.repartition(shards, "part").mapInArrow(work, _ROW_SQL).select("id", "row", "blob")
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -321,7 +346,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     runs = marks.agg(F.sum(F.aggregate("marks", F.lit(0), lambda n, b: n + F.octet_length(b)))).first()[0] or 0
     shards = max(shuffle_width(spark), math.ceil(runs / 4 * RUN_WORDS / SHARD_WORDS))
     sent = runs_to_shards(docs.drop("id0").join(marks, "id"), shards)
-    spans = repeated_spans(materialize(sent, "repeat-runs"), shards)
+    spans = repeated_spans(sent, shards)
     spans = spans.groupBy("id", "row").agg(F.collect_list("blob").alias("spans"))
     kind = df.schema[id_col].dataType
 
