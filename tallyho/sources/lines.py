@@ -5,17 +5,19 @@ order.  Spark packs splits into tasks by size, so task order is not file order.
 The index is therefore built per split ("block"):
 
 1. tag every row with its file, block start and ``monotonically_increasing_id``
-   (contiguous inside one task, and one block is read by one task);
-2. aggregate per block: row count and first id -> a table with one row per
-   file split, checkpointed to the shared checkpoint folder;
+   (contiguous inside one task, and one block is read by one task) and store the
+   tagged rows as parquet below the shared checkpoint folder: splits are planned
+   once, so nothing that changes later (settings, executors, retries) matters;
+2. aggregate the stored rows per block: row count and first id -> a table with
+   one row per file split;
 3. a distributed exclusive running sum of counts over that block table gives
    each block's offset;
-4. join back on (file hash, block start): broadcast when the block count is
-   under ``MAX_BROADCAST_BLOCKS`` (checked on the materialised table), else a
-   shuffle join.
+4. join the stored rows with it on (file hash, block start): broadcast when the
+   block count is under ``MAX_BROADCAST_BLOCKS`` (checked on the stored table), else a
+   shuffle join.  A row without an offset, or outside its block, raises.
 
-No UDF, no single-partition ``row_number`` over the data.  The scan runs twice
-(count pass and index pass); nothing of the raw rows is cached.
+No UDF, no single-partition ``row_number`` over the data.  The text is parsed
+once; the stored rows are read twice (one of the passes reads the tags only).
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from tallyho.functions.stats import int_div
 from tallyho.operators.indexing import exclusive_prefix_sum
 from tallyho.schema import CHUNK_ID, LINE_INDEX
+from tallyho.session import fresh_dir
 
 # One row of the block table is ~32 bytes once broadcast; 2M blocks is
 # 256 TB of input at 128 MB splits.
@@ -43,10 +46,17 @@ def _tag(scan: DataFrame) -> DataFrame:
     )
 
 
-def block_offsets(scan: DataFrame) -> DataFrame:
-    """One row per file split: ``_fh, _fb, _first, _offset, _n``."""
+def stored_rows(scan: DataFrame) -> DataFrame:
+    """The scan's tagged rows, written once and read back."""
+    path = fresh_dir(scan.sparkSession, "line-index")
     tagged = _tag(scan)
-    blocks = tagged.groupBy("_fp", "_fh", "_fb").agg(
+    tagged.write.parquet(path)
+    return scan.sparkSession.read.schema(tagged.schema).parquet(path)
+
+
+def block_offsets(stored: DataFrame) -> DataFrame:
+    """One row per file split: ``_fh, _fb, _first, _offset, _n``."""
+    blocks = stored.groupBy("_fp", "_fh", "_fb").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     # One row per input split; the running sum over it is itself distributed.
     # The prefix sum checkpoints the sorted block table itself, so its result is
@@ -55,9 +65,19 @@ def block_offsets(scan: DataFrame) -> DataFrame:
     return offsets.select("_fh", "_fb", "_first", "_offset", "_n")
 
 
+def place_rows(stored: DataFrame, offsets: DataFrame, columns: list[str], broadcast: bool) -> DataFrame:
+    """``columns`` and the line index; raises where the offsets don't fit the rows."""
+    joined = stored.join(F.broadcast(offsets) if broadcast else offsets, ["_fh", "_fb"], "left")
+    within = F.col("_mid") - F.col("_first")
+    wrong = F.raise_error(F.concat(F.lit("line index: no offset for a row of "), F.col("_fp"))).cast("bigint")
+    index = F.when((within >= 0) & (within < F.col("_n")), F.col("_offset") + within).otherwise(wrong)
+    return joined.select(*columns, index.alias(LINE_INDEX))
+
+
 def line_index_with_total(scan: DataFrame) -> tuple[DataFrame, int]:
     """X1 plus the total row count, read from the per-split table (no extra pass)."""
-    offsets = block_offsets(scan)
+    stored = stored_rows(scan)
+    offsets = block_offsets(stored)
     stats = offsets.agg(F.count(F.lit(1)).alias("blocks"),
                         F.count_distinct("_fh", "_fb").alias("keys"),
                         F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).first()
@@ -65,13 +85,7 @@ def line_index_with_total(scan: DataFrame) -> tuple[DataFrame, int]:
         # Two file paths with the same 64-bit hash and block start: refuse
         # rather than mix their rows.
         raise RuntimeError("file path hash collision in the line index")
-    side = F.broadcast(offsets) if stats["blocks"] <= MAX_BROADCAST_BLOCKS else offsets
-    tagged = _tag(scan)
-    joined = tagged.join(side.drop("_n"), ["_fh", "_fb"], "inner")
-    indexed = joined.select(
-        *scan.columns,
-        (F.col("_offset") + F.col("_mid") - F.col("_first")).alias(LINE_INDEX))
-    return indexed, int(stats["rows"])
+    return (place_rows(stored, offsets, scan.columns, stats["blocks"] <= MAX_BROADCAST_BLOCKS), int(stats["rows"]))
 
 
 def with_line_index(scan: DataFrame) -> DataFrame:
@@ -90,11 +104,6 @@ def with_chunk_id(indexed: DataFrame, chunk_rows: int) -> DataFrame:
     return indexed.withColumn(CHUNK_ID, int_div(F.col(LINE_INDEX), F.lit(chunk_rows)))
 
 
-def chunk_count(total_rows: int, chunk_rows: int) -> int:
-    """Number of chunks: ceil(total / chunk)."""
-    return total_rows // chunk_rows + (1 if total_rows % chunk_rows else 0)
-
-
 def first_lines(indexed: DataFrame, n: int | None) -> DataFrame:
     """The first ``n`` lines (all when ``n`` is None), deterministic."""
     if n is None:

@@ -33,7 +33,6 @@ def test_chunk_boundaries_exact(spark, tmp_text):
     for r in ix.collect():
         got.setdefault(r.chunk_id, set()).add(r.station)
     assert got == {0: {"S0", "S1", "S2"}, 1: {"S3", "S4", "S5"}, 2: {"S6", "S7", "S8"}}
-    assert L.chunk_count(9, 3) == 3 and L.chunk_count(10, 3) == 4
 
 
 def test_line_index_over_files_and_splits(spark, tmp_path):
@@ -53,6 +52,54 @@ def test_line_index_over_files_and_splits(spark, tmp_path):
     assert all(r.station == f"s{r.line_idx}" for r in rows)
 
 
+def _numbered(tmp_path, lines=4000, files=3):
+    d = tmp_path / "numbered"
+    d.mkdir()
+    for f in range(files):
+        rows = range(f * lines, (f + 1) * lines)
+        (d / f"part-{f:05d}.txt").write_text("".join(f"s{i};{i % 100}.5\n" for i in rows))
+    return str(d), lines * files
+
+
+@pytest.mark.parametrize("change", [{"spark.sql.files.maxPartitionBytes": "7000"},
+                                    {"spark.sql.files.maxPartitionBytes": "90000", "spark.sql.leafNodeDefaultParallelism": "16"},
+                                    {"spark.sql.leafNodeDefaultParallelism": "1"}])
+def test_line_index_survives_changed_split_planning(spark, tmp_path, change):
+    """Settings that change splits between building the index and running it."""
+    path, n = _numbered(tmp_path)
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.leafNodeDefaultParallelism")
+    spark.conf.set(keys[0], "20000")
+    spark.conf.set(keys[1], "4")
+    try:
+        indexed = L.with_line_index(T.scan_text_decimal(spark, path))
+        for k, v in change.items():
+            spark.conf.set(k, v)
+        rows = sorted((r.line_idx, r.station) for r in indexed.collect())
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert rows == [(i, f"s{i}") for i in range(n)]
+
+
+def test_line_index_refuses_offsets_of_other_rows(spark, tmp_path):
+    path, _ = _numbered(tmp_path, lines=500)
+    stored = L.stored_rows(T.scan_text_decimal(spark, path))
+    offsets = L.block_offsets(stored)
+    for wrong in (offsets.limit(2), offsets.withColumn("_n", F.lit(10).cast("bigint")),
+                  offsets.withColumn("_first", F.col("_first") + 1)):
+        with pytest.raises(Exception, match="line index"):
+            L.place_rows(stored, wrong, ["station"], True).collect()
+
+
+def test_chunk_partials_stay_few(spark):
+    """Chunks are a fixed number, so partials are at most chunks x stations."""
+    from tallyho.queries import CHUNKS, QUERIES
+
+    partials = QUERIES["chunk_partials"](spark, SF_SMALL)
+    stations = events_measurements(spark, SF_SMALL).select("station").distinct().count()
+    assert partials.select("chunk_id").distinct().count() <= CHUNKS and partials.count() <= CHUNKS * stations
+
+
 def test_prefix(spark, tmp_text):
     path = tmp_text(["A;1.0", "A;3.0", "B;2.0", "A;9.0"])
     ix = L.with_line_index(T.scan_text_decimal(spark, path))
