@@ -12,52 +12,74 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 
 def _session() -> SparkSession:
     return SparkSession.builder.appName("tallyho").getOrCreate()
 
 
+class UsageError(Exception):
+    """Options that make no sense together."""
+
+
+def _check_summary(a) -> None:
+    kind = "double" if a.double else a.type
+    if a.double and a.type not in ("decimal", "double"):
+        raise UsageError("--double and --type disagree")
+    if a.format != "parquet" and kind != "decimal":
+        raise UsageError(f"--format {a.format} needs decimal measures")
+    if a.format != "parquet" and a.chunk_means is not None:
+        raise UsageError(f"--format {a.format} can't show --chunk-means")
+    if a.parser is not None and kind == "inferred":
+        raise UsageError("--parser is fixed for inferred types")
+    if kind == "inferred" and (a.first_lines is not None or a.chunk_means is not None):
+        raise UsageError("line positions need a scan with given types")
+    for name in ("first_lines", "chunk_means"):
+        if getattr(a, name) is not None and getattr(a, name) <= 0:
+            raise UsageError(f"--{name.replace('_', '-')} must be positive")
+
+
 def cmd_summary(spark: SparkSession, a) -> None:
-    from tallyho.functions.stats import state_aggs, sum_tenths
-    from tallyho.functions.text import triple_text, with_awk_mean_text
-    from tallyho.operators.summary import sort_stations, summary_decimal, summary_double
+    from tallyho.operators import summary as S
+    from tallyho.operators.chunks import mean_of_chunk_means
     from tallyho.sinks.files import write_lines, write_parquet
-    from tallyho.sources.text import scan_text_decimal, scan_text_double
-
-    if a.double:
-        out = summary_double(scan_text_double(spark, a.input, parser=a.parser))
-        write_parquet(out, a.output, single_file=True)
-        return
+    from tallyho.sources import lines as L
+    from tallyho.sources import text as T
+
+    kind = "double" if a.double else a.type
+    if kind == "inferred":
+        rows = T.scan_text_inferred(spark, a.input)
+    else:
+        scan = {"decimal": T.scan_text_decimal, "double": T.scan_text_double, "float": T.scan_text_float}[kind]
+        rows = scan(spark, a.input, parser=a.parser or "lines")
+    if a.first_lines is not None or a.chunk_means is not None:
+        rows = L.first_lines(L.with_line_index(rows), a.first_lines)
+    if a.drop_null_keys:
+        rows = S.drop_null_keys(rows)
     if a.chunk_means is not None:
-        from tallyho.operators.chunks import mean_of_chunk_means
-        from tallyho.sources.lines import with_chunk_id, with_line_index
-
-        rows = scan_text_decimal(spark, a.input, parser=a.parser)
-        chunked = with_chunk_id(with_line_index(rows), a.chunk_means)
-        write_parquet(mean_of_chunk_means(chunked), a.output, single_file=True)
-        return
-    rows = scan_text_decimal(spark, a.input, parser=a.parser)
-    if a.first_lines is not None:
-        from tallyho.sources.lines import first_lines, with_line_index
-
-        rows = first_lines(with_line_index(rows), a.first_lines).select("station", "measure")
+        out = mean_of_chunk_means(L.with_chunk_id(rows, a.chunk_means))
+    elif a.format == "delimited":
+        out = S.delimited_lines(rows)
+    else:
+        summary = {"decimal": S.summary_decimal, "float": S.summary_float}.get(kind, S.summary_double)
+        out = S.text_lines(summary(rows)) if a.format == "text" else summary(rows)
     if a.format == "parquet":
-        write_parquet(summary_decimal(rows, drop_nulls=a.drop_null_keys), a.output, single_file=True)
-    elif a.format == "text":
-        s = summary_decimal(rows, drop_nulls=a.drop_null_keys)
-        lines = s.select(F.concat(F.coalesce(F.col("station"), F.lit("")), F.lit(": "),
-                                  triple_text("min_temperature", "mean_temperature",
-                                              "max_temperature")).alias("value"))
-        write_lines(lines, "value", a.output, single_file=True)
-    else:  # delimited: station;max;min;mean
-        st = rows.groupBy("station").agg(*state_aggs("measure")).withColumn("_st", sum_tenths("sum"))
-        st = with_awk_mean_text(st, "_st", "count", "mean_text")
-        lines = sort_stations(st).select(F.concat_ws(
-            ";", F.coalesce("station", F.lit("")), F.col("max").cast("string"),
-            F.col("min").cast("string"), "mean_text").alias("value"))
-        write_lines(lines, "value", a.output, single_file=True)
+        write_parquet(out, a.output, single_file=a.single_file)
+    else:
+        write_lines(out, "value", a.output, single_file=a.single_file)
+
+
+def cmd_chain(spark: SparkSession, a) -> None:
+    from tallyho.plans.etl import chained_etl
+
+    print(chained_etl(spark, a.input, a.output, a.format, a.single_file))
+
+
+def cmd_fanout(spark: SparkSession, a) -> None:
+    from tallyho.plans.etl import partial_files_merge
+    from tallyho.sinks.files import write_parquet
+
+    print(write_parquet(partial_files_merge(spark, a.input, a.workdir, a.chunk_rows), a.output, single_file=a.single_file))
 
 
 def cmd_generate(spark: SparkSession, a) -> None:
@@ -101,7 +123,7 @@ def cmd_show(spark: SparkSession, a) -> None:
 def cmd_etl(spark: SparkSession, a) -> None:
     from tallyho.plans.etl import staged_etl
 
-    print(staged_etl(spark, a.input, a.workdir))
+    print(staged_etl(spark, a.input, a.workdir, a.type, a.single_file))
 
 
 def cmd_incremental(spark: SparkSession, a) -> None:
@@ -121,20 +143,23 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("input")
     s.add_argument("output")
     s.add_argument("--format", choices=["parquet", "text", "delimited"], default="parquet")
-    s.add_argument("--parser", choices=["lines", "csv"], default="lines")
-    s.add_argument("--double", action="store_true", help="64-bit float input, raw mean")
+    s.add_argument("--parser", choices=["lines", "csv"], default=None)
+    s.add_argument("--type", choices=["decimal", "double", "float", "inferred"], default="decimal",
+                   help="of the measures; all but decimal give the raw mean")
+    s.add_argument("--double", action="store_true", help="the same as --type double")
+    s.add_argument("--single-file", action="store_true", help="one sorted file instead of sorted part files")
     s.add_argument("--drop-null-keys", action="store_true")
     s.add_argument("--first-lines", type=lambda v: int(v.replace("_", "")), default=None,
                    help="only the first N lines of the input (in file order)")
     s.add_argument("--chunk-means", type=lambda v: int(v.replace("_", "")), default=None,
                    help="unweighted mean of per-chunk means over chunks of N lines")
-    s.set_defaults(fn=cmd_summary)
+    s.set_defaults(fn=cmd_summary, check=_check_summary)
 
     g = sub.add_parser("generate", help="measurement text from a station list")
     g.add_argument("stations")
     g.add_argument("rows", type=lambda v: int(v.replace("_", "")))
     g.add_argument("output")
-    g.add_argument("--seed", type=int, default=None)
+    g.add_argument("--seed", type=int, default=0)
     g.add_argument("--pool-size", type=int, default=10_000)
     g.add_argument("--files", type=int, default=None)
     g.set_defaults(fn=cmd_generate)
@@ -156,8 +181,25 @@ def build_parser() -> argparse.ArgumentParser:
     t = sub.add_parser("etl", help="extract -> transform -> load with stored hand-over")
     t.add_argument("input")
     t.add_argument("workdir")
+    t.add_argument("--type", choices=["decimal", "double"], default="decimal")
+    t.add_argument("--single-file", action="store_true")
     t.set_defaults(fn=cmd_etl)
 
+    c = sub.add_parser("chain", help="extract -> transform -> load as one job")
+    c.add_argument("input")
+    c.add_argument("output")
+    c.add_argument("--format", choices=["parquet", "text"], default="parquet")
+    c.add_argument("--single-file", action="store_true")
+    c.set_defaults(fn=cmd_chain)
+
+    o = sub.add_parser("fanout", help="stored partials per chunk of lines, then their merge")
+    o.add_argument("input")
+    o.add_argument("workdir")
+    o.add_argument("output")
+    o.add_argument("--chunk-rows", type=lambda v: int(v.replace("_", "")), default=100_000_000)
+    o.add_argument("--single-file", action="store_true")
+    o.set_defaults(fn=cmd_fanout)
+
     i = sub.add_parser("incremental", help="incremental summary over a folder of text files")
     i.add_argument("input")
     i.add_argument("output")
@@ -174,5 +216,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if getattr(args, "rows", 1) is not None and getattr(args, "rows", 1) <= 0:
         print("rows must be a positive integer", file=sys.stderr)
         return 2
+    try:
+        getattr(args, "check", lambda a: None)(args)
+    except UsageError as e:
+        print(e, file=sys.stderr)
+        return 2
     args.fn(spark or _session(), args)
     return 0

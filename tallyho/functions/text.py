@@ -99,5 +99,10 @@ def human_bytes(num) -> Column:
 
 
 def triple_text(mn, mean, mx) -> Column:
-    """``min/mean/max`` from one-decimal decimals."""
-    return F.concat_ws("/", *[_c(c).cast("string") for c in (mn, mean, mx)])
+    """``min/mean/max`` from one-decimal decimals; a NULL is an empty field."""
+    return delimited("/", mn, mean, mx)
+
+
+def delimited(sep: str, *columns) -> Column:
+    """Fields as text with ``sep`` between them; a NULL is an empty field, never a missing one."""
+    return F.concat_ws(sep, *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in columns])

@@ -15,8 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyho.functions.stats import (exact_mean, from_tenths, merge_aggs,
-                                     sum_input, tenths)
+from tallyho.functions.stats import from_tenths, merge_aggs, sum_input, tenths
 from tallyho.operators.summary import finish_state, sort_stations
 from tallyho.schema import CHUNK_ID, MEASURE, STATION, SUM_DECIMAL
 
@@ -130,6 +129,3 @@ def chunk_apply_udf(chunked: DataFrame, fn=None) -> DataFrame:
     state = _with_tenths(chunked, CHUNK_ID).groupBy(CHUNK_ID).applyInPandas(per_chunk, CHUNK_STATE_SCHEMA)
     return _state_from_tenths(state.drop(CHUNK_ID))
 
-
-__all__ = ["chunk_partials", "union_partials", "merge_partials", "mean_of_chunk_means",
-           "batch_partials_udf", "chunk_apply_udf", "exact_mean"]

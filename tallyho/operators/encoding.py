@@ -17,24 +17,17 @@ from tallyho.schema import MEASURE, STATION
 # Code width by dictionary size (pandas-style narrowest signed
 # integer): fewer than 127 values -> 1 byte, fewer than 32,767 -> 2 bytes,
 # fewer than 2,147,483,647 -> 4 bytes, else 8 bytes.
-CODE_WIDTHS = [(127, 1, "tinyint"), (32_767, 2, "smallint"), (2_147_483_647, 4, "int")]
+CODE_WIDTHS = [(127, 1), (32_767, 2), (2_147_483_647, 4)]
 
 
 def code_width(k: Column) -> Column:
     expr = None
-    for limit, width, _ in CODE_WIDTHS:
+    for limit, width in CODE_WIDTHS:
         cond = k < F.lit(limit)
         expr = F.when(cond, F.lit(width)) if expr is None else expr.when(cond, F.lit(width))
     return expr.otherwise(F.lit(8))
 
 
-def code_type(k: int) -> str:
-    for limit, _, name in CODE_WIDTHS:
-        if k < limit:
-            return name
-    return "bigint"
-
-
 def describe_types(spark: SparkSession, df: DataFrame) -> DataFrame:
     """``column, type`` rows for a frame's schema (metadata only)."""
     rows = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
@@ -42,7 +35,7 @@ def describe_types(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 
 # Largest dictionary shipped to every task (UTF-8 bytes plus ~16 bytes per entry).
-DICT_BROADCAST_BYTES = 256 * 1024 * 1024
+DICT_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def _dictionary_side(dictionary: DataFrame, key: str, max_bytes: int) -> DataFrame:
@@ -54,18 +47,18 @@ def _dictionary_side(dictionary: DataFrame, key: str, max_bytes: int) -> DataFra
 
 
 def dictionary_encode(df: DataFrame, key: str = STATION, code_col: str | None = None,
-                      max_broadcast_bytes: int = DICT_BROADCAST_BYTES):
+                      max_broadcast_bytes: int = DICT_BROADCAST_BYTES, code_type: str = "int"):
     """replace ``key`` by its code (0-based, sorted category order).
 
-    Returns ``(encoded, dictionary)``.  NULL keys get a NULL code.  The
-    dictionary (one row per distinct key) is checkpointed, measured, and
-    broadcast only under ``max_broadcast_bytes``; beyond that the join is a
-    shuffle join.
+    Returns ``(encoded, dictionary)``.  NULL keys get a NULL code.  Codes are of
+    ``code_type`` at every size (``bigint`` for more than 2**31 keys; a code that doesn't fit
+    raises in ANSI mode); the narrowest width is only reported (F3).  The dictionary
+    (one row per distinct key, over the checkpointed index) is measured and broadcast
+    only under ``max_broadcast_bytes``; beyond that the join is a shuffle join, whose hot
+    keys need ``spark.sql.adaptive.skewJoin.enabled`` (the default) to be split.
     """
     code_col = code_col or f"{key}_code"
-    dictionary = dense_index(df, key, code_col).checkpoint(eager=True)
-    k = dictionary.count()
-    dictionary = dictionary.select(key, F.col(code_col).cast(code_type(k)).alias(code_col))
+    dictionary = dense_index(df, key, code_col).select(key, F.col(code_col).cast(code_type).alias(code_col))
     others = [c for c in df.columns if c != key]
     side = _dictionary_side(dictionary, key, max_broadcast_bytes)
     encoded = df.join(side, key, "left").select(code_col, *others)

@@ -1,14 +1,16 @@
 """Test-data generation as Spark jobs.
 
 Rows come from ``spark.range(n)`` split over tasks; no Python runs per row.
-The fixed-size station pool is the only broadcast (``pool_size`` rows).
+Every draw is a hash of the seed and the row id.  Name tables are broadcast only
+when their measured size is small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyho.functions.stats import int_div
 from tallyho.functions.text import human_bytes
 from tallyho.operators.indexing import dense_index
 from tallyho.schema import MEASURE, MEASURE_DECIMAL, ROW_ID, STATION
@@ -18,74 +20,68 @@ from tallyho.schema import MEASURE, MEASURE_DECIMAL, ROW_ID, STATION
 # uniform -99 .. 99 as 32-bit floats; the labelled variant uses labels
 # "Cidade_<i>" and uniform -20 .. 50 rounded to 4 decimals.
 POOL_SIZE = 10_000
-COLDEST, HOTTEST = -99.9, 99.9
+HOTTEST_TENTHS = 999
 CYCLIC_LOW, CYCLIC_HIGH = -99.0, 99.0
 CHOICE_PREFIX = "Cidade_"
 CHOICE_LOW, CHOICE_HIGH = -20.0, 50.0
-CHOICE_MOD = 1_000_003  # prime modulus of the integer-hash mode
+LENGTH_SAMPLE = ",-123.4"  # stands for separator and measure in the size estimate
 
-# Integer mixing used by the deterministic (oracle-checkable) mode.
-SLOT_MUL, SLOT_ADD = 7919, 13
-NAME_MUL, NAME_ADD = 104723, 17
-TENTHS_MUL, TENTHS_ADD = 104729, 71
+POOL_BROADCAST_BYTES = 32 * 1024 * 1024
+DRAW = 1 << 32  # draws are 32 bits of an md5
 
 
-def _pool(spark: SparkSession, names: DataFrame, pool_size: int, seed: int | None) -> DataFrame:
+def draw(part: int, *of) -> Column:
+    """A number in [0, ``DRAW``) from the md5 of ``of`` joined by ``|``: the ``part``-th 32 bits.
+    The same for any engine, number of cores or split of the rows."""
+    digest = F.md5(F.concat_ws("|", *[F.lit(str(x)) if not isinstance(x, Column) else x.cast("string") for x in of]))
+    return F.conv(F.substring(digest, 1 + 8 * part, 8), 16, 10).cast("bigint")
+
+
+def _pool(spark: SparkSession, names: DataFrame, pool_size: int, seed: int) -> DataFrame:
     """``slot, station``: ``pool_size`` draws with replacement from the names."""
     idx = dense_index(names.select(F.col(STATION)), STATION, "name_idx")
     n_names = idx.count()
     if n_names == 0:
         raise ValueError("station name list is empty")
-    slots = spark.range(pool_size).withColumnRenamed("id", "slot")
-    if seed is None:
-        pick = (F.col("slot") * NAME_MUL + NAME_ADD) % F.lit(n_names)
-    else:
-        pick = F.floor(F.rand(seed) * n_names).cast("bigint")
-    slots = slots.withColumn("name_idx", pick)
+    slots = spark.range(pool_size).select(F.col("id").alias("slot"),
+                                          (draw(0, seed, "pool", F.col("id")) % n_names).alias("name_idx"))
     return slots.join(idx, "name_idx").select("slot", STATION)
 
 
-def generate_measurements(spark: SparkSession, names: DataFrame, n_rows: int,
-                          pool_size: int = POOL_SIZE, seed: int | None = None) -> DataFrame:
+def _small(df: DataFrame, name: str, max_bytes: int) -> DataFrame:
+    """Broadcast ``df`` if its measured size allows it, else leave the join a shuffle join."""
+    size = df.agg(F.coalesce(F.sum(F.octet_length(name) + 24), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= max_bytes else df
+
+
+def generate_measurements(spark: SparkSession, names: DataFrame, n_rows: int, pool_size: int = POOL_SIZE,
+                          seed: int = 0, max_broadcast_bytes: int = POOL_BROADCAST_BYTES) -> DataFrame:
     """G1 + G2: exactly ``n_rows`` rows ``rid, station, measure DECIMAL(3,1)``.
 
-    Stations are drawn in two levels (pool of ``pool_size`` draws, then each row
-    draws from the pool), so some stations are heavier and some absent.  With
-    ``seed=None`` both draws are integer hashes of the row id (same rows in any
-    engine); with a seed they use ``rand(seed)``.
+    Stations are drawn twice with replacement (a pool of ``pool_size`` names, then a slot
+    of it per row), so some are heavier and some absent; measures are uniform over
+    -99.9 .. 99.9.  All draws are hashes of (seed, row id).
     """
-    pool = _pool(spark, names, pool_size, seed)
-    rows = spark.range(n_rows).withColumnRenamed("id", ROW_ID)
-    if seed is None:
-        slot = (F.col(ROW_ID) * SLOT_MUL + SLOT_ADD) % F.lit(pool_size)
-        t = (F.col(ROW_ID) * TENTHS_MUL + TENTHS_ADD) % F.lit(1999) - F.lit(999)
-    else:
-        slot = F.floor(F.rand(seed + 1) * pool_size).cast("bigint")
-        t = F.round(F.rand(seed + 2) * (HOTTEST - COLDEST) + COLDEST, 1) * 10
-    rows = rows.select(ROW_ID, slot.alias("slot"),
-                       (t.cast("decimal(20,0)") / F.lit(10)).cast(MEASURE_DECIMAL).alias(MEASURE))
-    return rows.join(F.broadcast(pool), "slot").select(ROW_ID, STATION, MEASURE)
-
-
-def generate_cyclic(spark: SparkSession, cities: DataFrame, n_rows: int, seed: int | None = 0,
-                    broadcast_limit: int = 1_000_000) -> DataFrame:
-    """Row ``i`` gets city ``i % k`` (cities in code-point order) and a
-    FLOAT in -99 .. 99: uniform ``rand(seed)``, or with ``seed=None`` an integer
-    hash of the row id in hundredths (same rows in any engine)."""
+    pool = _small(_pool(spark, names, pool_size, seed), STATION, max_broadcast_bytes)
+    rid = F.col("id")
+    tenths = draw(1, seed, "row", rid) % (2 * HOTTEST_TENTHS + 1) - HOTTEST_TENTHS
+    rows = spark.range(n_rows).select(rid.alias(ROW_ID), (draw(0, seed, "row", rid) % pool_size).alias("slot"),
+                                      (tenths.cast("decimal(20,0)") / F.lit(10)).cast(MEASURE_DECIMAL).alias(MEASURE))
+    return rows.join(pool, "slot").select(ROW_ID, STATION, MEASURE)
+
+
+def generate_cyclic(spark: SparkSession, cities: DataFrame, n_rows: int, seed: int = 0,
+                    max_broadcast_bytes: int = POOL_BROADCAST_BYTES) -> DataFrame:
+    """Row ``i`` gets city ``i % k`` (cities in code-point order) and a FLOAT drawn
+    uniformly from -99 .. 99 by a hash of (seed, row id)."""
     idx = dense_index(cities, STATION, "city_idx")
     k = idx.count()
     if k == 0:
         raise ValueError("city list is empty")
-    side = F.broadcast(idx) if k <= broadcast_limit else idx
-    rid = F.col("id")
-    if seed is None:
-        hundredths = (rid * TENTHS_MUL + TENTHS_ADD) % F.lit(19801) - F.lit(9900)
-        value = hundredths.cast("double") / F.lit(100.0)
-    else:
-        value = F.rand(seed) * (CYCLIC_HIGH - CYCLIC_LOW) + CYCLIC_LOW
-    rows = spark.range(n_rows).select((rid % F.lit(k)).alias("city_idx"),
-                                      value.cast("float").alias("value"))
-    return rows.join(side, "city_idx").select(F.col(STATION).alias("city"), "value")
+    value = draw(0, seed, "cyclic", F.col("id")) / float(DRAW) * (CYCLIC_HIGH - CYCLIC_LOW) + CYCLIC_LOW
+    rows = spark.range(n_rows).select("id", (F.col("id") % k).alias("city_idx"), value.cast("float").alias("value"))
+    return (rows.join(_small(idx, STATION, max_broadcast_bytes), "city_idx")
+            .select(F.col("id").alias(ROW_ID), F.col(STATION).alias("city"), "value"))
 
 
 def city_summary(rows: DataFrame) -> DataFrame:
@@ -95,50 +91,28 @@ def city_summary(rows: DataFrame) -> DataFrame:
                                     F.avg("value").alias("avg_value"))
 
 
-def generate_choice(spark: SparkSession, n_rows: int, n_labels: int = 20,
-                    seed: int | None = 0) -> DataFrame:
-    """``estacao`` uniformly from ``Cidade_0..Cidade_{k-1}``, ``medida``
-    uniform -20 .. 50 rounded to 4 decimals; deterministic per seed.
-
-    With a seed both draws come from ``xxhash64`` of the row id (rounding half
-    to even, as the reference's array rounding does).  With ``seed=None`` they
-    are integer hashes modulo the prime ``CHOICE_MOD`` and the value is rounded
-    with integer arithmetic (the odd divisor leaves no ties), so any SQL engine
-    produces the same rows.
-    """
-    rid = F.col("id")
-    span = CHOICE_HIGH - CHOICE_LOW
-    if seed is None:
-        label = ((rid * NAME_MUL + NAME_ADD) % F.lit(CHOICE_MOD)) % F.lit(n_labels)
-        m = (rid * TENTHS_MUL + TENTHS_ADD) % F.lit(CHOICE_MOD)
-        # value = CHOICE_LOW + span * m / CHOICE_MOD in 1e-4 units, rounded half up:
-        # floor((2*num + d) / (2*d)); ``shift`` whole units keep the dividend
-        # positive so integral division is a floor.
-        num = m * F.lit(int(span) * 10_000) + F.lit(int(CHOICE_LOW) * 10_000 * CHOICE_MOD)
-        shift = 1_000_000
-        q = F.call_function("div", num * 2 + F.lit(CHOICE_MOD * (1 + 2 * shift)),
-                            F.lit(2 * CHOICE_MOD)) - F.lit(shift)
-        value = q.cast("double") / F.lit(10_000.0)
-    else:
-        label = F.pmod(F.xxhash64(rid, F.lit(seed)), F.lit(n_labels))
-        bits = F.pmod(F.xxhash64(rid, F.lit(seed + 1)), F.lit(1 << 53))
-        u = bits.cast("double") / F.lit(float(1 << 53))
-        value = F.bround(u * span + CHOICE_LOW, 4)
-    return spark.range(n_rows).select(
-        F.concat(F.lit(CHOICE_PREFIX), label.cast("string")).alias("estacao"),
-        value.alias("medida"))
+def generate_choice(ids: DataFrame, n_labels: int = 20, seed: int = 0) -> DataFrame:
+    """For every row of ``ids`` (one column) the id, ``estacao`` uniformly from
+    ``Cidade_0..Cidade_{k-1}`` and ``medida`` uniformly from -20 .. 50 at 4 decimals, both by
+    hashes of (seed, id) and in integers, so any SQL engine makes the same rows."""
+    (name,) = ids.columns
+    span = int(CHOICE_HIGH - CHOICE_LOW) * 10_000
+    steps = int_div(draw(1, seed, "choice", F.col(name)) * (2 * span) + DRAW, F.lit(2 * DRAW))
+    label = draw(0, seed, "choice", F.col(name)) % n_labels
+    return ids.select(name, F.concat(F.lit(CHOICE_PREFIX), label.cast("string")).alias("estacao"),
+                      ((steps + int(CHOICE_LOW) * 10_000).cast("double") / 10_000.0).alias("medida"))
 
 
 def size_estimate(names: DataFrame, n_rows: int) -> DataFrame:
     """Estimated text size for ``n_rows`` lines over these names.
 
-    record = (longest + 2 * shortest + len(",-123.4")) / 2 bytes;
+    record = (longest + 2 * shortest + len(LENGTH_SAMPLE)) / 2 bytes;
     total = n_rows * record, shown with 1024-based units (NULL past 1023.9 GiB).
     One global aggregate over the names; ``n_rows`` is a scalar (a count).
     """
     lens = names.agg(F.max(F.length(STATION)).cast("bigint").alias("max_len"),
                      F.min(F.length(STATION)).cast("bigint").alias("min_len"))
-    record = (F.col("max_len") + F.col("min_len") * 2 + F.lit(len(",-123.4"))) / F.lit(2.0)
+    record = (F.col("max_len") + F.col("min_len") * 2 + F.lit(len(LENGTH_SAMPLE))) / F.lit(2.0)
     total = F.lit(float(n_rows)) * record
     return lens.select("max_len", "min_len", record.alias("record_bytes"),
                        total.alias("total_bytes"), human_bytes(total).alias("size_text"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tallyho.functions.stats import (exact_mean, from_tenths, int_div,
                                      merge_aggs, state_aggs, sum_tenths,
                                      tenths)
+from tallyho.functions.text import delimited, triple_text, with_awk_mean_text
 from tallyho.schema import (MAX_COL, MEAN_COL, MEASURE, MEASURE_DECIMAL,
                             MIN_COL, STATION, SUM_DECIMAL)
 
@@ -129,8 +130,18 @@ def summary_head(summary: DataFrame, n: int = 5) -> DataFrame:
 
 def summary_formatted(summary: DataFrame) -> DataFrame:
     """``station, stats`` with stats = ``min/mean/max`` at one decimal."""
-    return summary.select(
-        STATION,
-        F.concat_ws("/", *[F.col(c).cast("string") for c in (MIN_COL, MEAN_COL, MAX_COL)]
-                    ).alias("stats"),
-    )
+    return summary.select(STATION, triple_text(MIN_COL, MEAN_COL, MAX_COL).alias("stats"))
+
+
+def text_lines(summary: DataFrame) -> DataFrame:
+    """``station, value`` with value = ``station: min/mean/max``."""
+    value = F.concat(F.coalesce(F.col(STATION), F.lit("")), F.lit(": "), triple_text(MIN_COL, MEAN_COL, MAX_COL))
+    return summary.select(STATION, value.alias("value"))
+
+
+def delimited_lines(df: DataFrame) -> DataFrame:
+    """``station, value`` with value = ``station;max;min;mean`` (mean at 6 significant
+    digits), from raw rows; always four fields."""
+    state = station_state(df).withColumn("_st", sum_tenths("sum"))
+    state = with_awk_mean_text(state, "_st", "count", "mean_text")
+    return sort_stations(state.select(STATION, delimited(";", STATION, "max", "min", "mean_text").alias("value")))

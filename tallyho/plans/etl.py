@@ -9,15 +9,13 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyho.operators.chunks import chunk_partials, merge_partials
-from tallyho.operators.summary import summary_decimal
-from tallyho.schema import CHUNK_ID
-from tallyho.sinks.files import write_parquet
-from tallyho.sources.lines import chunk_count, line_index_with_total, with_chunk_id
+from tallyho.operators.summary import sort_stations, summary_decimal, summary_double, text_lines
+from tallyho.sinks.files import write_lines, write_parquet
+from tallyho.sources.lines import with_chunk_id, with_line_index
 from tallyho.sources.parquet import read_parquet, summary_sql_view
-from tallyho.sources.text import scan_text_decimal
+from tallyho.sources.text import scan_text_decimal, scan_text_double
 
 
 def _missing_to_fnf(path: str, read):
@@ -35,83 +33,77 @@ def _missing_to_fnf(path: str, read):
 
 
 # ------------------------------------------------------------------ K6
-def extract(spark: SparkSession, text_path: str, out_path: str) -> str:
+SCANS = {"decimal": scan_text_decimal, "double": scan_text_double}
+SUMMARIES = {"decimal": summary_decimal, "double": summary_double}
+
+
+def extract(spark: SparkSession, text_path: str, out_path: str, kind: str = "decimal") -> str:
     """Text measurements -> raw rows as a parquet folder (K2)."""
-    raw = _missing_to_fnf(text_path, lambda: scan_text_decimal(spark, text_path))
+    raw = _missing_to_fnf(text_path, lambda: SCANS[kind](spark, text_path))
     write_parquet(raw, out_path)
     return out_path
 
 
-def transform(spark: SparkSession, in_path: str, out_path: str) -> str:
-    """Raw parquet rows -> sorted summary parquet."""
+def transform(spark: SparkSession, in_path: str, out_path: str, kind: str = "decimal") -> str:
+    """Raw parquet rows -> sorted summary parquet (``kind`` double: with the raw mean)."""
     raw = _missing_to_fnf(in_path, lambda: read_parquet(spark, in_path))
-    write_parquet(summary_decimal(raw), out_path, single_file=True)
+    write_parquet(SUMMARIES[kind](raw), out_path)
     return out_path
 
 
-def load(spark: SparkSession, in_path: str, out_path: str) -> str:
-    """Publish the summary to its final location."""
+def load(spark: SparkSession, in_path: str, out_path: str, single_file: bool = False) -> str:
+    """Publish the summary to its final location, sorted again."""
     summ = _missing_to_fnf(in_path, lambda: read_parquet(spark, in_path))
-    write_parquet(summ, out_path, single_file=True)
+    write_parquet(summ if single_file else sort_stations(summ), out_path, single_file=single_file)
     return out_path
 
 
-def staged_etl(spark: SparkSession, text_path: str, work_dir: str) -> str:
+def staged_etl(spark: SparkSession, text_path: str, work_dir: str, kind: str = "decimal",
+               single_file: bool = False) -> str:
     """K6: extract -> transform -> load with stored hand-over; returns the final path."""
-    raw = extract(spark, text_path, f"{work_dir}/extracted")
-    summ = transform(spark, raw, f"{work_dir}/transformed")
-    return load(spark, summ, f"{work_dir}/summary")
+    raw = extract(spark, text_path, f"{work_dir}/extracted", kind)
+    summ = transform(spark, raw, f"{work_dir}/transformed", kind)
+    return load(spark, summ, f"{work_dir}/summary", single_file)
 
 
 # ------------------------------------------------------------------ K7
-def chained_etl(spark: SparkSession, text_path: str, out_path: str) -> str:
+def chained_etl(spark: SparkSession, text_path: str, out_path: str, output: str = "parquet",
+                single_file: bool = False) -> str:
     """K7: the same three stages handing over lazy DataFrames (one Spark job).
 
-    Extract is a scan, transform is SQL over a registered view, load is the
-    write; nothing is materialised between them.
+    Extract is a scan, transform is SQL over it, load is the write (parquet, or
+    ``station: min/mean/max`` lines); nothing is materialised between them.
     """
-    def extract_df(_: DataFrame | None = None) -> DataFrame:
-        return _missing_to_fnf(text_path, lambda: scan_text_decimal(spark, text_path))
+    rows = _missing_to_fnf(text_path, lambda: scan_text_decimal(spark, text_path))
+    summ = summary_sql_view(spark, rows)
+    if output == "text":
+        return write_lines(text_lines(summ), "value", out_path, single_file=single_file)
+    if output != "parquet":
+        raise ValueError(f"unknown output {output!r}")
+    return write_parquet(summ, out_path, single_file=single_file)
 
-    def transform_df(df: DataFrame) -> DataFrame:
-        return summary_sql_view(spark, df, "extracted_measurements")
 
-    result = extract_df().transform(transform_df)
-    return write_parquet(result, out_path, single_file=True)
+# ------------------------------------------------------------------ K8 / A8
+CHUNK_ROWS = 100_000_000
 
 
-# ------------------------------------------------------------------ K8 / A8
-def write_chunk_partials(spark: SparkSession, text_path: str, chunk_rows: int,
-                         partials_dir: str) -> str:
-    """Fan-out: chunk the text by row ranges, aggregate each chunk, store one
-    parquet folder per chunk (``chunk_id=<k>``)."""
+def write_chunk_partials(spark: SparkSession, text_path: str, chunk_rows: int, partials_dir: str) -> str:
+    """Fan-out: chunk the text by row ranges, aggregate each chunk, store the partials.
+
+    ``chunk_id`` is a column; the number of files follows the shuffle, not the
+    number of chunks."""
     scan = _missing_to_fnf(text_path, lambda: scan_text_decimal(spark, text_path))
-    indexed, total = line_index_with_total(scan)
-    partials = chunk_partials(with_chunk_id(indexed, chunk_rows))
-    # One file per chunk, written by min(chunks, shuffle width) parallel tasks.
-    writers = max(1, min(chunk_count(total, chunk_rows),
-                         int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    (partials.repartition(writers, CHUNK_ID).write.mode("overwrite")
-        .partitionBy(CHUNK_ID).parquet(partials_dir))
+    chunk_partials(with_chunk_id(with_line_index(scan), chunk_rows)).write.mode("overwrite").parquet(partials_dir)
     return partials_dir
 
 
-def list_partial_files(spark: SparkSession, partials_dir: str) -> list[str]:
-    """Names of the stored partial files (file listing only, no data read)."""
-    return sorted(_missing_to_fnf(partials_dir, lambda: read_parquet(spark, partials_dir)).inputFiles())
-
-
-def merge_partial_files(spark: SparkSession, paths: list[str], base_path: str) -> DataFrame:
-    """Fan-in: read exactly the listed partial files and merge them."""
+def merge_partial_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """Fan-in: read a folder of partials, or exactly the given files, and merge them."""
     if not paths:
         raise ValueError("no partial files to merge")
-    partials = read_parquet(spark, *paths, base_path=base_path)
-    return merge_partials(partials.select(F.col(CHUNK_ID).cast("bigint").alias(CHUNK_ID),
-                                          *[c for c in partials.columns if c != CHUNK_ID]))
+    return merge_partials(read_parquet(spark, *paths))
 
 
-def partial_files_merge(spark: SparkSession, text_path: str, chunk_rows: int,
-                        work_dir: str) -> DataFrame:
-    """K8: list chunks -> process each -> merge, as one Spark application."""
-    pdir = write_chunk_partials(spark, text_path, chunk_rows, f"{work_dir}/partials")
-    return merge_partial_files(spark, list_partial_files(spark, pdir), pdir)
+def partial_files_merge(spark: SparkSession, text_path: str, work_dir: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """K8: chunks -> partials of each -> merge, as one Spark application."""
+    return merge_partial_files(spark, write_chunk_partials(spark, text_path, chunk_rows, f"{work_dir}/partials"))

@@ -14,15 +14,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.functions.stats import state_aggs, sum_tenths
-from tallyho.functions.text import triple_text, with_awk_mean_text
 from tallyho.operators import chunks as C
 from tallyho.operators import encoding as E
 from tallyho.operators import generate as G
 from tallyho.operators import summary as S
 from tallyho.plans import etl
-from tallyho.schema import (CHUNK_ID, LINE_INDEX, MAX_COL, MEAN_COL, MEASURE,
-                            MIN_COL, ROW_ID, STATION)
+from tallyho.schema import CHUNK_ID, LINE_INDEX, MEAN_COL, MEASURE, ROW_ID, STATION
 from tallyho.session import fresh_dir, table_path
 from tallyho.sinks.files import write_lines, write_measurement_text, write_parquet
 from tallyho.sources import lines as L
@@ -36,11 +33,11 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-CHUNK_ROWS = 1_000            # rows per chunk in the chunked queries
-FILE_CHUNK_ROWS = 2_500       # rows per stored partial file (fan-out / fan-in)
-ROWS_PER_STREAM_FILE = 25_000  # input file size of the incremental run
-MAX_STREAM_FILES = 64         # input files of the incremental run (rows are never dropped)
-STREAM_BATCHES = 4            # micro-batches the incremental run aims for
+CHUNKS = 16                        # chunks that the chunked queries aim for, at any size
+STREAM_FILE_BYTES = 64 << 20       # input files of the incremental run
+STREAM_BATCH_FILES = 16            # of them per micro-batch, where there are more than four
+LINE_BYTES = 24                    # about, of a measurement line
+SEED = 42
 
 
 def register(name: str, sql: str | None = None):
@@ -62,6 +59,7 @@ def with_mo(body: str) -> str:
             f"FROM M) {body}")
 
 
+# The output columns and the mean's rounding are the flagship's contract.
 SUMMARY_SQL = (
     "SELECT station, MIN(measure) AS min_temperature, "
     "CAST(AVG(measure) AS DECIMAL(3,1)) AS mean_temperature, "
@@ -82,6 +80,14 @@ def _m_text(spark, sf_dir, label, ordered=False, files=None) -> str:
     return path
 
 
+def _chunk_rows(rows: int) -> int:
+    """Rows per chunk for about ``CHUNKS`` chunks."""
+    return rows // CHUNKS + 1
+
+
+CHUNK_ROWS_SQL = f"((SELECT count(*) FROM M) // {CHUNKS} + 1)"
+
+
 def _round_mean(df: DataFrame, col: str = MEAN_COL) -> DataFrame:
     return df.withColumn(col, F.round(col, 6))
 
@@ -178,7 +184,7 @@ def q_summary_drop_null_keys(spark, sf_dir):
 
 @register("summary_sql_view", M_SUMMARY)
 def q_summary_sql_view(spark, sf_dir):
-    return summary_sql_view(spark, _m(spark, sf_dir), "measurements")
+    return summary_sql_view(spark, _m(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ text scans
@@ -226,34 +232,35 @@ def q_summary_double_from_text(spark, sf_dir):
 # ------------------------------------------------------------------ ordered text
 @register("line_index", with_mo(f"SELECT pos AS {LINE_INDEX}, station, measure FROM MO"))
 def q_line_index(spark, sf_dir):
-    path = _m_text(spark, sf_dir, "text-idx", ordered=True, files=4)
+    path = _m_text(spark, sf_dir, "text-idx", ordered=True)
     return L.with_line_index(T.scan_text_decimal(spark, path))
 
 
 @register("scan_chunks", with_mo(
-    f"SELECT pos // {CHUNK_ROWS} AS chunk_id, station, measure FROM MO"))
+    f"SELECT pos // {CHUNK_ROWS_SQL} AS chunk_id, station, measure FROM MO"))
 def q_scan_chunks(spark, sf_dir):
-    path = _m_text(spark, sf_dir, "text-chunks", ordered=True, files=4)
-    ix = L.with_line_index(T.scan_text_decimal(spark, path))
-    return L.with_chunk_id(ix, CHUNK_ROWS).select(CHUNK_ID, STATION, MEASURE)
+    path = _m_text(spark, sf_dir, "text-chunks", ordered=True)
+    indexed, total = L.line_index_with_total(T.scan_text_decimal(spark, path))
+    return L.with_chunk_id(indexed, _chunk_rows(total)).select(CHUNK_ID, STATION, MEASURE)
 
 
 @register("prefix_summary", with_mo(SUMMARY_SQL.format(
     src="(SELECT * FROM MO WHERE pos < (SELECT count(*) // 2 FROM MO)) p")))
 def q_prefix_summary(spark, sf_dir):
     """First half of the file's lines (``head -n N`` with N = lines // 2)."""
-    path = _m_text(spark, sf_dir, "text-prefix", ordered=True, files=4)
+    path = _m_text(spark, sf_dir, "text-prefix", ordered=True)
     indexed, total = L.line_index_with_total(T.scan_text_decimal(spark, path))
     return S.summary_decimal(L.first_lines(indexed, total // 2))
 
 
 # ------------------------------------------------------------------ chunk algebra
 def _chunked_m(spark, sf_dir):
-    return _m(spark, sf_dir).withColumn(CHUNK_ID, F.call_function("div", F.col(ROW_ID), F.lit(CHUNK_ROWS)))
+    m = _m(spark, sf_dir)
+    return m.withColumn(CHUNK_ID, F.call_function("div", F.col(ROW_ID), F.lit(_chunk_rows(m.count()))))
 
 
 PARTIALS_SQL = with_m(
-    f"SELECT rid // {CHUNK_ROWS} AS chunk_id, station, MIN(measure) AS min, MAX(measure) AS max, "
+    f"SELECT rid // {CHUNK_ROWS_SQL} AS chunk_id, station, MIN(measure) AS min, MAX(measure) AS max, "
     "CAST(SUM(measure) AS DECIMAL(18,1)) AS sum, COUNT(measure) AS count "
     "FROM M GROUP BY 1, 2")
 
@@ -271,7 +278,7 @@ def q_summary_merge(spark, sf_dir):
 @register("mean_of_chunk_means", with_m(
     "SELECT station, CAST(MIN(mn) AS DOUBLE) AS min, CAST(MAX(mx) AS DOUBLE) AS max, "
     "round(AVG(me), 6) AS mean FROM ("
-    f"SELECT rid // {CHUNK_ROWS} AS c, station, MIN(measure) AS mn, MAX(measure) AS mx, "
+    f"SELECT rid // {CHUNK_ROWS_SQL} AS c, station, MIN(measure) AS mn, MAX(measure) AS mx, "
     "AVG(CAST(measure AS DOUBLE)) AS me FROM M GROUP BY 1, 2) p GROUP BY station"))
 def q_mean_of_chunk_means(spark, sf_dir):
     return _round_mean(C.mean_of_chunk_means(_chunked_m(spark, sf_dir)), "mean")
@@ -299,15 +306,13 @@ def q_chunk_apply_udf(spark, sf_dir):
 # ------------------------------------------------------------------ sinks
 @register("parquet_roundtrip", M_SUMMARY)
 def q_parquet_roundtrip(spark, sf_dir):
-    path = write_parquet(S.summary_decimal(_m(spark, sf_dir)), fresh_dir(spark, "summary-pq"),
-                         single_file=True)
+    path = write_parquet(S.summary_decimal(_m(spark, sf_dir)), fresh_dir(spark, "summary-pq"))
     return read_parquet(spark, path)
 
 
 @register("serve_summary", M_SUMMARY)
 def q_serve_summary(spark, sf_dir):
-    path = write_parquet(S.summary_decimal(_m(spark, sf_dir)), fresh_dir(spark, "summary-serve"),
-                         single_file=True)
+    path = write_parquet(S.summary_decimal(_m(spark, sf_dir)), fresh_dir(spark, "summary-serve"))
     return serve_summary(spark, path)
 
 
@@ -316,21 +321,8 @@ def q_serve_summary(spark, sf_dir):
     "CAST(CAST(AVG(measure) AS DECIMAL(3,1)) AS VARCHAR) || '/' || "
     "CAST(MAX(measure) AS VARCHAR) AS value FROM M GROUP BY station"))
 def q_sink_text_lines(spark, sf_dir):
-    summ = S.summary_decimal(_m(spark, sf_dir))
-    lines = summ.select(F.concat(F.coalesce(F.col(STATION), F.lit("")), F.lit(": "),
-                                 triple_text(MIN_COL, MEAN_COL, MAX_COL)).alias("value"))
-    path = write_lines(lines, "value", fresh_dir(spark, "lines"), single_file=True)
-    return spark.read.text(path)
-
-
-def delimited_lines(df: DataFrame) -> DataFrame:
-    """P9/K5 rows: ``station;max;min;mean`` (mean at 6 significant digits)."""
-    st = df.groupBy(STATION).agg(*state_aggs(MEASURE)).withColumn("_st", sum_tenths("sum"))
-    st = with_awk_mean_text(st, "_st", "count", "mean_text")
-    return S.sort_stations(st.select(
-        STATION,
-        F.concat_ws(";", F.coalesce(F.col(STATION), F.lit("")), F.col("max").cast("string"),
-                    F.col("min").cast("string"), F.col("mean_text")).alias("value")))
+    lines = S.text_lines(S.summary_decimal(_m(spark, sf_dir)))
+    return spark.read.text(write_lines(lines, "value", fresh_dir(spark, "lines")))
 
 
 def _duck_mean_text(s: str, n: str) -> str:
@@ -358,15 +350,50 @@ def _duck_mean_text(s: str, n: str) -> str:
             f"(CASE {cases} END) END")
 
 
-@register("summary_delimited", with_m(
-    "SELECT station || ';' || CAST(mx AS VARCHAR) || ';' || CAST(mn AS VARCHAR) || ';' || "
-    + _duck_mean_text("st", "n") + " AS value FROM (SELECT station, MAX(measure) AS mx, "
+DELIMITED_SQL = (
+    "SELECT coalesce(station, '') || ';' || coalesce(CAST(mx AS VARCHAR), '') || ';' || "
+    "coalesce(CAST(mn AS VARCHAR), '') || ';' || coalesce(CASE WHEN n > 0 THEN "
+    + _duck_mean_text("st", "n") + " END, '') AS value FROM (SELECT station, MAX(measure) AS mx, "
     "MIN(measure) AS mn, SUM(CAST(measure * 10 AS BIGINT)) AS st, COUNT(measure) AS n "
-    "FROM M GROUP BY station) g"))
+    "FROM {src} GROUP BY station) g")
+
+
+@register("summary_delimited", with_m(DELIMITED_SQL.replace("{src}", "M")))
 def q_summary_delimited(spark, sf_dir):
-    path = write_lines(delimited_lines(_m(spark, sf_dir)), "value", fresh_dir(spark, "delimited"),
-                       single_file=True)
-    return spark.read.text(path)
+    lines = S.delimited_lines(_m(spark, sf_dir))
+    return spark.read.text(write_lines(lines, "value", fresh_dir(spark, "delimited")))
+
+
+# Stations without any measure: those of users whose id ends in 1.
+_UNMEASURED_SQL = ("MU AS (SELECT station, CASE WHEN station NOT LIKE '%1' THEN measure END AS measure FROM M)")
+
+
+def _unmeasured_m(spark, sf_dir):
+    return _m(spark, sf_dir).withColumn(MEASURE, F.when(~F.col(STATION).endswith("1"), F.col(MEASURE)))
+
+
+def with_mu(body: str) -> str:
+    return f"WITH M AS ({M_SQL}), {_UNMEASURED_SQL} {body}"
+
+
+_STATS_SQL = ("coalesce(CAST(MIN(measure) AS VARCHAR), '') || '/' || coalesce(CAST(CAST(AVG(measure) AS DECIMAL(3,1)) "
+              "AS VARCHAR), '') || '/' || coalesce(CAST(MAX(measure) AS VARCHAR), '')")
+
+
+@register("formatted_without_measures", with_mu(f"SELECT station, {_STATS_SQL} AS stats FROM MU GROUP BY station"))
+def q_formatted_without_measures(spark, sf_dir):
+    return S.summary_formatted(S.summary_decimal(_unmeasured_m(spark, sf_dir)))
+
+
+@register("text_lines_without_measures", with_mu(
+    f"SELECT station || ': ' || {_STATS_SQL} AS value FROM MU GROUP BY station"))
+def q_text_lines_without_measures(spark, sf_dir):
+    return S.text_lines(S.summary_decimal(_unmeasured_m(spark, sf_dir))).select("value")
+
+
+@register("delimited_without_measures", with_mu(DELIMITED_SQL.replace("{src}", "MU")))
+def q_delimited_without_measures(spark, sf_dir):
+    return S.delimited_lines(_unmeasured_m(spark, sf_dir)).select("value")
 
 
 # ------------------------------------------------------------------ staged jobs
@@ -382,21 +409,54 @@ def q_chained_etl(spark, sf_dir):
     return read_parquet(spark, etl.chained_etl(spark, text, fresh_dir(spark, "chain-out")))
 
 
+DOUBLE_SQL = (
+    "SELECT station, CAST(MIN(measure) AS DOUBLE) AS min_temperature, "
+    "round(AVG(CAST(measure AS DOUBLE)), 6) AS mean_temperature, "
+    "CAST(MAX(measure) AS DOUBLE) AS max_temperature FROM M GROUP BY station")
+
+
+@register("staged_etl_double", with_m(DOUBLE_SQL))
+def q_staged_etl_double(spark, sf_dir):
+    """K6 on 64-bit floats, with the raw mean."""
+    text = _m_text(spark, sf_dir, "etl-in")
+    return _round_mean(read_parquet(spark, etl.staged_etl(spark, text, fresh_dir(spark, "etl"), "double")))
+
+
+@register("chained_etl_text", with_m(f"SELECT station || ': ' || {_STATS_SQL} AS value FROM M GROUP BY station"))
+def q_chained_etl_text(spark, sf_dir):
+    """K7 ending in text lines."""
+    text = _m_text(spark, sf_dir, "chain-in")
+    return spark.read.text(etl.chained_etl(spark, text, fresh_dir(spark, "chain-out"), "text"))
+
+
+@register("summary_inferred_from_text", with_m(DOUBLE_SQL))
+def q_summary_inferred_from_text(spark, sf_dir):
+    return _round_mean(S.summary_double(T.scan_text_inferred(spark, _m_text(spark, sf_dir, "text-inf"))))
+
+
+@register("summary_float_from_text", with_m(
+    "SELECT station, MIN(CAST(measure AS FLOAT)) AS min_temperature, "
+    "round(AVG(CAST(measure AS FLOAT)), 6) AS mean_temperature, "
+    "MAX(CAST(measure AS FLOAT)) AS max_temperature FROM M GROUP BY station"))
+def q_summary_float_from_text(spark, sf_dir):
+    return _round_mean(S.summary_float(T.scan_text_float(spark, _m_text(spark, sf_dir, "text-flt"))))
+
+
 @register("partial_files_merge", M_SUMMARY)
 def q_partial_files_merge(spark, sf_dir):
-    text = _m_text(spark, sf_dir, "fan-in", ordered=True, files=4)
-    return etl.partial_files_merge(spark, text, FILE_CHUNK_ROWS, fresh_dir(spark, "fan"))
+    text = _m_text(spark, sf_dir, "fan-in", ordered=True)
+    rows = _chunk_rows(_m(spark, sf_dir).count())
+    return etl.partial_files_merge(spark, text, fresh_dir(spark, "fan"), rows)
 
 
 @register("incremental_summary", M_SUMMARY)
 def q_incremental_summary(spark, sf_dir):
     m = _m(spark, sf_dir)
-    n = S.row_count(m).first()["n_rows"]
-    files = min(MAX_STREAM_FILES, max(2, L.chunk_count(n, ROWS_PER_STREAM_FILE)))
-    text = _m_text(spark, sf_dir, "stream-in", ordered=True, files=files)
+    files = max(4, m.count() * LINE_BYTES // STREAM_FILE_BYTES)
+    text = _m_text(spark, sf_dir, "stream-in", files=files)
     work = fresh_dir(spark, "stream")
     out = incremental_summary(spark, text, f"{work}/summary", f"{work}/checkpoint",
-                              files_per_trigger=max(1, files // STREAM_BATCHES))
+                              files_per_trigger=STREAM_BATCH_FILES if files > 4 else 1)
     return read_parquet(spark, out)
 
 
@@ -424,64 +484,62 @@ _NAMES_SQL = ("names AS (SELECT station, row_number() OVER (ORDER BY station) -
               "FROM (SELECT DISTINCT p_name AS station FROM part) d)")
 
 
+def _draw_sql(part: int, label: str, rid: str) -> str:
+    return f"('0x' || substr(md5('{SEED}|{label}|' || {rid}), {1 + 8 * part}, 8))::BIGINT"
+
+
 @register("generate_measurements", (
     f"WITH {_NAMES_SQL}, k AS (SELECT count(*) AS k FROM names), "
     f"pool AS (SELECT s.range AS slot, names.station FROM range({G.POOL_SIZE}) s, k, names "
-    f"WHERE names.name_idx = (s.range * {G.NAME_MUL} + {G.NAME_ADD}) % k.k) "
-    f"SELECT r.range AS rid, pool.station, "
-    f"CAST(((r.range * {G.TENTHS_MUL} + {G.TENTHS_ADD}) % 1999 - 999) / 10.0 AS DECIMAL(3,1)) AS measure "
+    f"WHERE names.name_idx = {_draw_sql(0, 'pool', 's.range')} % k.k) "
+    f"SELECT r.range AS rid, pool.station, CAST(({_draw_sql(1, 'row', 'r.range')} % {2 * G.HOTTEST_TENTHS + 1} "
+    f"- {G.HOTTEST_TENTHS}) / 10.0 AS DECIMAL(3,1)) AS measure "
     f"FROM range((SELECT count(*) FROM lineitem)) r JOIN pool "
-    f"ON pool.slot = (r.range * {G.SLOT_MUL} + {G.SLOT_ADD}) % {G.POOL_SIZE}"))
+    f"ON pool.slot = {_draw_sql(0, 'row', 'r.range')} % {G.POOL_SIZE}"))
 def q_generate_measurements(spark, sf_dir):
     names = spark.read.parquet(table_path(sf_dir, "part")).select(F.col("p_name").alias(STATION))
     n = spark.read.parquet(table_path(sf_dir, "lineitem")).count()
-    return G.generate_measurements(spark, names, n)
+    return G.generate_measurements(spark, names, n, seed=SEED)
 
 
-@register("generate_cyclic", (
+_CYCLIC_SQL = (
     "WITH c AS (SELECT n_name AS city, row_number() OVER (ORDER BY n_name) - 1 AS idx FROM "
-    "(SELECT DISTINCT n_name FROM nation) d), "
-    "k AS (SELECT count(*) AS k FROM c), t AS (SELECT count(*) AS n FROM lineitem) "
-    "SELECT city, CAST(CASE WHEN idx < n THEN (n - 1 - idx) // k + 1 ELSE 0 END AS BIGINT) AS n_rows, "
-    "CAST(CASE WHEN idx < n THEN (n - 1 - idx) // k + 1 ELSE 0 END AS BIGINT) AS n_in_range "
-    "FROM c, k, t WHERE idx < n"))
-def q_generate_cyclic(spark, sf_dir):
+    "(SELECT DISTINCT n_name FROM nation) d), k AS (SELECT count(*) AS k FROM c), "
+    f"r AS (SELECT range AS rid, CAST({_draw_sql(0, 'cyclic', 'range')} / {float(G.DRAW)}::DOUBLE "
+    f"* {G.CYCLIC_HIGH - G.CYCLIC_LOW}::DOUBLE + {G.CYCLIC_LOW}::DOUBLE AS FLOAT) AS value "
+    "FROM range((SELECT count(*) FROM lineitem))), "
+    "g AS (SELECT rid, city, value FROM r, k JOIN c ON c.idx = r.rid % k.k) ")
+
+
+def _cyclic(spark, sf_dir):
     cities = spark.read.parquet(table_path(sf_dir, "nation")).select(F.col("n_name").alias(STATION))
     n = spark.read.parquet(table_path(sf_dir, "lineitem")).count()
-    rows = G.generate_cyclic(spark, cities, n, seed=7)
-    return rows.groupBy("city").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.when(F.col("value").between(G.CYCLIC_LOW, G.CYCLIC_HIGH), 1)).alias("n_in_range"))
+    return G.generate_cyclic(spark, cities, n, seed=SEED)
 
 
-@register("cyclic_summary", (
-    "WITH c AS (SELECT n_name AS city, row_number() OVER (ORDER BY n_name) - 1 AS idx FROM "
-    "(SELECT DISTINCT n_name FROM nation) d), k AS (SELECT count(*) AS k FROM c), "
-    f"r AS (SELECT range % (SELECT k FROM k) AS idx, CAST(CAST((range * {G.TENTHS_MUL} + {G.TENTHS_ADD}) "
-    "% 19801 - 9900 AS DOUBLE) / 100.0 AS FLOAT) AS value "
-    "FROM range((SELECT count(*) FROM lineitem))) "
-    "SELECT city, MIN(value) AS min_value, MAX(value) AS max_value, round(AVG(value), 6) AS avg_value "
-    "FROM r JOIN c USING (idx) GROUP BY city"))
+@register("generate_cyclic", _CYCLIC_SQL + "SELECT rid, city, value FROM g")
+def q_generate_cyclic(spark, sf_dir):
+    return _cyclic(spark, sf_dir)
+
+
+@register("cyclic_summary", _CYCLIC_SQL + "SELECT city, MIN(value) AS min_value, MAX(value) AS max_value, "
+          "round(AVG(value), 6) AS avg_value FROM g GROUP BY city")
 def q_cyclic_summary(spark, sf_dir):
-    """Generate cyclic city rows (deterministic values), then min / max / avg per city."""
-    cities = spark.read.parquet(table_path(sf_dir, "nation")).select(F.col("n_name").alias(STATION))
-    n = spark.read.parquet(table_path(sf_dir, "lineitem")).count()
-    out = G.city_summary(G.generate_cyclic(spark, cities, n, seed=None))
-    return out.withColumn("avg_value", F.round("avg_value", 6))
+    """Generate cyclic city rows, then min / max / avg per city."""
+    return G.city_summary(_cyclic(spark, sf_dir)).withColumn("avg_value", F.round("avg_value", 6))
+
+
+_CHOICE_SPAN = int(G.CHOICE_HIGH - G.CHOICE_LOW) * 10_000
 
 
 @register("generate_choice", (
-    "SELECT 'Cidade_' || CAST(((range * {nm} + {na}) % {mod}) % 20 AS VARCHAR) AS estacao, "
-    "CAST((((range * {tm} + {ta}) % {mod}) * {span2} + {offset}) "
-    "// {mod2} - 1000000 AS DOUBLE) / 10000.0 AS medida "
-    "FROM range((SELECT count(*) FROM events))").format(
-        nm=G.NAME_MUL, na=G.NAME_ADD, tm=G.TENTHS_MUL, ta=G.TENTHS_ADD, mod=G.CHOICE_MOD,
-        span2=2 * int(G.CHOICE_HIGH - G.CHOICE_LOW) * 10_000,
-        offset=2 * int(G.CHOICE_LOW) * 10_000 * G.CHOICE_MOD + G.CHOICE_MOD * (1 + 2 * 1_000_000),
-        mod2=2 * G.CHOICE_MOD))
+    f"SELECT event_id, '{G.CHOICE_PREFIX}' || CAST({_draw_sql(0, 'choice', 'event_id')} % 20 AS VARCHAR) AS estacao, "
+    f"CAST(({_draw_sql(1, 'choice', 'event_id')} * {2 * _CHOICE_SPAN} + {G.DRAW}) // {2 * G.DRAW} "
+    f"+ {int(G.CHOICE_LOW) * 10_000} AS DOUBLE) / 10000.0 AS medida FROM events"))
 def q_generate_choice(spark, sf_dir):
-    n = spark.read.parquet(table_path(sf_dir, "events")).count()
-    return G.generate_choice(spark, n, n_labels=20, seed=None)
+    """A label and a value for every event, by its id."""
+    events = spark.read.parquet(table_path(sf_dir, "events")).select("event_id")
+    return G.generate_choice(events, n_labels=20, seed=SEED)
 
 
 @register("size_estimate", (
@@ -504,7 +562,7 @@ def q_size_estimate(spark, sf_dir):
 
 # ------------------------------------------------------------------ encoding
 @register("dictionary_encode", with_m(
-    "SELECT CAST(dense_rank() OVER (ORDER BY station) - 1 AS SMALLINT) AS station_code, rid, measure FROM M"))
+    "SELECT CAST(dense_rank() OVER (ORDER BY station) - 1 AS INTEGER) AS station_code, rid, measure FROM M"))
 def q_dictionary_encode(spark, sf_dir):
     encoded, _ = E.dictionary_encode(_m(spark, sf_dir), STATION)
     return encoded

@@ -13,42 +13,5 @@ MIN_COL = "min_temperature"
 MEAN_COL = "mean_temperature"
 MAX_COL = "max_temperature"
 
-# Mergeable partial state per (chunk, station).
-STATE_MIN = "min"
-STATE_MAX = "max"
-STATE_SUM = "sum"          # sum of measures, DECIMAL, exact
-STATE_COUNT = "count"      # number of non-null measures
-
 MEASURE_DECIMAL = T.DecimalType(3, 1)
 SUM_DECIMAL = T.DecimalType(18, 1)
-
-TEXT_DECIMAL_SCHEMA = T.StructType([
-    T.StructField(STATION, T.StringType(), True),
-    T.StructField(MEASURE, MEASURE_DECIMAL, True),
-])
-
-TEXT_DOUBLE_SCHEMA = T.StructType([
-    T.StructField(STATION, T.StringType(), True),
-    T.StructField(MEASURE, T.DoubleType(), True),
-])
-
-TEXT_FLOAT_SCHEMA = T.StructType([
-    T.StructField(STATION, T.StringType(), True),
-    T.StructField(MEASURE, T.FloatType(), True),
-])
-
-SUMMARY_DECIMAL_SCHEMA = T.StructType([
-    T.StructField(STATION, T.StringType(), True),
-    T.StructField(MIN_COL, MEASURE_DECIMAL, True),
-    T.StructField(MEAN_COL, MEASURE_DECIMAL, True),
-    T.StructField(MAX_COL, MEASURE_DECIMAL, True),
-])
-
-PARTIAL_SCHEMA = T.StructType([
-    T.StructField(CHUNK_ID, T.LongType(), True),
-    T.StructField(STATION, T.StringType(), True),
-    T.StructField(STATE_MIN, MEASURE_DECIMAL, True),
-    T.StructField(STATE_MAX, MEASURE_DECIMAL, True),
-    T.StructField(STATE_SUM, SUM_DECIMAL, True),
-    T.StructField(STATE_COUNT, T.LongType(), True),
-])

@@ -43,23 +43,24 @@ def write_measurement_text(df: DataFrame, path: str, order_by: str | None = None
     return path
 
 
-def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """K1/K2: overwrite a parquet folder.  ``single_file`` keeps one sorted file
-    (only for small results such as a summary, whose size is the station count)."""
-    if single_file:
-        df = df.coalesce(1)
-    df.write.mode("overwrite").parquet(path)
-    return path
+def _one_sorted(df: DataFrame, order_by: str | None) -> DataFrame:
+    """All rows in one task, sorted there; the work before it stays parallel."""
+    one = df.repartition(1)
+    return one if order_by is None else one.sortWithinPartitions(F.col(order_by).asc_nulls_last())
 
 
-def write_lines(df: DataFrame, column: str, path: str, single_file: bool = False) -> str:
-    """K4/K5: one text line per row from a string column.
+def write_parquet(df: DataFrame, path: str, single_file: bool = False, order_by: str | None = STATION) -> str:
+    """K1/K2: overwrite a parquet folder.
 
-    ``single_file`` keeps one file in row order (for small, sorted results such
-    as a summary: ``coalesce(1)`` after a sort concatenates the sorted ranges).
-    """
-    out = df.select(F.col(column).alias("value"))
-    if single_file:
-        out = out.coalesce(1)
-    out.write.mode("overwrite").text(path)
+    Part files are written in parallel; those of a sorted frame are sorted in name
+    order.  ``single_file`` gathers the rows in one file, sorted by ``order_by``: for small
+    results that some reader needs as one file."""
+    (_one_sorted(df, order_by) if single_file else df).write.mode("overwrite").parquet(path)
+    return path
+
+
+def write_lines(df: DataFrame, column: str, path: str, single_file: bool = False, order_by: str | None = STATION) -> str:
+    """K4/K5: one text line per row from a string column; files as in ``write_parquet``."""
+    out = _one_sorted(df, order_by) if single_file else df
+    out.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
     return path

@@ -29,7 +29,7 @@ def read_parquet(spark: SparkSession, *paths: str, base_path: str | None = None)
 
 def serve_summary(spark: SparkSession, path: str) -> DataFrame:
     """``SELECT *`` straight over a stored summary (a serving read)."""
-    return spark.sql(f"SELECT * FROM parquet.`{path}`")
+    return spark.sql("SELECT * FROM {stored}", stored=read_parquet(spark, path))
 
 
 SUMMARY_SQL = """
@@ -47,7 +47,7 @@ FROM (
            MAX(measure) AS max_m,
            SUM(CAST(measure * 10 AS BIGINT)) AS s,
            COUNT(measure) AS n
-    FROM {view}
+    FROM {measurements}
     GROUP BY station
   ) agg
 ) r
@@ -55,7 +55,6 @@ ORDER BY station ASC NULLS LAST
 """
 
 
-def summary_sql_view(spark: SparkSession, df: DataFrame, view: str = "measurements") -> DataFrame:
-    """Register ``df`` under ``view`` and answer the summary in SQL."""
-    df.createOrReplaceTempView(view)
-    return spark.sql(SUMMARY_SQL.format(view=view))
+def summary_sql_view(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The summary in SQL over ``df`` (no view name that two jobs could share)."""
+    return spark.sql(SUMMARY_SQL, measurements=df)

@@ -5,14 +5,15 @@ it is a Structured Streaming query over a directory of text files, parsed with
 the same strict line rules as the batch scan: files are consumed a few
 per micro-batch (``maxFilesPerTrigger``), the per-station state
 (min, max, sum, count) lives in the state store (one row per station, however
-many rows arrive), and every batch rewrites the summary (``complete`` output
-through ``foreachBatch``).  ``availableNow`` processes what is there and stops;
+many rows arrive), and every batch publishes a version of the summary (``complete``
+output through ``foreachBatch``).  ``availableNow`` processes what is there and stops;
 restarting with the same checkpoint continues with new files only.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyho.functions.stats import state_aggs
 from tallyho.operators.summary import finish_state, sort_stations
@@ -25,50 +26,55 @@ from tallyho.sources.text import parse_measure_lines
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def published(spark: SparkSession, out_path: str) -> str:
+    """Folder of the newest published summary (versions are written once and never changed)."""
+    newest = spark.read.text(f"{out_path}/published").agg(F.max("value")).first()[0]
+    if newest is None:
+        raise FileNotFoundError(f"nothing published below {out_path}")
+    return f"{out_path}/{newest}"
+
+
 def incremental_summary(spark: SparkSession, text_dir: str, out_path: str,
                         checkpoint_path: str, files_per_trigger: int = 1,
                         state_partitions: int | None = None,
                         state_store: str | None = None) -> str:
-    """Run (or continue) the incremental summary; returns ``out_path``.
+    """Run (or continue) the incremental summary; returns the newest version's folder.
+
+    Every micro-batch writes its own folder below ``out_path`` as sorted part files and
+    then publishes its name (one appended line), so readers always find a whole
+    summary (``published``) and a failed batch changes nothing.
 
     ``state_partitions`` sizes the state store (one row per station) apart from
     the batch shuffle width; ``state_store="rocksdb"`` keeps the state in
-    RocksDB.  Both are fixed by the first run of a checkpoint.  The stream copies
-    the session's settings when it starts, so they are set only around
-    ``start()``.
+    RocksDB.  Both are fixed by the first run of a checkpoint.  The stream runs in a
+    session of its own, so the caller's settings stay as they are.
     """
-    lines = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+    if state_store not in (None, "default", "rocksdb"):
+        raise ValueError(f"unknown state store {state_store!r}")
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    if state_partitions is not None:
+        session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    if state_store == "rocksdb":
+        session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    lines = (session.readStream.option("maxFilesPerTrigger", files_per_trigger)
              .text(text_dir))
     rows = parse_measure_lines(lines, MEASURE_DECIMAL.simpleString())
     state = rows.groupBy(STATION).agg(*state_aggs(MEASURE))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        (sort_stations(finish_state(batch)).coalesce(1)
-            .write.mode("overwrite").parquet(out_path))
+        version = f"version-{batch_id:09d}"
+        sort_stations(finish_state(batch)).write.mode("overwrite").parquet(f"{out_path}/{version}")
+        line = batch.sparkSession.range(1).select(F.lit(version).alias("value"))
+        line.write.mode("append").text(f"{out_path}/published")
 
-    writer = (state.writeStream.outputMode("complete")
-              .option("checkpointLocation", checkpoint_path)
-              .trigger(availableNow=True)
-              .foreachBatch(publish))
-    overrides = {}
-    if state_partitions is not None:
-        overrides["spark.sql.shuffle.partitions"] = str(state_partitions)
-    if state_store == "rocksdb":
-        overrides["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
-    elif state_store not in (None, "default"):
-        raise ValueError(f"unknown state store {state_store!r}")
-    before = {k: spark.conf.get(k, None) for k in overrides}
-    for k, v in overrides.items():
-        spark.conf.set(k, v)
-    try:
-        query = writer.start()
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    query = (state.writeStream.outputMode("complete")
+             .option("checkpointLocation", checkpoint_path)
+             .trigger(availableNow=True)
+             .foreachBatch(publish).start())
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return out_path
+    return published(spark, out_path)

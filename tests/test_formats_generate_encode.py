@@ -50,6 +50,29 @@ def test_generate_exact_rows_and_range(spark):
     seeded = G.generate_measurements(spark, names, 5_000, seed=11)
     assert seeded.count() == 5_000
     assert set(x.station for x in seeded.select("station").distinct().collect()) <= {"a", "b", "c"}
+    assert sorted(map(tuple, seeded.collect())) != sorted(map(tuple, G.generate_measurements(spark, names, 5_000).collect()))
+    shuffled = G.generate_measurements(spark, names, 5_000, seed=11, max_broadcast_bytes=0)
+    assert sorted(map(tuple, shuffled.collect())) == sorted(map(tuple, seeded.collect()))
+
+
+def test_generate_is_a_draw(spark):
+    """Counts per station vary, rows don't repeat, and neither depends on how rows are split."""
+    names = spark.range(400).selectExpr("concat('n', id) AS station")
+    rows = G.generate_measurements(spark, names, 400_000, seed=5)
+    counts = [r["count"] for r in rows.groupBy("station").count().collect()]
+    assert min(counts) < 700 and max(counts) > 1_300
+    halves = rows.selectExpr("rid % 200000 AS p", "station", "measure").groupBy("p").agg(
+        F.countDistinct("station", "measure").alias("d"))
+    assert halves.where("d = 1").count() < 1_000  # a period would make all of them equal
+    key = "spark.sql.leafNodeDefaultParallelism"
+    want = sorted(map(tuple, G.generate_measurements(spark, names, 3_000, seed=5).collect()))
+    for cores in ("2", "4"):
+        spark.conf.set(key, cores)
+        try:
+            assert sorted(map(tuple, G.generate_measurements(spark, names, 3_000, seed=5).collect())) == want
+            assert G.generate_cyclic(spark, names, 50, seed=1).count() == 50
+        finally:
+            spark.conf.unset(key)
 
 
 def test_generate_fewer_than_batch(spark):
@@ -63,11 +86,12 @@ def test_generate_cyclic_and_choice(spark):
     counts = {r.city: r["count"] for r in rows.groupBy("city").count().collect()}
     assert counts == {"a": 4, "b": 3, "c": 3}
     assert rows.where((F.col("value") < -99) | (F.col("value") > 99)).count() == 0
-    ch = G.generate_choice(spark, 1000, n_labels=20, seed=0)
+    ids = spark.range(5000)
+    ch = G.generate_choice(ids.where("id < 1000"), n_labels=20, seed=0)
     assert ch.select("estacao").distinct().count() == 20
     assert ch.where((F.col("medida") < -20) | (F.col("medida") > 50)).count() == 0
-    assert ch.collect() == G.generate_choice(spark, 1000, n_labels=20, seed=0).collect()
-    det = G.generate_choice(spark, 5000, n_labels=20, seed=None)
+    assert sorted(ch.collect()) == sorted(G.generate_choice(ids.repartition(3).where("id < 1000"), seed=0).collect())
+    det = G.generate_choice(ids, n_labels=20, seed=3)
     r = det.agg(F.min("medida"), F.max("medida"), F.countDistinct("estacao")).first()
     assert r[0] >= -20 and r[1] <= 50 and r[2] == 20
 
@@ -86,7 +110,8 @@ def test_dictionary_roundtrip_and_types(spark):
     assert k == m.select("station").distinct().count()
     codes = [r.station_code for r in dictionary.orderBy("station").collect()]
     assert codes == list(range(k))
-    assert dict(enc.dtypes)["station_code"] == E.code_type(k)
+    assert dict(enc.dtypes)["station_code"] == "int"
+    assert dict(E.dictionary_encode(m, "station", code_type="bigint")[0].dtypes)["station_code"] == "bigint"
     back = E.dictionary_decode(enc, dictionary, "station")
     assert sorted(map(tuple, back.select("rid", "station", "measure").collect())) == \
         sorted(map(tuple, m.select("rid", "station", "measure").collect()))
