@@ -1,7 +1,7 @@
 """Quality classifier: random-indexing word vectors, pooled, and a two-layer network.
 
 Tokens are runs of letters, of digits and of other signs, so that glued junk is a
-token of its own.  Every token hashes to one of ``VOCABULARY`` buckets; a bucket has a
+token of its own; a token that repeats the one before it is a token of one kind.  Every token hashes to one of ``VOCABULARY`` buckets; a bucket has a
 fixed sparse random index vector, and its word vector is the sum of the index vectors
 found within ``REACH`` tokens of it.  A document's features are the mean and the spread
 of its tokens' vectors and its log length; a two-layer network turns them into a
@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from tallyho.llm.common import U64, Words, batches, with_text_column
 
 VOCABULARY = 1 << 14
+REPEAT = VOCABULARY - 1  # bucket of tokens that repeat the one before
 WIDTH = 32
 NONZERO = 4
 REACH = 2
@@ -67,9 +68,13 @@ def index_vectors() -> np.ndarray:
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every token, and how many tokens each text has."""
+    """Bucket of every token, and how many tokens each text has.  A token equal to the one
+    before it in its text is the token ``REPEAT``."""
     w = Words(texts, KINDS)
-    return (w.hash >> U64(40)).astype(np.int64) % VOCABULARY, w.counts
+    ids = (w.hash >> U64(40)).astype(np.int64) % REPEAT
+    text = w.document()
+    ids[1:][(w.hash[1:] == w.hash[:-1]) & (text[1:] == text[:-1])] = REPEAT
+    return ids, w.counts
 
 
 def context_sums(texts: list[bytes], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +130,7 @@ def _train(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
             d2 = (p - y[i, None]) / len(i)
             d1 = (d2 @ w2.T) * (1 - h ** 2)
             t += 1
-            for k, g in enumerate([x[i].T @ d1 + 1e-4 * w1, d1.sum(0), h.T @ d2 + 1e-4 * w2, d2.sum(0)]):
+            for k, g in enumerate([x[i].T @ d1 + 1e-3 * w1, d1.sum(0), h.T @ d2 + 1e-3 * w2, d2.sum(0)]):
                 m[k] = 0.9 * m[k] + 0.1 * g
                 v[k] = 0.999 * v[k] + 0.001 * g * g
                 layers[k] = layers[k] - 0.01 * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.999 ** t)) + 1e-8)
