@@ -33,7 +33,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-CHUNKS = 16                        # chunks that the chunked queries aim for, at any size
+CHUNKS = 4                         # chunks that the chunked queries aim for, at any size
 STREAM_FILE_BYTES = 64 << 20       # input files of the incremental run
 STREAM_BATCH_FILES = 16            # of them per micro-batch, where there are more than four
 LINE_BYTES = 24                    # about, of a measurement line
