@@ -7,12 +7,14 @@ keeps them in text order; texts that agree in one sketch are candidates.  A cand
 pair is a link if its word edit distance, aligned in a band of diagonals, is at
 most a fifth of the longer text: similarity 0.8 or more.
 
-Groups of copies stay cheap: equal texts are one node (their md5), a bucket's texts are
-compared with the bucket's smallest node only, and those that aren't similar to it
-(the rest) go to further rounds with 8, 64, ... representatives until no bucket has a
-rest: nothing is capped, and pairs grow with the number of different groups in a
-bucket, not with their sizes.  Classes are the connected components of the links,
-found by star contraction on written tables; nothing of them reaches the driver.
+Groups of copies stay cheap: equal texts are one node (their md5), and a bucket's texts
+are compared with the bucket's smallest node only.  Those that aren't similar to it,
+the rest, are compared with ``LEADERS`` of them, which is all of a small rest; a larger
+rest is split first by the further sketches that its texts agree in, again and again
+until nothing is left.  So texts that share only a passage cost work in proportion to
+their number: nothing is capped, and no bucket is compared pair by pair.  Classes are
+the connected components of the links, found by star contraction on written tables;
+nothing of them reaches the driver.
 
 Defined cases: a null text is the empty text; texts without words are near-duplicates of
 equal texts only; equal rows are in one class; ids may repeat or be null (a class's
@@ -36,7 +38,7 @@ K = 5
 SIMILARITY = 0.8
 SKETCHES = 48
 PICKED = 3
-MORE = 8                    # representatives per bucket grow by this factor each round
+LEADERS = 8                 # representatives per bucket after the first round
 _TOP = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -189,14 +191,20 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(work, "a binary, b binary, similarity double")
 
 
+def _shared(members: DataFrame) -> DataFrame:
+    """Members of buckets that several nodes are in."""
+    several = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    return members.join(several, "bucket").select("node", "n_words", "j", "bucket")
+
+
 def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``a, b, similarity``: verified pairs of nodes, as found through bucket representatives."""
     nodes = prints.groupBy("node").agg(F.min("id").alias("id"), F.first("n_words").alias("n_words"),
                                        F.first("sketches").alias("sketches"))
     nodes = materialize(nodes, "near-nodes")
-    members = nodes.select("node", "n_words", F.posexplode("sketches").alias("j", "bucket")).drop("j")
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = materialize(members.join(shared, "bucket"), "near-buckets")
+    every = nodes.select("node", "n_words", F.posexplode("sketches").alias("j", "bucket"))
+    members = materialize(_shared(every), "near-buckets")
+    own = members.select("node", F.col("j").alias("next"), F.col("bucket").alias("sketch"))
     # The texts of candidates, one row per node: the id beside the node spreads copies out.
     wanted = nodes.join(members.select("node").distinct(), "node").select("node", "id")
     texts = (docs.select("id", text_key(F.col("text")).alias("node"), "text").alias("d")
@@ -204,13 +212,12 @@ def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> Data
              .select("d.node", "d.text").dropDuplicates(["node"]))
     texts = materialize(texts, "near-texts")
     done = None
-    width = 1
     while not members.isEmpty():
-        if width == 1:
+        if done is None:
             chosen = members.groupBy("bucket").agg(F.min(F.struct("node", "n_words")).alias("r"))
         else:
             order = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-            chosen = (members.withColumn("place", order).where(F.col("place") <= width)
+            chosen = (members.withColumn("place", order).where(F.col("place") <= LEADERS)
                       .select("bucket", F.struct("node", "n_words").alias("r")))
         # Lengths that differ by more than the similarity allows need no comparison.
         alike = F.least("n_words", "r.n_words") >= least * F.greatest("n_words", "r.n_words") - 1e-9
@@ -225,10 +232,13 @@ def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> Data
         linked = (met.join(done.where("similarity IS NOT NULL").select("a", "b"), ["a", "b"])
                   .select("bucket", F.col("a").alias("node")))
         heads = chosen.select("bucket", F.col("r.node").alias("node"))
-        rest = members.join(linked.unionByName(heads).distinct(), ["bucket", "node"], "left_anti")
-        several = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-        members = materialize(rest.join(several, "bucket"), "near-rest")
-        width *= MORE
+        rest = materialize(members.join(linked.unionByName(heads).distinct(), ["bucket", "node"], "left_anti"), "near-rest")
+        sizes = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        rest = rest.join(sizes, "bucket")
+        split = (rest.where(F.col("size") > LEADERS).join(own, "node").where("next > j")
+                 .select("node", "n_words", F.col("next").alias("j"), F.xxhash64("bucket", "next", "sketch").alias("bucket")))
+        small = rest.where(F.col("size") <= LEADERS).select("node", "n_words", "j", "bucket")
+        members = materialize(small.unionByName(_shared(split)), "near-members")
     if done is None:
         return docs.sparkSession.createDataFrame([], "a binary, b binary, similarity double")
     return done.where("similarity IS NOT NULL")

@@ -191,15 +191,13 @@ def test_near_duplicates_by_brute_force(documents):
 
 
 def test_near_duplicates_rest_rounds(documents, monkeypatch):
-    """Buckets that hold different groups are searched until nothing is left."""
+    """A bucket that holds many different groups: its rest is split by further sketches."""
     rng = random.Random(13)
     vocab = vocabulary(300, 4)
     head = [rng.choice(vocab) for _ in range(30)]
     bases = [head + [rng.choice(vocab) for _ in range(60)] for _ in range(25)]
     texts = [" ".join(varied(rng, b, 1, vocab)) for b in bases for _ in range(3)]
-    monkeypatch.setattr(neardup, "SKETCHES", 6)
-    monkeypatch.setattr(neardup, "PICKED", 1)
-    # one sketch value for all: every text is a candidate of every other
+    # the first sketch is the same for all: every text is in one bucket with every other
     monkeypatch.setattr(neardup, "fingerprinted", lambda docs, f=neardup.fingerprinted: _one_bucket(f(docs)))
     got = {r.doc_id: r.class_id for r in neardup.classes(documents(texts)).collect()}
     assert got == classes_of(texts, list(range(len(texts))))
@@ -208,7 +206,22 @@ def test_near_duplicates_rest_rounds(documents, monkeypatch):
 def _one_bucket(prints):
     from pyspark.sql import functions as F
 
-    return prints.withColumn("sketches", F.array(F.lit(1).cast("bigint")))
+    same = F.concat(F.array(F.lit(1).cast("bigint")), F.slice("sketches", 2, neardup.SKETCHES))
+    return prints.withColumn("sketches", same)
+
+
+def test_small_rests_are_compared_whole(documents, monkeypatch):
+    """One sketch only, equal for all: nothing to split by, yet a rest of up to LEADERS is searched."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(17)
+    vocab = vocabulary(300, 5)
+    bases = [[rng.choice(vocab) for _ in range(50)] for _ in range(4)]
+    texts = [" ".join(varied(rng, b, 1, vocab)) for b in bases for _ in range(2)]
+    only = F.array(F.lit(1).cast("bigint"))
+    monkeypatch.setattr(neardup, "fingerprinted", lambda docs, f=neardup.fingerprinted: f(docs).withColumn("sketches", only))
+    got = {r.doc_id: r.class_id for r in neardup.classes(documents(texts)).collect()}
+    assert got == classes_of(texts, list(range(len(texts))))
 
 
 def test_near_duplicates_edge_cases(documents):
