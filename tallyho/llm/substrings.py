@@ -19,7 +19,7 @@ a run goes to the shard of its anchor.
 5. Windows of 13 matched words with a smaller id are reported as word spans and taken
    out of the texts, document by document.
 
-Words enter the index as 48 bits of their hash.  Shards are sized by the number of
+Words enter the index as 40 bits of their hash.  Shards are sized by the number of
 marked runs; texts are shuffled twice, everything else is smaller.
 
 Defined cases: null and empty texts have no words; texts of fewer than 13 words keep
@@ -50,7 +50,7 @@ BUCKET_BYTES = 64 << 20      # text per bucket of anchors
 SHARD_WORDS = 1 << 20        # words per index shard
 RUN_WORDS = 18               # about the mean length of a run
 NO_ID = (1 << 63) - 1        # stands for a null id
-_WORD = 6                    # bytes kept of a word's hash
+_WORD, _ANCHOR = 5, 6        # bytes kept of a word's and of an anchor's hash
 
 
 class Runs:
@@ -116,18 +116,17 @@ def _by(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(key[part[0]]), part
 
 
-_SHORT = np.dtype((np.void, _WORD))
-
-
 def _wide(raw: np.ndarray) -> np.ndarray:
-    """Six-byte rows as integers."""
+    """Rows of a few bytes as integers."""
     out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :_WORD] = raw
+    out[:, :raw.shape[1]] = raw
     return out.view(U64)[:, 0]
 
 
-_ROW = pa.schema([("part", pa.int32()), ("id", pa.int64()), ("row", pa.int64()), ("blob", pa.binary())])
-_ROW_SQL = "part int, id bigint, row bigint, blob binary"
+#: Rows between the steps: ``kind`` 0 has work for ``part``, kind 1 findings about the documents of
+#: ``part`` that only pass through.  A blob holds arrays of equal length.
+_ROW = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
+_ROW_SQL = "part int, kind int, blob binary"
 
 
 def _rows(cells: list[tuple]) -> pa.RecordBatch:
@@ -135,15 +134,20 @@ def _rows(cells: list[tuple]) -> pa.RecordBatch:
 
 
 def _received(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], pa.RecordBatch]]:
-    """Of each batch the blobs to work on, and the rows (with an id) that only pass through."""
+    """Of each batch the blobs to work on, and the rows that only pass through."""
     for batch in rows:
-        known = batch.column("id").is_valid()
-        yield batch.filter(pc.invert(known)).column("blob").to_pylist(), batch.filter(known)
+        through = pc.equal(batch.column("kind"), 1)
+        yield batch.filter(pc.invert(through)).column("blob").to_pylist(), batch.filter(through)
+
+
+def _findings(ids: np.ndarray, parts: int, *arrays: np.ndarray) -> list[tuple]:
+    """Rows of findings: the arrays, and the ids first, by the part of the id."""
+    return [(part, 1, packed(ids[p], *(a[p] for a in arrays))) for part, p in _by(ids % parts)] if len(ids) else []
 
 
 def anchors(docs: DataFrame, buckets: int) -> DataFrame:
-    """Per group and bucket one row (``part``, blob of hash, id, ordinal), and one row (with
-    ``id``, blob of ordinals) per document with anchors that repeat within its group."""
+    """Per group and bucket a row of work (hash, id, ordinal), and findings (id, ordinal): the
+    runs whose anchor repeats within its group."""
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches(rows, "text", GROUP_BYTES):
             runs = Runs(Words(texts))
@@ -156,14 +160,14 @@ def anchors(docs: DataFrame, buckets: int) -> DataFrame:
             group = np.cumsum(new) - 1
             first = np.flatnonzero(new)
             repeats = (np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first))[group]
-            cells = [(int(ids[p[0]]) % buckets, int(ids[p[0]]), None, packed(runs.ordinal[p].astype(np.int32)))
-                     for _, p in _by_document(order[repeats], runs)]
+            found = order[repeats]
+            cells = _findings(ids[found], buckets, runs.ordinal[found].astype(np.int32))
             # one occurrence of each anchor stands for the group, others of one document too
             sent = order[new | ~repeats]
             known = repeats[new | ~repeats]
             ordinal = np.where(known, -1, runs.ordinal[sent]).astype(np.int32)
             for bucket, p in _by(_part(runs.hash[sent], buckets)):
-                cells.append((bucket, None, None, packed(_cut(runs.hash[sent][p]), ids[sent][p], ordinal[p])))
+                cells.append((bucket, 0, packed(_cut(runs.hash[sent][p], _ANCHOR), ids[sent][p], ordinal[p])))
             yield _rows(cells)
 
     return docs.mapInArrow(work, _ROW_SQL)
@@ -173,27 +177,23 @@ def _part(h: np.ndarray, parts: int) -> np.ndarray:
     return (h & U64(0xFFFFFFFF)).astype(np.int64) % parts
 
 
-def _cut(h: np.ndarray) -> np.ndarray:
-    """The upper six bytes of hashes, one row each (the lower ones choose the part)."""
-    return h.view(np.uint8).reshape(-1, 8)[:, 8 - _WORD:]
-
-
-def _by_document(picked: np.ndarray, runs: Runs) -> Iterator[tuple[int, np.ndarray]]:
-    for d, p in _by(runs.document[picked]):
-        yield d, picked[p]
+def _cut(h: np.ndarray, size: int) -> np.ndarray:
+    """The upper ``size`` bytes of hashes, one row each (the lower ones choose the part)."""
+    return h.view(np.uint8).reshape(-1, 8)[:, 8 - size:]
 
 
 def marked(sent: DataFrame, buckets: int) -> DataFrame:
-    """``id, blob`` of ordinals: the runs whose anchor occurs in several documents."""
+    """``id, marks``: of every document that has any, a blob of the ordinals of the runs whose
+    anchor occurs in several documents."""
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: list[bytes] = []
         for own, through in _received(rows):
             blobs += own
             yield through
-        cut, ids, ordinal = unpacked(blobs, _SHORT, np.int64, np.int32)
+        cut, ids, ordinal = unpacked(blobs, np.dtype((np.void, _ANCHOR)), np.int64, np.int32)
         if not len(cut):
             return
-        h = _wide(cut.view(np.uint8).reshape(-1, _WORD))
+        h = _wide(cut.view(np.uint8).reshape(-1, _ANCHOR))
         order = np.argsort(h, kind="stable")
         h, ids, ordinal = h[order], ids[order], ordinal[order]
         first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
@@ -202,28 +202,39 @@ def marked(sent: DataFrame, buckets: int) -> DataFrame:
         several = (np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)) | \
             (np.minimum.reduceat(ordinal, first) < 0)
         keep = np.flatnonzero(np.repeat(several & (size > 1), size) & (ordinal >= 0))
-        cells = []
-        for doc, p in _by(ids[keep]):
-            cells.append((None, doc, None, packed(ordinal[keep[p]])))
-            if len(cells) == 20_000:
-                yield _rows(cells)
-                cells = []
-        yield _rows(cells)
+        yield _rows(_findings(ids[keep], buckets, ordinal[keep]))
+
+    def gather(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, ordinal = unpacked([b for batch in rows for b in batch.column("blob").to_pylist()], np.int64, np.int32)
+        for some in _slices(_by(ids)):
+            yield pa.RecordBatch.from_pydict({"id": [i for i, _ in some], "marks": [packed(ordinal[p]) for _, p in some]})
+
+    found = sent.repartition(buckets, "part").mapInArrow(work, _ROW_SQL)
+    return found.repartition(buckets, "part").mapInArrow(gather, "id bigint, marks binary")
 
-    return sent.repartition(buckets, "part").mapInArrow(work, _ROW_SQL).select("id", "blob")
+
+def _slices(groups: Iterator, size: int = 10_000) -> Iterator[list]:
+    some: list = []
+    for g in groups:
+        some.append(g)
+        if len(some) == size:
+            yield some
+            some = []
+    if some:
+        yield some
 
 
 def runs_to_shards(docs: DataFrame, shards: int) -> DataFrame:
-    """``docs`` (id, row, text, marks) to one row (``part``, blob) per group and shard, and spans
-    (with ``id, row``) of the runs that repeat one of their group."""
+    """``docs`` (id, row, text, marks) to a row of work per group and shard, and findings (id, row,
+    span) of the runs that repeat one of their group."""
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches(rows, "text", GROUP_BYTES):
             runs = Runs(Words(texts))
             marks = batch.column("marks").to_pylist()
             known = np.zeros(len(runs), bool)
             from_doc = np.searchsorted(runs.document, np.arange(len(texts) + 1))
-            for d, blobs in enumerate(marks):
-                (at,) = unpacked(blobs, np.int32)
+            for d, blob in enumerate(marks):
+                (at,) = unpacked([blob], np.int32)
                 known[from_doc[d] + at[at < from_doc[d + 1] - from_doc[d]]] = True
             picked = np.flatnonzero(known)
             if not len(picked):
@@ -236,9 +247,10 @@ def runs_to_shards(docs: DataFrame, shards: int) -> DataFrame:
             new = np.concatenate(([True], key[order][1:] != key[order][:-1]))
             own = ids[runs.document[order]]
             repeats = own > own[np.flatnonzero(new)][np.cumsum(new) - 1]
-            cells = [(int(ids[d]) % shards, int(ids[d]), int(row[d]), packed(runs.offset(p).astype(np.int32),
-                                                             (runs.offset(p) + runs.end[p] - runs.start[p]).astype(np.int32)))
-                     for d, p in _by_document(order[repeats], runs)]
+            p = order[repeats]
+            begin = runs.offset(p)
+            cells = _findings(ids[runs.document[p]], shards, row[runs.document[p]], begin.astype(np.int32),
+                              (begin + runs.end[p] - runs.start[p]).astype(np.int32))
             sent = order[~repeats]
             for shard, p in _by(_part(runs.hash[sent], shards)):
                 p = sent[p]
@@ -246,19 +258,19 @@ def runs_to_shards(docs: DataFrame, shards: int) -> DataFrame:
                 at = np.repeat(runs.start[p] - (np.cumsum(length) - length), length) + np.arange(length.sum())
                 d = runs.document[p]
                 head = packed(ids[d], row[d], runs.offset(p).astype(np.int32), length.astype(np.int32))
-                body = _cut(runs.words.hash[at]).tobytes()
-                cells.append((shard, None, None, len(head).to_bytes(8, "little") + head + body))
+                body = _cut(runs.words.hash[at], _WORD).tobytes()
+                cells.append((shard, 0, len(head).to_bytes(8, "little") + head + body))
             yield _rows(cells)
 
     return docs.mapInArrow(work, _ROW_SQL)
 
 
-def shard_spans(blobs: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
-    """All runs of a shard: ``id, row`` and the packed word spans that repeat a smaller id."""
+def shard_spans(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All runs of a shard: id, row, start and end of the word spans that repeat a smaller id."""
     cut = [8 + int.from_bytes(b[:8], "little") for b in blobs]
     ids, row, offset, length = unpacked([b[8:c] for b, c in zip(blobs, cut)], np.int64, np.int64, np.int32, np.int32)
     if not len(ids):
-        return
+        return ids, row, offset, offset
     raw = np.frombuffer(b"".join(b[c:] for b, c in zip(blobs, cut)), np.uint8).reshape(-1, _WORD)
     _, symbol = np.unique(_wide(raw), return_inverse=True)
     del raw
@@ -300,37 +312,35 @@ def shard_spans(blobs: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
     within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     gone = smallest[first_window[kind[run]] + within] < ids[run]
     run, within = run[gone], within[gone]
-    if not len(run):
-        return
     fresh = np.ones(len(run), bool)
     fresh[1:] = (run[1:] != run[:-1]) | (within[1:] != within[:-1] + 1)
     a = np.flatnonzero(fresh)
-    b = np.concatenate((a[1:], [len(run)])) - 1
-    begin = offset[run[a]] + within[a]
-    end = offset[run[a]] + within[b] + WINDOW
-    owner_id, owner_row = ids[run[a]], row[run[a]]
-    order = np.lexsort((owner_row, owner_id))
-    change = (np.diff(owner_id[order]) != 0) | (np.diff(owner_row[order]) != 0)
-    for p in np.split(order, np.flatnonzero(change) + 1):
-        yield int(owner_id[p[0]]), int(owner_row[p[0]]), packed(begin[p].astype(np.int32), end[p].astype(np.int32))
+    b = np.append(a[1:], len(run)) - 1 if len(a) else a
+    begin, end = offset[run[a]] + within[a], offset[run[a]] + within[b] + WINDOW
+    return ids[run[a]], row[run[a]], begin.astype(np.int32), end.astype(np.int32)
 
 
 def repeated_spans(sent: DataFrame, shards: int) -> DataFrame:
-    """``id, row, blob`` of word spans (starts, ends) to remove."""
+    """``id, row, spans``: of every document that has any, a blob of the word spans to remove."""
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells: list[tuple] = []
         blobs: list[bytes] = []
         for own, through in _received(rows):
             blobs += own
             yield through
-        for doc, row, blob in shard_spans(blobs):
-            cells.append((None, doc, row, blob))
-            if len(cells) == 20_000:
-                yield _rows(cells)
-                cells = []
-        yield _rows(cells)
+        ids, *found = shard_spans(blobs)
+        yield _rows(_findings(ids, shards, *found))
+
+    def gather(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [b for batch in rows for b in batch.column("blob").to_pylist()]
+        ids, row, begin, end = unpacked(blobs, np.int64, np.int64, np.int32, np.int32)
+        order = np.lexsort((row, ids))
+        change = np.flatnonzero((np.diff(ids[order]) != 0) | (np.diff(row[order]) != 0)) + 1
+        for some in _slices(p for p in np.split(order, change) if len(p)):
+            yield pa.RecordBatch.from_pydict({"id": [int(ids[p[0]]) for p in some], "row": [int(row[p[0]]) for p in some],
+                                              "spans": [packed(begin[p], end[p]) for p in some]})
 
-    return sent.repartition(shards, "part").mapInArrow(work, _ROW_SQL).select("id", "row", "blob")
+    found = sent.repartition(shards, "part").mapInArrow(work, _ROW_SQL)
+    return found.repartition(shards, "part").mapInArrow(gather, "id bigint, row bigint, spans binary")
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -341,23 +351,21 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     docs = docs.select(F.coalesce("id0", F.lit(NO_ID)).alias("id"), F.xxhash64("id0", "text").alias("row"), "id0", "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(shuffle_width(spark), math.ceil(total / BUCKET_BYTES))
-    marks = marked(anchors(docs.select("id", "text"), buckets), buckets)
-    marks = materialize(marks.groupBy("id").agg(F.collect_list("blob").alias("marks")), "repeat-marks")
-    runs = marks.agg(F.sum(F.aggregate("marks", F.lit(0), lambda n, b: n + F.octet_length(b)))).first()[0] or 0
+    marks = materialize(marked(anchors(docs.select("id", "text"), buckets), buckets), "repeat-marks")
+    runs = marks.agg(F.sum(F.octet_length("marks"))).first()[0] or 0
     shards = max(shuffle_width(spark), math.ceil(runs / 4 * RUN_WORDS / SHARD_WORDS))
     sent = runs_to_shards(docs.drop("id0").join(marks, "id"), shards)
     spans = repeated_spans(sent, shards)
-    spans = spans.groupBy("id", "row").agg(F.collect_list("blob").alias("spans"))
     kind = df.schema[id_col].dataType
 
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches(rows, "text"):
             n_words, n_removed, kept = [], [], []
-            for t, blobs in zip(texts, batch.column("spans").to_pylist()):
+            for t, blob in zip(texts, batch.column("spans").to_pylist()):
                 words = t.split()
                 n_words.append(len(words))
-                if blobs:
-                    begin, end = unpacked(blobs, np.int32, np.int32)
+                if blob:
+                    begin, end = unpacked([blob], np.int32, np.int32)
                     cover = np.zeros(len(words) + 1, np.int64)
                     np.add.at(cover, begin, 1)
                     np.add.at(cover, end, -1)
