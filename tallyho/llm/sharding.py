@@ -76,22 +76,21 @@ def measures(id_col: str, text: str) -> list[Column]:
             F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string")), 2).alias("id_hash"), *coordinates]
 
 
-def _cuts(rows: DataFrame, root: Node, nodes: list[Node], leaf_bytes: float) -> None:
-    """Set ``cut`` of all ``nodes`` (leaves so far, their ``dim`` chosen)."""
+def _cuts(rows: DataFrame, nodes: list[Node], leaf_bytes: float) -> None:
+    """Set ``cut`` of all ``nodes`` (leaves so far, their ``dim`` chosen); ``rows`` have their ``node``."""
     whole = GRID_BITS + HASH_BITS
     # by node: axis (0 the coordinate, 1 the id hash), the range [low, low + 2**bits), bytes before it
     state = {n.first: [0, 0, whole, 0, 0] for n in nodes}   # axis, low, bits, before, coordinate
     target = {n.first: n.bytes * (n.shards // 2) / n.shards for n in nodes}
     todo = {n.first: n for n in nodes}
     spark = rows.sparkSession
-    leaf_of = root.column(lambda leaf: leaf.first)
     while todo:
         search = spark.createDataFrame([(n.first, DIMENSIONS.index(n.dim), *state[n.first][:3], state[n.first][4])
                                         for n in todo.values()],
                                        "node int, dim int, axis int, low bigint, bits int, fixed bigint")
         coordinate = F.get(F.array(*DIMENSIONS), F.col("dim"))
         place = F.when(F.col("axis") == 0, coordinate).when(coordinate == F.col("fixed"), F.col("id_hash")) - F.col("low")
-        found = (rows.withColumn("node", leaf_of).join(F.broadcast(search), "node")  # at most a row per shard
+        found = (rows.join(F.broadcast(search), "node")  # at most a row per shard
                  .select("node", place.alias("place"), "bits", "size")
                  .where("place >= 0 AND shiftright(place, bits) = 0")
                  .select("node", F.expr(f"shiftright(place, greatest(bits - {BIN_BITS}, 0))").alias("bin"), "size")
@@ -124,24 +123,33 @@ def _cuts(rows: DataFrame, root: Node, nodes: list[Node], leaf_bytes: float) ->
 
 
 def build(rows: DataFrame, shards: int) -> Node:
-    """The tree over stored rows with ``measures``."""
+    """The tree over stored rows with ``measures``.  Each level's nodes are stored with the rows,
+    so that every round runs the same small plan."""
     total = rows.agg(F.sum("size")).first()[0] or 0
     root = Node(shards, 0, total)
+    rows = rows.withColumn("node", F.lit(0))
     while True:
         level = [n for n in root.leaves() if n.shards > 1]
         if not level:
             return root
-        node = root.column(lambda leaf: leaf.first)
-        spread = {r["node"]: r for r in rows.groupBy(node.alias("node")).agg(
+        spread = {r["node"]: r for r in rows.groupBy("node").agg(
             F.sum("size").alias("size"), *[(F.max(d) - F.min(d)).alias(d) for d in DIMENSIONS]).collect()}
         for n in level:
             r = spread.get(n.first)
             n.bytes = r["size"] if r else 0
             n.dim = max(DIMENSIONS, key=lambda d: r[d]) if r else DIMENSIONS[0]
-        _cuts(rows, root, level, total / shards)
+        _cuts(rows, level, total / shards)
         for n in level:
             k = n.shards // 2
             n.left, n.right = Node(k, n.first, 0), Node(n.shards - k, n.first + k, 0)
+        splits = rows.sparkSession.createDataFrame(
+            [(n.first, DIMENSIONS.index(n.dim), *n.cut, n.right.first) for n in level],
+            "node int, dim int, at bigint, key bigint, right int")
+        place = F.get(F.array(*DIMENSIONS), F.col("dim"))
+        after = (place > F.col("at")) | ((place == F.col("at")) & (F.col("id_hash") >= F.col("key")))
+        moved = rows.join(F.broadcast(splits), "node", "left").withColumn(  # at most a row per shard
+            "node", F.when(after, F.col("right")).otherwise(F.col("node")))
+        rows = materialize(moved.drop("dim", "at", "key", "right"), "shard-nodes")
 
 
 def planned(df: DataFrame, id_col: str, text: str, shards: int | None, target_bytes: int) -> tuple[DataFrame, Node]:
