@@ -11,7 +11,9 @@ Groups of copies stay cheap: equal texts are one node (their md5), a bucket's te
 compared with the bucket's smallest node only, and those that aren't similar to it
 (the rest) go to further rounds with 8, 64, ... representatives until no bucket has a
 rest: nothing is capped, and pairs grow with the number of different groups in a
-bucket, not with their sizes.  Classes are the connected components of the links,
+bucket, not with their sizes.  Members that left a bucket with different representatives, or
+that one left and one stayed, meet afterwards if the triangle inequality allows them to be
+similar and no other links join them already.  Classes are the connected components of the links,
 found by star contraction on written tables; nothing of them reaches the driver.
 
 Defined cases: a null text is the empty text; texts without words are near-duplicates of
@@ -23,6 +25,7 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -151,6 +154,8 @@ def similarity(a: bytes, b: bytes, least: float = SIMILARITY) -> float | None:
     if not longer:
         return None
     most = int(longer * (1 - least) + 1e-9)
+    if longer - sum((Counter(x) & Counter(y)).values()) > most:  # too few words in common
+        return None
     for limit in sorted({min(most, max(4, longer // 50)), most}):
         d = edit_distance(x, y, limit)
         if d <= limit:
@@ -175,18 +180,67 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(work, f"id {kind}, node binary, n_words bigint, sketches array<bigint>")
 
 
+PAIR = ("a", "b", "na", "nb")  # two nodes, b the smaller one, and their word counts
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """``a, b, similarity`` (null below ``least``) of node pairs."""
+    """``pairs`` (``PAIR``) with ``similarity``, null below ``least``."""
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y"))
+            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select(*PAIR, "x", "y"))
 
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             found = [similarity(x, y, least) for x, y in zip(utf8(batch.column("x")), utf8(batch.column("y")))]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())],
-                                             names=["a", "b", "similarity"])
-
-    return both.mapInArrow(work, "a binary, b binary, similarity double")
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in PAIR), pa.array(found, pa.float64())],
+                                             names=[*PAIR, "similarity"])
+
+    return both.mapInArrow(work, "a binary, b binary, na bigint, nb bigint, similarity double")
+
+
+def _lengths(a, b, least: float):
+    """Lengths that differ by no more than the similarity ``least`` allows."""
+    return F.least(a, b) >= least * F.greatest(a, b) - 1e-9
+
+
+def _across(met: DataFrame, done: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links of members that met the same representative but not each other.
+
+    If p is linked to the representative and q isn't, their distance is at least d(q) - d(p).
+    With p similar to both, q is similar to the representative by ``3 - 2 / least`` or more."""
+    linked = done.where("similarity IS NOT NULL").select(*PAIR, "similarity")
+    others = (met.select(*PAIR).distinct().join(linked.select("b").distinct(), "b", "left_semi")
+              .join(linked.select("a", "b"), ["a", "b"], "left_anti"))
+    near = _verified(others, texts, max(0.0, 3 - 2 / least)).where("similarity IS NOT NULL")
+    steps = (1 - F.col("similarity")) * F.greatest("na", "nb")
+    p = linked.select("b", F.col("a").alias("p"), F.col("na").alias("np"), steps.alias("dp"))
+    q = near.select("b", F.col("a").alias("q"), F.col("na").alias("nq"), steps.alias("dq"))
+    bound = F.col("dq") - F.col("dp")
+    within = (F.col("p") != F.col("q")) & _lengths("np", "nq", least) & (
+        bound <= (1 - least) * F.greatest("np", "nq") + 1e-6)
+    up = F.col("p") > F.col("q")
+    pairs = p.join(q, "b").where(within).select(
+        F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b"), F.when(up, F.col("np")).otherwise(F.col("nq")).alias("na"),
+        F.when(up, F.col("nq")).otherwise(F.col("np")).alias("nb"), bound.alias("bound"))
+    pairs = materialize(pairs.groupBy(*PAIR).agg(F.min("bound").alias("bound"))
+                        .join(done.select("a", "b"), ["a", "b"], "left_anti"), "near-across")
+    # The closest pair of two classes first: most classes that touch are one after it.
+    for closest in (True, False):
+        if pairs.isEmpty():
+            break
+        root = materialize(components(linked), "near-roots")
+        apart = pairs
+        for c in ("a", "b"):
+            named = root.select(F.col("node").alias(c), F.col("root").alias("r" + c))
+            apart = apart.join(named, c, "left").withColumn("r" + c, F.coalesce("r" + c, c))
+        pairs = materialize(apart.where("ra != rb"), "near-apart")
+        first = pairs
+        if closest:
+            first = (pairs.groupBy(F.least("ra", "rb").alias("u"), F.greatest("ra", "rb").alias("v"))
+                     .agg(F.min(F.struct("bound", *PAIR)).alias("pair")).select("pair.*"))
+        checked = materialize(_verified(first.select(*PAIR), texts, least), "near-checked")
+        linked = linked.unionByName(checked.where("similarity IS NOT NULL"))
+        pairs = pairs.select(*PAIR, "bound").join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    return linked
 
 
 def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -203,7 +257,7 @@ def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> Data
              .join(wanted.alias("w"), (F.col("d.node") == F.col("w.node")) & F.col("d.id").eqNullSafe(F.col("w.id")))
              .select("d.node", "d.text").dropDuplicates(["node"]))
     texts = materialize(texts, "near-texts")
-    done = None
+    done = seen = None
     width = 1
     while not members.isEmpty():
         if width == 1:
@@ -212,11 +266,13 @@ def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> Data
             order = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
             chosen = (members.withColumn("place", order).where(F.col("place") <= width)
                       .select("bucket", F.struct("node", "n_words").alias("r")))
-        # Lengths that differ by more than the similarity allows need no comparison.
-        alike = F.least("n_words", "r.n_words") >= least * F.greatest("n_words", "r.n_words") - 1e-9
-        met = materialize(members.join(chosen, "bucket").where((F.col("node") > F.col("r.node")) & alike)
-                          .select("bucket", F.col("node").alias("a"), F.col("r.node").alias("b")), "near-met")
-        fresh = met.select("a", "b").distinct()
+        # Texts too far apart in length for one between them have nothing to do with each other.
+        met = materialize(
+            members.join(chosen, "bucket").where((F.col("node") > F.col("r.node")) & _lengths("n_words", "r.n_words", least * least))
+            .select("bucket", F.col("node").alias("a"), F.col("r.node").alias("b"), F.col("n_words").alias("na"),
+                    F.col("r.n_words").alias("nb")), "near-met")
+        seen = met if seen is None else seen.unionByName(met)
+        fresh = met.where(_lengths("na", "nb", least)).select(*PAIR).distinct()
         if done is not None:
             fresh = fresh.join(done, ["a", "b"], "left_anti")
         checked = materialize(_verified(fresh, texts, least), "near-checked")
@@ -231,7 +287,7 @@ def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> Data
         width *= MORE
     if done is None:
         return docs.sparkSession.createDataFrame([], "a binary, b binary, similarity double")
-    return done.where("similarity IS NOT NULL")
+    return _across(seen, done, texts, least).select("a", "b", "similarity")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -205,6 +205,34 @@ def test_near_duplicates_rest_rounds(documents, monkeypatch):
     assert got == classes_of(texts, list(range(len(texts))))
 
 
+def test_near_duplicates_chains_in_one_bucket(documents, monkeypatch):
+    """R-A-B, A similar to both, R not to B, R the representative: one class, at equal and at
+    growing lengths, and where the rounds of several representatives part A and B."""
+    rng = random.Random(17)
+    vocab = vocabulary(3000, 5)
+    texts = []
+
+    def changed(words, first, n):
+        return words[:first] + [rng.choice(vocab) for _ in range(n)] + words[first + n:]
+
+    for _ in range(6):
+        while True:
+            a = [rng.choice(vocab) for _ in range(50)]
+            chain = [changed(a, 5, 8), a, changed(a, 30, 8)]
+            chain = [" ".join(w) for w in chain]
+            if min(chain, key=lambda t: hashlib.md5(t.encode()).digest()) == chain[0]:
+                break
+        texts += chain
+        a = [rng.choice(vocab) for _ in range(70)]
+        texts += [" ".join(w) for w in (a[:59], a, a + [rng.choice(vocab) for _ in range(14)])]
+    base = [rng.choice(vocab) for _ in range(60)]
+    texts += [" ".join(changed(base, rng.randrange(0, 48), rng.randrange(4, 12))) for _ in range(40)]
+    monkeypatch.setattr(neardup, "fingerprinted", lambda docs, f=neardup.fingerprinted: _one_bucket(f(docs)))
+    for part in (texts[:3], texts):
+        got = {r.doc_id: r.class_id for r in neardup.classes(documents(part)).collect()}
+        assert got == classes_of(part, list(range(len(part))))
+
+
 def _one_bucket(prints):
     from pyspark.sql import functions as F
 
