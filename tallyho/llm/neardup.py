@@ -37,8 +37,8 @@ from tallyho.llm.common import U64, Words, batches, decided, gram_hashes, materi
 
 K = 5
 SIMILARITY = 0.8
-SKETCHES = 48
-PICKED = 3
+SKETCHES = 160              # find 95 % of pairs even at the least similarity
+PICKED = 2
 MORE = 8                    # representatives per bucket grow by this factor each round
 _TOP = U64(0xFFFFFFFFFFFFFFFF)
 
