@@ -33,7 +33,8 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-CHUNKS = 4                         # chunks that the chunked queries aim for, at any size
+CHUNKS = 4                         # chunks that the native chunked queries aim for, at any size
+UDF_CHUNK_ROWS = 1_000_000         # rows of a chunk handed to one pandas frame; chunks grow with the table
 STREAM_FILE_BYTES = 64 << 20       # input files of the incremental run
 STREAM_BATCH_FILES = 16            # of them per micro-batch, where there are more than four
 LINE_BYTES = 24                    # about, of a measurement line
@@ -300,7 +301,8 @@ def q_batch_partials_udf(spark, sf_dir):
 
 @register("chunk_apply_udf", M_SUMMARY)
 def q_chunk_apply_udf(spark, sf_dir):
-    return C.chunk_apply_udf(_chunked_m(spark, sf_dir))
+    rows = F.call_function("div", F.col(ROW_ID), F.lit(UDF_CHUNK_ROWS))
+    return C.chunk_apply_udf(_m(spark, sf_dir).withColumn(CHUNK_ID, rows))
 
 
 # ------------------------------------------------------------------ sinks

@@ -100,6 +100,20 @@ def test_chunk_partials_stay_few(spark):
     assert partials.select("chunk_id").distinct().count() <= CHUNKS and partials.count() <= CHUNKS * stations
 
 
+def test_chunk_apply_query_bounds_its_frames(spark, monkeypatch):
+    """No chunk of the registered query holds more than the bound, however many rows there are."""
+    from tallyho import queries
+
+    seen = []
+    monkeypatch.setattr(queries, "UDF_CHUNK_ROWS", 100, raising=False)
+    monkeypatch.setattr(queries.C, "chunk_apply_udf", lambda df, f=C.chunk_apply_udf: seen.append(df) or f(df))
+    got = _sorted(queries.QUERIES["chunk_apply_udf"](spark, SF_SMALL).collect())
+    m = events_measurements(spark, SF_SMALL)
+    assert got == _sorted(S.summary_decimal(m).collect())
+    sizes = [r["count"] for r in seen[0].groupBy("chunk_id").count().collect()]
+    assert max(sizes) <= 100 and sum(sizes) == m.count() > 400
+
+
 def test_prefix(spark, tmp_text):
     path = tmp_text(["A;1.0", "A;3.0", "B;2.0", "A;9.0"])
     ix = L.with_line_index(T.scan_text_decimal(spark, path))
