@@ -135,6 +135,22 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
+def run_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each of the byte runs ``buf[start:end]``, which ascend."""
+    out = np.empty(len(start), U64)
+    i = 0
+    while i < len(start):  # some bytes at a time: prefix sums take eight times as much
+        base = start[i]
+        j = max(i + 1, int(np.searchsorted(end, base + CHUNK_BYTES // 2, "right")))
+        first, last = start[i:j] - base, end[i:j] - base
+        up, down = _powers(int(last[-1]))
+        total = np.zeros(int(last[-1]) + 1, U64)
+        np.cumsum((buf[base:base + last[-1]].astype(U64) + U64(1)) * up, out=total[1:])
+        out[i:j] = mix((total[last] - total[first]) * down[first])
+        i = j
+    return out
+
+
 #: Byte classes of the words `[^\x20\x09-\x0D]+` (fixed values): 0 is white space.
 PLAIN = np.ones(256, np.uint8)
 PLAIN[list(b"\x20\x09\x0a\x0b\x0c\x0d")] = 0
@@ -157,17 +173,7 @@ class Words:
         lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         self.text_end = np.cumsum(lengths)
         self.first = np.concatenate(([0], np.searchsorted(self.start, self.text_end)))
-        self.hash = np.empty(len(self.start), U64)
-        i = 0
-        while i < len(self.start):  # some bytes at a time: prefix sums take eight times as much
-            base = self.start[i]
-            j = max(i + 1, int(np.searchsorted(self.end, base + CHUNK_BYTES // 2, "right")))
-            first, last = self.start[i:j] - base, self.end[i:j] - base
-            up, down = _powers(int(last[-1]))
-            total = np.zeros(int(last[-1]) + 1, U64)
-            np.cumsum((buf[base:base + last[-1]].astype(U64) + U64(1)) * up, out=total[1:])
-            self.hash[i:j] = mix((total[last] - total[first]) * down[first])
-            i = j
+        self.hash = run_hashes(buf, self.start, self.end)
 
     def __len__(self) -> int:
         return len(self.start)
