@@ -55,7 +55,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 CACHED = 1 << 20            # words in the broadcast table at most
 CACHED_BYTES = 64           # and the length of each
 LONG = 128                  # bytes of a word that the fold takes at most
-HELD = 1 << 19              # distinct words that a counting task holds before it passes them on
+HELD = 1 << 16              # distinct words that a counting task holds before it passes them on
 _NONE = 2147483647          # the rank of a pair that has none
 _SPACE, _LETTER, _NUMBER, _OTHER, _EDGE = range(5)
 
@@ -305,10 +305,17 @@ def _lists(flat: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
 
 
 # ------------------------------------------------------------------ encoding and decoding
-def encode(df: DataFrame, text: str, path: str, out: str = "ids", most: int = CACHED) -> DataFrame:
-    """``df`` with the ids of each text in place of the text.  No text is shuffled."""
+def _joined(flat: np.ndarray, per_text: np.ndarray, piece: dict[int, bytes]) -> pa.Array:
+    """The bytes of each text's ids."""
+    ids, ends = flat.tolist(), np.cumsum(per_text).tolist()
+    return pa.array([b"".join([piece[i] for i in ids[a:b]]) for a, b in zip([0, *ends], ends)], pa.binary())
+
+
+def encode(df: DataFrame, text: str, path: str, out: str = "ids", most: int = CACHED, decoded: str | None = None) -> DataFrame:
+    """``df`` with the ids of each text in place of the text, and if asked for with what they
+    decode to (a round trip without another pass).  No text is shuffled."""
     spark, ranks = df.sparkSession, read_ranks(path)
-    kept = [c for c in df.columns if c not in (text, out)]
+    kept = [c for c in df.columns if c not in (text, out, decoded)]
     inner = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`")).toDF(*[f"c{i}" for i in range(len(kept))], "text")
     words = frequent_words(inner.select("text"), most).repartition(shuffle_width(spark), "word")  # small rows, much work
     folded = words.select(
@@ -363,13 +370,16 @@ def encode(df: DataFrame, text: str, path: str, out: str = "ids", most: int = CA
                 both = np.concatenate((ids, inner_ids))
                 first = np.where(gap, len(ids) + word_first[word], np.arange(len(ids)))
                 ids, per_text = both[_spread(first, n)], np.bincount(owner, n, len(per_text)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried.names), _lists(ids, per_text)],
-                                             names=[*carried.names, "ids"])
+            columns = [*(batch.column(c) for c in carried.names), _lists(ids, per_text)]
+            if decoded:
+                columns.append(_joined(ids, per_text, {rank: token for token, rank in all_ranks.value.items()}))
+            yield pa.RecordBatch.from_arrays(columns, names=filled_schema.names)
 
     ids = T.StructField("ids", T.ArrayType(T.IntegerType()))
+    filled_schema = T.StructType([*carried, ids, *([T.StructField("decoded", T.BinaryType())] if decoded else [])])
     listed = inner.mapInArrow(lookup, T.StructType([*carried, ids, T.StructField("gaps", T.ArrayType(T.BinaryType()))]))
     filled = listed.select(*carried.names, "ids", fold_all(F.col("gaps"), ranks).alias("gaps"))
-    return filled.mapInArrow(fill, T.StructType([*carried, ids])).toDF(*kept, out)
+    return filled.mapInArrow(fill, filled_schema).toDF(*kept, out, *([decoded] if decoded else []))
 
 
 def decode(df: DataFrame, ids: str, path: str, out: str = "decoded") -> DataFrame:
@@ -385,8 +395,7 @@ def decode(df: DataFrame, ids: str, path: str, out: str = "decoded") -> DataFram
         piece, names = pieces.value, to_arrow_schema(schema).names
         for batch in rows:
             lists = batch.column(at)
-            flat, offsets = lists.flatten().to_pylist(), np.concatenate(([0], np.cumsum(lists.value_lengths().fill_null(0)))).tolist()
-            out = [b"".join([piece[i] for i in flat[a:b]]) for a, b in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=names)
+            sizes = np.asarray(lists.value_lengths().fill_null(0))
+            yield pa.RecordBatch.from_arrays([*batch.columns, _joined(np.asarray(lists.flatten()), sizes, piece)], names=names)
 
     return inner.mapInArrow(work, schema).toDF(*kept, out)

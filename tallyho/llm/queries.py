@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import bytepair, decontaminate, fingerprint, html, language, licenses, mixing, neardup, quality, sharding, sql, substrings
+from tallyho.llm import bytepair, decontaminate, fingerprint, html, language, lexical, licenses, mixing, neardup, quality, sharding, sql, substrings
 from tallyho.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,13 +100,18 @@ def op10_minhash(spark, sf_dir):
     return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
 
 
+@query
+def op11_lexical_search(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op13_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bytepair.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", path)
-    return bytepair.decode(ids, "ids", path).select(
+    coded = bytepair.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", path, decoded="decoded")
+    return coded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -116,5 +121,6 @@ ORACLE.update({
     "op2_decontamination": sql.DECONTAMINATION,
     "op4_mixing": sql.MIXING,
     "op7_substring_dedup": sql.SUBSTRINGS,
+    "op11_lexical_search": sql.LEXICAL,
     "op8_license_scan": sql.license_sql(FOLDER_ROWS),
 })

@@ -59,6 +59,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
        sha256(coalesce(k, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
 
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+g AS (SELECT count(*) FILTER (len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS length FROM d),
+i AS (SELECT item_id, term, count(*) AS q FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+t AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS weight
+      FROM p, g GROUP BY term, docs),
+m AS (SELECT r, doc_id, 25 + (75 * len(w) * docs) // length AS m FROM d, g WHERE len(w) > 0),
+s AS (SELECT item_id, r, CAST(sum(q * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM i JOIN p USING (term) JOIN t USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM s JOIN m USING (r) WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER best <= 10"""
+
 
 def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
