@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import bytepair, decontaminate, fingerprint, html, language, lexical, licenses, mixing, neardup, quality, sharding, sql, substrings
+from tallyho.llm import bytepair, decontaminate, fingerprint, html, language, lexical, licenses, mixing, neardup, quality, sharding, sql, substrings, variants
 from tallyho.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,11 @@ def op11_lexical_search(spark, sf_dir):
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_byte_bpe(spark, sf_dir):
     import public_tokenizers
@@ -122,5 +127,6 @@ ORACLE.update({
     "op4_mixing": sql.MIXING,
     "op7_substring_dedup": sql.SUBSTRINGS,
     "op11_lexical_search": sql.LEXICAL,
+    "op12_spelling_variants": sql.VARIANTS,
     "op8_license_scan": sql.license_sql(FOLDER_ROWS),
 })

@@ -74,6 +74,31 @@ s AS (SELECT item_id, r, CAST(sum(q * weight * ((1000000000 * tf) // (1000 * tf
 SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM s JOIN m USING (r) WHERE score > 0
 WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER best <= 10"""
 
+# CRC-32 from its polynomial; a run's bytes are those of ASCII and of U+00C0 to U+00FF.
+VARIANTS = f"""
+WITH RECURSIVE bits AS (SELECT i::BIGINT AS i, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+    UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+                unnest(regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[a-z\u00C0-\u00FF]+')) AS run FROM documents),
+pairs AS (SELECT id, run, count(*) AS n FROM runs WHERE len(run) >= 6 GROUP BY ALL),
+bytes AS (SELECT run, n, flatten([CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [195, unicode(ch)::BIGINT - 64] END
+                                  FOR ch IN string_split(id || ':' || run, '')]) AS b FROM pairs),
+hashed AS (SELECT run, n, xor(4294967295::BIGINT, list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295::BIGINT)) AS h
+           FROM bytes, crc),
+slips AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word, n FROM hashed),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slips WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS i FROM v)),
+near AS (SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b USING (i, rest) WHERE a.word <> b.word
+         UNION SELECT l.word, s.word, s.n FROM less l JOIN v s ON l.rest = s.word
+         UNION SELECT s.word, l.word, l.n FROM less l JOIN v s ON l.rest = s.word),
+best AS (SELECT word, count(*) AS n_near, min((-other_n, other)) AS b FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b[1] >= 5 * n THEN b[2] END AS form,
+             CASE WHEN -b[1] >= 5 * n THEN -b[1] END AS form_n FROM v LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root FROM v UNION ALL SELECT c.word, f.form FROM chain c JOIN f ON c.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM f JOIN chain c USING (word) JOIN f l ON c.root = l.word WHERE l.form IS NULL"""
+
 
 def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
