@@ -8,21 +8,21 @@ distinct word's byte array whose state is its pieces so far and the ranks of the
 looked up in a *literal rank map*: an array of hash buckets, each a small map, constant in the
 plan, so a lookup costs the same for any vocabulary.
 
-Three steps, all on whole texts:
+Two steps, both on whole texts:
 
-1. the words of all texts are counted; those that are frequent enough (at most ``CACHED``,
-   the least count is found from a histogram) are folded as a table of distinct words and go to
-   the tasks as a broadcast table of bounded size;
-2. each text is cut into words, in numpy; words of the table get its ids, the distinct
-   other ones are listed with the text and folded where they stand, by the same expression;
-3. their ids are filled into the gaps.
+1. the words of all texts are counted; the frequent ones (at most ``CACHED``, the least count is
+   found from a histogram) are folded, as a table of distinct words spread over the
+   cluster, and go to the tasks as a broadcast table of bounded size;
+2. each text is cut into words, in numpy; words of the table get its ids, a word that is too rare for it
+   (or longer than ``CACHED_BYTES``, as the fold takes quadratic time in the length) is merged where
+   it stands by ``merge``, the same merges from a heap.
 
-No text is shuffled, and the table only saves work: with any other table the result is the
-same.  The fold takes quadratic time in the length of a word, so words of more than ``LONG`` bytes are
-encoded in step 2 by ``merge_long``, the same merges from a heap.  Decoding looks every id's bytes
-up and concatenates them.
+No text is shuffled and no result depends on what the table holds.  Folding rare words too, as a
+column of each text's words that the table lacks, was tried: it gives the same results, but
+an interpreted lambda takes some 75 microseconds a word (README).  Decoding looks every id's
+bytes up and concatenates them.
 
-``cut`` knows one pattern, that of the byte-level vocabularies (``PATTERN``, fixed value); its
+``Cut`` knows one pattern, that of the byte-level vocabularies (``PATTERN``, fixed value); its
 classes of letters, numbers and white space are those of the ``regex`` library.
 
 Defined cases: a null text is the empty text and has no tokens; special tokens are ordinary
@@ -52,10 +52,9 @@ from tallyho.llm.common import U64, batches, materialize, run_hashes, shuffle_wi
 #: The pattern of the vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-CACHED = 1 << 20            # words in the broadcast table at most
+CACHED = 1 << 19            # words in the broadcast table at most
 CACHED_BYTES = 64           # and the length of each
-LONG = 128                  # bytes of a word that the fold takes at most
-HELD = 1 << 16              # distinct words that a counting task holds before it passes them on
+HELD = 1 << 16              # distinct words that a task holds: counted ones, then merged ones
 _NONE = 2147483647          # the rank of a pair that has none
 _SPACE, _LETTER, _NUMBER, _OTHER, _EDGE = range(5)
 
@@ -131,8 +130,8 @@ class Cut:
         return self.raw[self.start[i]:self.end[i]]
 
 
-def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of a word by the same merges as ``fold``, from a heap of adjacent pairs."""
+def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of one word by the same merges as ``fold``, from a heap of adjacent pairs."""
     if word in ranks:
         return [ranks[word]]
     n = len(word)
@@ -225,10 +224,10 @@ def fold(word: Column, ranks: Column, buckets: int) -> Column:
     return _let(F.hex(word), ids)
 
 
-def fold_all(words: Column, ranks: dict[bytes, int]) -> Column:
-    """The ids of each word of an array."""
+def fold_with(word: Column, ranks: dict[bytes, int]) -> Column:
+    """``fold`` by the ranks as a literal map."""
     size = 1 << max(1, len(ranks).bit_length())
-    return _let(literal_ranks(ranks), lambda table: F.transform(words, lambda word: fold(word, table, size)))
+    return _let(literal_ranks(ranks), lambda table: fold(word, table, size))
 
 
 # ------------------------------------------------------------------ the table of frequent words
@@ -283,7 +282,7 @@ class Table:
         hashes = run_hashes(raw, np.concatenate(([0], ends[:-1])).astype(np.int64), ends) if words else np.zeros(0, U64)
         order = np.argsort(hashes, kind="stable")
         sizes = np.array([len(x) for x in ids], np.int64)[order] if words else np.zeros(0, np.int64)
-        self.hash, self.first = hashes[order], np.concatenate(([0], np.cumsum(sizes)))
+        self.hash, self.first = hashes[order], np.concatenate(([0], np.cumsum(sizes), [0]))  # place -1 is empty
         self.ids = np.array([i for at in order.tolist() for i in ids[at]], np.int32)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
@@ -318,68 +317,42 @@ def encode(df: DataFrame, text: str, path: str, out: str = "ids", most: int = CA
     kept = [c for c in df.columns if c not in (text, out, decoded)]
     inner = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`")).toDF(*[f"c{i}" for i in range(len(kept))], "text")
     words = frequent_words(inner.select("text"), most).repartition(shuffle_width(spark), "word")  # small rows, much work
-    folded = words.select(
-        "word", F.get(fold_all(F.array("word"), ranks), F.lit(0)).alias("ids")).toArrow()
+    folded = words.select("word", fold_with(F.col("word"), ranks).alias("ids")).toArrow()
     known = spark.sparkContext.broadcast(Table(folded.column("word").to_pylist(), folded.column("ids").to_pylist()))
-    # The rank map is needed by tasks that meet a long word only.
-    all_ranks = spark.sparkContext.broadcast(ranks)
-    carried = T.StructType(inner.schema.fields[:-1])
+    every = spark.sparkContext.broadcast(ranks)
+    carried = inner.schema.fields[:-1]
+    schema = T.StructType([*carried, T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           *([T.StructField("decoded", T.BinaryType())] if decoded else [])])
 
-    def lookup(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, rare = known.value, {}
+        piece = {rank: token for token, rank in every.value.items()} if decoded else {}
         for batch, parts in batches(rows, "text"):
-            cut, table = Cut(parts), known.value
+            cut = Cut(parts)
             kinds, first, place = np.unique(cut.hash, return_index=True, return_inverse=True)
             at = table.find(kinds)
-            flat, starts = [table.ids], np.where(at >= 0, table.first[at] if len(table.hash) else 0, 0)
-            sizes = np.where(at >= 0, table.first[at + 1] - starts if len(table.hash) else 0, 1)
-            total = len(table.ids)
-            lengths = (cut.end - cut.start)[first]
-            for k in np.flatnonzero((at < 0) & (lengths > LONG)):
-                found = merge_long(cut.word(first[k]), all_ranks.value)
-                at[k], starts[k], sizes[k] = 0, total, len(found)
-                flat.append(np.array(found, np.int32))
+            starts, sizes = table.first[at], table.first[at + 1] - table.first[at]
+            own, total = [table.ids], len(table.ids)
+            for k in np.flatnonzero(at < 0):  # words that the table lacks
+                word = cut.word(first[k])
+                found = rare.get(word)
+                if found is None:
+                    found = merge(word, every.value)
+                    if len(word) <= CACHED_BYTES:
+                        if len(rare) >= HELD:
+                            rare.clear()
+                        rare[word] = found
+                starts[k], sizes[k] = total, len(found)
+                own.append(np.array(found, np.int32))
                 total += len(found)
-            gap = at[place] < 0
-            # The distinct gaps of each text, numbered in it.
-            owner, kind = cut.document[gap], place[gap]
-            pairs, number = np.unique(owner * np.int64(len(kinds) + 1) + kind, return_inverse=True)
-            of = pairs // (len(kinds) + 1)
-            begin = np.searchsorted(of, np.arange(len(parts) + 1))
-            words = pa.array([cut.word(first[k]) for k in pairs % (len(kinds) + 1)], pa.binary())
-            ids = np.concatenate(flat)[_spread(starts[place] * ~gap, sizes[place])] if total else np.zeros(len(cut), np.int32)
-            ends = np.cumsum(sizes[place])
-            ids[ends[gap] - 1] = begin[owner] - number - 1
+            ids = np.concatenate(own)[_spread(starts[place], sizes[place])]
             per_text = np.bincount(cut.document, sizes[place], len(parts)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c.name) for c in carried), _lists(ids, per_text),
-                 pa.ListArray.from_arrays(pa.array(begin, pa.int32()), words)], names=[*carried.names, "ids", "gaps"])
-
-    def fill(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            texts, gaps = batch.column("ids"), batch.column("gaps")
-            ids, per_text = np.asarray(texts.flatten()), np.diff(np.asarray(texts.offsets))
-            words = gaps.flatten()
-            inner_ids, sizes = np.asarray(words.flatten()), np.diff(np.asarray(words.offsets))
-            if len(sizes):
-                word_first = np.concatenate(([0], np.cumsum(sizes)))
-                base = np.concatenate(([0], np.cumsum(np.diff(np.asarray(gaps.offsets)))))
-                owner = np.repeat(np.arange(len(per_text)), per_text)
-                gap = ids < 0
-                word = np.where(gap, base[owner] - ids - 1, 0)
-                n = np.where(gap, sizes[word], 1)
-                both = np.concatenate((ids, inner_ids))
-                first = np.where(gap, len(ids) + word_first[word], np.arange(len(ids)))
-                ids, per_text = both[_spread(first, n)], np.bincount(owner, n, len(per_text)).astype(np.int64)
-            columns = [*(batch.column(c) for c in carried.names), _lists(ids, per_text)]
+            columns = [*(batch.column(c.name) for c in carried), _lists(ids, per_text)]
             if decoded:
-                columns.append(_joined(ids, per_text, {rank: token for token, rank in all_ranks.value.items()}))
-            yield pa.RecordBatch.from_arrays(columns, names=filled_schema.names)
-
-    ids = T.StructField("ids", T.ArrayType(T.IntegerType()))
-    filled_schema = T.StructType([*carried, ids, *([T.StructField("decoded", T.BinaryType())] if decoded else [])])
-    listed = inner.mapInArrow(lookup, T.StructType([*carried, ids, T.StructField("gaps", T.ArrayType(T.BinaryType()))]))
-    filled = listed.select(*carried.names, "ids", fold_all(F.col("gaps"), ranks).alias("gaps"))
-    return filled.mapInArrow(fill, filled_schema).toDF(*kept, out, *([decoded] if decoded else []))
+                columns.append(_joined(ids, per_text, piece))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return inner.mapInArrow(work, schema).toDF(*kept, out, *([decoded] if decoded else []))
 
 
 def decode(df: DataFrame, ids: str, path: str, out: str = "decoded") -> DataFrame:

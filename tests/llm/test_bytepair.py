@@ -53,7 +53,7 @@ def test_every_code_point_has_the_class_of_the_pattern():
 def test_long_words_by_the_heap(library):
     draw = random.Random(3)
     for text in ("a" * 1000, "ab" * 700, "".join(draw.choice("abcdef") for _ in range(3000)), "é" * 500):
-        assert B.merge_long(text.encode(), RANKS) == library.encode_ordinary(text)
+        assert B.merge(text.encode(), RANKS) == library.encode_ordinary(text)
 
 
 @pytest.mark.parametrize("most", [0, 50, B.CACHED])
