@@ -1,0 +1,161 @@
+"""Ranked search and spelling variants against brute force on small tables."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tallyho.llm import lexical, variants
+
+TERM = re.compile("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+UPPER = {c: c + 32 for c in range(65, 91)}
+
+
+def ranked(docs, queries, k):
+    """(query id, rank, doc id, score) by scoring every document."""
+    bags = [(i, Counter(TERM.findall((t or "").translate(UPPER)))) for i, t in docs]
+    n_docs = sum(bool(b) for _, b in bags)
+    length = sum(sum(b.values()) for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    out = []
+    for q, text in queries:
+        asked = TERM.findall((text or "").translate(UPPER))
+        scores = []
+        for i, b in bags:
+            m = 25 + (75 * sum(b.values()) * n_docs) // length if b else 0
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10 ** 9 * b[t]) // (1000 * b[t] + 8 * m))
+                    for t in asked if t in b)
+            if s > 0:
+                scores.append((-s, i is None, i or 0, i))
+        out += [(q, r, s[3], -s[0]) for r, s in enumerate(sorted(scores, key=lambda s: s[:3])[:k], 1)]
+    return sorted(out, key=lambda r: (r[0], r[1]))
+
+
+def corpus(seed=1, n=400):
+    draw = random.Random(seed)
+    words = [w for i in range(60) for w in ["ab%dé" % i] * (1 + 60 // (i + 1))]
+    docs = [(i, " ".join(draw.choice(words) + draw.choice(["", ".", "X"]) for _ in range(draw.randint(0, 60)))) for i in range(n)]
+    docs += [(n + i, docs[7][1]) for i in range(50)] + [docs[3], docs[3], (None, docs[9][1]), (n + 60, None), (n + 61, ""), (n + 62, "...")]
+    return docs
+
+
+@pytest.mark.parametrize("shard_postings,block_bytes", [(1 << 21, 16 << 20), (300, 16 << 20), (7, 700)])
+def test_search_equals_scoring_everything(spark, shard_postings, block_bytes):
+    docs = corpus()
+    draw = random.Random(2)
+    queries = [(i, " ".join(draw.choice(["ab%dé" % draw.randint(0, 70), "AB1é", "zz"]) for _ in range(draw.randint(1, 25)))) for i in range(25)]
+    queries += [(100, None), (101, ""), (102, docs[7][1]), (103, docs[0][1].upper())]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    asked = spark.createDataFrame(queries + queries[:3], "item_id long, text string")
+    found = lexical.search(df, asked, shard_postings=shard_postings, block_bytes=block_bytes)
+    assert found.columns == ["item_id", "rank", "doc_id", "score"]
+    assert sorted(map(tuple, found.collect()), key=lambda r: (r[0], r[1])) == ranked(docs, queries, 10)
+
+
+def test_search_with_string_ids_and_clashing_names(spark):
+    docs = [(f"d{i}", t, "x", i) for i, t in corpus(3, 60) if i is not None]
+    queries = [("q1", "ab0é ab1é ab2é ab2é"), ("q2", "none")]
+    df = spark.createDataFrame(docs, "query string, n string, text string, id long")
+    asked = spark.createDataFrame(queries, "score string, rank string")
+    found = lexical.search(df, asked, k=3, id_col="query", text="n", query_id="score", query_text="rank")
+    assert found.columns == ["score", "rank", "query", "score"]
+    want = ranked([(d[0], d[1]) for d in docs], queries, 3)
+    assert sorted(map(tuple, found.toDF("item_id", "rank", "doc_id", "points").collect()), key=lambda r: r[1]) == want
+
+
+def test_search_in_empty_tables(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    some = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert lexical.search(empty, some).count() == 0
+    assert lexical.search(some.withColumnRenamed("item_id", "doc_id"), empty.withColumnRenamed("doc_id", "item_id")).count() == 0
+
+
+def test_search_stops_before_the_lists_end():
+    """One list with a clear winner at its top: nine tenths of the postings are never met."""
+    n = 4000
+    count = np.concatenate((np.full(10, 50), np.ones(n - 10, np.int64)))
+    shard = lexical.Shard(np.full(n, 100), np.arange(n + 1), np.zeros(n, np.int64), count, np.array([500]), n, n * 100)
+    found, scores = shard.search(np.array([0]), np.array([1]), 10, 0)
+    assert set(found[scores == scores.max()]) == set(range(10)) and len(found) < n / 10 and not shard.seen.any()
+
+
+# ------------------------------------------------------------------ spelling variants
+def near(a: str, b: str) -> bool:
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def brute(docs):
+    counts = Counter()
+    for i, t in docs:
+        for run in re.findall("[a-zÀ-ÿ]+", (t or "").translate(UPPER)):
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 199 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+    other = {w: [v for v in words if near(w, v)] for w in words}
+    form = {}
+    for w, n in words.items():
+        best = min(other[w], key=lambda v: (-words[v], v), default=None)
+        if best is not None and words[best] >= 5 * n:
+            form[w] = best
+    rows = []
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        rows.append((w, form.get(w), root, n, len(other[w]), words[form[w]] if w in form else None))
+    return sorted(rows)
+
+
+def variant_corpus(seed=4):
+    draw = random.Random(seed)
+    letters = "abcé÷ÿ"
+    base = ["".join(draw.choice(letters) for _ in range(draw.randint(6, 11))) for _ in range(25)] + ["aaaaaaa", "aaaaaaaa", "abababab"]
+
+    def changed(w):
+        i = draw.randrange(len(w) + 1)
+        return draw.choice([w[:i] + w[i + 1:], w[:i] + draw.choice(letters) + w[i:], w[:i] + draw.choice(letters) + w[i + 1:]])
+
+    pool = [w for w in base for _ in range(60)] + [v for w in base for v in [changed(w) for _ in range(6)] for _ in range(7)]
+    docs = [(i, " ".join(draw.choice(pool) if draw.random() < .9 else changed(draw.choice(pool)).upper() for _ in range(80))) for i in range(120)]
+    return docs + [(None, " ".join(base)), (500, None), (501, ""), docs[0], docs[0], (502, "\U0001d4b3 ŵŵŵŵŵŵ")]
+
+
+@pytest.mark.parametrize("partition,block", [(variants.PARTITION, variants.BLOCK), (3, 10), (1, 1)])
+def test_variants_equal_brute_force(spark, partition, block):
+    docs = variant_corpus()
+    df = spark.createDataFrame([(t, i, 1, "x") for i, t in docs], "text string, doc_id long, n int, word string").repartition(4)
+    found = variants.variants(df, partition=partition, block=block)
+    assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    want = brute(docs)
+    assert sum(r[4] for r in want) > 50 and any(r[1] for r in want)
+    assert sorted(map(tuple, found.collect())) == want
+
+
+def test_roots_follow_forms(spark):
+    chain = spark.createDataFrame([(f"w{i}", f"w{i + 1}") for i in range(13)], "word string, form string")
+    assert {r.word: r.root for r in variants.roots(chain).collect()} == {f"w{i}": "w13" for i in range(13)}
+
+
+def test_variants_of_nothing(spark):
+    assert variants.variants(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert variants.variants(spark.createDataFrame([(1, None), (2, "short")], "doc_id long, text string")).count() == 0
+
+
+def test_acceptor_is_minimal():
+    words = sorted(a + b + c for a in "ab" for b in "ab" for c in ("xyz", "yz"))
+    acceptor = variants.Acceptor()
+    start = acceptor.add(words)
+    assert len(acceptor.moves) == 6 and acceptor.add(words) == start  # start, second letter, xyz or yz, yz, z, end
+    assert sorted(acceptor.common(start, start)) == words
