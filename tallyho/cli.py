@@ -32,8 +32,8 @@ def _check_summary(a) -> None:
         raise UsageError(f"--format {a.format} can't show --chunk-means")
     if a.parser is not None and kind == "inferred":
         raise UsageError("--parser is fixed for inferred types")
-    if kind == "inferred" and (a.first_lines is not None or a.chunk_means is not None):
-        raise UsageError("line positions need a scan with given types")
+    if a.line_store is not None and a.parser == "csv":
+        raise UsageError("--parser csv reads no stored lines")
     for name in ("first_lines", "chunk_means"):
         if getattr(a, name) is not None and getattr(a, name) <= 0:
             raise UsageError(f"--{name.replace('_', '-')} must be positive")
@@ -42,18 +42,33 @@ def _check_summary(a) -> None:
 def cmd_summary(spark: SparkSession, a) -> None:
     from tallyho.operators import summary as S
     from tallyho.operators.chunks import mean_of_chunk_means
+    from tallyho.schema import LINE_INDEX, MEASURE_DECIMAL
+    from tallyho.session import fresh_dir
     from tallyho.sinks.files import write_lines, write_parquet
+    from tallyho.sources import infer as I
     from tallyho.sources import lines as L
     from tallyho.sources import text as T
 
     kind = "double" if a.double else a.type
+    lines = None
+    if a.parser == "csv":
+        pass
+    elif a.line_store is not None or a.chunk_means is not None:
+        # Positions: raw lines, stored once (for later commands too, if a folder is named).
+        stored = L.open_lines(spark, a.input, a.line_store or fresh_dir(spark, "line-store"), rebuild=a.rebuild)
+        lines, every = stored.first(a.first_lines), stored.rows()
+    elif a.first_lines is not None:
+        lines = every = L.prefix_lines(spark, a.input, a.first_lines)
+    carry = [LINE_INDEX] if a.chunk_means is not None else []
     if kind == "inferred":
-        rows = T.scan_text_inferred(spark, a.input)
+        rows = T.scan_text_inferred(spark, a.input) if lines is None else I.parse_inferred(lines, I.infer_types(every), *carry)
+    elif lines is not None:
+        rows = T.parse_measure_lines(lines, MEASURE_DECIMAL.simpleString() if kind == "decimal" else kind, *carry)
     else:
         scan = {"decimal": T.scan_text_decimal, "double": T.scan_text_double, "float": T.scan_text_float}[kind]
         rows = scan(spark, a.input, parser=a.parser or "lines")
-    if a.first_lines is not None or a.chunk_means is not None:
-        rows = L.first_lines(L.with_line_index(rows), a.first_lines)
+        if a.parser == "csv" and (a.first_lines is not None or a.chunk_means is not None):
+            rows = L.first_lines(L.with_line_index(rows), a.first_lines)
     if a.drop_null_keys:
         rows = S.drop_null_keys(rows)
     if a.chunk_means is not None:
@@ -76,10 +91,11 @@ def cmd_chain(spark: SparkSession, a) -> None:
 
 
 def cmd_fanout(spark: SparkSession, a) -> None:
-    from tallyho.plans.etl import partial_files_merge
+    from tallyho.plans.etl import fan_out, merge_committed
     from tallyho.sinks.files import write_parquet
 
-    print(write_parquet(partial_files_merge(spark, a.input, a.workdir, a.chunk_rows), a.output, single_file=a.single_file))
+    fan_out(spark, a.input, a.chunk_rows, a.workdir)  # only the chunks that an earlier run didn't commit
+    print(write_parquet(merge_committed(spark, a.workdir), a.output, single_file=a.single_file))
 
 
 def cmd_generate(spark: SparkSession, a) -> None:
@@ -153,6 +169,8 @@ def build_parser() -> argparse.ArgumentParser:
                    help="only the first N lines of the input (in file order)")
     s.add_argument("--chunk-means", type=lambda v: int(v.replace("_", "")), default=None,
                    help="unweighted mean of per-chunk means over chunks of N lines")
+    s.add_argument("--line-store", default=None, help="folder for the stored lines, made once and used again while the input stays")
+    s.add_argument("--rebuild", action="store_true", help="store the lines anew if the input has changed (else that is an error)")
     s.set_defaults(fn=cmd_summary, check=_check_summary)
 
     g = sub.add_parser("generate", help="measurement text from a station list")
@@ -181,7 +199,7 @@ def build_parser() -> argparse.ArgumentParser:
     t = sub.add_parser("etl", help="extract -> transform -> load with stored hand-over")
     t.add_argument("input")
     t.add_argument("workdir")
-    t.add_argument("--type", choices=["decimal", "double"], default="decimal")
+    t.add_argument("--type", choices=["decimal", "double", "inferred"], default="decimal")
     t.add_argument("--single-file", action="store_true")
     t.set_defaults(fn=cmd_etl)
 

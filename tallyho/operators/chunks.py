@@ -12,10 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyho.functions.stats import from_tenths, merge_aggs, sum_input, tenths
+from tallyho.functions.stats import from_tenths, int_div, merge_aggs, sum_input, tenths
+from tallyho.operators.indexing import exclusive_prefix_sum
 from tallyho.operators.summary import finish_state, sort_stations
 from tallyho.schema import CHUNK_ID, MEASURE, STATION, SUM_DECIMAL
 
@@ -64,6 +65,7 @@ def mean_of_chunk_means(chunked: DataFrame) -> DataFrame:
 # int64), an Arrow-native type: no Python Decimal objects per row, and sums stay
 # exact.  They return state in tenths; Spark turns it back into decimals.
 TENTHS_COL = "measure_tenths"
+ROW_BYTES = 24               # of a row beside its station text
 BATCH_STATE_SCHEMA = "station string, min_t bigint, max_t bigint, sum_t bigint, count bigint"
 CHUNK_STATE_SCHEMA = "chunk_id bigint, " + BATCH_STATE_SCHEMA
 
@@ -113,11 +115,35 @@ def batch_partials_udf(df: DataFrame, fn=None) -> DataFrame:
     return _state_from_tenths(_with_tenths(df).mapInPandas(per_batch, BATCH_STATE_SCHEMA))
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row in a pandas frame of station and measure, about: text, two references, the number."""
+    return F.coalesce(F.octet_length(STATION), F.lit(0)) + F.lit(ROW_BYTES)
+
+
+def with_byte_chunks(df: DataFrame, order_by: str, chunk_bytes: int) -> DataFrame:
+    """``chunk_id`` such that no chunk's rows (``row_bytes``) exceed ``chunk_bytes``, but for a single row that does.
+
+    Rows up to half the bound are dealt out by the running sum of their bytes in ``order_by``
+    order, half a bound of starts to a chunk; a larger row is a chunk of its own.  The running
+    sum is distributed (``exclusive_prefix_sum``), so consecutive rows share a chunk without any task seeing
+    all rows.  Ids are not dense: even ones for the first kind, odd ones for the second."""
+    if chunk_bytes <= 0:
+        raise ValueError("chunk_bytes must be positive")
+    half = max(1, chunk_bytes // 2)
+    sized = df.withColumn("_bytes", row_bytes(df).cast("bigint"))
+    large = F.col("_bytes") > half
+    dealt = exclusive_prefix_sum(sized.withColumns({"_small": F.when(large, 0).otherwise(F.col("_bytes")).cast("bigint"),
+                                                    "_one": large.cast("bigint")}), [order_by], "_small", "_start")
+    number = F.monotonically_increasing_id() * 2 + 1
+    chunk = F.when(F.col("_one") == 1, number).otherwise(int_div(F.col("_start"), F.lit(half)) * 2)
+    return dealt.select(*df.columns, chunk.alias(CHUNK_ID))
+
+
 def chunk_apply_udf(chunked: DataFrame, fn=None) -> DataFrame:
     """A pandas function over each whole chunk (``groupBy(chunk_id).applyInPandas``).
 
-    A chunk has at most ``chunk_rows`` rows by construction, which bounds the
-    memory one worker needs; the per-chunk results are merged natively.
+    The chunks bound the memory one worker needs: ``with_byte_chunks`` makes them by bytes,
+    ``sources.lines.with_chunk_id`` by rows.  The per-chunk results are merged natively.
     """
     fn = fn or pandas_state
 

@@ -22,6 +22,7 @@ from tallyho.plans import etl
 from tallyho.schema import CHUNK_ID, LINE_INDEX, MEAN_COL, MEASURE, ROW_ID, STATION
 from tallyho.session import fresh_dir, table_path
 from tallyho.sinks.files import write_lines, write_measurement_text, write_parquet
+from tallyho.sources import infer as I
 from tallyho.sources import lines as L
 from tallyho.sources import text as T
 from tallyho.sources.measurements import (M_SQL, ML_SQL, events_measurements,
@@ -34,7 +35,7 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 CHUNKS = 4                         # chunks that the native chunked queries aim for, at any size
-UDF_CHUNK_ROWS = 1_000_000         # rows of a chunk handed to one pandas frame; chunks grow with the table
+UDF_CHUNK_BYTES = 64 << 10         # of a chunk handed to one pandas frame; chunks grow in number with the table
 STREAM_FILE_BYTES = 64 << 20       # input files of the incremental run
 STREAM_BATCH_FILES = 16            # of them per micro-batch, where there are more than four
 LINE_BYTES = 24                    # about, of a measurement line
@@ -248,10 +249,42 @@ def q_scan_chunks(spark, sf_dir):
 @register("prefix_summary", with_mo(SUMMARY_SQL.format(
     src="(SELECT * FROM MO WHERE pos < (SELECT count(*) // 2 FROM MO)) p")))
 def q_prefix_summary(spark, sf_dir):
-    """First half of the file's lines (``head -n N`` with N = lines // 2)."""
+    """First half of the file's lines (``head -n N`` with N = lines // 2): files behind them stay closed."""
     path = _m_text(spark, sf_dir, "text-prefix", ordered=True)
-    indexed, total = L.line_index_with_total(T.scan_text_decimal(spark, path))
-    return S.summary_decimal(L.first_lines(indexed, total // 2))
+    lines = L.prefix_lines(spark, path, _m(spark, sf_dir).count() // 2)
+    return S.summary_decimal(T.parse_measure_lines(lines))
+
+
+@register("line_index_stored", with_mo(f"SELECT pos AS {LINE_INDEX}, station, measure FROM MO"))
+def q_line_index_stored(spark, sf_dir):
+    """The second opening of a store: nothing is indexed again."""
+    path, store = _m_text(spark, sf_dir, "text-store", ordered=True), fresh_dir(spark, "line-store")
+    L.open_lines(spark, path, store)
+    rows = L.open_lines(spark, path, store).rows()
+    return T.parse_measure_lines(rows, "decimal(3,1)", LINE_INDEX).select(LINE_INDEX, STATION, MEASURE)
+
+
+@register("inferred_chunk_means", with_mo(
+    "SELECT station, CAST(MIN(mn) AS DOUBLE) AS min, CAST(MAX(mx) AS DOUBLE) AS max, round(AVG(me), 6) AS mean FROM ("
+    f"SELECT pos // {CHUNK_ROWS_SQL} AS c, station, MIN(measure) AS mn, MAX(measure) AS mx, "
+    "AVG(CAST(measure AS DOUBLE)) AS me FROM MO GROUP BY 1, 2) p GROUP BY station"))
+def q_inferred_chunk_means(spark, sf_dir):
+    """Chunks of lines whose types are inferred: positions and types from the same stored lines."""
+    path = _m_text(spark, sf_dir, "text-infer", ordered=True)
+    stored = L.open_lines(spark, path, fresh_dir(spark, "line-store"))
+    rows = I.parse_inferred(stored.rows(), I.infer_types(stored.rows()), LINE_INDEX)
+    return _round_mean(C.mean_of_chunk_means(L.with_chunk_id(rows, _chunk_rows(stored.total))), "mean")
+
+
+@register("inferred_prefix_summary", with_mo(
+    "SELECT station, CAST(MIN(measure) AS DOUBLE) AS min_temperature, round(AVG(CAST(measure AS DOUBLE)), 6) AS mean_temperature, "
+    "CAST(MAX(measure) AS DOUBLE) AS max_temperature FROM MO WHERE pos < (SELECT count(*) // 3 FROM MO) GROUP BY station"))
+def q_inferred_prefix_summary(spark, sf_dir):
+    """First third of the stored lines, their types inferred from all of them."""
+    path = _m_text(spark, sf_dir, "text-infer", ordered=True)
+    stored = L.open_lines(spark, path, fresh_dir(spark, "line-store"))
+    rows = I.parse_inferred(stored.first(stored.total // 3), I.infer_types(stored.rows()))
+    return _round_mean(S.summary_double(rows))
 
 
 # ------------------------------------------------------------------ chunk algebra
@@ -301,8 +334,7 @@ def q_batch_partials_udf(spark, sf_dir):
 
 @register("chunk_apply_udf", M_SUMMARY)
 def q_chunk_apply_udf(spark, sf_dir):
-    rows = F.call_function("div", F.col(ROW_ID), F.lit(UDF_CHUNK_ROWS))
-    return C.chunk_apply_udf(_m(spark, sf_dir).withColumn(CHUNK_ID, rows))
+    return C.chunk_apply_udf(C.with_byte_chunks(_m(spark, sf_dir), ROW_ID, UDF_CHUNK_BYTES))
 
 
 # ------------------------------------------------------------------ sinks
@@ -451,6 +483,35 @@ def q_partial_files_merge(spark, sf_dir):
     return etl.partial_files_merge(spark, text, fresh_dir(spark, "fan"), rows)
 
 
+@register("resumed_fanout", M_SUMMARY)
+def q_resumed_fanout(spark, sf_dir):
+    """A fan-out that stops after its first wave, then a second run that does only the rest."""
+    text = _m_text(spark, sf_dir, "fan-in", ordered=True)
+    rows, work = _chunk_rows(_m(spark, sf_dir).count()), fresh_dir(spark, "fan")
+    etl.fan_out(spark, text, rows, work, wave=1, waves=1)
+    etl.fan_out(spark, text, rows, work, wave=2)
+    return etl.merge_committed(spark, work)
+
+
+@register("fanout_ledger", with_mo(
+    f"SELECT pos // {CHUNK_ROWS_SQL} AS chunk_id, count(*) AS n_lines FROM MO GROUP BY 1"))
+def q_fanout_ledger(spark, sf_dir):
+    """What the ledger says after such a run: every chunk once, with its lines."""
+    text = _m_text(spark, sf_dir, "fan-in", ordered=True)
+    rows, work = _chunk_rows(_m(spark, sf_dir).count()), fresh_dir(spark, "fan")
+    etl.fan_out(spark, text, rows, work, wave=1, waves=1)
+    etl.fan_out(spark, text, rows, work, wave=2)
+    return etl.ledger(spark, work).select(CHUNK_ID, "n_lines")
+
+
+@register("staged_etl_inferred", with_m(DOUBLE_SQL))
+def q_staged_etl_inferred(spark, sf_dir):
+    """K6 over inferred types, run twice: the second version is what readers find."""
+    text, work = _m_text(spark, sf_dir, "etl-in"), fresh_dir(spark, "etl")
+    etl.staged_etl(spark, text, work, "inferred")
+    return _round_mean(read_parquet(spark, etl.staged_etl(spark, text, work, "inferred")))
+
+
 @register("incremental_summary", M_SUMMARY)
 def q_incremental_summary(spark, sf_dir):
     m = _m(spark, sf_dir)

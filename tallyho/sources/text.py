@@ -33,17 +33,8 @@ def _reader(spark: SparkSession):
     return spark.read.options(**CSV_OPTIONS)
 
 
-def parse_measure_lines(lines: DataFrame, dtype: str = "decimal(3,1)") -> DataFrame:
-    """``value`` text lines -> ``station, measure`` with the CSV rules of the scans.
-
-    Fast path for the usual line ``name;number``: split at the one ``;`` with
-    ``substring_index`` (no CSV tokenizer).  Lines starting with a quote go
-    through ``from_csv`` (FAILFAST, doubled-quote escape).  An unquoted line
-    with no ``;`` or more than one raises; empty fields are NULL; empty lines
-    are skipped.  The measure is trimmed and parsed strictly (whatever the
-    session's ANSI setting), so ``12.35`` rounds to 12.4 (for DECIMAL(3,1)) and
-    ``100.0``, ``abc`` or ``NaN`` raise.
-    """
+def _fields(lines: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``_s, _m`` (text) of every line that isn't empty, and carried columns."""
     v = F.col("value")
     # Stage 1: split once; the pieces are referenced several times below, so they
     # are computed in their own projection rather than re-evaluated per use.
@@ -51,6 +42,7 @@ def parse_measure_lines(lines: DataFrame, dtype: str = "decimal(3,1)") -> DataFr
         v.alias("_v"),
         F.substring_index(v, ";", 1).alias("_head"),
         F.substring_index(v, ";", -1).alias("_tail"),
+        *carry,
     )
     v, head, tail = F.col("_v"), F.col("_head"), F.col("_tail")
     # Exactly one ";" iff head + ";" + tail is the whole line (byte lengths are
@@ -61,17 +53,36 @@ def parse_measure_lines(lines: DataFrame, dtype: str = "decimal(3,1)") -> DataFr
                      {k: CSV_OPTIONS[k] for k in ("sep", "quote", "escape", "mode")})
     bad = F.raise_error(F.concat(F.lit("malformed measurement line: "), v))
     # Stage 2: quoted lines (rare) through the CSV parser, the rest as split.
-    fields = split.select(
+    return split.select(
         F.when(quoted, csv.getField(STATION)).when(single_sep, head)
          .otherwise(bad.cast("string")).alias("_s"),
-        F.when(quoted, csv.getField(MEASURE)).otherwise(tail).alias("_m"))
+        F.when(quoted, csv.getField(MEASURE)).otherwise(tail).alias("_m"), *carry)
+
+
+def split_fields(lines: DataFrame, *carry: str) -> DataFrame:
+    """``station, measure`` as text (an empty station is NULL), and carried columns."""
+    return _fields(lines, carry).select(F.when(F.col("_s") != "", F.col("_s")).alias(STATION), F.col("_m").alias(MEASURE), *carry)
+
+
+def parse_measure_lines(lines: DataFrame, dtype: str = "decimal(3,1)", *carry: str) -> DataFrame:
+    """``value`` text lines -> ``station, measure`` with the CSV rules of the scans, and carried columns.
+
+    Fast path for the usual line ``name;number``: split at the one ``;`` with
+    ``substring_index`` (no CSV tokenizer).  Lines starting with a quote go
+    through ``from_csv`` (FAILFAST, doubled-quote escape).  An unquoted line
+    with no ``;`` or more than one raises; empty fields are NULL; empty lines
+    are skipped.  The measure is trimmed and parsed strictly (whatever the
+    session's ANSI setting), so ``12.35`` rounds to 12.4 (for DECIMAL(3,1)) and
+    ``100.0``, ``abc`` or ``NaN`` raise.
+    """
+    fields = _fields(lines, carry)
     s_, m_ = F.col("_s"), F.col("_m")
     # Stage 3: parse once (the cast ignores surrounding blanks), check on the
     # parsed value; blank text is a NULL measure.
     parsed = fields.select(F.when(s_ != "", s_).alias("_s"), m_.alias("_m"),
-                           m_.try_cast(dtype).alias("_p"))
+                           m_.try_cast(dtype).alias("_p"), *carry)
     return parsed.select(F.col("_s").alias(STATION),
-                         _strict(F.col("_m"), F.col("_p"), dtype).alias(MEASURE))
+                         _strict(F.col("_m"), F.col("_p"), dtype).alias(MEASURE), *carry)
 
 
 def _strict(text, parsed, dtype: str):

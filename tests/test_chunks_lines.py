@@ -10,7 +10,7 @@ from tallyho.operators import summary as S
 from tallyho.sources import lines as L
 from tallyho.sources import text as T
 from tallyho.sources.measurements import events_measurements
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_ORACLE, SF_SMALL
 
 
 def _sorted(rows):
@@ -101,17 +101,31 @@ def test_chunk_partials_stay_few(spark):
 
 
 def test_chunk_apply_query_bounds_its_frames(spark, monkeypatch):
-    """No chunk of the registered query holds more than the bound, however many rows there are."""
+    """No chunk of the registered query exceeds its bytes, and there are eight or more at sf0.01."""
     from tallyho import queries
 
     seen = []
-    monkeypatch.setattr(queries, "UDF_CHUNK_ROWS", 100, raising=False)
     monkeypatch.setattr(queries.C, "chunk_apply_udf", lambda df, f=C.chunk_apply_udf: seen.append(df) or f(df))
-    got = _sorted(queries.QUERIES["chunk_apply_udf"](spark, SF_SMALL).collect())
-    m = events_measurements(spark, SF_SMALL)
+    got = _sorted(queries.QUERIES["chunk_apply_udf"](spark, SF_ORACLE).collect())
+    m = events_measurements(spark, SF_ORACLE)
     assert got == _sorted(S.summary_decimal(m).collect())
-    sizes = [r["count"] for r in seen[0].groupBy("chunk_id").count().collect()]
-    assert max(sizes) <= 100 and sum(sizes) == m.count() > 400
+    sizes = seen[0].groupBy("chunk_id").agg(F.sum(C.row_bytes(seen[0])).alias("b"), F.count("*").alias("n")).collect()
+    assert max(r.b for r in sizes) <= queries.UDF_CHUNK_BYTES and sum(r.n for r in sizes) == m.count() and len(sizes) >= 8
+
+
+@pytest.mark.parametrize("bound", [1, 50, 200, 10_000])
+def test_byte_chunks_hold_their_bound(spark, bound):
+    rows = [(i, None if i % 7 == 0 else "s" * (i * 37 % 150), D("1.0")) for i in range(300)]
+    df = spark.createDataFrame(rows, "rid bigint, station string, measure decimal(3,1)").repartition(5)
+    chunked = C.with_byte_chunks(df, "rid", bound)
+    assert chunked.columns == ["rid", "station", "measure", "chunk_id"]
+    found = chunked.groupBy("chunk_id").agg(F.sum(C.row_bytes(chunked)).alias("b"), F.count("*").alias("n"),
+                                            F.min("rid").alias("lo"), F.max("rid").alias("hi")).collect()
+    assert all(r.b <= bound or r.n == 1 for r in found) and sum(r.n for r in found) == 300
+    even = sorted((r.lo, r.hi) for r in found if r.chunk_id % 2 == 0)
+    assert all(a[1] < b[0] for a, b in zip(even, even[1:]))  # consecutive rows
+    with pytest.raises(ValueError):
+        C.with_byte_chunks(df, "rid", 0)
 
 
 def test_prefix(spark, tmp_text):

@@ -79,7 +79,7 @@ OPTIONS = {"double": ["--double"], "float": ["--type", "float"], "inferred": ["-
            "one": ["--single-file"]}
 REJECTED = [{"double", "float"}, {"double", "inferred"}, {"double", "text"}, {"double", "delimited"}, {"float", "text"},
             {"float", "delimited"}, {"inferred", "text"}, {"inferred", "delimited"}, {"chunks", "text"},
-            {"chunks", "delimited"}, {"inferred", "first"}, {"inferred", "chunks"}, {"inferred", "csv"}]
+            {"chunks", "delimited"}, {"inferred", "csv"}]
 SAME = [{"float", "inferred"}, {"text", "delimited"}]  # one option given twice
 
 
