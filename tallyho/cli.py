@@ -118,7 +118,7 @@ def cmd_estimate(spark: SparkSession, a) -> None:
 
 def cmd_profile(spark: SparkSession, a) -> None:
     from tallyho.operators.encoding import (describe_types, downcast_measure,
-                                            footprint_profile)
+                                            footprint_profile, stored_footprint)
     from tallyho.sources.text import scan_text_double
 
     rows = scan_text_double(spark, a.input, parser="lines")
@@ -128,12 +128,21 @@ def cmd_profile(spark: SparkSession, a) -> None:
     print(json.dumps({"stage": "after", "column": "station", "type": "dictionary codes"}))
     for r in footprint_profile(rows).collect():
         print(json.dumps(r.asDict()))
+    if a.stored:
+        for r in stored_footprint(rows).collect():
+            print(json.dumps({"stored": True, **r.asDict()}))
 
 
 def cmd_show(spark: SparkSession, a) -> None:
-    from tallyho.sources.parquet import serve_summary
+    from tallyho.sources.parquet import ZONES, lookup, serve_summary, write_zones
+    from tallyho.sinks.versions import names
 
-    serve_summary(spark, a.summary).show(a.rows, truncate=False)
+    if a.station is None:
+        serve_summary(spark, a.summary).show(a.rows, truncate=False)
+        return
+    if ZONES not in names(spark, a.summary):
+        write_zones(spark, a.summary)
+    lookup(spark, a.summary, a.station).show(a.rows, truncate=False)
 
 
 def cmd_etl(spark: SparkSession, a) -> None:
@@ -189,11 +198,13 @@ def build_parser() -> argparse.ArgumentParser:
 
     f = sub.add_parser("profile", help="column types and logical footprint, before/after encoding")
     f.add_argument("input")
+    f.add_argument("--stored", action="store_true", help="also the bytes of the columns as written files")
     f.set_defaults(fn=cmd_profile)
 
     w = sub.add_parser("show", help="print rows of a stored summary")
     w.add_argument("summary")
     w.add_argument("--rows", type=int, default=20)
+    w.add_argument("--station", default=None, help="only this station's row; a zone map of the files is kept beside them")
     w.set_defaults(fn=cmd_show)
 
     t = sub.add_parser("etl", help="extract -> transform -> load with stored hand-over")

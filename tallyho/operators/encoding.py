@@ -1,9 +1,10 @@
 """Encoding and footprint profile.
 
-Footprints are *logical* bytes (what the columns need, not Python object
+``footprint_profile`` gives *logical* bytes (what the columns need, not Python object
 overhead): a string column costs its UTF-8 bytes; a dictionary-encoded column
 costs the dictionary's bytes plus one fixed-width code per row; DOUBLE is 8
-bytes and FLOAT 4 bytes per row.
+bytes and FLOAT 4 bytes per row.  ``stored_footprint`` gives the bytes that the same columns
+take as parquet files, each written alone.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from tallyho.operators.indexing import dense_index
 from tallyho.schema import MEASURE, STATION
+from tallyho.session import fresh_dir
+from tallyho.sinks import versions
 
 # Code width by dictionary size (pandas-style narrowest signed
 # integer): fewer than 127 values -> 1 byte, fewer than 32,767 -> 2 bytes,
@@ -80,6 +83,32 @@ def downcast_measure(df: DataFrame, col: str = MEASURE) -> DataFrame:
     return df.withColumn(col, F.col(col).cast("float"))
 
 
+def _stored_bytes(df: DataFrame) -> int:
+    """Bytes of the parquet files of a frame that is written for this only."""
+    spark = df.sparkSession
+    folder = fresh_dir(spark, "footprint")
+    df.write.parquet(folder)
+    size = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+            .agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+    versions.remove(spark, folder)
+    return int(size)
+
+
+def stored_footprint(df: DataFrame, key: str = STATION) -> DataFrame:
+    """F3, measured: ``column, bytes_before, bytes_after, reduction`` of the stored columns.
+
+    Each column is written as parquet by itself and its files' sizes are added up: the station as
+    strings, then as codes and dictionary; the measure as DOUBLE, then as FLOAT.  Parquet has its own
+    dictionaries, so the stored gain of codes is smaller than the logical one.  The written files are removed."""
+    encoded, dictionary = dictionary_encode(df.select(key), key)
+    sizes = [(key, _stored_bytes(df.select(key)), _stored_bytes(encoded) + _stored_bytes(dictionary)),
+             (MEASURE, _stored_bytes(df.select(F.col(MEASURE).cast("double"))),
+              _stored_bytes(downcast_measure(df.select(MEASURE))))]
+    sizes.append(("total", sum(s[1] for s in sizes), sum(s[2] for s in sizes)))
+    rows = df.sparkSession.createDataFrame(sizes, "column string, bytes_before bigint, bytes_after bigint")
+    return rows.withColumn("reduction", F.when(F.col("bytes_before") > 0, 1.0 - F.col("bytes_after") / F.col("bytes_before")))
+
+
 def footprint_profile(df: DataFrame, key: str = STATION) -> DataFrame:
     """``column, bytes_before, bytes_after, reduction`` for station, measure, total.
 

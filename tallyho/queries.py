@@ -27,8 +27,8 @@ from tallyho.sources import lines as L
 from tallyho.sources import text as T
 from tallyho.sources.measurements import (M_SQL, ML_SQL, events_measurements,
                                           lineitem_measurements)
-from tallyho.sources.parquet import read_parquet, serve_summary, summary_sql_view
-from tallyho.streaming.incremental import incremental_summary
+from tallyho.sources.parquet import lookup, read_parquet, serve_summary, summary_sql_view, write_zones
+from tallyho.streaming.incremental import incremental_summary, live_summary
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -350,6 +350,24 @@ def q_serve_summary(spark, sf_dir):
     return serve_summary(spark, path)
 
 
+@register("lookup_station", with_m(
+    "SELECT * FROM (" + SUMMARY_SQL.format(src="M") + ") s WHERE station = (SELECT max(station) FROM M)"))
+def q_lookup_station(spark, sf_dir):
+    """The last station's row, from the one part file that holds it."""
+    m = _m(spark, sf_dir)
+    path = write_parquet(S.summary_decimal(m), fresh_dir(spark, "summary-zones"))
+    write_zones(spark, path)
+    return lookup(spark, path, m.agg(F.max(STATION)).first()[0])
+
+
+@register("live_summary", M_SUMMARY)
+def q_live_summary(spark, sf_dir):
+    """The state between batches: a base and the deltas behind it, merged on read."""
+    text, work = _m_text(spark, sf_dir, "stream-in", files=5), fresh_dir(spark, "stream")
+    incremental_summary(spark, text, f"{work}/summary", f"{work}/checkpoint", compact_every=3)
+    return live_summary(spark, f"{work}/summary")
+
+
 @register("sink_text_lines", with_m(
     "SELECT station || ': ' || CAST(MIN(measure) AS VARCHAR) || '/' || "
     "CAST(CAST(AVG(measure) AS DECIMAL(3,1)) AS VARCHAR) || '/' || "
@@ -654,6 +672,11 @@ def q_footprint_profile(spark, sf_dir):
     return E.footprint_profile(_m(spark, sf_dir))
 
 
+@register("stored_footprint")
+def q_stored_footprint(spark, sf_dir):
+    return E.stored_footprint(_m(spark, sf_dir))
+
+
 @register("downcast_measure", with_m("SELECT rid, station, CAST(measure AS FLOAT) AS measure FROM M"))
 def q_downcast_measure(spark, sf_dir):
     return E.downcast_measure(_m(spark, sf_dir))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-
+from tallyho.schema import STATION
 
 def read_parquet(spark: SparkSession, *paths: str, base_path: str | None = None) -> DataFrame:
     """One file, a folder of parts, or an explicit list of files.
@@ -32,6 +33,35 @@ def serve_summary(spark: SparkSession, path: str) -> DataFrame:
     return spark.sql("SELECT * FROM {stored}", stored=read_parquet(spark, path))
 
 
+ZONES = "_zones"  # beside the part files; the underscore hides it from scans of the folder
+
+
+def write_zones(spark: SparkSession, path: str, key: str = STATION) -> str:
+    """Zone map of a stored sorted summary: first and last key of every part file, and whether it has NULL keys."""
+    part = F.col("_metadata.file_name").alias("file")
+    zones = read_parquet(spark, path).groupBy(part).agg(
+        F.min(key).alias("first"), F.max(key).alias("last"), F.count_if(F.col(key).isNull()).alias("nulls"))
+    zones.write.mode("overwrite").parquet(f"{path}/{ZONES}")
+    return f"{path}/{ZONES}"
+
+
+def lookup(spark: SparkSession, path: str, value: str | None, key: str = STATION) -> DataFrame:
+    """S10 by name: the rows of one key, from the part files whose zone holds it (one, in a sorted summary).
+
+    No other file is opened; a key in no zone opens none.  The zone map has to be that of these
+    files: one that names a missing file raises."""
+    zones = spark.read.parquet(f"{path}/{ZONES}")
+    if value is None:
+        own = zones.where("nulls > 0")
+    else:
+        own = zones.where((F.col("first") <= F.lit(value)) & (F.col("last") >= F.lit(value)))
+    files = [f"{path}/{r['file']}" for r in own.select("file").collect()]
+    schema = read_parquet(spark, path).schema
+    if not files:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*files).where(F.col(key).eqNullSafe(F.lit(value).cast("string")))
+
+
 SUMMARY_SQL = """
 SELECT station,
        min_m AS min_temperature,
