@@ -9,7 +9,10 @@ A word's *place* is its nearest container other than the article itself (a
 navigation list, a footer, a division with its classes) and its block element.
 Labelled pages are those that mark their article up (``article`` or ``main``): words
 inside it are content.  Places never seen get +1 per word.  A boilerplate container (by
-its element or its class names) costs one negative score and is left out of the text.
+its element or its class names) costs one negative score and is left out of the text.  Names
+count as whole classes (``sidebar``, ``site-footer``, ``share-links``, but neither ``no-sidebar`` nor
+``share-enabled``), never on the page itself (``html``, ``body``, ``main``, ``article``), and not on
+an element that holds most of the page's words and its heading or article.
 
 ``fit`` reads at most about ``MAX_PAGES`` pages, drawn by a hash of the id.  Extraction reads
 whole pages, one at a time, without a shuffle.
@@ -54,37 +57,72 @@ HINTS = frozenset(("ad ads adv advert advertisement advertising banner breadcrum
                    "navigation newsletter notice notices pagination pager popup promo promoted promotion related "
                    "replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget").split())
 
+#: Parts of a class name that say what a page has, not what the element is (fixed values).
+STATES = frozenset("no not non has have with without is hide hidden show enabled disabled on off open closed active layout page".split())
+PAGE = frozenset("html body main article".split())
+HEADINGS = frozenset("h1 main article".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|textarea|svg|math|noscript|template|iframe)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>"
     r"|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*\Z", re.S | re.I)
-_NAMES = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMES = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 
+def is_hint(name: str) -> bool:
+    """Whether a class (lower case) names boilerplate: it is such a word, or begins or ends with
+    one and no part of it is a state."""
+    parts = _WORD.findall(name)
+    return bool(parts) and STATES.isdisjoint(parts) and (parts[0] in HINTS or parts[-1] in HINTS)
+
+
 def place_of(tag: str, attributes: str) -> tuple[str, bool]:
-    """Name of a container (with its classes), and whether it is boilerplate."""
-    names = sorted({w for m in _NAMES.finditer(attributes) for v in m.groups() if v for w in _WORD.findall(v.lower())})
-    return ".".join((tag, *names)), tag in BOILERPLATE or not HINTS.isdisjoint(names)
+    """Name of a container (with its classes), and whether its names are those of boilerplate."""
+    words, hinted = set(), False
+    for kind, *values in _NAMES.findall(attributes):
+        value = "".join(values).lower()
+        words.update(_WORD.findall(value))
+        whole = [value.strip()] if kind.lower() == "aria-label" else value.split()
+        hinted = hinted or any(is_hint(x) for x in whole if " " not in x)
+    return ".".join((tag, *sorted(words))), hinted and tag not in PAGE
 
 
 def segments(html: str) -> Iterator[tuple[str, str, str, bool, bool]]:
     """The page in order: ``("tag", name, "", in boilerplate, in the article)`` and ``("text",
     place, raw text, in boilerplate, in the article)``."""
-    stack: list[tuple[str, str, bool, bool, str]] = [("", "", False, False, "")]  # tag, container, boiler, article, block
+    words: Counter = Counter()
+    headed, total = set(), 0
+    for kind, name, text, boiler, _, hints in _walk(html, frozenset()):
+        if kind == "text":
+            n = len(text.split())
+            total += n
+            for k in hints:
+                words[k] += n
+        elif name in HEADINGS:
+            headed.update(hints)
+    spared = frozenset(k for k in headed if 2 * words[k] > total)
+    return (s[:5] for s in _walk(html, spared))
+
+
+def _walk(html: str, spared: frozenset[int]) -> Iterator[tuple[str, str, str, bool, bool, tuple[int, ...]]]:
+    """``segments``, and the elements with boilerplate names (numbered) that each is in; the names of those in
+    ``spared`` don't count."""
+    # tag, container, boiler, article, block, hinted elements
+    stack: list[tuple[str, str, bool, bool, str, tuple[int, ...]]] = [("", "", False, False, "", ())]
     count: Counter = Counter()
-    last = 0
+    last = seen = 0
     for m in _TOKEN.finditer(html):
         if m.start() > last:
-            _, container, boiler, article, block = stack[-1]
-            yield "text", f"{container}>{block}", html[last:m.start()], boiler, article
+            _, container, boiler, article, block, hints = stack[-1]
+            yield "text", f"{container}>{block}", html[last:m.start()], boiler, article, hints
         last = m.end()
         tag = (m["tag"] or "").lower()
         if not tag:
             continue
         if m["end"]:
-            yield "tag", tag, "", *stack[-1][2:4]
+            yield "tag", tag, "", stack[-1][2], stack[-1][3], stack[-1][5]
             if count[tag]:
                 while True:
                     gone = stack.pop()[0]
@@ -94,21 +132,25 @@ def segments(html: str) -> Iterator[tuple[str, str, str, bool, bool]]:
         elif tag not in VOID and not m["attributes"].endswith("/"):
             if tag in CLOSES_P and stack[-1][0] == "p":
                 count[stack.pop()[0]] -= 1
-            _, container, boiler, article, block = stack[-1]
+            _, container, boiler, article, block, hints = stack[-1]
+            place, hinted = place_of(tag, m["attributes"]) if tag in BLOCKS or tag in CONTAINERS else (tag, False)
+            if hinted:
+                hints = (*hints, seen)
+                hinted = seen not in spared
+                seen += 1
             if tag in CONTAINERS:
-                place, own = place_of(tag, m["attributes"])
                 container = place if place not in ("div", "section") else container  # a nameless one says nothing
-                boiler = boiler or own
-            elif tag in BLOCKS and m["attributes"] and place_of(tag, m["attributes"])[1]:
-                container, boiler = place_of(tag, m["attributes"])
-            stack.append((tag, container, boiler, article or tag in ARTICLE, tag if tag in BLOCKS else block))
+                boiler = boiler or hinted or tag in BOILERPLATE
+            elif hinted:
+                container, boiler = place, True
+            stack.append((tag, container, boiler, article or tag in ARTICLE, tag if tag in BLOCKS else block, hints))
             count[tag] += 1
-            yield "tag", tag, "", *stack[-1][2:4]
+            yield "tag", tag, "", boiler, article or tag in ARTICLE, hints
         else:
-            yield "tag", tag, "", *stack[-1][2:4]
+            yield "tag", tag, "", stack[-1][2], stack[-1][3], stack[-1][5]
     if last < len(html):
-        _, container, boiler, article, block = stack[-1]
-        yield "text", f"{container}>{block}", html[last:], boiler, article
+        _, container, boiler, article, block, hints = stack[-1]
+        yield "text", f"{container}>{block}", html[last:], boiler, article, hints
 
 
 def counted(pages: list[str]) -> Counter:

@@ -35,6 +35,52 @@ def test_odd_pages(page, text):
     assert html.extract(page, {}) == text
 
 
+WORDS = " ".join(f"word{i}" for i in range(120))
+ORDINARY = """<html><head><title>T</title></head>%s<nav><a href="/">Home</a></nav>%s<h1>Heading</h1>
+<p>%s</p><p>%s</p>%s<div class="site-footer widget">All rights</div><ul class="related-posts"><li>Other</li></ul></body></html>"""
+
+
+@pytest.mark.parametrize("body,opens,closes", [
+    ('<body class="post-template no-sidebar">', "<article>", "</article>"),
+    ("<body>", '<article class="post has-comments">', "</article>"),
+    ("<body>", '<article id="social-studies">', "</article>"),
+    ("<body>", '<div class="content share-enabled">', "</div>"),
+    ("<body>", '<main aria-label="Notice to readers">', "</main>"),
+    ("<body id=comments class='promo'>", "<main class=sidebar>", "</main>"),
+    ("<body>", '<div class="widget">', "</div>"), ("<body>", "<section id=popup><article>", "</article></section>"),
+    ("<body>", "<p title=it's>", "</p>"), ("<body>", '<div data-x="a>b" title=\'c>d\'>', "</div>")])
+def test_class_names_of_ordinary_pages(body, opens, closes):
+    page = ORDINARY % (body, opens, WORDS, WORDS, closes)
+    learned = html.weights(html.counted([PAGE] * 3))
+    assert html.extract(page, learned) == f"Heading\n{WORDS}\n{WORDS}"
+
+
+def test_a_long_discussion_is_no_article():
+    page = f"<body><h1>Heading</h1><p>{WORDS}</p><div class='comments'>" + f"<p>{WORDS}</p>" * 9 + "</div></body>"
+    assert html.extract(page, html.weights(html.counted([PAGE] * 3))) == f"Heading\n{WORDS}"
+
+
+def test_articles_in_plain_divisions(spark, sf):
+    """Held-out pages whose article is a division with a class no page has: nothing is lost or added."""
+    rows = [r.html for r in table(spark, sf, "pages").orderBy("page_id").limit(60).collect()]
+    learned = html.weights(html.counted(rows[:30]))
+    for page in rows[30:]:
+        other = page.replace("<article>", '<div class="entry-body no-comments">').replace("</article>", "</div>")
+        assert html.extract(other, learned) == html.extract(page, learned) != ""
+
+
+@pytest.mark.parametrize("name,hint", [("sidebar", True), ("site-footer", True), ("comment-list", True), ("no-sidebar", False),
+                                       ("has-comments", False), ("share-enabled", False), ("main_nav", True), ("studies", False),
+                                       ("page-header", False), ("", False)])
+def test_hints_are_whole_classes(name, hint):
+    assert html.is_hint(name) == hint
+
+
+def test_unclosed_attributes_take_linear_time():
+    assert html.extract("<a " + 'x="y" ' * 50_000, {}) == ""
+    assert html.extract("<p " + "x='y\" " * 50_000 + ">end", {}).endswith("end")
+
+
 def test_best_run_by_brute_force():
     import random
 
