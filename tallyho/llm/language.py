@@ -8,20 +8,20 @@ Characters: lower-cased code points; every ASCII character that is not a letter
 counts as a space.  An n-gram never spans two documents.
 
 Defined cases: a null or empty text, or one without any letter, gets ``und`` with
-score 0.0; null labels and null texts don't train; repeated rows train repeatedly
+score 0.0 (numbers, also those like Ⅷ or ², are no letters); null labels and null texts don't train; repeated rows train repeatedly
 and are scored alike; ties between labels go to the smallest label by code point;
-an empty training table gives ``und`` throughout; columns other than the named ones
+an empty training table gives ``und`` throughout; more than ``MAX_LABELS`` labels raise; columns other than the named ones
 are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +34,9 @@ MAX_TEXTS_PER_LABEL = 4_000
 TRAIN_TASKS = 12
 SMOOTHING = 0.1
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+#: Labels at most: the matrix that tasks get has a row of half a megabyte for each.
+MAX_LABELS = 256
+_LETTER = regex.compile(r"\p{L}")
 _ASCII = np.arange(128, dtype=np.uint32)
 _ASCII[[i for i in range(128) if not chr(i).isalpha()]] = 32
 
@@ -74,6 +76,8 @@ def train(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str
     rows = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.col(label).alias("label"))
     rows = rows.where("text IS NOT NULL AND label IS NOT NULL")
     sizes = rows.groupBy(F.col("label").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    if sizes.limit(MAX_LABELS + 1).count() > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels")
     draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("train")), F.lit(1 << 30)) / (1 << 30)
     sample = (rows.join(F.broadcast(sizes), F.col("label") == F.col("of"))  # a row per label
               .where(draw * F.col("n") < max_texts_per_label)

@@ -1,3 +1,4 @@
+import functools
 import zlib
 
 import numpy as np
@@ -100,3 +101,52 @@ def test_context_sums_by_hand():
 @pytest.mark.parametrize("text", [b"Hello, wor\xc3\xa9ld 42!!"])
 def test_tokens_split_by_kind(text):
     assert list(quality.tokens([text])[1]) == [5]
+
+
+def _grams(text):
+    """Buckets of the plain n-grams of a text: lower case, ASCII but letters as spaces."""
+    t = "".join(c if ord(c) > 127 or c.isalpha() else " " for c in text.lower())
+    return [_bucket(t[i:i + n]) for n in language.NGRAMS for i in range(len(t) - n + 1)]
+
+
+@functools.cache
+def _bucket(gram):
+    return int(language.ngram_ids([gram])[0][0][len(gram) - 1])
+
+
+def test_language_equals_plain_naive_bayes(spark):
+    import math
+    import random
+    from collections import Counter
+
+    draw = random.Random(3)
+    alphabets = {"xx": "abcde ", "yy": "cdefgé ", "zz": "fghi中 "}
+    rows = [(i, "".join(draw.choice(alphabets[k]) for _ in range(draw.randint(5, 40))), k) for i, k in enumerate(list(alphabets) * 30)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    counts = {k: Counter(g for _, t, label in rows if label == k for g in _grams(t)) for k in alphabets}
+    totals = {k: math.log(sum(c.values()) + language.SMOOTHING * language.BUCKETS) for k, c in counts.items()}
+    asked = [(i, "".join(draw.choice("abcdefghié中 .7") for _ in range(draw.randint(1, 30)))) for i in range(80)]
+    found = language.predict(spark.createDataFrame(asked, "doc_id long, text string"), model).collect()
+    texts = dict(asked)
+    for r in found:
+        if not any(c.isalpha() for c in texts[r.doc_id]):
+            assert (r.lang_pred, r.score) == (language.UNDETERMINED, 0.0)
+            continue
+        grams = _grams(texts[r.doc_id])
+        like = {k: sum(math.log(c[g] + language.SMOOTHING) - totals[k] for g in grams) for k, c in counts.items()}
+        best = max(like, key=lambda k: like[k])  # equal priors
+        soft = {k: math.exp((like[k] - like[best]) / math.sqrt(max(1, len(grams)))) for k in like}
+        assert r.lang_pred == best and abs(r.score - soft[best] / sum(soft.values())) < 1e-9
+
+
+@pytest.mark.parametrize("text", ["½ ² Ⅷ ①", "123 _", "\u0301", "", None])
+def test_texts_without_letters_have_no_language(spark, text):
+    model = language.train(spark.createDataFrame([(1, "abc", "xx")], "doc_id long, text string, lang string"))
+    row = language.predict(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
+    assert (row.lang_pred, row.score) == (language.UNDETERMINED, 0.0)
+
+
+def test_too_many_labels_raise(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LABELS", 1)
+    with pytest.raises(ValueError, match="labels"):
+        language.train(spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "doc_id long, text string, lang string"))
