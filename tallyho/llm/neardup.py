@@ -7,13 +7,20 @@ keeps them in text order; texts that agree in one sketch are candidates.  A cand
 pair is a link if its word edit distance, aligned in a band of diagonals, is at
 most a fifth of the longer text: similarity 0.8 or more.
 
+Sketches of few k-mers miss much, so texts of up to ``SHORT`` words are found exactly: with at most
+e edits between them, of e + 1 segments of the shorter one is one left whole in the other, moved by no
+more than the edits before and behind it.  Segments, by length, number and place, are buckets like
+sketches.
+
 Groups of copies stay cheap: equal texts are one node (their md5), a bucket's texts are
 compared with the bucket's smallest node only, and those that aren't similar to it
 (the rest) go to further rounds with 8, 64, ... representatives until no bucket has a
 rest: nothing is capped, and pairs grow with the number of different groups in a
-bucket, not with their sizes.  Members that left a bucket with different representatives, or
-that one left and one stayed, meet afterwards if the triangle inequality allows them to be
-similar and no other links join them already.  Classes are the connected components of the links,
+bucket, not with their sizes.  Members that left a bucket with a representative meet those that
+it didn't link, as long as their classes differ.  Pairs whose *signatures* differ too much are
+never made: a signature has a bit for every value that a word's hash can take, one edit
+changes two of them at most, so no link is lost.  Only texts of the pairs that are left are
+read again.  Classes are the connected components of the links,
 found by star contraction on written tables; nothing of them reaches the driver.
 
 Defined cases: a null text is the empty text; texts without words are near-duplicates of
@@ -39,7 +46,10 @@ K = 5
 SIMILARITY = 0.8
 SKETCHES = 160              # find 95 % of pairs even at the least similarity
 PICKED = 2
+SHORT = 25                  # words of texts that are found by equal segments instead of sketches
+SIGNATURE = 16              # 64-bit words of a text's signature
 MORE = 8                    # representatives per bucket grow by this factor each round
+SMALL_BYTES = 16 << 20      # of keys that are sent to all tasks
 _TOP = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -163,30 +173,109 @@ def similarity(a: bytes, b: bytes, least: float = SIMILARITY) -> float | None:
     return None
 
 
-def fingerprinted(docs: DataFrame) -> DataFrame:
-    """``id, node, n_words, sketches`` of every row of ``docs`` (id, text)."""
+def segments(words: np.ndarray) -> list[int]:
+    """Buckets of a text by its word hashes: its own segments if it is short, and for every length of a
+    short text that it may be similar to, the runs that can be a segment of that one."""
+    n, out = len(words), set()
+    least = int(np.ceil(n * SIMILARITY - 1e-9))
+    for length in range(max(1, least), min(n, SHORT) + 1):
+        parts = length // 4 + 1  # one more than the edits that a text similar to it can have
+        for i in range(parts):
+            first, end = i * length // parts, (i + 1) * length // parts
+            low = max(0, first - i, first + n - length - (parts - 1 - i))
+            high = min(n - (end - first), first + i, first + n - length + (parts - 1 - i))
+            for at in range(low, high + 1):
+                run = gram_hashes(words[at:at + end - first], end - first)
+                out.add(int(mix(run ^ U64(length * 64 + i + 1))[0].astype(np.int64)))
+    return sorted(out)
+
+
+def signatures(words: Words) -> np.ndarray:
+    """A row of ``SIGNATURE`` 64-bit words per text: the bits of its words' hashes."""
+    out = np.zeros((len(words.first) - 1, SIGNATURE), U64)
+    bit = (mix(words.hash) >> U64(32)) % U64(64 * SIGNATURE)
+    np.bitwise_or.at(out, (words.document(), (bit // U64(64)).astype(np.int64)), U64(1) << (bit % U64(64)))
+    return out
+
+
+def printed(docs: DataFrame) -> DataFrame:
+    """``id, node, n_words, signature`` of every row of ``docs`` (id, text)."""
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches(rows, "text"):
-            counts, full, values = sketches(texts)
-            cells: list = [None] * len(texts)
-            for d, v in zip(full, values.astype(np.int64)):
-                cells[d] = v
+            words = Words(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()),
-                 pa.array(counts, pa.int64()), pa.array(cells, pa.list_(pa.int64()))],
-                names=["id", "node", "n_words", "sketches"])
+                 pa.array(words.counts, pa.int64()), pa.array(list(signatures(words).astype(np.int64)), pa.list_(pa.int64()))],
+                names=["id", "node", "n_words", "signature"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(work, f"id {kind}, node binary, n_words bigint, sketches array<bigint>")
+    return docs.mapInArrow(work, f"id {kind}, node binary, n_words bigint, signature array<bigint>")
+
+
+def bucketed(docs: DataFrame) -> DataFrame:
+    """``node, buckets`` of every row of ``docs`` (text) with words: sketches, segments or both."""
+    def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in batches(rows, "text"):
+            words = Words(texts)
+            counts = words.counts
+            cells: list = [segments(words.hash[a:b]) if 0 < b - a and (b - a) * SIMILARITY <= SHORT + 1e-9 else []
+                           for a, b in zip(words.first, words.first[1:])]
+            long = np.flatnonzero(counts > SHORT)
+            if len(long):
+                _, full, values = sketches([texts[d] for d in long])
+                for d, v in zip(long[full], values.astype(np.int64)):
+                    cells[d] = v if not cells[d] else np.concatenate((v, cells[d]))
+            some = np.flatnonzero(counts > 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([hashlib.md5(texts[d]).digest() for d in some], pa.binary()),
+                 pa.array([cells[d] for d in some], pa.list_(pa.int64()))], names=["node", "buckets"])
+
+    return docs.select("text").mapInArrow(work, "node binary, buckets array<bigint>")
 
 
 PAIR = ("a", "b", "na", "nb")  # two nodes, b the smaller one, and their word counts
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+class Texts:
+    """The texts of nodes, looked up in the documents when pairs need them."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame):
+        self.docs = docs.select("id", text_key(F.col("text")).alias("node"), "text")
+        self.nodes = nodes.select("node", "id")
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        """``node, text`` of every node of the pairs, once."""
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        # One row per node: the id beside the node spreads copies out.
+        wanted = materialize(self.nodes.join(wanted, "node"), "near-wanted")
+        size = wanted.agg(F.count(F.lit(1)) * 40 + F.coalesce(F.sum(F.octet_length(F.col("id").cast("string"))), F.lit(0))).first()[0]
+        side = (F.broadcast(wanted) if size <= SMALL_BYTES else wanted).alias("w")
+        found = self.docs.alias("d").join(side, (F.col("d.node") == F.col("w.node")) & F.col("d.id").eqNullSafe(F.col("w.id")))
+        return materialize(found.select("d.node", "d.text").dropDuplicates(["node"]), "near-texts")
+
+
+def _alike(n_a, n_b, a, b, least: float):
+    """Whether signatures a and b can be those of similar texts, and the bits in which they differ."""
+    bits = sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(1, SIGNATURE)),
+               F.bit_count(F.get(a, F.lit(0)).bitwiseXOR(F.get(b, F.lit(0)))))
+    return bits <= 2 * (1 - least) * F.greatest(n_a, n_b) + 1e-6, bits
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The ``pairs`` (``PAIR``) that lengths and signatures leave, with the bits in which these differ."""
+    both = (pairs.where(_lengths("na", "nb", least))
+            .join(nodes.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a")
+            .join(nodes.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b"))
+    alike, bits = _alike("na", "nb", F.col("sa"), F.col("sb"), least)
+    return both.where(alike).select(*PAIR, bits.alias("bits"))
+
+
+def _verified(pairs: DataFrame, texts: Texts, least: float) -> DataFrame:
     """``pairs`` (``PAIR``) with ``similarity``, null below ``least``."""
-    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select(*PAIR, "x", "y"))
+    pairs = materialize(pairs.select(*PAIR), "near-pairs")
+    found = texts.of(pairs)
+    both = (pairs.join(found.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
+            .join(found.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select(*PAIR, "x", "y"))
 
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -202,61 +291,71 @@ def _lengths(a, b, least: float):
     return F.least(a, b) >= least * F.greatest(a, b) - 1e-9
 
 
-def _across(met: DataFrame, done: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Links of members that met the same representative but not each other.
+def _named(pairs: DataFrame, linked: DataFrame, *columns: str) -> DataFrame:
+    """``pairs`` with the class of each column in a further one, ``r`` and its name."""
+    root = materialize(components(linked), "near-roots")
+    for c in columns:
+        named = root.select(F.col("node").alias(c), F.col("root").alias("r" + c))
+        pairs = pairs.join(named, c, "left").withColumn("r" + c, F.coalesce("r" + c, c))
+    return pairs
+
 
-    If p is linked to the representative and q isn't, their distance is at least d(q) - d(p).
-    With p similar to both, q is similar to the representative by ``3 - 2 / least`` or more."""
+def _across(met: DataFrame, done: DataFrame, nodes: DataFrame, texts: Texts, least: float) -> DataFrame:
+    """Links of members that met the same representative but not each other: p, which it is
+    linked to, and q, which it isn't, of another class."""
     linked = done.where("similarity IS NOT NULL").select(*PAIR, "similarity")
     others = (met.select(*PAIR).distinct().join(linked.select("b").distinct(), "b", "left_semi")
               .join(linked.select("a", "b"), ["a", "b"], "left_anti"))
-    near = _verified(others, texts, max(0.0, 3 - 2 / least)).where("similarity IS NOT NULL")
-    steps = (1 - F.col("similarity")) * F.greatest("na", "nb")
-    p = linked.select("b", F.col("a").alias("p"), F.col("na").alias("np"), steps.alias("dp"))
-    q = near.select("b", F.col("a").alias("q"), F.col("na").alias("nq"), steps.alias("dq"))
-    bound = F.col("dq") - F.col("dp")
-    within = (F.col("p") != F.col("q")) & _lengths("np", "nq", least) & (
-        bound <= (1 - least) * F.greatest("np", "nq") + 1e-6)
+    others = materialize(_named(others, linked, "a", "b").where("ra != rb"), "near-others")
+    marks = nodes.select("node", "signature")
+    p = (linked.select("b", F.col("a").alias("p"), F.col("na").alias("np"))
+         .join(marks.withColumnsRenamed({"node": "p", "signature": "sp"}), "p"))
+    q = (others.select("b", F.col("a").alias("q"), F.col("na").alias("nq"))
+         .join(marks.withColumnsRenamed({"node": "q", "signature": "sq"}), "q"))
+    alike, bits = _alike("np", "nq", F.col("sp"), F.col("sq"), least)
     up = F.col("p") > F.col("q")
-    pairs = p.join(q, "b").where(within).select(
+    pairs = p.join(q, "b").where((F.col("p") != F.col("q")) & _lengths("np", "nq", least) & alike).select(
         F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b"), F.when(up, F.col("np")).otherwise(F.col("nq")).alias("na"),
-        F.when(up, F.col("nq")).otherwise(F.col("np")).alias("nb"), bound.alias("bound"))
-    pairs = materialize(pairs.groupBy(*PAIR).agg(F.min("bound").alias("bound"))
-                        .join(done.select("a", "b"), ["a", "b"], "left_anti"), "near-across")
+        F.when(up, F.col("nq")).otherwise(F.col("np")).alias("nb"), bits.alias("bits"))
+    pairs = materialize(pairs.distinct().join(done.select("a", "b"), ["a", "b"], "left_anti"), "near-across")
     # The closest pair of two classes first: most classes that touch are one after it.
     for closest in (True, False):
         if pairs.isEmpty():
             break
-        root = materialize(components(linked), "near-roots")
-        apart = pairs
-        for c in ("a", "b"):
-            named = root.select(F.col("node").alias(c), F.col("root").alias("r" + c))
-            apart = apart.join(named, c, "left").withColumn("r" + c, F.coalesce("r" + c, c))
-        pairs = materialize(apart.where("ra != rb"), "near-apart")
+        pairs = materialize(_named(pairs.select(*PAIR, "bits"), linked, "a", "b").where("ra != rb"), "near-apart")
         first = pairs
         if closest:
             first = (pairs.groupBy(F.least("ra", "rb").alias("u"), F.greatest("ra", "rb").alias("v"))
-                     .agg(F.min(F.struct("bound", *PAIR)).alias("pair")).select("pair.*"))
-        checked = materialize(_verified(first.select(*PAIR), texts, least), "near-checked")
+                     .agg(F.min(F.struct("bits", *PAIR)).alias("pair")).select("pair.*"))
+        checked = materialize(_verified(first, texts, least), "near-checked")
         linked = linked.unionByName(checked.where("similarity IS NOT NULL"))
-        pairs = pairs.select(*PAIR, "bound").join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
     return linked
 
 
+def members_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``bucket, node, n_words`` of all nodes that share a bucket with another.
+
+    Most buckets have one node, and their rows are most of what is shuffled: nodes go by eight bytes
+    of their md5 there (unless two have the same), and each row is shuffled once."""
+    short = F.xxhash64("node")
+    sizes = nodes.agg(F.count(F.lit(1)).alias("all"), F.count_distinct(short).alias("keys")).first()
+    key = short if sizes["all"] == sizes["keys"] else F.col("node")
+    once = bucketed(docs).groupBy("node").agg(F.first("buckets").alias("buckets"))  # equal texts have equal buckets
+    rows = once.select(key.alias("key"), F.explode("buckets").alias("bucket"))
+    several = F.count(F.lit(1)).over(Window.partitionBy("bucket"))
+    shared = materialize(rows.withColumn("n", several).where("n > 1").select("bucket", "key"), "near-shared")
+    return materialize(shared.join(nodes.select(key.alias("key"), "node", "n_words"), "key").select("bucket", "node", "n_words"),
+                       "near-buckets")
+
+
 def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``a, b, similarity``: verified pairs of nodes, as found through bucket representatives."""
     nodes = prints.groupBy("node").agg(F.min("id").alias("id"), F.first("n_words").alias("n_words"),
-                                       F.first("sketches").alias("sketches"))
+                                       F.first("signature").alias("signature"))
     nodes = materialize(nodes, "near-nodes")
-    members = nodes.select("node", "n_words", F.posexplode("sketches").alias("j", "bucket")).drop("j")
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = materialize(members.join(shared, "bucket"), "near-buckets")
-    # The texts of candidates, one row per node: the id beside the node spreads copies out.
-    wanted = nodes.join(members.select("node").distinct(), "node").select("node", "id")
-    texts = (docs.select("id", text_key(F.col("text")).alias("node"), "text").alias("d")
-             .join(wanted.alias("w"), (F.col("d.node") == F.col("w.node")) & F.col("d.id").eqNullSafe(F.col("w.id")))
-             .select("d.node", "d.text").dropDuplicates(["node"]))
-    texts = materialize(texts, "near-texts")
+    members = members_of(docs, nodes)
+    texts = Texts(docs, nodes)
     done = seen = None
     width = 1
     while not members.isEmpty():
@@ -272,10 +371,10 @@ def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> Data
             .select("bucket", F.col("node").alias("a"), F.col("r.node").alias("b"), F.col("n_words").alias("na"),
                     F.col("r.n_words").alias("nb")), "near-met")
         seen = met if seen is None else seen.unionByName(met)
-        fresh = met.where(_lengths("na", "nb", least)).select(*PAIR).distinct()
+        fresh = met.select(*PAIR).distinct()
         if done is not None:
             fresh = fresh.join(done, ["a", "b"], "left_anti")
-        checked = materialize(_verified(fresh, texts, least), "near-checked")
+        checked = materialize(_verified(_possible(fresh, nodes, least), texts, least), "near-checked")
         done = checked if done is None else done.unionByName(checked)
         # The rest: in its bucket, a member similar to none of the representatives, nor one itself.
         linked = (met.join(done.where("similarity IS NOT NULL").select("a", "b"), ["a", "b"])
@@ -287,7 +386,7 @@ def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> Data
         width *= MORE
     if done is None:
         return docs.sparkSession.createDataFrame([], "a binary, b binary, similarity double")
-    return _across(seen, done, texts, least).select("a", "b", "similarity")
+    return _across(seen, done, nodes, texts, least).select("a", "b", "similarity")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -335,7 +434,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", least: fl
     """``id_col, class_id, class_size, node, root`` for every row: the smallest id of its class and
     the number of rows in it; the md5 of its text and the smallest one in its class."""
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    prints = materialize(fingerprinted(docs), "near-sketches")
+    prints = materialize(printed(docs), "near-prints")
     root = components(links(docs, prints, least))
     rows = materialize(prints.select("id", "node").join(root, "node", "left")
                        .select("id", "node", F.coalesce("root", "node").alias("root")), "near-rows")
