@@ -16,6 +16,7 @@ ORACLE: dict[str, str] = {}  # filled at the end of the module
 QUALITY_THRESHOLD = 0.3
 SHARDS = 40
 FOLDER_ROWS = 1024  # document ids per lowest directory in the license scan
+LICENCE_LINE = "(?i)licen[cs]ed under|released under the|terms of the|public domain|spdx"
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -78,14 +79,16 @@ def op7_substring_dedup(spark, sf_dir):
 
 @query
 def op8_license_scan(spark, sf_dir):
-    """Documents as files ``source/lang/folder/name``, the folder by id; a document that opens
-    with a licence line is its folder's licence file."""
+    """Documents as files ``source/lang/folder/name``, the folder by id.  A document with a line that names a
+    licence is a licence file, of its source, its language there or its folder by the id."""
     docs = table(spark, sf_dir, "documents")
-    opens = F.coalesce(F.substring_index("text", "\n", 1).rlike(licenses.CUE), F.lit(False))
-    name = F.when(opens, F.concat(F.lit("LICENSE-"), F.col("doc_id"))).otherwise(F.col("doc_id").cast("string"))
+    states = F.coalesce(F.col("text").rlike(LICENCE_LINE), F.lit(False))
+    source, lang = F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-"))
     folder = F.floor(F.col("doc_id") / FOLDER_ROWS).cast("string")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), folder, name)
-    return licenses.scan(docs.withColumn("path", path), "path", "text", licenses.TEMPLATES, licenses.COSINE, "doc_id")
+    depth = F.when(states, F.pmod("doc_id", F.lit(3))).otherwise(2)
+    name = F.when(states, F.concat(F.lit("LICENSE-"), F.col("doc_id"))).otherwise(F.col("doc_id").cast("string"))
+    path = F.concat_ws("/", source, F.when(depth >= 1, lang), F.when(depth >= 2, folder), name)
+    return licenses.scan(docs.withColumn("path", path), "path", "text", None, licenses.COSINE, "doc_id")
 
 
 @query
@@ -128,5 +131,5 @@ ORACLE.update({
     "op7_substring_dedup": sql.SUBSTRINGS,
     "op11_lexical_search": sql.LEXICAL,
     "op12_spelling_variants": sql.VARIANTS,
-    "op8_license_scan": sql.license_sql(FOLDER_ROWS),
+    "op8_license_scan": sql.license_sql(FOLDER_ROWS, LICENCE_LINE),
 })

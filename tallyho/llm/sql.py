@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyho.llm.licenses import COSINE, CUE, LICENCE_FILE, TEMPLATES
+from tallyho.llm.licenses import COSINE, LICENCE_FILE, UNKNOWN, all_cues, cues, templates
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _TEST_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -104,31 +104,39 @@ def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def license_sql(folder_rows: int) -> str:
-    templates = ", ".join(f"({_literal(k)}, {_literal(v)})" for k, v in sorted(TEMPLATES.items()))
+def license_sql(folder_rows: int, licence_line: str) -> str:
+    known = templates()
+    def array(words: list[str]) -> str:
+        return "[" + ", ".join(_literal(w) for w in words) + "]"
+
+    values = ", ".join(f"({i}, {_literal(k)}, {_literal(v)}, {array(own)})" for i, ((k, v), own) in enumerate(zip(known, cues(known))))
+    cue = array(all_cues(known))
     terms = r"regexp_extract_all(lower({}), '[0-9]+(?:\.[0-9]+)*|[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     return f"""
-WITH t(template, text) AS (VALUES {templates}),
-f AS (SELECT doc_id, coalesce(text, '') AS text,
-             coalesce(source, '-') || '/' || coalesce(lang, '-') || '/' || CAST(doc_id // {folder_rows} AS VARCHAR) AS dir,
-             CASE WHEN regexp_matches(string_split(coalesce(text, ''), chr(10))[1], {_literal(CUE)})
-                  THEN 'LICENSE-' || doc_id ELSE CAST(doc_id AS VARCHAR) END AS name FROM documents),
-tv AS (SELECT template, term, count(*) AS tf FROM (SELECT template, unnest({terms.format('text')}) AS term FROM t) GROUP BY ALL),
-df AS (SELECT term, count(*) AS n FROM (SELECT unnest(list_distinct({terms.format('text')})) AS term FROM f)
-       WHERE term IN (SELECT term FROM tv) GROUP BY term),
-idf AS (SELECT term, ln((SELECT count(*) + 1.0::DOUBLE FROM f) / (coalesce(n, 0) + 1)) + 1 AS idf
-        FROM (SELECT DISTINCT term FROM tv) LEFT JOIN df USING (term)),
-tw AS (SELECT template, term, tf * idf AS w FROM tv JOIN idf USING (term)),
-tn AS (SELECT template, sqrt(sum(w * w)) AS n FROM tw GROUP BY template),
+WITH t(entry, template, text, cues) AS (VALUES {values}),
+s AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '-') AS source, coalesce(lang, '-') AS lang,
+             CASE WHEN regexp_matches(coalesce(text, ''), {_literal(licence_line)}) THEN doc_id % 3 END AS depth FROM documents),
+f AS (SELECT doc_id, text, CASE WHEN depth IS NULL THEN CAST(doc_id AS VARCHAR) ELSE 'LICENSE-' || doc_id END AS name,
+             source || CASE WHEN coalesce(depth, 2) >= 1 THEN '/' || lang ELSE '' END
+             || CASE WHEN coalesce(depth, 2) >= 2 THEN '/' || CAST(doc_id // {folder_rows} AS VARCHAR) ELSE '' END AS dir FROM s),
+tv AS (SELECT entry, template, term, list_contains(cues, term) AS cue, count(*) AS tf
+       FROM (SELECT entry, template, cues, unnest({terms.format('text')}) AS term FROM t) GROUP BY ALL),
+idf AS (SELECT term, ln({len(known) + 1}::DOUBLE / (count(*) + 1)) AS idf FROM tv GROUP BY term),
+tw AS (SELECT entry, template, term, cue, tf * idf AS w FROM tv JOIN idf USING (term)),
+tn AS (SELECT entry, sqrt(sum(w * w)) AS n FROM tw GROUP BY entry),
+l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM f WHERE list_has_any({terms.format('text')}, {cue})),
+c AS (SELECT doc_id, l, i FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM l) WHERE list_has_any({terms.format('l[i]')}, {cue})),
 p AS (SELECT DISTINCT doc_id, passage FROM (
-        SELECT doc_id, unnest([x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, {_literal(CUE)})]) AS passage FROM f
-        UNION ALL SELECT doc_id, text FROM f WHERE regexp_matches(name, {_literal(LICENCE_FILE)}))),
+        SELECT doc_id, array_to_string(list_slice(l, greatest(i - a, 1), least(i + b, len(l))), ' ') AS passage
+        FROM c, (VALUES (0, 0), (1, 0), (0, 1), (1, 1)) x(a, b)
+        UNION ALL SELECT doc_id, text FROM f JOIN l USING (doc_id) WHERE regexp_matches(name, {_literal(LICENCE_FILE)}))),
 q AS (SELECT DISTINCT passage FROM p),
-pw AS (SELECT passage, term, count(*) * coalesce(any_value(idf), (SELECT ln(count(*) + 1.0::DOUBLE) + 1 FROM f)) AS w
+pw AS (SELECT passage, term, count(*) * coalesce(any_value(idf), {UNKNOWN}::DOUBLE) AS w
        FROM (SELECT passage, unnest({terms.format('passage')}) AS term FROM q) LEFT JOIN idf USING (term) GROUP BY passage, term),
 pn AS (SELECT passage, sqrt(sum(w * w)) AS n FROM pw GROUP BY passage),
 sc AS (SELECT passage, template, round(sum(pw.w * tw.w) / any_value(pn.n) / any_value(tn.n), 6) AS score
-       FROM pw JOIN tw USING (term) JOIN tn USING (template) JOIN pn USING (passage) GROUP BY passage, template),
+       FROM pw JOIN tw USING (term) JOIN tn USING (entry) JOIN pn USING (passage)
+       GROUP BY passage, entry, template HAVING bool_or(cue)),
 own AS (SELECT doc_id, template, score FROM p JOIN sc USING (passage) WHERE score >= {COSINE}
         QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, template) = 1),
 g AS (SELECT dir, template FROM f JOIN own USING (doc_id) WHERE regexp_matches(name, {_literal(LICENCE_FILE)})

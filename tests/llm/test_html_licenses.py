@@ -116,26 +116,29 @@ TERM = re.compile(r"[0-9]+(?:\.[0-9]+)*|[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 def scanned(files):
     """path -> (own, score, licence, directory) by direct computation."""
-    n = len(files)
-    df = Counter(t for _, text in files for t in set(TERM.findall((text or "").lower())))
-    known = {t for v in licenses.TEMPLATES.values() for t in TERM.findall(v.lower())}
+    known = licenses.templates()
+    df = Counter(t for _, text in known for t in set(TERM.findall(text.lower())))
+    cue = set(licenses.all_cues(known))
 
     def vector(text):
-        return {t: c * (math.log((n + 1) / ((df[t] if t in known else 0) + 1)) + 1)
+        return {t: c * (math.log((len(known) + 1) / (df[t] + 1)) if t in df else licenses.UNKNOWN)
                 for t, c in Counter(TERM.findall(text.lower())).items()}
 
     def cosine(a, b):
         norm = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
         return sum(a[t] * b.get(t, 0) for t in a) / norm if norm else 0
 
-    templates = {k: vector(v) for k, v in licenses.TEMPLATES.items()}
+    templates = [(k, vector(v), set(own)) for (k, v), own in zip(known, licenses.cues(known))]
     own, grants = {}, {}
     for path, text in files:
         name, text = path.rsplit("/", 1)[-1], text or ""
-        passages = [line for line in text.split("\n") if re.search(licenses.CUE, line)]
-        if re.search(licenses.LICENCE_FILE, name):
-            passages.append(text)
-        found = [(-round(cosine(vector(p), v), 6), k) for p in passages for k, v in templates.items()]
+        lines = text.split("\n")
+        passages = {" ".join(lines[max(i - a, 0):i + b + 1]) for i, line in enumerate(lines) if cue & set(TERM.findall(line.lower()))
+                    for a in (0, 1) for b in (0, 1)}
+        if passages and re.search(licenses.LICENCE_FILE, name):
+            passages.add(text)
+        found = [(-round(cosine(vector(p), v), 6), k) for p in passages for k, v, c in templates
+                 if c & set(vector(p))]
         found = [f for f in found if -f[0] >= licenses.COSINE]
         if found:
             own[path] = min(found)
@@ -169,6 +172,44 @@ def test_license_scan_by_brute_force(spark):
     assert {r.path: r.licence for r in got}["a/b/c/y.py"] == "GPL-3.0"
 
 
+@pytest.mark.parametrize("text,licence", [
+    ("Copyright (c) 2021 Jane Doe. Released under the MIT License.", "MIT"), ("SPDX-License-Identifier: MIT", "MIT"),
+    ("// SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+    ("This file is distributed under the MIT license, see LICENSE for details", "MIT"),
+    (" * it under the terms of the GNU General Public License as published by", "GPL-3.0"),  # no version: the closest
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation "
+     "files (the \"Software\"), to deal", "MIT"),
+    ("# This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as "
+     "published by\n# the Free Software Foundation; either version 2 of the License, or", "GPL-2.0"),
+    ("Licensed under the Apache License, Version 2.0 (the \"License\");", "Apache-2.0"),
+    ("This Source Code Form is subject to the terms of the Mozilla\nPublic License, v. 2.0.", "MPL-2.0"),
+    ("The licence of poets is not granted to all.", None), ("under the terms of the treaty", None), ("a plain line of text", None)])
+def test_headers_are_found_wherever_they_stand(spark, text, licence):
+    """The score is that of the passage: it doesn't depend on what else the file or the table holds."""
+    body = "\n".join(["import os", "x = 1"] * 20)
+    files = [("a/one.py", text), ("b/two.py", f"{body}\n{text}\n{body}")] + [(f"c/{i}", f"word{i} other") for i in range(50)]
+    rows = {r.path: r for r in licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert rows["a/one.py"].own_licence == rows["b/two.py"].own_licence == licence
+    alone = licenses.scan(spark.createDataFrame(files[:1], "path string, text string")).first()
+    assert alone.score == rows["a/one.py"].score
+
+
+def test_every_template_has_its_cues():
+    known = licenses.templates()
+    assert all(set(own) & set(TERM.findall(text.lower())) for (_, text), own in zip(known, licenses.cues(known)))
+    assert len(licenses.all_cues(known)) < 80
+
+
+def test_documents_inherit(spark):
+    from tests.conftest import SF_ORACLE
+
+    rows = QUERIES["op8_license_scan"](spark, SF_ORACLE)
+    own, inherited = rows.where("own_licence IS NOT NULL").count(), rows.where("from_directory IS NOT NULL")
+    depths = {len(r.from_directory.split("/")) for r in inherited.select("from_directory").distinct().collect()}
+    assert own > 20 and inherited.count() > 50 and len(depths) > 1
+    assert inherited.where("licence IS NULL OR own_licence IS NOT NULL").isEmpty()
+
+
 def test_license_edge_cases(spark):
     schema = "path string, text string"
     assert licenses.scan(spark.createDataFrame([], schema)).count() == 0
