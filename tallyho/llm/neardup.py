@@ -18,8 +18,8 @@ compared with the bucket's smallest node only, and those that aren't similar to
 rest: nothing is capped, and pairs grow with the number of different groups in a
 bucket, not with their sizes.  Members that left a bucket with a representative meet those that
 it didn't link, as long as their classes differ.  Pairs whose *signatures* differ too much are
-never made: a signature has a bit for every value that a word's hash can take, one edit
-changes two of them at most, so no link is lost.  Only texts of the pairs that are left are
+never verified: a signature has a bit for every value that the hash of a word and its
+occurrence can take, one edit changes two of them at most, so no link is lost.  Only texts of the pairs that are left are
 read again.  Classes are the connected components of the links,
 found by star contraction on written tables; nothing of them reaches the driver.
 
@@ -191,10 +191,13 @@ def segments(words: np.ndarray) -> list[int]:
 
 
 def signatures(words: Words) -> np.ndarray:
-    """A row of ``SIGNATURE`` 64-bit words per text: the bits of its words' hashes."""
+    """A row of ``SIGNATURE`` 64-bit words per text: the bits of its words, each labelled with how
+    often it occurred before (so a repeated word counts as often as it is there)."""
+    document = words.document()
     out = np.zeros((len(words.first) - 1, SIGNATURE), U64)
-    bit = (mix(words.hash) >> U64(32)) % U64(64 * SIGNATURE)
-    np.bitwise_or.at(out, (words.document(), (bit // U64(64)).astype(np.int64)), U64(1) << (bit % U64(64)))
+    labelled = mix(words.hash ^ mix(occurrences(words.hash, document).astype(U64) + U64(1)))
+    bit = (labelled >> U64(32)) % U64(64 * SIGNATURE)
+    np.bitwise_or.at(out, (document, (bit // U64(64)).astype(np.int64)), U64(1) << (bit % U64(64)))
     return out
 
 
@@ -333,8 +336,9 @@ def _across(met: DataFrame, done: DataFrame, nodes: DataFrame, texts: Texts, lea
     return linked
 
 
-def members_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``bucket, node, n_words`` of all nodes that share a bucket with another.
+def members_of(docs: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """``bucket, node, n_words`` of all nodes that share a bucket with another of a length that a
+    similar text can have.
 
     Most buckets have one node, and their rows are most of what is shuffled: nodes go by eight bytes
     of their md5 there (unless two have the same), and each row is shuffled once."""
@@ -345,8 +349,12 @@ def members_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     rows = once.select(key.alias("key"), F.explode("buckets").alias("bucket"))
     several = F.count(F.lit(1)).over(Window.partitionBy("bucket"))
     shared = materialize(rows.withColumn("n", several).where("n > 1").select("bucket", "key"), "near-shared")
-    return materialize(shared.join(nodes.select(key.alias("key"), "node", "n_words"), "key").select("bucket", "node", "n_words"),
-                       "near-buckets")
+    # Similar texts are in one class of lengths or in neighbouring ones: each goes to its own and the next.
+    level = F.floor(F.log("n_words") / float(np.log(1 / least)))
+    members = (shared.join(nodes.select(key.alias("key"), "node", "n_words"), "key")
+               .select("bucket", "node", "n_words", F.explode(F.array(level, level + 1)).alias("level"))
+               .select(F.xxhash64("bucket", "level").alias("bucket"), "node", "n_words"))
+    return materialize(members.withColumn("n", several).where("n > 1").drop("n"), "near-buckets")
 
 
 def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -354,7 +362,7 @@ def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> Data
     nodes = prints.groupBy("node").agg(F.min("id").alias("id"), F.first("n_words").alias("n_words"),
                                        F.first("signature").alias("signature"))
     nodes = materialize(nodes, "near-nodes")
-    members = members_of(docs, nodes)
+    members = members_of(docs, nodes, least)
     texts = Texts(docs, nodes)
     done = seen = None
     width = 1
