@@ -121,6 +121,15 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def mix_into(h: np.ndarray, half: np.ndarray) -> None:
+    """``mix`` in place; ``half`` is a scratch array of the same size."""
+    for shift, factor in ((31, 0x7FB5D329728EA185), (27, 0x81DADEF4BC2DD44D), (33, 1)):
+        np.right_shift(h, U64(shift), out=half)
+        h ^= half
+        if factor > 1:
+            h *= U64(factor)
+
+
 _POWERS = {"n": 0}
 
 

@@ -12,15 +12,15 @@ e edits between them, of e + 1 segments of the shorter one is one left whole in
 more than the edits before and behind it.  Segments, by length, number and place, are buckets like
 sketches.
 
-Groups of copies stay cheap: equal texts are one node (their md5), a bucket's texts are
-compared with the bucket's smallest node only, and those that aren't similar to it
-(the rest) go to further rounds with 8, 64, ... representatives until no bucket has a
-rest: nothing is capped, and pairs grow with the number of different groups in a
-bucket, not with their sizes.  Members that left a bucket with a representative meet those that
-it didn't link, as long as their classes differ.  Pairs whose *signatures* differ too much are
+Groups of copies stay cheap: equal texts are one node (their md5), and a bucket's texts are first
+compared with the bucket's smallest node only.  Pairs whose *signatures* differ too much are
 never verified: a signature has a bit for every value that the hash of a word and its
-occurrence can take, one edit changes two of them at most, so no link is lost.  Only texts of the pairs that are left are
-read again.  Classes are the connected components of the links,
+occurrence can take (whether an odd number has it, so long texts don't fill it), one edit changes two of them at most,
+so no link is lost.  After that, members of a bucket
+need to meet only if their classes differ.  Those in the smallest node's class meet the others if the bits in
+which both differ from it leave that possible (``_across``); the others meet each other in cells of two blocks, where
+signatures are compared as matrices (``_rest``): nothing is capped, and only pairs that are alike become rows.
+Only texts of the pairs that are left are read again.  Classes are the connected components of the links,
 found by star contraction on written tables; nothing of them reaches the driver.
 
 Defined cases: a null text is the empty text; texts without words are near-duplicates of
@@ -40,16 +40,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyho.llm.common import U64, Words, batches, decided, gram_hashes, materialize, mix, text_key, utf8
+from tallyho.llm.common import U64, Words, batches, decided, gram_hashes, materialize, mix, mix_into, text_key, utf8
 
 K = 5
 SIMILARITY = 0.8
 SKETCHES = 160              # find 95 % of pairs even at the least similarity
 PICKED = 2
 SHORT = 25                  # words of texts that are found by equal segments instead of sketches
-SIGNATURE = 16              # 64-bit words of a text's signature
-MORE = 8                    # representatives per bucket grow by this factor each round
-SMALL_BYTES = 16 << 20      # of keys that are sent to all tasks
+SIGNATURE = 32              # 64-bit words of a text's signature
+BLOCK = 256                 # members of a bucket that are compared at a time
+SMALL_BYTES = 16 << 20      # of keys (or half as many of texts) that are sent to all tasks
 _TOP = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -94,16 +94,21 @@ def sketches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sizes = np.diff(np.concatenate((starts, [len(grams)])))
         document = np.repeat(np.arange(len(full)), sizes)
         labelled = mix(grams + mix(occurrences(grams, document).astype(U64)))
+        bits = U64(len(grams)).item().bit_length()
+        place, above = np.arange(len(grams), dtype=U64), _TOP ^ U64((1 << bits) - 1)
+        rank, half = np.empty_like(labelled), np.empty_like(labelled)
         for j in range(SKETCHES):
-            rank = mix(labelled ^ mix(np.array([j + 1], U64)))
+            np.bitwise_xor(labelled, mix(np.array([j + 1], U64)), out=rank)
+            mix_into(rank, half)
+            rank &= above  # the lowest bits, which hardly ever decide, are a k-mer's place
+            rank |= place
             picked = np.full((len(full), PICKED), len(grams))
             for i in range(PICKED):
                 least = np.minimum.reduceat(rank, starts)
-                at = np.flatnonzero(rank == np.repeat(least, sizes))
-                at = at[rank[at] != _TOP]  # a text with fewer k-mers has no more
-                owner, first = np.unique(document[at], return_index=True)
-                picked[owner, i] = at[first]
-                rank[at[first]] = _TOP
+                there = np.flatnonzero(least != _TOP)  # a text with fewer k-mers has no more
+                at = (least[there] & ~above).astype(np.int64)
+                picked[there, i] = at
+                rank[at] = _TOP
             picked.sort(axis=1)
             value = np.full(len(full), j, U64)
             for i in range(PICKED):
@@ -191,13 +196,13 @@ def segments(words: np.ndarray) -> list[int]:
 
 
 def signatures(words: Words) -> np.ndarray:
-    """A row of ``SIGNATURE`` 64-bit words per text: the bits of its words, each labelled with how
-    often it occurred before (so a repeated word counts as often as it is there)."""
+    """A row of ``SIGNATURE`` 64-bit words per text: of its words, each labelled with how often it occurred before
+    (so a repeated word counts as often as it is there), a bit says whether an odd number has its value."""
     document = words.document()
     out = np.zeros((len(words.first) - 1, SIGNATURE), U64)
     labelled = mix(words.hash ^ mix(occurrences(words.hash, document).astype(U64) + U64(1)))
     bit = (labelled >> U64(32)) % U64(64 * SIGNATURE)
-    np.bitwise_or.at(out, (document, (bit // U64(64)).astype(np.int64)), U64(1) << (bit % U64(64)))
+    np.bitwise_xor.at(out, (document, (bit // U64(64)).astype(np.int64)), U64(1) << (bit % U64(64)))
     return out
 
 
@@ -257,26 +262,31 @@ class Texts:
         return materialize(found.select("d.node", "d.text").dropDuplicates(["node"]), "near-texts")
 
 
-def _alike(n_a, n_b, a, b, least: float):
-    """Whether signatures a and b can be those of similar texts, and the bits in which they differ."""
-    bits = sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(1, SIGNATURE)),
+def _bits(a, b):
+    """In how many bits the signatures a and b differ."""
+    return sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(1, SIGNATURE)),
                F.bit_count(F.get(a, F.lit(0)).bitwiseXOR(F.get(b, F.lit(0)))))
-    return bits <= 2 * (1 - least) * F.greatest(n_a, n_b) + 1e-6, bits
 
 
-def _possible(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """The ``pairs`` (``PAIR``) that lengths and signatures leave, with the bits in which these differ."""
-    both = (pairs.where(_lengths("na", "nb", least))
-            .join(nodes.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a")
+def _alike(n_a, n_b, bits, least: float):
+    """Whether texts of these lengths whose signatures differ in ``bits`` can be similar.  Of two texts the longer
+    has as many more words of its own as it is longer, and each edit takes one at most."""
+    return _lengths(n_a, n_b, least) & (bits + F.abs(F.col(n_a) - F.col(n_b)) <= 2 * (1 - least) * F.greatest(n_a, n_b) + 1e-6)
+
+
+def _apart(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The ``pairs`` (``PAIR``) with the ``bits`` in which their signatures differ."""
+    both = (pairs.join(nodes.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a")
             .join(nodes.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b"))
-    alike, bits = _alike("na", "nb", F.col("sa"), F.col("sb"), least)
-    return both.where(alike).select(*PAIR, bits.alias("bits"))
+    return both.select(*PAIR, _bits(F.col("sa"), F.col("sb")).alias("bits"))
 
 
 def _verified(pairs: DataFrame, texts: Texts, least: float) -> DataFrame:
     """``pairs`` (``PAIR``) with ``similarity``, null below ``least``."""
     pairs = materialize(pairs.select(*PAIR), "near-pairs")
     found = texts.of(pairs)
+    if found.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] <= SMALL_BYTES // 2:
+        found = F.broadcast(found)  # the same few texts in many pairs
     both = (pairs.join(found.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
             .join(found.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select(*PAIR, "x", "y"))
 
@@ -294,51 +304,124 @@ def _lengths(a, b, least: float):
     return F.least(a, b) >= least * F.greatest(a, b) - 1e-9
 
 
-def _named(pairs: DataFrame, linked: DataFrame, *columns: str) -> DataFrame:
-    """``pairs`` with the class of each column in a further one, ``r`` and its name."""
-    root = materialize(components(linked), "near-roots")
+def _roots(linked: DataFrame) -> DataFrame:
+    """``node, root`` of the nodes with a link."""
+    return materialize(components(linked), "near-roots")
+
+
+def _named(rows: DataFrame, root: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` with the class of each column's node in a further one, ``r`` and its name."""
+    named = F.broadcast(root) if root.count() * 32 <= SMALL_BYTES else root
     for c in columns:
-        named = root.select(F.col("node").alias(c), F.col("root").alias("r" + c))
-        pairs = pairs.join(named, c, "left").withColumn("r" + c, F.coalesce("r" + c, c))
-    return pairs
-
-
-def _across(met: DataFrame, done: DataFrame, nodes: DataFrame, texts: Texts, least: float) -> DataFrame:
-    """Links of members that met the same representative but not each other: p, which it is
-    linked to, and q, which it isn't, of another class."""
-    linked = done.where("similarity IS NOT NULL").select(*PAIR, "similarity")
-    others = (met.select(*PAIR).distinct().join(linked.select("b").distinct(), "b", "left_semi")
-              .join(linked.select("a", "b"), ["a", "b"], "left_anti"))
-    others = materialize(_named(others, linked, "a", "b").where("ra != rb"), "near-others")
-    marks = nodes.select("node", "signature")
-    p = (linked.select("b", F.col("a").alias("p"), F.col("na").alias("np"))
-         .join(marks.withColumnsRenamed({"node": "p", "signature": "sp"}), "p"))
-    q = (others.select("b", F.col("a").alias("q"), F.col("na").alias("nq"))
-         .join(marks.withColumnsRenamed({"node": "q", "signature": "sq"}), "q"))
-    alike, bits = _alike("np", "nq", F.col("sp"), F.col("sq"), least)
-    up = F.col("p") > F.col("q")
-    pairs = p.join(q, "b").where((F.col("p") != F.col("q")) & _lengths("np", "nq", least) & alike).select(
-        F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b"), F.when(up, F.col("np")).otherwise(F.col("nq")).alias("na"),
-        F.when(up, F.col("nq")).otherwise(F.col("np")).alias("nb"), bits.alias("bits"))
-    pairs = materialize(pairs.distinct().join(done.select("a", "b"), ["a", "b"], "left_anti"), "near-across")
-    # The closest pair of two classes first: most classes that touch are one after it.
+        rows = rows.join(named.select(F.col("node").alias(c), F.col("root").alias("r" + c)), c, "left")
+        rows = rows.withColumn("r" + c, F.coalesce("r" + c, c))
+    return rows
+
+
+def _linked(pairs: DataFrame, texts: Texts, least: float, of: list, linked: DataFrame | None = None,
+            root: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+    """The links among ``pairs`` (``PAIR``, bits) beside those ``linked`` already, with classes ``root``, and
+    all pairs that were verified.
+
+    Of the pairs that are equal in ``of`` (nodes, or ``r`` and a node's name for its class) the closest
+    goes first: most others are in one class after it and need no verification."""
+    tested = None
     for closest in (True, False):
-        if pairs.isEmpty():
+        left = pairs
+        if tested is not None:
+            left, root = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"), _roots(linked)
+        if root is not None:
+            left = _named(left, root, "a", "b").where("ra != rb")
+        left = materialize(left, "near-apart")
+        if left.isEmpty():
             break
-        pairs = materialize(_named(pairs.select(*PAIR, "bits"), linked, "a", "b").where("ra != rb"), "near-apart")
-        first = pairs
+        first = left
         if closest:
-            first = (pairs.groupBy(F.least("ra", "rb").alias("u"), F.greatest("ra", "rb").alias("v"))
-                     .agg(F.min(F.struct("bits", *PAIR)).alias("pair")).select("pair.*"))
+            first = left.groupBy(*of).agg(F.min(F.struct("bits", *PAIR)).alias("pair")).select("pair.*").distinct()
         checked = materialize(_verified(first, texts, least), "near-checked")
-        linked = linked.unionByName(checked.where("similarity IS NOT NULL"))
-        pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    return linked
+        links = checked.where("similarity IS NOT NULL")
+        linked = links if linked is None else linked.unionByName(links)
+        tested = checked if tested is None else tested.unionByName(checked)
+    return linked, tested
+
+
+def _across(met: DataFrame, root: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Pairs (``PAIR``, bits) that met the same node b but not each other: p, in its class, and q, which isn't.
+
+    Differing bits are a metric: a q that is farther from b than all the p by more than similar texts can
+    be apart meets none of them, and a p only meets the q that it can be similar to."""
+    named = _named(met, root, "a", "b")
+    marks = nodes.select("node", "signature")
+    near = (named.where("ra = rb").select("b", F.col("a").alias("p"), F.col("na").alias("np"), F.col("bits").alias("bp")))
+    reach = near.groupBy("b").agg(F.max("bp").alias("reach"), F.max("np").alias("longest"))
+    allowed = 2 * (1 - least)
+    far = (named.where("ra != rb").join(reach, "b")
+           .where(F.col("bits") - F.col("reach") <= allowed * F.greatest("na", "longest") + 1e-6)
+           .select("b", F.col("a").alias("q"), F.col("na").alias("nq"), F.col("bits").alias("bq"), F.col("ra").alias("rq"), F.col("rb")))
+    p = near.join(far.select("b").distinct(), "b", "left_semi").join(marks.withColumnsRenamed({"node": "p", "signature": "sp"}), "p")
+    q = far.join(marks.withColumnsRenamed({"node": "q", "signature": "sq"}), "q")
+    bits, up = _bits(F.col("sp"), F.col("sq")), F.col("p") > F.col("q")
+    pairs = p.join(q, (p["b"] == q["b"]) & (F.abs(F.col("bq") - F.col("bp")) <= allowed * F.greatest("np", "nq") + 1e-6) &
+                   _alike("np", "nq", bits, least))
+    return pairs.select(
+        F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b"), F.when(up, F.col("np")).otherwise(F.col("nq")).alias("na"),
+        F.when(up, F.col("nq")).otherwise(F.col("np")).alias("nb"), bits.alias("bits"))
+
+
+def _rest(members: DataFrame, root: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Pairs (``PAIR``, bits) of members of one bucket that aren't in the class of its smallest node, if of
+    different classes and alike.
+
+    Members are dealt to blocks of about ``BLOCK``, and each two blocks of a bucket meet in a cell whose
+    signatures are compared as matrices: a bucket gives a row for each member and block, not for each pair."""
+    rest = materialize(_named(members, root, "node", "least").where("rnode != rleast").select("bucket", "node", "n_words", "native", "rnode"),
+                       "near-rest")
+    sizes = (rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rnode").alias("lo"), F.max("rnode").alias("hi"),
+                                         F.max("native").alias("natives"))
+             .where("lo != hi AND natives").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    cells = (rest.join(sizes, "bucket").withColumn("own", own)
+             .select("bucket", "own", "node", "n_words", "rnode", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+             .join(nodes.select("node", "signature"), "node")
+             .groupBy("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+             .agg(F.collect_list(F.struct("own", "node", "n_words", F.col("rnode").alias("root"), "signature")).alias("cell")))
+
+    def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            found: list[tuple] = []
+            for at in range(len(batch)):
+                found += _cell_pairs(batch.column("cell")[at].values, batch.column("i")[at].as_py() != batch.column("j")[at].as_py(), least)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(
+                zip(*found) if found else [[]] * 5, (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))], names=[*PAIR, "bits"])
+
+    return cells.mapInArrow(work, "a binary, b binary, na bigint, nb bigint, bits bigint").distinct()
+
+
+def _cell_pairs(cell: pa.StructArray, two: bool, least: float) -> list[tuple]:
+    """``PAIR`` and bits of the pairs of a cell, those of two blocks only if it has ``two``."""
+    nodes = cell.field("node").to_pylist()
+    own, n = (cell.field(c).to_numpy(zero_copy_only=False) for c in ("own", "n_words"))
+    classes = np.unique(np.array(cell.field("root").to_pylist(), object), return_inverse=True)[1]
+    marks = cell.field("signature").flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(U64).reshape(len(nodes), SIGNATURE)
+    out = []
+    for x in range(len(nodes) - 1):
+        longer = np.maximum(n[x + 1:], n[x])
+        met = (classes[x + 1:] != classes[x]) & (np.minimum(n[x + 1:], n[x]) >= least * longer - 1e-9)
+        if two:
+            met &= own[x + 1:] != own[x]
+        some = np.flatnonzero(met)
+        if len(some):
+            bits = np.bitwise_count(marks[x + 1 + some] ^ marks[x]).sum(axis=1, dtype=np.int64)
+            for k in np.flatnonzero(bits + np.abs(n[x + 1:] - n[x])[some] <= 2 * (1 - least) * longer[some] + 1e-6):
+                y = x + 1 + some[k]
+                big, small = (x, y) if nodes[x] > nodes[y] else (y, x)
+                out.append((nodes[big], nodes[small], int(n[big]), int(n[small]), int(bits[k])))
+    return out
 
 
 def members_of(docs: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``bucket, node, n_words`` of all nodes that share a bucket with another of a length that a
-    similar text can have.
+    """``bucket, node, n_words, native`` of all nodes that share a bucket with another of a length that a
+    similar text can have (native: in its own class of lengths), and ``least, n_least`` of the bucket's smallest node.
 
     Most buckets have one node, and their rows are most of what is shuffled: nodes go by eight bytes
     of their md5 there (unless two have the same), and each row is shuffled once."""
@@ -352,9 +435,14 @@ def members_of(docs: DataFrame, nodes: DataFrame, least: float = SIMILARITY) ->
     # Similar texts are in one class of lengths or in neighbouring ones: each goes to its own and the next.
     level = F.floor(F.log("n_words") / float(np.log(1 / least)))
     members = (shared.join(nodes.select(key.alias("key"), "node", "n_words"), "key")
-               .select("bucket", "node", "n_words", F.explode(F.array(level, level + 1)).alias("level"))
-               .select(F.xxhash64("bucket", "level").alias("bucket"), "node", "n_words"))
-    return materialize(members.withColumn("n", several).where("n > 1").drop("n"), "near-buckets")
+               .select("bucket", "node", "n_words", level.alias("own"), F.explode(F.array(level, level + 1)).alias("level"))
+               .select(F.xxhash64("bucket", "level").alias("bucket"), "node", "n_words", (F.col("own") == F.col("level")).alias("native")))
+    whole = Window.partitionBy("bucket")
+    members = members.withColumns({"n": several, "natives": F.max("native").over(whole),
+                                   "first": F.min(F.struct("node", "n_words")).over(whole)})
+    # Texts of one length class meet in their own: no need of a bucket that has only those of the class below.
+    return materialize(members.where("n > 1 AND natives").select(
+        "bucket", "node", "n_words", "native", F.col("first.node").alias("least"), F.col("first.n_words").alias("n_least")), "near-buckets")
 
 
 def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -364,37 +452,17 @@ def links(docs: DataFrame, prints: DataFrame, least: float = SIMILARITY) -> Data
     nodes = materialize(nodes, "near-nodes")
     members = members_of(docs, nodes, least)
     texts = Texts(docs, nodes)
-    done = seen = None
-    width = 1
-    while not members.isEmpty():
-        if width == 1:
-            chosen = members.groupBy("bucket").agg(F.min(F.struct("node", "n_words")).alias("r"))
-        else:
-            order = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-            chosen = (members.withColumn("place", order).where(F.col("place") <= width)
-                      .select("bucket", F.struct("node", "n_words").alias("r")))
-        # Texts too far apart in length for one between them have nothing to do with each other.
-        met = materialize(
-            members.join(chosen, "bucket").where((F.col("node") > F.col("r.node")) & _lengths("n_words", "r.n_words", least * least))
-            .select("bucket", F.col("node").alias("a"), F.col("r.node").alias("b"), F.col("n_words").alias("na"),
-                    F.col("r.n_words").alias("nb")), "near-met")
-        seen = met if seen is None else seen.unionByName(met)
-        fresh = met.select(*PAIR).distinct()
-        if done is not None:
-            fresh = fresh.join(done, ["a", "b"], "left_anti")
-        checked = materialize(_verified(_possible(fresh, nodes, least), texts, least), "near-checked")
-        done = checked if done is None else done.unionByName(checked)
-        # The rest: in its bucket, a member similar to none of the representatives, nor one itself.
-        linked = (met.join(done.where("similarity IS NOT NULL").select("a", "b"), ["a", "b"])
-                  .select("bucket", F.col("a").alias("node")))
-        heads = chosen.select("bucket", F.col("r.node").alias("node"))
-        rest = members.join(linked.unionByName(heads).distinct(), ["bucket", "node"], "left_anti")
-        several = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-        members = materialize(rest.join(several, "bucket"), "near-rest")
-        width *= MORE
-    if done is None:
-        return docs.sparkSession.createDataFrame([], "a binary, b binary, similarity double")
-    return _across(seen, done, nodes, texts, least).select("a", "b", "similarity")
+    stars = (members.where("node != least")
+             .select(F.col("node").alias("a"), F.col("least").alias("b"), F.col("n_words").alias("na"), F.col("n_least").alias("nb")).distinct())
+    met = materialize(_apart(stars, nodes), "near-met")
+    linked, tested = _linked(met.where(_alike("na", "nb", F.col("bits"), least)), texts, least, ["a"])
+    if linked is None:
+        linked = tested = docs.sparkSession.createDataFrame([], "a binary, b binary, na bigint, nb bigint, similarity double")
+    root = _roots(linked)
+    others = materialize(_across(met, root, nodes, least).unionByName(_rest(members, root, nodes, least)).distinct()
+                         .join(tested.select("a", "b"), ["a", "b"], "left_anti"), "near-across")
+    sides = [F.least("ra", "rb"), F.greatest("ra", "rb")]
+    return _linked(others, texts, least, sides, linked, root)[0].select("a", "b", "similarity")
 
 
 def components(edges: DataFrame) -> DataFrame:
