@@ -7,7 +7,8 @@ a term that no template has weighs ``UNKNOWN``, so a score doesn't depend on the
 A file's passages are its lines with a cue, each alone and with the line before, behind
 or both (headers are wrapped), and the whole text of a licence file (by its name).  Cues are no
 list of words but the two heaviest terms of each template (``cues``): a passage that holds neither of
-them isn't compared with it.  The closest template at ``COSINE`` or more is the file's own licence.
+them isn't compared with it, nor is one that can't reach ``COSINE`` by its number of terms and those that
+the templates have (a bound, so no result changes): only passages that can are stored.  The closest template at ``COSINE`` or more is the file's own licence.
 
 A file without an own licence inherits from the nearest ancestor directory with a
 licence file: each directory's ancestors are joined with the directories of licence
@@ -22,6 +23,7 @@ equal results; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -114,21 +116,84 @@ def _vectors(rows: DataFrame, key: list[str], idf: DataFrame) -> DataFrame:
             .withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(UNKNOWN))).drop("tf", "idf"))
 
 
-def passages(files: DataFrame, known: list[tuple[str, str]]) -> DataFrame:
-    """``file, text``: lines with a cue and their neighbours, and whole licence files (file, name, text)."""
+def _word(cue: list[str]) -> str:
+    """A pattern found in every lower-cased text that has one of these terms (and in few others)."""
+    by_first: dict[str, list[str]] = {}
+    for t in cue:
+        by_first.setdefault(t[0], []).append(t[1:])
+    words = "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in sorted(by_first.items()))
+    return rf"(?<![^\x00-\x60\x7B-\x7F])(?:{words})(?![^\x00-\x2F\x3A-\x60\x7B-\x7F])"
+
+
+def _shares(known: list[tuple[str, str]]) -> list[list[tuple[str, float, float]]]:
+    """``(term, idf, share of the unit vector)`` of each template."""
+    idf, out = weights(known), []
+    for _, text in known:
+        tf = Counter(_TERM.findall(text.lower()))
+        length = math.sqrt(sum((n * idf[t]) ** 2 for t, n in tf.items()))
+        out.append([(t, idf[t], n * idf[t] / length) for t, n in sorted(tf.items())])
+    return out
+
+
+def _possible(found: Column, n: Column, known: list[tuple[str, str]], cosine: float) -> Column:
+    """Whether a passage of ``n`` terms, of which ``found`` are terms of the templates, can reach ``cosine`` with a template
+    of which it has a cue: its vector is at least as long as that template's terms and the unknown ones make it."""
+    entries, shares = {}, _shares(known)
+    for own, terms_of in zip(cues(known), shares):
+        for c in own:
+            entries.setdefault(c, []).append(terms_of)
+    kind = "map<string,array<array<struct<term:string,idf:double,share:double>>>>"
+    by_cue = F.from_json(F.lit(json.dumps({c: [[dict(zip(("term", "idf", "share"), t)) for t in terms_of] for terms_of in e]
+                                           for c, e in sorted(entries.items())})), kind)
+    some = F.flatten(F.filter(F.transform(F.array_distinct(found), lambda t: by_cue[t]), lambda e: e.isNotNull()))
+    zero = F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("square"))
+    unknown = UNKNOWN * UNKNOWN * (n - F.size(found))
+    least = max(cosine - 1e-6, 0) ** 2 * (1 - 1e-9)
+
+    def add(sums: Column, t: Column) -> Column:
+        tf = F.size(F.filter(found, lambda x: x == t["term"]))
+        return F.struct((sums["dot"] + tf * t["idf"] * t["share"]).alias("dot"),
+                        (sums["square"] + tf * t["idf"] * tf * t["idf"]).alias("square"))
+
+    return F.exists(some, lambda e: F.aggregate(
+        e, zero, add, lambda sums: sums["dot"] * sums["dot"] >= least * (sums["square"] + unknown) - 1e-9))
+
+
+def passages(files: DataFrame, known: list[tuple[str, str]], cosine: float = COSINE) -> DataFrame:
+    """``file, text``: lines with a cue and their neighbours, and whole licence files (file, name, text), but for
+    those that can't reach ``cosine``."""
     cue = F.lit(all_cues(known))
-    some = files.where(F.arrays_overlap(terms(F.col("text")), cue))  # most files have none
-    lines = F.split("text", "\n")
-    at = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: F.arrays_overlap(terms(F.get(lines, i - 1)), cue))
+    vocabulary = F.lit(sorted(weights(known)))
+    some = files.where(F.lower("text").rlike(_word(all_cues(known))))  # most files have none
+    # Terms end with their line: a passage's are those of its lines, found once.
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("text"), terms(x).alias("terms")))
+    lines = F.transform(lines, lambda x: F.struct(x["text"].alias("text"), x["terms"].alias("terms"),
+                                                  F.array_intersect(x["terms"], vocabulary).alias("met")))
+    lines = F.transform(lines, lambda x: F.struct(
+        x["text"].alias("text"), F.size(x["terms"]).alias("n"), F.arrays_overlap(x["met"], cue).alias("cue"),
+        F.filter(x["terms"], lambda t: F.array_contains(x["met"], t)).alias("found")))
+    rows = some.select("file", "name", F.explode(F.array(lines)).alias("lines"))  # a row each: the lines are computed once
+    rows = rows.where(F.exists("lines", lambda x: x["cue"]))
+    at = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.get("lines", i - 1)["cue"])
     around = F.array(*[F.struct(F.lit(a).alias("before"), F.lit(b).alias("behind")) for a in (0, 1) for b in (0, 1)])
 
     def window(i: Column, w: Column) -> Column:
         first = F.greatest(i - w["before"], F.lit(1))
-        return F.array_join(F.slice(lines, first, F.least(i + w["behind"], F.size(lines)) - first + 1), " ")
+        return F.struct(first.alias("first"), (F.least(i + w["behind"], F.size("lines")) - first + 1).alias("length"))
 
     windows = F.flatten(F.transform(at, lambda i: F.transform(around, lambda w: window(i, w))))
-    whole = F.when(F.col("name").rlike(LICENCE_FILE), F.array("text")).otherwise(F.array().cast("array<string>"))
-    return some.select("file", F.explode(F.array_distinct(F.concat(windows, whole))).alias("text"))
+    bounds = F.array_distinct(windows)
+    bounds = F.transform(bounds, lambda w: F.struct(F.slice("lines", w["first"], w["length"]).alias("lines"), F.lit(" ").alias("by")))
+    bounds = F.concat(bounds, F.when(F.col("name").rlike(LICENCE_FILE), F.array(F.struct(F.col("lines"), F.lit("\n").alias("by"))))
+                      .otherwise(F.array().cast("array<struct<lines:array<struct<text:string,n:int,cue:boolean,found:array<string>>>,by:string>>")))
+    parts = F.filter(
+        F.transform(bounds, lambda p: F.struct(
+            p["lines"].alias("lines"), p["by"].alias("by"), F.flatten(F.transform(p["lines"], lambda x: x["found"])).alias("found"),
+            F.aggregate(p["lines"], F.lit(0), lambda n, x: n + x["n"]).alias("n"))),
+        lambda p: _possible(p["found"], p["n"], known, cosine))
+    texts = F.transform(parts, lambda p: F.when(p["by"] == " ", F.array_join(p["lines"]["text"], " "))
+                        .otherwise(F.array_join(p["lines"]["text"], "\n")))
+    return rows.select("file", F.explode(F.array_distinct(texts)).alias("text"))
 
 
 def own_licences(files: DataFrame, known: list[tuple[str, str]] | None = None, cosine: float = COSINE) -> DataFrame:
@@ -143,7 +208,7 @@ def own_licences(files: DataFrame, known: list[tuple[str, str]] | None = None, c
     target = F.broadcast(target.join(size, "entry").select(
         "entry", "template", "term", (F.col("weight") / F.col("length")).alias("share"),
         F.array_contains("cues", F.col("term")).alias("cue")))
-    found = materialize(passages(files, known).withColumn("passage", F.md5(F.col("text").cast("binary"))), "licence-passages")
+    found = materialize(passages(files, known, cosine).withColumn("passage", F.md5(F.col("text").cast("binary"))), "licence-passages")
     # Equal passages, however many files repeat them, are compared once.
     vectors = _vectors(found.select("passage", "text").dropDuplicates(["passage"]), ["passage"], idf)
     length = vectors.groupBy("passage").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
