@@ -210,6 +210,14 @@ def test_documents_inherit(spark):
     assert inherited.where("licence IS NULL OR own_licence IS NOT NULL").isEmpty()
 
 
+def test_passages_that_cannot_reach_the_cosine_are_not_stored(spark):
+    """A cue in plain prose is no passage; one that can be near a template is, with both neighbours or none."""
+    prose = "\n".join(["a letter sent by a friend to the house on the hill"] * 20)
+    files = [("a", "a", prose), ("b", "b", prose + "\nReleased under the MIT License.")]
+    rows = licenses.passages(spark.createDataFrame(files, "file string, name string, text string"), licenses.templates()).collect()
+    assert {r.file for r in rows} == {"b"} and "Released under the MIT License." in {r.text for r in rows}
+
+
 def test_license_edge_cases(spark):
     schema = "path string, text string"
     assert licenses.scan(spark.createDataFrame([], schema)).count() == 0

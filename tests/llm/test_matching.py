@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyho.llm import decontaminate, neardup, substrings
@@ -301,6 +302,37 @@ def test_members_that_signatures_part_never_meet(documents, monkeypatch):
     assert sum(df.count() for label, df in made if label == "near-across") < 30 * 30 / 10
 
 
+def test_signatures_part_long_texts_of_one_passage():
+    """A passage repeated 300 times in texts that are otherwise different doesn't make them alike."""
+    texts = [" ".join(["Is", "so."] * 300 + [f"w{i}.{k}" for k in range(330)]).encode() for i in range(8)]
+    marks = neardup.signatures(Words(texts))
+    for i in range(8):
+        for j in range(i):
+            assert sum(int(v).bit_count() for v in marks[i] ^ marks[j]) > 2 * 0.2 * 930
+
+
+def test_cells_give_the_alike_pairs_of_different_classes():
+    rng = random.Random(10)
+    vocab = vocabulary(500, 6)
+    bases = [[rng.choice(vocab) for _ in range(60)] for _ in range(4)]
+    texts = [" ".join(varied(rng, bases[i % 4], 3, vocab)).encode() for i in range(24)]
+    words = Words(texts)
+    marks = neardup.signatures(words)
+    rows = [{"own": i % 2, "node": bytes([i]), "n_words": int(words.counts[i]), "root": bytes([i % 3]),
+             "signature": marks[i].astype(np.int64).tolist()} for i in range(24)]
+    for two in (False, True):
+        got = neardup._cell_pairs(pa.array(rows), two, 0.8)
+        want = set()
+        for i in range(24):
+            for j in range(i):
+                n, m = rows[i]["n_words"], rows[j]["n_words"]
+                bits = sum(int(v).bit_count() for v in marks[i] ^ marks[j])
+                if (i % 3 != j % 3 and (not two or i % 2 != j % 2) and min(n, m) >= 0.8 * max(n, m)
+                        and bits + abs(n - m) <= 0.4 * max(n, m)):
+                    want.add((bytes([i]), bytes([j]), n, m, bits))
+        assert want and set(got) == want and len(got) == len(want)
+
+
 def test_near_duplicates_edge_cases(documents):
     assert neardup.classes(documents([])).count() == 0
     assert neardup.one_of_each(documents([])).count() == 0
