@@ -76,6 +76,16 @@ def measures(id_col: str, text: str) -> list[Column]:
             F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string")), 2).alias("id_hash"), *coordinates]
 
 
+def _of_node(values: dict[int, int]) -> Column:
+    """The value of the row's ``node``; -1 or null if it has none.  A literal in the plan: no job, join or broadcast."""
+    return F.get(F.expr(f"array({', '.join(f'{values.get(i, -1)}L' for i in range(max(values) + 1))})"), F.col("node"))
+
+
+def _coordinate() -> Column:
+    """The row's coordinate in its node's dimension, the column ``dim``; null if that is null or -1."""
+    return F.get(F.array(*DIMENSIONS), F.col("dim").cast("int"))
+
+
 def _cuts(rows: DataFrame, nodes: list[Node], leaf_bytes: float) -> None:
     """Set ``cut`` of all ``nodes`` (leaves so far, their ``dim`` chosen); ``rows`` have their ``node``."""
     whole = GRID_BITS + HASH_BITS
@@ -83,15 +93,12 @@ def _cuts(rows: DataFrame, nodes: list[Node], leaf_bytes: float) -> None:
     state = {n.first: [0, 0, whole, 0, 0] for n in nodes}   # axis, low, bits, before, coordinate
     target = {n.first: n.bytes * (n.shards // 2) / n.shards for n in nodes}
     todo = {n.first: n for n in nodes}
-    spark = rows.sparkSession
     while todo:
-        search = spark.createDataFrame([(n.first, DIMENSIONS.index(n.dim), *state[n.first][:3], state[n.first][4])
-                                        for n in todo.values()],
-                                       "node int, dim int, axis int, low bigint, bits int, fixed bigint")
-        coordinate = F.get(F.array(*DIMENSIONS), F.col("dim"))
-        place = F.when(F.col("axis") == 0, coordinate).when(coordinate == F.col("fixed"), F.col("id_hash")) - F.col("low")
-        found = (rows.join(F.broadcast(search), "node")  # at most a row per shard
-                 .select("node", place.alias("place"), "bits", "size")
+        axis, low, bits, fixed = (_of_node({f: state[f][i] for f in todo}) for i in (0, 1, 2, 4))
+        coordinate = _coordinate()
+        place = F.when(axis == 0, coordinate).when(coordinate == fixed, F.col("id_hash")) - low
+        found = (rows.withColumn("dim", _of_node({f: DIMENSIONS.index(n.dim) for f, n in todo.items()})).where("dim >= 0")
+                 .select("node", place.alias("place"), bits.cast("int").alias("bits"), "size")
                  .where("place >= 0 AND shiftright(place, bits) = 0")
                  .select("node", F.expr(f"shiftright(place, greatest(bits - {BIN_BITS}, 0))").alias("bin"), "size")
                  .groupBy("node", "bin").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect())
@@ -142,14 +149,12 @@ def build(rows: DataFrame, shards: int) -> Node:
         for n in level:
             k = n.shards // 2
             n.left, n.right = Node(k, n.first, 0), Node(n.shards - k, n.first + k, 0)
-        splits = rows.sparkSession.createDataFrame(
-            [(n.first, DIMENSIONS.index(n.dim), *n.cut, n.right.first) for n in level],
-            "node int, dim int, at bigint, key bigint, right int")
-        place = F.get(F.array(*DIMENSIONS), F.col("dim"))
-        after = (place > F.col("at")) | ((place == F.col("at")) & (F.col("id_hash") >= F.col("key")))
-        moved = rows.join(F.broadcast(splits), "node", "left").withColumn(  # at most a row per shard
-            "node", F.when(after, F.col("right")).otherwise(F.col("node")))
-        rows = materialize(moved.drop("dim", "at", "key", "right"), "shard-nodes")
+        at, key = (_of_node({n.first: n.cut[i] for n in level}) for i in (0, 1))
+        right = _of_node({n.first: n.right.first for n in level}).cast("int")
+        place = _coordinate()
+        after = (place > at) | ((place == at) & (F.col("id_hash") >= key))
+        moved = rows.withColumn("dim", _of_node({n.first: DIMENSIONS.index(n.dim) for n in level}))
+        rows = materialize(moved.withColumn("node", F.when(after, right).otherwise(F.col("node"))).drop("dim"), "shard-nodes")
 
 
 def planned(df: DataFrame, id_col: str, text: str, shards: int | None, target_bytes: int) -> tuple[DataFrame, Node]:

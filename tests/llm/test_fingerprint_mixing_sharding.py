@@ -168,3 +168,19 @@ def test_sharding_edge_cases(documents):
     assert len({r.shard for r in same}) == 1 and sorted(r.slot for r in same) == list(range(5))
     by_bytes = sharding.shard(documents(["abc"] * 10), target_bytes=38).collect()
     assert len({r.shard for r in by_bytes}) == 5
+
+
+def test_sharding_rounds_send_no_tables(documents, monkeypatch):
+    """Rounds and levels put the nodes' few numbers into the plan: no table from the driver, join or broadcast."""
+    docs = documents([f"text {i} " * (i % 7 + 1) for i in range(300)] + ["copy"] * 100)
+
+    def refuse(*_, **__):
+        raise AssertionError("a round made a table on the driver")
+
+    plans, plain = [], sharding.materialize
+    monkeypatch.setattr(type(docs.sparkSession), "createDataFrame", refuse)
+    monkeypatch.setattr(sharding, "materialize", lambda df, label: plans.append(
+        df._jdf.queryExecution().optimizedPlan().toString()) or plain(df, label))
+    shards = Counter(r.shard for r in sharding.with_shard(docs, shards=7).collect())
+    assert sum(shards.values()) == 400 and set(shards) == set(range(7))
+    assert len(plans) > 3 and not any("Join" in p for p in plans)
