@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyho.llm.common import U64, Words, batches, decided, gram_hashes, materialize, mix, mix_into, text_key, utf8
@@ -48,7 +48,7 @@ SKETCHES = 160              # find 95 % of pairs even at the least similarity
 PICKED = 2
 SHORT = 25                  # words of texts that are found by equal segments instead of sketches
 SIGNATURE = 32              # 64-bit words of a text's signature
-BLOCK = 256                 # members of a bucket that are compared at a time
+BLOCK = 1024                # members of a bucket up to which it is one block; above, blocks grow too
 SMALL_BYTES = 16 << 20      # of keys (or half as many of texts) that are sent to all tasks
 _TOP = U64(0xFFFFFFFFFFFFFFFF)
 
@@ -368,21 +368,31 @@ def _across(met: DataFrame, root: DataFrame, nodes: DataFrame, least: float) ->
         F.when(up, F.col("nq")).otherwise(F.col("np")).alias("nb"), bits.alias("bits"))
 
 
+def _blocks(n: str) -> Column:
+    """The number of blocks of a bucket of ``n`` members.  It grows with the square root of n, as does a block: rows of
+    cells grow as n to the power 1.5, and a cell with the root of n."""
+    return F.expr(f"CAST(ceil(sqrt({n} / {BLOCK})) AS INT)")
+
+
 def _rest(members: DataFrame, root: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """Pairs (``PAIR``, bits) of members of one bucket that aren't in the class of its smallest node, if of
     different classes and alike.
 
-    Members are dealt to blocks of about ``BLOCK``, and each two blocks of a bucket meet in a cell whose
-    signatures are compared as matrices: a bucket gives a row for each member and block, not for each pair."""
-    rest = materialize(_named(members, root, "node", "least").where("rnode != rleast").select("bucket", "node", "n_words", "native", "rnode"),
+    Members are dealt to blocks, and each two blocks of a bucket meet in a cell whose signatures are compared as
+    matrices: a bucket gives a row for each member and block (``_blocks``), not for each pair.  A node meets its
+    signature once, with the list of its buckets."""
+    rest = _named(members, root, "node", "least").where("rnode != rleast").select("bucket", "node", "n_words", "native", "rnode")
+    whole = Window.partitionBy("bucket")
+    rest = rest.withColumns({"n": F.count(F.lit(1)).over(whole), "lo": F.min("rnode").over(whole), "hi": F.max("rnode").over(whole),
+                             "natives": F.max("native").over(whole)})
+    rest = materialize(rest.where("lo != hi AND natives").select("bucket", "node", "n_words", "rnode", _blocks("n").alias("blocks")),
                        "near-rest")
-    sizes = (rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rnode").alias("lo"), F.max("rnode").alias("hi"),
-                                         F.max("native").alias("natives"))
-             .where("lo != hi AND natives").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    cells = (rest.join(sizes, "bucket").withColumn("own", own)
-             .select("bucket", "own", "node", "n_words", "rnode", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    own = F.pmod(F.xxhash64("node"), F.col("in.blocks")).cast("int")
+    cells = (rest.groupBy("node", "n_words", "rnode").agg(F.collect_list(F.struct("bucket", "blocks")).alias("ins"))
              .join(nodes.select("node", "signature"), "node")
+             .select("node", "n_words", "rnode", "signature", F.explode("ins").alias("in"))
+             .select("node", "n_words", "rnode", "signature", F.col("in.bucket").alias("bucket"), own.alias("own"),
+                     F.explode(F.sequence(F.lit(0), F.col("in.blocks") - 1)).alias("other"))
              .groupBy("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
              .agg(F.collect_list(F.struct("own", "node", "n_words", F.col("rnode").alias("root"), "signature")).alias("cell")))
 

@@ -222,6 +222,33 @@ def test_near_duplicates_rest_rounds(documents, monkeypatch):
     assert got == classes_of(texts, list(range(len(texts))))
 
 
+def test_near_duplicates_rows_of_cells(documents, monkeypatch):
+    """Members of a large bucket go to a number of cells that grows with the square root of their number, and
+    each two of them still meet."""
+    rng = random.Random(29)
+    vocab = vocabulary(400, 4)
+    head = [rng.choice(vocab) for _ in range(10)]
+    texts = [" ".join(head + [rng.choice(vocab) for _ in range(30)]) for _ in range(300)]
+    texts += [" ".join(varied(rng, t.split(), 1, vocab)) for t in texts[:20]]
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "bucketed", lambda docs, f=neardup.bucketed: _one_bucket(f(docs)))
+    docs, made, write = documents(texts), {}, neardup.materialize
+    monkeypatch.setattr(neardup, "materialize", lambda df, label: made.setdefault(label, write(df, label)))
+    prints = write(neardup.printed(docs.selectExpr("doc_id AS id", "text")), "prints")
+    nodes = prints.selectExpr("node", "n_words", "signature")
+    members = neardup.members_of(docs.selectExpr("doc_id AS id", "text"), nodes)
+    root = nodes.select("node").selectExpr("node", "node AS root")
+    pairs = neardup._rest(members, root, nodes, 0.8)
+    rows = made["near-rest"].groupBy("bucket", "blocks").count().collect()
+    assert max(r["count"] for r in rows) >= 300
+    assert all(r.blocks <= (r["count"] / 16) ** 0.5 + 1 for r in rows)
+    got = {(bytes(r.a), bytes(r.b)) for r in pairs.collect()}
+    inside = {bytes(r.node) for r in made["near-rest"].select("node").collect()}
+    names = [hashlib.md5(t.encode()).digest() for t in texts]
+    near = {(max(a, b), min(a, b)) for a, b in zip(names, names[300:]) if a != b and {a, b} <= inside}
+    assert len(near) >= 18 and near <= got
+
+
 def test_near_duplicates_chains_in_one_bucket(documents, monkeypatch):
     """R-A-B, A similar to both, R not to B, R the representative: one class, at equal and at
     growing lengths, and where the rounds of several representatives part A and B."""
